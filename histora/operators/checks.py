@@ -6,6 +6,9 @@ shuffle; key checks aggregate before the exchange, so a key repeated many times
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,13 +16,19 @@ from histora.spec import TableSpec, ref
 
 
 def _violations(df: DataFrame, spec: TableSpec, tests: list[tuple[str, Column]]) -> DataFrame:
-    """One row (column_name, bk) per violated test, in a single pass over the data."""
-    if not tests:
-        tests = [(spec.bk, F.lit(False))]
+    """One row (column_name, bk) per violated test, in a single pass over the data.
+
+    The filter comes first: where Catalyst can prove that no test fires (a cleansed column is never
+    null), it drops the whole scan.
+    """
+    any_fires = reduce(or_, [test for _, test in tests], F.lit(False))
     found = F.filter(
-        F.array(*[F.when(test, F.lit(name)) for name, test in tests]), lambda name: name.isNotNull()
+        F.array(*[F.when(test, F.lit(name)) for name, test in tests] or [F.lit(None).cast("string")]),
+        lambda name: name.isNotNull(),
+    )
+    return df.filter(any_fires).select(
+        F.explode(found).alias("column_name"), ref(spec.bk).cast("string").alias("bk")
     )
-    return df.select(F.explode(found).alias("column_name"), ref(spec.bk).cast("string").alias("bk"))
 
 
 def check_not_null(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -25,37 +25,36 @@ def _clean(edges: DataFrame, child: str, parent: str) -> DataFrame:
     )
 
 
-def _flagged(clean: DataFrame) -> DataFrame:
-    """Edges with: is the parent a root (nobody's child), is the child a leaf (nobody's parent)."""
-    inner = clean.select(F.col("child").alias("_inner")).distinct()
-    forks = clean.select(F.col("parent").alias("_fork")).distinct()
-    return (
-        clean.join(inner, F.col("parent") == F.col("_inner"), "left")
-        .join(forks, F.col("child") == F.col("_fork"), "left")
-        .select(
-            "child",
-            "parent",
-            F.when(F.col("_inner").isNull(), "1").otherwise("0").alias("root_flag"),
-            F.when(F.col("_fork").isNull(), "1").otherwise("0").alias("leaf_flag"),
-        )
-    )
+def _with_leaves(links: DataFrame, node: str, parent: str) -> DataFrame:
+    """Mark the links whose node is nobody's parent: a walk need not go on from them."""
+    forks = links.select(F.col(parent).alias("_fork")).distinct()
+    return links.join(forks, F.col(node) == F.col("_fork"), "left").withColumn(
+        "leaf_flag", F.when(F.col("_fork").isNull(), "1").otherwise("0")
+    ).drop("_fork")
+
+
+def _with_roots(links: DataFrame) -> DataFrame:
+    """Mark the links whose parent is nobody's child."""
+    inner = links.select(F.col("child").alias("_inner")).distinct()
+    return links.join(inner, F.col("parent") == F.col("_inner"), "left").withColumn(
+        "root_flag", F.when(F.col("_inner").isNull(), "1").otherwise("0")
+    ).drop("_inner")
 
 
 def _walk(first: DataFrame, step, max_depth: int, name: str) -> DataFrame:
-    """Union of all levels: the first one, then step(level) until a level is empty."""
+    """Union of all levels: the first one, then step(rows of the level before that are no leaves)."""
     spark = first.sparkSession
     base = fresh_path(spark, name)
-    level, depth = first, 0
+    level, paths = first, []
     while True:
-        path = f"{base}/depth={depth}"
-        level.write.parquet(path)
-        written = spark.read.schema(level.schema).parquet(path)
-        if written.isEmpty():
-            break
-        if depth >= max_depth:
+        paths.append(f"{base}/depth={len(paths)}")
+        level.write.parquet(paths[-1])
+        inner = spark.read.schema(level.schema).parquet(paths[-1]).filter(F.col("leaf_flag") == "0")
+        if inner.isEmpty():
+            return spark.read.schema(first.schema).parquet(*paths)
+        if len(paths) >= max_depth:
             raise HierarchyTooDeep(f"rows left after {max_depth} levels: a cycle, or max_depth is too small")
-        level, depth = step(written), depth + 1
-    return spark.read.schema(first.schema).parquet(*[f"{base}/depth={d}" for d in range(depth + 1)])
+        level = step(inner)
 
 
 def hierarchy_closure(edges: DataFrame, child: str, parent: str, max_depth: int = 31) -> DataFrame:
@@ -66,7 +65,8 @@ def hierarchy_closure(edges: DataFrame, child: str, parent: str, max_depth: int
     not the far larger closure. In a tree every pair has one path; only where some node has several
     parents do pairs have to be reduced to one.
     """
-    links = materialise(edges.sparkSession, "edges", _flagged(_clean(edges, child, parent)))
+    clean = _clean(edges, child, parent)
+    links = materialise(edges.sparkSession, "edges", _with_roots(_with_leaves(clean, "child", "parent")))
     is_tree = links.groupBy("child").count().filter(F.col("count") > 1).isEmpty()
     pairs = links.select(
         F.col("parent").alias("ancestor"),
@@ -107,13 +107,10 @@ def hierarchy_flatten(
     edges: (child, parent, name of the child); roots: (child, name) of the nodes without a parent.
     A node with several parents gets one row per path.
     """
-    links = materialise(
-        edges.sparkSession,
-        "edges",
-        edges.select(ref(child).alias("node"), ref(parent).alias("parent"), ref(name).alias("name"))
-        .filter(F.col("parent").isNotNull())
-        .distinct(),
-    )
+    links = edges.select(
+        ref(child).alias("node"), ref(parent).alias("parent"), ref(name).alias("name")
+    ).filter(F.col("parent").isNotNull())
+    links = materialise(edges.sparkSession, "edges", _with_leaves(links.distinct(), "node", "parent"))
 
     def entry(code: Column, label: Column) -> Column:
         return F.struct(code.alias("code"), label.alias("name"))
@@ -122,6 +119,7 @@ def hierarchy_flatten(
         ref(child).alias("node"),
         F.lit(0).alias("level"),
         F.array(entry(ref(child), ref(name))).alias("path"),
+        F.lit("0").alias("leaf_flag"),
     )
 
     def down(level: DataFrame) -> DataFrame:
@@ -130,6 +128,7 @@ def hierarchy_flatten(
             "node",
             (F.col("level") + 1).alias("level"),
             F.array_append("path", entry(F.col("node"), F.col("name"))).alias("path"),
+            "leaf_flag",
         )
 
     walked = _walk(top, down, levels, "flatten")

@@ -230,17 +230,15 @@ def _merge(
         ends = in_dwh & F.when(in_stg, differs).otherwise(vanished)
     else:
         ends = in_dwh & in_stg & differs
-    actions = (
-        F.when(~in_dwh, F.array(F.lit(OPEN)))
-        .when(ends, F.array(F.lit(CLOSE), F.lit(OPEN)))
-        .otherwise(F.array(F.lit(KEEP)))
-    )
-    rows = d.join(s, on, "full_outer").withColumn(ACTION, F.explode(actions))
+    # What becomes of a joined row, as small numbers: they are compared once per column
+    keep, close, open_staged, open_stored = (F.lit(i) for i in range(4))
+    opening = F.when(in_stg, open_staged).otherwise(open_stored)
+    steps = F.when(~in_dwh, F.array(open_staged)).when(ends, F.array(close, opening)).otherwise(F.array(keep))
+    rows = d.join(s, on, "full_outer").withColumn("_step", F.explode(steps))
 
-    opens, closes = F.col(ACTION) == OPEN, F.col(ACTION) == CLOSE
-    staged = opens & in_stg
+    staged, opens, closes = F.col("_step") == open_staged, F.col("_step") >= open_staged, F.col("_step") == close
     start = F.when(in_dwh, moment(valid_from)).otherwise(moment(init_valid_from))
-    opened = opened_stamp(start, batch_id, moment(now), F.when(in_stg, ref(DELETE_FLAG, "s")).otherwise(1))
+    opened = opened_stamp(start, batch_id, moment(now), F.when(staged, ref(DELETE_FLAG, "s")).otherwise(1))
     closing = {
         CURRENT_FLAG: F.lit(0),
         VALID_TO: closing_ts(moment(valid_from)),
@@ -254,7 +252,8 @@ def _merge(
         if n in closing:
             value = value.when(closes, closing[n])
         out.append(value.otherwise(ref(n, "d")).alias(n))
-    return rows.select(*out, F.col(ACTION))
+    action = F.when(opens, OPEN).when(closes, CLOSE).otherwise(KEEP)
+    return rows.select(*out, action.alias(ACTION))
 
 
 def scd2_apply(

@@ -43,15 +43,14 @@ def run_scd2(
     now = whole_seconds() if now is None else now
     valid_from = whole_seconds() if valid_from is None else valid_from
     detect = spec.delete_detection
+    prior = warehouse.last_batch(before=batch_id)
     if "staging" in steps:
         stg = stage(source, spec, batch_id)
-        if detect and stage_deletes:
-            prior = warehouse.last_batch(before=batch_id)
-            if prior is not None:
-                stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
+        if detect and stage_deletes and prior is not None:
+            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
         warehouse.stage(stg, batch_id)
     if "checks" in steps:
-        warehouse.verify(warehouse.staged(batch_id))
+        warehouse.verify(warehouse.staged(batch_id), key_in_merge=prior is not None and "history" in steps)
     if "history" in steps:
         warehouse.historize(
             batch_id, init_valid_from, valid_from, now, detect_deletes=detect and not stage_deletes, **compare

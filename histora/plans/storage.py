@@ -16,6 +16,7 @@ repeating one replaces its own folders only.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 from typing import Callable, Iterable
 
@@ -52,17 +53,23 @@ def write_staging(stg: DataFrame, spec: TableSpec, path: str) -> DataFrame:
 
 
 class Warehouse:
-    """One warehouse table kept as a sequence of committed batches."""
+    """One warehouse table kept as a sequence of committed batches.
 
-    def __init__(self, spark: SparkSession, spec: TableSpec, base: str):
-        self.spark, self.spec, self.base = spark, spec, base.rstrip("/")
+    buckets: store the versions in this many buckets of the business key. The merge of the next batch
+    then joins the stored side where it lies, and only the staged side is exchanged. The session's
+    catalog holds the bucket layout of a batch folder and may forget it: it is declared anew from the
+    folder when missing.
+    """
+
+    def __init__(self, spark: SparkSession, spec: TableSpec, base: str, buckets: int | None = None):
+        self.spark, self.spec, self.base, self.buckets = spark, spec, base.rstrip("/"), buckets
         self._stored = T.StructType(
             list(spec.warehouse_schema())
             + [T.StructField("batch_id", T.IntegerType()), T.StructField(h.ACTION, T.StringType())]
         )
 
     # reading ------------------------------------------------------------------------------------
-    def _commits(self) -> dict[int, tuple[int | None, int]]:
+    def commits(self) -> dict[int, tuple[int | None, int]]:
         """batch -> (batch it builds on, last surrogate key). One row per batch."""
         try:
             rows = self.spark.read.schema(_COMMIT).parquet(f"{self.base}/commits").collect()
@@ -73,24 +80,20 @@ class Warehouse:
         return {r["batch_id"]: (r["prior"], r["max_sid"]) for r in rows}
 
     def last_batch(self, before: int | None = None) -> int | None:
-        return max((b for b in self._commits() if before is None or b < before), default=None)
-
-    def _versions(self, batches: list[int], wanted: Column) -> DataFrame:
-        root = f"{self.base}/versions"
-        stored = self.spark.read.schema(self._stored).option("basePath", root)
-        rows = stored.parquet(*[f"{root}/batch_id={b}" for b in batches])
-        return rows.filter(wanted).select(*[ref(n) for n in self.spec.warehouse_columns()])
+        return max((b for b in self.commits() if before is None or b < before), default=None)
 
     def current(self, batch: int | None = None) -> DataFrame:
         """Current versions (deleted members included) as of a batch, by default the last one."""
         batch = self.last_batch() if batch is None else batch
         if batch is None:
             return h.empty_warehouse(self.spark, self.spec)
-        return self._versions([batch], F.col(h.ACTION).isin(h.KEEP, h.OPEN))
+        wanted = F.col(h.ACTION).isin(h.KEEP, h.OPEN)
+        stored = self.spark.table(self._declared(batch)) if self.buckets else self._folders([batch])
+        return stored.filter(wanted).select(*self._columns())
 
     def table(self, batch: int | None = None) -> DataFrame:
         """All versions as of a batch, by default the last one; only the folders needed are read."""
-        commits = self._commits()
+        commits = self.commits()
         batch = max(commits, default=None) if batch is None else batch
         if batch is None:
             return h.empty_warehouse(self.spark, self.spec)
@@ -99,7 +102,35 @@ class Warehouse:
             chain.append(step)
             step = commits[step][0]
         now = (F.col("batch_id") == batch) & F.col(h.ACTION).isin(h.KEEP, h.OPEN)
-        return self._versions(chain, (F.col(h.ACTION) == h.CLOSE) | now)
+        return self._folders(chain).filter((F.col(h.ACTION) == h.CLOSE) | now).select(*self._columns())
+
+    def _columns(self) -> list[Column]:
+        return [ref(n) for n in self.spec.warehouse_columns()]
+
+    def _folder(self, batch_id: int) -> str:
+        return f"{self.base}/versions/batch_id={batch_id}"
+
+    def _folders(self, batches: list[int]) -> DataFrame:
+        reader = self.spark.read.schema(self._stored).option("basePath", f"{self.base}/versions")
+        return reader.parquet(*[self._folder(b) for b in batches])
+
+    def _declared(self, batch_id: int) -> str:
+        """Name of the catalog table over the folder of a batch."""
+        name = self._name(batch_id)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(
+                f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self._stored if f.name != "batch_id"
+            )
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({h.ACTION}) "
+                f"CLUSTERED BY ({quoted(self.spec.bk)}) INTO {self.buckets} BUCKETS LOCATION '{self._folder(batch_id)}'"
+            )
+            self.spark.catalog.recoverPartitions(name)
+        return name
+
+    def _name(self, batch_id: int) -> str:
+        place = hashlib.md5(self.base.encode()).hexdigest()[:8]
+        return quoted(f"{self.spec.name}_{place}_{batch_id}".lower())
 
     # writing ------------------------------------------------------------------------------------
     def stage(self, stg: DataFrame, batch_id: int) -> DataFrame:
@@ -108,32 +139,39 @@ class Warehouse:
     def staged(self, batch_id: int) -> DataFrame:
         return self.spark.read.schema(self.spec.staging_schema()).parquet(f"{self.base}/staged/batch_id={batch_id}")
 
-    def verify(self, stg: DataFrame) -> None:
-        """Refuse a snapshot that breaks NOT NULL or the key."""
+    def verify(self, stg: DataFrame, key_in_merge: bool = False) -> None:
+        """Refuse a snapshot that breaks NOT NULL or the key.
+
+        key_in_merge: a merge follows, which refuses repeated business keys itself; a primary key that
+        is just the business key then needs no aggregation of its own.
+        """
         require(check_not_null(stg, self.spec), f"{self.spec.name}: null in a mandatory column")
-        require(check_unique_key(stg, self.spec.pk or [self.spec.bk]), f"{self.spec.name}: key staged twice")
+        key = self.spec.pk or [self.spec.bk]
+        if not (key_in_merge and key == [self.spec.bk]):
+            require(check_unique_key(stg, key), f"{self.spec.name}: key staged twice")
 
     def historize(self, batch_id: int, init_valid_from, valid_from, now, stg: DataFrame | None = None, **options) -> None:
         """Merge a snapshot (by default the staged one of the batch) into the table and commit."""
-        commits = self._commits()
+        commits = self.commits()
         prior = max((b for b in commits if b < batch_id), default=None)
         if prior is None:
             files = self.staged(batch_id) if stg is None else materialise(self.spark, f"{self.spec.name}-first", stg)
             self._load_all(files, batch_id, init_valid_from, now)
             return
         stg = self.staged(batch_id) if stg is None else stg
+        if self.buckets:
+            # The one exchange of the batch: the staged rows move to the buckets of the stored ones
+            stg = stg.repartition(self.buckets, ref(self.spec.bk))
         merged = h.scd2_merge(
             self.current(prior), stg, self.spec, batch_id, init_valid_from, valid_from, now, **options
         )
         part = F.when(F.col(h.ACTION) == h.OPEN, UNNUMBERED).otherwise(F.col(h.ACTION))
-        target = f"{self.base}/versions/batch_id={batch_id}"
-        writer = merged.withColumn(h.ACTION, part).write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(h.ACTION).parquet(target)
+        self._write(merged.withColumn(h.ACTION, part), batch_id, "overwrite")
         # Only the new versions are read again, to number them
         max_sid = commits[prior][1]
-        fresh = self._stored_part(batch_id, UNNUMBERED)
+        fresh = self._part(batch_id, UNNUMBERED)
         if fresh is not None:
-            self._write_open(with_positions(fresh, self.spec.sid, max_sid), batch_id)
+            self._write_open(with_positions(fresh, self.spec.sid, max_sid), batch_id, "append")
             max_sid += fresh.count()
         self._commit(batch_id, prior, max_sid)
 
@@ -145,11 +183,11 @@ class Warehouse:
         """Every staged row opens a version; it is numbered by its place in the staged files."""
         numbered = with_positions(files, self.spec.sid)
         loaded = h.stamp_dwh(numbered, self.spec, valid_from, batch_id, now, keep=[self.spec.sid])
-        self._write_open(loaded, batch_id)
+        self._write_open(loaded, batch_id, "overwrite")
         self._commit(batch_id, None, files.count())
 
-    def _stored_part(self, batch_id: int, action: str) -> DataFrame | None:
-        path = f"{self.base}/versions/batch_id={batch_id}/{h.ACTION}={action}"
+    def _part(self, batch_id: int, action: str) -> DataFrame | None:
+        path = f"{self._folder(batch_id)}/{h.ACTION}={action}"
         try:
             return self.spark.read.schema(self.spec.warehouse_schema()).parquet(path)
         except AnalysisException as error:
@@ -157,13 +195,25 @@ class Warehouse:
                 raise
             return None
 
-    def _write_open(self, rows: DataFrame, batch_id: int) -> None:
-        rows = rows.select(*[ref(n) for n in self.spec.warehouse_columns()])
-        rows.write.mode("overwrite").parquet(f"{self.base}/versions/batch_id={batch_id}/{h.ACTION}={h.OPEN}")
+    def _write_open(self, rows: DataFrame, batch_id: int, mode: str) -> None:
+        if self.buckets:
+            rows = rows.repartition(self.buckets, ref(self.spec.bk))
+        self._write(rows.select(*self._columns(), F.lit(h.OPEN).alias(h.ACTION)), batch_id, mode)
+
+    def _write(self, rows: DataFrame, batch_id: int, mode: str) -> None:
+        writer = rows.write.format("parquet").mode(mode).partitionBy(h.ACTION)
+        writer = writer.option("partitionOverwriteMode", "static")
+        if self.buckets:
+            writer = writer.bucketBy(self.buckets, self.spec.bk).option("path", self._folder(batch_id))
+            writer.saveAsTable(self._name(batch_id))
+        else:
+            writer.save(self._folder(batch_id))
 
     def _commit(self, batch_id: int, prior: int | None, max_sid: int) -> None:
-        row = self.spark.createDataFrame([(prior, max_sid)], T.StructType(_COMMIT.fields[:2]))
-        row.coalesce(1).write.mode("overwrite").parquet(f"{self.base}/commits/batch_id={batch_id}")
+        row = self.spark.range(0, 1, 1, 1).select(
+            F.lit(prior).cast("int").alias("prior"), F.lit(max_sid).cast("bigint").alias("max_sid")
+        )
+        row.write.mode("overwrite").parquet(f"{self.base}/commits/batch_id={batch_id}")
 
 
 # Further sinks -----------------------------------------------------------------------------------

@@ -253,3 +253,51 @@ def test_wide_contract(spark):
     dwh = h.stamp_dwh(stg, spec, INIT, 1, "2024-01-01")
     stg2 = stg.withColumn("c2", F.when(F.col("dim_W_bk") < 50, -1.0).otherwise(F.col("c2")))
     assert h.scd2_apply(dwh, stg2, spec, 2, INIT, "2024-02-01", "2024-02-01").count() == 250
+
+
+@pytest.mark.parametrize("forget", [False, True])
+def test_bucketed_storage_gives_the_same_table_without_exchange(spark, forget):
+    plainly = Warehouse(spark, SPEC, fresh_path(spark, "plain"))
+    base = fresh_path(spark, "bucketed")
+    batches = [[("a", "x"), ("b", "y"), ("c", "z")], [("a", "x2"), ("b", "y"), ("d", "n")], [("c", "z"), ("d", "m")]]
+    for n, rows_ in enumerate(batches, 1):
+        house = Warehouse(spark, SPEC, base, buckets=3)
+        if forget and n > 1:
+            spark.sql(f"DROP TABLE {house._name(n - 1)}")
+        for target in (plainly, house):
+            pipeline.run_scd2(delivery(spark, *rows_), target, n, f"2024-0{n}-01", f"2024-0{n}-01 01:00:00", INIT)
+    names = [n for n in SPEC.warehouse_columns() if n != SPEC.sid]
+    assert sorted(map(str, house.table().select(names).collect())) == sorted(map(str, plainly.table().select(names).collect()))
+    assert house.table().select(SPEC.sid).distinct().count() == house.table().count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        stg = house.staged(3).repartition(3, "dim_T_bk")
+        merged = h.scd2_merge(house.current(), stg, SPEC, 4, INIT, "2024-04-01", "2024-04-01")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+
+
+def test_plans_stay_lean(spark):
+    """Each side of the merge is exchanged once; guard and anti join reuse that partitioning."""
+    path = fresh_path(spark, "lean")
+    first(spark, ("a", "x")).write.parquet(path + "/d")
+    staged(spark, 2, ("a", "x")).write.parquet(path + "/s")
+    dwh, stg = spark.read.parquet(path + "/d"), spark.read.parquet(path + "/s")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merge = h.scd2_merge(dwh, stg, SPEC, 2, INIT, "2024-02-01", "2024-02-01", detect_deletes=True)
+        plan = merge._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        gone = st.missing_members(dwh, stg, SPEC)._jdf.queryExecution().executedPlan().toString()
+        assert gone.count("Exchange hashpartitioning") == 2 and "PushedFilters: [IsNotNull(dwh_CurrentFlag)" in gone
+        load = st.staging_full_load(stg, SPEC, 1)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in load
+        cur = views.view_cur(dwh, SPEC).select("Name")._jdf.queryExecution().executedPlan().toString()
+        flags = "dwh_CurrentFlag:int,dwh_DeleteFlag:int,dwh_EarlyArriveFlag:int"
+        assert "PushedFilters: [IsNotNull(dwh_CurrentFlag)" in cur and f"ReadSchema: struct<Name:string,{flags}>" in cur
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
