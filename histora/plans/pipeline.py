@@ -6,9 +6,11 @@ import fnmatch
 from typing import Any, Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from histora.functions.scalars import whole_seconds
 from histora.operators.staging import staging_full_load, with_deletes, with_dummy
+from histora.operators.type1 import delta_load
 from histora.plans.storage import Warehouse
 from histora.plans.views import register_views
 from histora.spec import BEGINNING, TableSpec
@@ -60,6 +62,41 @@ def run_scd2(
     return warehouse
 
 
+def run_scd1(
+    source: DataFrame | None,
+    warehouse: Warehouse,
+    batch_id: int,
+    now=None,
+    last_value: Any = None,
+    steps: Iterable[str] = STEPS,
+    **compare: Any,
+) -> Warehouse:
+    """One batch of a table that is updated in place.
+
+    If the contract asks for delta loads, only rows beyond last_value are read (and, if it has one, rows
+    that pass its filter); a delta says nothing about missing members, so none are deleted. The next
+    last_value comes from `type1.next_trigger`.
+    """
+    spec, steps = warehouse.spec, set(steps)
+    prior = warehouse.last_batch(before=batch_id)
+    if "staging" in steps:
+        if spec.delta_load:
+            source = delta_load(
+                source, spec.delta_column, last_value, F.expr(spec.delta_filter) if spec.delta_filter else None
+            )
+        stg = stage(source, spec, batch_id)
+        if spec.delete_detection and not spec.delta_load and prior is not None:
+            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
+        warehouse.stage(stg, batch_id)
+    if "checks" in steps:
+        warehouse.verify(warehouse.staged(batch_id), key_in_merge=prior is not None and "history" in steps)
+    if "history" in steps:
+        warehouse.update(batch_id, whole_seconds() if now is None else now, **compare)
+    if "views" in steps:
+        register_views(warehouse.table(), spec)
+    return warehouse
+
+
 def run_full_reload(
     source: DataFrame | None, warehouse: Warehouse, batch_id: int, now=None, steps: Iterable[str] = STEPS
 ) -> Warehouse:

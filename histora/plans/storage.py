@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from histora.functions.scalars import moment
 from histora.operators import history as h
 from histora.operators.checks import check_not_null, check_unique_key, require
 from histora.operators.surrogate import with_positions
-from histora.spec import TableSpec, quoted, ref
+from histora.operators.type1 import scd1_merge
+from histora.spec import VALID_FROM, TableSpec, quoted, ref
 from histora.workspace import materialise
 
 UNNUMBERED = "unnumbered"
@@ -150,8 +152,21 @@ class Warehouse:
         if not (key_in_merge and key == [self.spec.bk]):
             require(check_unique_key(stg, key), f"{self.spec.name}: key staged twice")
 
-    def historize(self, batch_id: int, init_valid_from, valid_from, now, stg: DataFrame | None = None, **options) -> None:
-        """Merge a snapshot (by default the staged one of the batch) into the table and commit."""
+    def historize(
+        self,
+        batch_id: int,
+        init_valid_from,
+        valid_from,
+        now,
+        stg: DataFrame | None = None,
+        refuse_overlap: bool = False,
+        **options,
+    ) -> None:
+        """Merge a snapshot (by default the staged one of the batch) into the table and commit.
+
+        refuse_overlap: raise if a current version starts at valid_from or later; closing it would give
+        it an end before its start.
+        """
         commits = self.commits()
         prior = max((b for b in commits if b < batch_id), default=None)
         if prior is None:
@@ -159,6 +174,9 @@ class Warehouse:
             self._load_all(files, batch_id, init_valid_from, now)
             return
         stg = self.staged(batch_id) if stg is None else stg
+        if refuse_overlap:
+            late = self.current(prior).filter(F.col(VALID_FROM) >= moment(valid_from)).select(ref(self.spec.bk), VALID_FROM)
+            require(late, f"{self.spec.name}: versions start at {valid_from} or later")
         if self.buckets:
             # The one exchange of the batch: the staged rows move to the buckets of the stored ones
             stg = stg.repartition(self.buckets, ref(self.spec.bk))
@@ -166,9 +184,26 @@ class Warehouse:
             self.current(prior), stg, self.spec, batch_id, init_valid_from, valid_from, now, **options
         )
         part = F.when(F.col(h.ACTION) == h.OPEN, UNNUMBERED).otherwise(F.col(h.ACTION))
-        self._write(merged.withColumn(h.ACTION, part), batch_id, "overwrite")
-        # Only the new versions are read again, to number them
-        max_sid = commits[prior][1]
+        self._store(merged.withColumn(h.ACTION, part), batch_id, prior, commits[prior][1])
+
+    def update(self, batch_id: int, now, stg: DataFrame | None = None, **options) -> None:
+        """Merge a snapshot in place, without history, and commit."""
+        commits = self.commits()
+        prior = max((b for b in commits if b < batch_id), default=None)
+        if prior is None:
+            files = self.staged(batch_id) if stg is None else materialise(self.spark, f"{self.spec.name}-first", stg)
+            self._load_all(files, batch_id, h.BEGINNING, now)
+            return
+        stg = self.staged(batch_id) if stg is None else stg
+        if self.buckets:
+            stg = stg.repartition(self.buckets, ref(self.spec.bk))
+        merged = scd1_merge(self.current(prior), stg, self.spec, batch_id, now, **options)
+        part = F.when(ref(self.spec.sid).isNull(), UNNUMBERED).otherwise(h.KEEP)
+        self._store(merged.withColumn(h.ACTION, part), batch_id, prior, commits[prior][1])
+
+    def _store(self, merged: DataFrame, batch_id: int, prior: int, max_sid: int) -> None:
+        """Write a merged batch; only its new versions are read again, to number them."""
+        self._write(merged, batch_id, "overwrite")
         fresh = self._part(batch_id, UNNUMBERED)
         if fresh is not None:
             self._write_open(with_positions(fresh, self.spec.sid, max_sid), batch_id, "append")

@@ -85,6 +85,17 @@ def test_collation(spark):
     assert apply(dwh, stg, collation="UTF8_LCASE_RTRIM").count() == 2
 
 
+def test_declared_collation(spark):
+    asked = "x,ExtCollation,28=SQL_Latin1_General_CP1_CI_AS"
+    spec = table(
+        "dim_T",
+        [c if c.name != "Name" else ColumnSpec("Name", "nvarchar(20)", extended=asked) for c in SPEC.columns],
+    )
+    dwh, stg = first(spark, ("a", "X", "n"), ("b", "x", "n"), spec=spec), staged(spark, 2, ("a", "x", "n"), ("b", "x", "N"), spec=spec)
+    out = apply(dwh, stg, spec=spec, collation="declared")
+    assert rows(out.filter("dwh_CurrentFlag = 0"), "dim_T_bk") == [("b",)]
+
+
 def test_deletes_in_one_pass_equal_staged_deletes(spark):
     dwh = apply(
         first(spark, ("a", "x"), ("b", "y"), ("c", "z")), staged(spark, 2, ("a", "x2"), ("b", "y")), detect_deletes=True
@@ -234,6 +245,37 @@ def test_a_faulty_snapshot_is_refused(spark):
     with pytest.raises(ValueError, match="staged twice"):
         pipeline.run_scd2(delivery(spark, ("a", "x"), ("a", "y")), house, 1, "2024-01-01", "2024-01-01", INIT)
     assert house.last_batch() is None
+    with pytest.raises(ValueError, match="'-1'"):  # a missing key takes the place of the unknown member
+        pipeline.run_scd2(delivery(spark, (None, "x")), house, 1, "2024-01-01", "2024-01-01", INIT)
+
+
+def test_overlapping_batches_can_be_refused(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "house"))
+    for n, name in ((1, "x"), (2, "y")):
+        pipeline.run_scd2(delivery(spark, ("a", name)), house, n, "2024-02-01", "2024-02-01", INIT)
+    with pytest.raises(ValueError, match="or later"):
+        pipeline.run_scd2(delivery(spark, ("a", "z")), house, 3, "2024-02-01", "2024-02-01", INIT, refuse_overlap=True)
+    assert house.last_batch() == 2
+
+
+def test_type1_batches(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "type1"), buckets=2)
+    for n, rows_ in ((1, [("a", "x"), ("b", "y")]), (2, [("b", "y2"), ("c", "n")])):
+        pipeline.run_scd1(delivery(spark, *rows_), house, n, f"2024-0{n}-01")
+    got = {r.dim_T_bk: (r.Name, r.dim_T_sid, r.dwh_DeleteFlag, r.dwh_BatchRunIdUpdate) for r in house.table().collect()}
+    assert got["c"] == ("n", 4, 0, None) and {k: v[:1] + v[2:] for k, v in got.items() if k != "c"} == {
+        "-1": ("#NA#", 0, None), "a": ("x", 1, 2), "b": ("y2", 0, 2),
+    }
+    assert sorted(v[1] for v in got.values()) == [1, 2, 3, 4]
+
+
+def test_delta_batches(spark):
+    spec = table("dim_T", SPEC.columns, delta_load=True, delta_column="Note", delta_filter="Name <> 'skip'")
+    house = Warehouse(spark, spec, fresh_path(spark, "delta"))
+    pipeline.run_scd1(delivery(spark, ("a", "x", "1"), ("b", "y", "2")), house, 1, "2024-01-01")
+    source = delivery(spark, ("a", "changed before", "1"), ("b", "y3", "3"), ("c", "skip", "4"), ("d", "n", "4"))
+    pipeline.run_scd1(source, house, 2, "2024-02-01", last_value="2")
+    assert rows(house.current(), "dim_T_bk", "Name") == [("-1", "#NA#"), ("a", "x"), ("b", "y3"), ("d", "n")]
 
 
 def test_wide_contract(spark):
