@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histora.functions.scalars import concat_key
+from histora.functions.scalars import composite_bk
 from histora.operators.history import scd2_apply, stamp_dwh
 from histora.plans.pipeline import stage
 from histora.spec import BEGINNING, ColumnSpec, TableSpec, table
@@ -107,23 +107,23 @@ def _members(df: DataFrame, key: Column, t: int) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str, t: int) -> DataFrame:
     key = F.col("c_custkey")
     return _members(read(spark, sf_dir, "customer"), key, t).select(
-        concat_key(F.lit("TPCH"), key).alias("dim_Customer_bk"),
+        composite_bk(F.lit("TPCH"), key).alias("dim_Customer_bk"),
         F.lit("TPCH").alias("dim_SourceSystem_bk"),
         key.cast("string").alias("InternalId"),
         F.col("c_name").alias("Name"),
         F.when(~_differs(key, t, 11), F.col("c_mktsegment")).alias("Segment"),
         F.when(_differs(key, t, 7), F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("Balance"),
-        concat_key(F.lit("TPCH"), F.col("c_nationkey")).alias("dim_Nation_bk"),
+        composite_bk(F.lit("TPCH"), F.col("c_nationkey")).alias("dim_Nation_bk"),
     )
 
 
 def orders(spark: SparkSession, sf_dir: str, t: int) -> DataFrame:
     key = F.col("o_orderkey")
     return _members(read(spark, sf_dir, "orders"), key, t).select(
-        concat_key(F.lit("TPCH"), key).alias("dim_Order_bk"),
+        composite_bk(F.lit("TPCH"), key).alias("dim_Order_bk"),
         F.lit("TPCH").alias("dim_SourceSystem_bk"),
         key.cast("string").alias("InternalId"),
-        concat_key(F.lit("TPCH"), F.col("o_custkey")).alias("dim_Customer_bk"),
+        composite_bk(F.lit("TPCH"), F.col("o_custkey")).alias("dim_Customer_bk"),
         F.col("o_orderstatus").alias("Status"),
         F.when(~_differs(key, t, 11), F.col("o_orderpriority")).alias("Priority"),
         F.when(_differs(key, t, 7), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")).alias("TotalPrice"),
@@ -135,8 +135,8 @@ def events(spark: SparkSession, sf_dir: str, t: int = 1) -> DataFrame:
     key = F.col("event_id")
     time = F.when(key % 9 != 0, F.col("ts"))
     return read(spark, sf_dir, "events").select(
-        concat_key(F.lit("WEB"), key).alias("dim_Event_bk"),
-        concat_key(F.lit("WEB"), F.col("user_id")).alias("dim_User_bk"),
+        composite_bk(F.lit("WEB"), key).alias("dim_Event_bk"),
+        composite_bk(F.lit("WEB"), F.col("user_id")).alias("dim_User_bk"),
         F.col("event_type").alias("EventType"),
         F.when(_differs(key, t, 7), F.col("value") + 1).otherwise(F.col("value")).alias("Value"),
         F.when(~_differs(key, t, 11), F.col("props")).alias("Props"),
@@ -150,11 +150,11 @@ def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The widest delivery; nulls in several columns."""
     number = F.col("l_linenumber")
     return read(spark, sf_dir, "lineitem").select(
-        concat_key(F.col("l_orderkey"), number).alias("fct_LineItem_bk"),
+        composite_bk(F.col("l_orderkey"), number).alias("fct_LineItem_bk"),
         F.lit("TPCH").alias("dim_SourceSystem_bk"),
-        concat_key(F.lit("TPCH"), F.col("l_orderkey")).alias("dim_Order_bk"),
-        F.when(F.col("l_partkey") % 19 != 0, concat_key(F.lit("TPCH"), F.col("l_partkey"))).alias("dim_Part_bk"),
-        concat_key(F.lit("TPCH"), F.col("l_suppkey")).alias("dim_Supplier_bk"),
+        composite_bk(F.lit("TPCH"), F.col("l_orderkey")).alias("dim_Order_bk"),
+        F.when(F.col("l_partkey") % 19 != 0, composite_bk(F.lit("TPCH"), F.col("l_partkey"))).alias("dim_Part_bk"),
+        composite_bk(F.lit("TPCH"), F.col("l_suppkey")).alias("dim_Supplier_bk"),
         number.alias("LineNumber"),
         F.when(number != 5, F.col("l_quantity")).alias("Quantity"),
         F.col("l_extendedprice").alias("ExtendedPrice"),

@@ -140,7 +140,7 @@ def _all_types(spark, sf):
         "Hour": F.lit("12:30:00"),
         "IsOpen": F.col("l_linestatus") == "O",
     }
-    key = sc.concat_key(F.col("l_orderkey"), number, F.col("l_partkey"), F.col("l_suppkey"))
+    key = sc.composite_bk(F.col("l_orderkey"), number, F.col("l_partkey"), F.col("l_suppkey"))
     return item.select(
         key.alias("row_bk"),
         *[F.when(number != i % 7 + 1, v).alias(n) for i, (n, v) in enumerate(values.items())],
@@ -464,7 +464,7 @@ def composite_bk(spark, sf):
     return read(spark, sf, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        sc.concat_key(F.lit("TPCH"), F.col("l_orderkey"), F.col("l_linenumber"), part).alias("line_bk"),
+        sc.composite_bk(F.lit("TPCH"), F.col("l_orderkey"), F.col("l_linenumber"), part).alias("line_bk"),
     )
 
 
@@ -599,7 +599,7 @@ def code_mapping(spark, sf):
         F.lit("TPCH").alias("system"),
         F.lit("lineitem").alias("table_name"),
         F.col("s_suppkey").alias("id"),
-        sc.concat_key(F.lit("N"), F.col("s_nationkey")).alias("code"),
+        sc.composite_bk(F.lit("N"), F.col("s_nationkey")).alias("code"),
     )
     items = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return lookup.map_codes(

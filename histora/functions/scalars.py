@@ -54,7 +54,7 @@ def whole_seconds(now: dt.datetime | None = None) -> dt.datetime:
     return (now + dt.timedelta(milliseconds=500)).replace(microsecond=0)
 
 
-def concat_key(*parts: Column, sep: str = "|") -> Column:
+def composite_bk(*parts: Column, sep: str = "|") -> Column:
     """Business key from its parts; a missing part shows as '-1' instead of vanishing."""
     texts = [F.coalesce(p.cast("string"), F.lit("-1")) for p in parts]
     joined = [texts[0]]

@@ -114,9 +114,18 @@ def run_full_reload(
 
 
 def run_psa(
-    stg: DataFrame, warehouse: Warehouse, batch_id: int, valid_from=None, now=None, init_valid_from=BEGINNING, **compare: Any
+    stg: DataFrame,
+    warehouse: Warehouse,
+    batch_id: int,
+    valid_from=None,
+    now=None,
+    init_valid_from=BEGINNING,
+    checks: bool = True,
+    **compare: Any,
 ) -> Warehouse:
     """Persistent staging: historize a staged snapshot that already exists, then the views."""
+    if checks:
+        warehouse.verify(stg, key_in_merge=warehouse.last_batch(before=batch_id) is not None)
     warehouse.historize(
         batch_id,
         init_valid_from,

@@ -37,7 +37,7 @@ def test_scalars(spark):
     ]
     null = F.lit(None).cast("timestamp_ntz")
     assert one(spark, sc.date_key(null), sc.time_key(null)) == [None, None]
-    assert one(spark, sc.concat_key(F.lit("S"), F.lit(None), F.lit(3)), sc.padded_id(F.lit(3439499))) == ["S|-1|3", "0003439499"]
+    assert one(spark, sc.composite_bk(F.lit("S"), F.lit(None), F.lit(3)), sc.padded_id(F.lit(3439499))) == ["S|-1|3", "0003439499"]
     assert one(spark, sc.padded_id(F.lit(12345678901))) == ["12345678901"]
     a, b = F.lit("2024-01-01").cast("date"), F.lit("2024-01-03").cast("date")
     assert one(spark, sc.length_of_stay(a, b), sc.duration("hour", a, b), sc.duration("day", b, a)) == [3, 48, -2]
