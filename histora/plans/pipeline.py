@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.scalars import whole_seconds
+from histora.operators.checks import check_not_null, require
 from histora.operators.staging import staging_full_load, with_deletes, with_dummy
 from histora.operators.type1 import delta_load
 from histora.plans.storage import Warehouse
@@ -25,6 +26,33 @@ def stage(source: DataFrame, spec: TableSpec, batch_id: int) -> DataFrame:
     return with_dummy(stg, spec, batch_id) if spec.dummy else stg
 
 
+def _stage_and_check(
+    source: DataFrame | None,
+    warehouse: Warehouse,
+    batch_id: int,
+    steps: set[str],
+    with_gone: bool = False,
+    merging: bool = True,
+) -> None:
+    """Write the staged snapshot and check it.
+
+    NOT NULL is checked on the snapshot as computed, not as written: there Catalyst knows that a
+    cleansed column cannot be null, so the check reads nothing. A merge checks the business key itself.
+    """
+    spec, prior = warehouse.spec, warehouse.last_batch(before=batch_id)
+    computed = "staging" in steps
+    if computed:
+        stg = stage(source, spec, batch_id)
+        if "checks" in steps:
+            require(check_not_null(stg, spec), f"{spec.name}: null in a mandatory column")
+        if with_gone and prior is not None:
+            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
+        warehouse.stage(stg, batch_id)
+    if "checks" in steps:
+        merging = merging and prior is not None and "history" in steps
+        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, nulls=not computed)
+
+
 def run_scd2(
     source: DataFrame | None,
     warehouse: Warehouse,
@@ -45,14 +73,7 @@ def run_scd2(
     now = whole_seconds() if now is None else now
     valid_from = whole_seconds() if valid_from is None else valid_from
     detect = spec.delete_detection
-    prior = warehouse.last_batch(before=batch_id)
-    if "staging" in steps:
-        stg = stage(source, spec, batch_id)
-        if detect and stage_deletes and prior is not None:
-            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
-        warehouse.stage(stg, batch_id)
-    if "checks" in steps:
-        warehouse.verify(warehouse.staged(batch_id), key_in_merge=prior is not None and "history" in steps)
+    _stage_and_check(source, warehouse, batch_id, steps, with_gone=detect and stage_deletes)
     if "history" in steps:
         warehouse.historize(
             batch_id, init_valid_from, valid_from, now, detect_deletes=detect and not stage_deletes, **compare
@@ -78,18 +99,11 @@ def run_scd1(
     last_value comes from `type1.next_trigger`.
     """
     spec, steps = warehouse.spec, set(steps)
-    prior = warehouse.last_batch(before=batch_id)
-    if "staging" in steps:
-        if spec.delta_load:
-            source = delta_load(
-                source, spec.delta_column, last_value, F.expr(spec.delta_filter) if spec.delta_filter else None
-            )
-        stg = stage(source, spec, batch_id)
-        if spec.delete_detection and not spec.delta_load and prior is not None:
-            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
-        warehouse.stage(stg, batch_id)
-    if "checks" in steps:
-        warehouse.verify(warehouse.staged(batch_id), key_in_merge=prior is not None and "history" in steps)
+    if "staging" in steps and spec.delta_load:
+        extra = F.expr(spec.delta_filter) if spec.delta_filter else None
+        source = delta_load(source, spec.delta_column, last_value, extra)
+    # A delta says nothing about the members it leaves out
+    _stage_and_check(source, warehouse, batch_id, steps, with_gone=spec.delete_detection and not spec.delta_load)
     if "history" in steps:
         warehouse.update(batch_id, whole_seconds() if now is None else now, **compare)
     if "views" in steps:
@@ -102,10 +116,7 @@ def run_full_reload(
 ) -> Warehouse:
     """One batch of a table without history: stage, replace, views."""
     spec, steps = warehouse.spec, set(steps)
-    if "staging" in steps:
-        warehouse.stage(stage(source, spec, batch_id), batch_id)
-    if "checks" in steps:
-        warehouse.verify(warehouse.staged(batch_id))
+    _stage_and_check(source, warehouse, batch_id, steps, merging=False)
     if "history" in steps:
         warehouse.reload(batch_id, whole_seconds() if now is None else now)
     if "views" in steps:

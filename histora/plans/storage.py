@@ -141,13 +141,14 @@ class Warehouse:
     def staged(self, batch_id: int) -> DataFrame:
         return self.spark.read.schema(self.spec.staging_schema()).parquet(f"{self.base}/staged/batch_id={batch_id}")
 
-    def verify(self, stg: DataFrame, key_in_merge: bool = False) -> None:
+    def verify(self, stg: DataFrame, key_in_merge: bool = False, nulls: bool = True) -> None:
         """Refuse a snapshot that breaks NOT NULL or the key.
 
         key_in_merge: a merge follows, which refuses repeated business keys itself; a primary key that
         is just the business key then needs no aggregation of its own.
         """
-        require(check_not_null(stg, self.spec), f"{self.spec.name}: null in a mandatory column")
+        if nulls:
+            require(check_not_null(stg, self.spec), f"{self.spec.name}: null in a mandatory column")
         key = self.spec.pk or [self.spec.bk]
         if not (key_in_merge and key == [self.spec.bk]):
             require(check_unique_key(stg, key), f"{self.spec.name}: key staged twice")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from histora.operators import history as h
 from histora.operators import staging as st
+from histora.operators.checks import check_not_null
 from histora.operators.early import add_early_arriving
 from histora.operators.type1 import scd1_merge
 from histora.plans import pipeline, views
@@ -335,6 +336,8 @@ def test_plans_stay_lean(spark):
         assert plan.count("Exchange hashpartitioning") == 2
         gone = st.missing_members(dwh, stg, SPEC)._jdf.queryExecution().executedPlan().toString()
         assert gone.count("Exchange hashpartitioning") == 2 and "PushedFilters: [IsNotNull(dwh_CurrentFlag)" in gone
+        nulls = check_not_null(pipeline.stage(stg, SPEC, 1), SPEC)._jdf.queryExecution().optimizedPlan().toString()
+        assert nulls.startswith("LocalRelation <empty>")
         load = st.staging_full_load(stg, SPEC, 1)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in load
         cur = views.view_cur(dwh, SPEC).select("Name")._jdf.queryExecution().executedPlan().toString()
