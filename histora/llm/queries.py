@@ -5,20 +5,58 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from histora.llm.common import table
+from histora.llm.decontaminate import contaminated
+from histora.llm.hnsw import nearest_neighbours
+from histora.llm.neardup import near_duplicates
 from histora.llm.packing import pack_documents
+from histora.llm.quality import quality_scores
 from histora.llm.sharding import shard_by_bytes
+from histora.llm.surrogates import replace_pii
+from histora.llm.toxicity import toxicity_scores
 
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"))
 
 
+def op2_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return replace_pii(table(spark, folder, "documents"))
+
+
+def op3_minhash_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op4_factorisation_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op5_hnsw_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op7_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_minimax_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"))
 
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_pii_surrogates": op2_pii_surrogates,
+    "op3_minhash_neardup": op3_minhash_neardup,
+    "op4_factorisation_quality": op4_factorisation_quality,
+    "op5_hnsw_neighbours": op5_hnsw_neighbours,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_kneser_ney_toxicity": op7_kneser_ney_toxicity,
     "op9_minimax_sharding": op9_minimax_sharding,
 }
 ORACLES: dict[str, str] = {}
