@@ -1,152 +1,123 @@
 """Toxicity by class-conditional Kneser-Ney models (operator 7).
 
-Each class, toxic and ordinary, has a bigram model over words. It backs off to the class's continuation distribution (how
-many different words a word follows there), and that to shared continuation counts of both classes, so a rare
-expression that one class has not seen is not held against it. Bigrams seen once are discounted in full.
-
-Per word, the log-likelihoods of both models are compared. A text's figures are the mean difference over all its
-words, over its most toxic window of `WINDOW` words, and over its `TOP` most toxic words, all divided by the
-number of words; a logistic function fitted on texts that the compared models have not seen makes a score of them.
+Each class, toxic and ordinary, has a Kneser-Ney model over the letters of a word, each letter given the ORDER - 1 before it
+(the word's start fills up). Both classes back off to the same continuation counts of the next lower order,
+counted over both classes, so a rare expression that one class has not seen is not held against it: where
+neither has the gram, what the models still differ by is only the mass they leave to unseen letters.
+
+Per word, the log-likelihoods of both models are compared. A text's figures are divided by its number of words or by a fixed
+one: the mean difference over all words, over the most toxic window of `WINDOW` words and over the `TOP` most toxic words, and
+the share of words above `STRONG`. Their number, which tells more in a short text, and the text's length go in as logarithms.
+A logistic function of all these is the score. It is fitted on texts that the compared models have not seen.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histora.llm.common import ascii_words, fold, ship
-from histora.llm.quality import HASHES
+from histora.llm.common import fold, saved, ship
 
-WINDOW, TOP, DISCOUNT = 8, 3, 0.75
-START = 0x5BD1E995
+ORDER, DISCOUNT = 5, 0.75
+WINDOW, TOP, STRONG = 8, 3, 3.5
+START, END = "\x02", "\x03"
+FIGURES = ["mean", "window", "top", "strong", "length", "many", "more"]
 
+_AROUND = re.compile(r"^[\W_]+|[\W_]+$")
 
-def word_hashes(texts: list[str | None]):
-    """All words' 64-bit hashes, the word before each (START for the first), and where each text begins."""
-    import numpy as np
-
-    parts = [np.fromiter(map(HASHES.__getitem__, w), np.uint64, len(w)) for w in map(ascii_words, texts)]
-    sizes = np.array([len(p) for p in parts], np.int64)
-    words = np.concatenate([*parts, np.empty(0, np.uint64)]).view(np.int64)
-    before = np.empty_like(words)
-    before[1:] = words[:-1]
-    starts = np.cumsum([0, *sizes])[:-1]
-    before[starts[sizes > 0]] = START
-    return words, before, starts, sizes
 
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased words without the signs around them; what is only signs is no word."""
+    words = [w if w.isalnum() else _AROUND.sub("", w) for w in (text or "").lower().split()]
+    return [w for w in words if w]
 
-def pair_key(before, words):
-    import numpy as np
 
-    with np.errstate(over="ignore"):
-        x = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + words.view(np.uint64)
-        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return (x ^ (x >> np.uint64(32))).view(np.int64)
+def grams_of(word: str) -> list[str]:
+    padded = START * (ORDER - 1) + word + END
+    return [padded[i : i + ORDER] for i in range(len(word) + 1)]
 
 
-def count_pairs(rows: DataFrame) -> DataFrame:
-    """rows: text, part (0 to 3: half * 2 + label). Bigram counts (v, w, n0 ... n3)."""
+def lower_order(grams: list[str], counts):
+    """P(last letter | letters before) of every gram, by interpolated Kneser-Ney over its own and lower orders."""
     import numpy as np
-    import pyarrow as pa
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                w, v, _, sizes = word_hashes(part.column(0).to_pylist())
-                kind = np.repeat(part.column(1).to_numpy(zero_copy_only=False), sizes)
-                yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(w), pa.array(kind.astype(np.int32))], names=["v", "w", "part"])
-
-    pairs = rows.mapInArrow(run, "v long, w long, part int")
-    return pairs.groupBy("v", "w").agg(*[F.count(F.when(F.col("part") == i, 1)).alias(f"n{i}") for i in range(4)])
-
-
-class Counts:
-    """Tables of one choice of parts: sorted keys with what the models need."""
-
-    def __init__(self, pairs, contexts, words, parts: list[int]):
-        """parts: which halves. Each table: key(s) followed by four columns, one per part."""
-        import numpy as np
+    import pandas as pd
 
-        both = lambda a: np.stack([sum(a[:, 2 * h + y] for h in parts) for y in (0, 1)], axis=1)
-        key, n = pairs
-        n = both(n)
-        kept = n.max(axis=1, initial=0) >= 2
-        self.pairs, self.n = key[kept], np.where(n[kept] >= 2, n[kept] - DISCOUNT, 0).astype(np.float32)
-        self.contexts, total = contexts[0], both(contexts[1])
-        self.total = total.astype(np.float32)
-        self.words, follows = words[0], both(words[1]).astype(np.float64)
-        types, shared = (follows > 0).sum(axis=0), follows.sum(axis=1)
-        size = len(self.words) + 1
-        floor = DISCOUNT * (shared > 0).sum() / max(1.0, shared.sum())
-        low = np.maximum(shared - DISCOUNT, 0) / max(1.0, shared.sum()) + floor / size
-        sums = np.maximum(1.0, follows.sum(axis=0))
-        back = DISCOUNT * types / sums
-        back = np.where(types > 0, back, 1.0)
-        self.unigram = (np.maximum(follows - DISCOUNT, 0) / sums + back * low[:, None]).astype(np.float32)
-        self.unseen = (back * floor / size if shared.sum() else np.full(2, 1.0)).astype(np.float32)
-        self.unseen = np.maximum(self.unseen, 1e-12)
-        self.kept = None
-
-    def bind(self, of_context):
-        """of_context: for each kept pair, the position of its context; the mass that the pairs keep."""
+    t = pd.DataFrame({"g": grams, "n": counts})
+    if not len(t) or not t.g.iloc[0]:
+        return np.full(len(t), 1.0)
+    t["h"], t["low"] = t.g.str[:-1], t.g.str[1:]
+    total, types = t.groupby("h").n.transform("sum"), t.groupby("h").n.transform("size")
+    own = np.maximum(t.n - DISCOUNT, 0) / total
+    if len(t.g.iloc[0]) == 1:
+        back = np.full(len(t), 1 / (len(t) + 1))
+    else:
+        follows = t.groupby("low").size()
+        back = t.low.map(pd.Series(lower_order(follows.index.tolist(), follows.to_numpy()), follows.index)).to_numpy()
+    return (own + DISCOUNT * types / total * back).to_numpy()
+
+
+class Model:
+    """Log-likelihood ratios of known grams, and of the mass that known contexts leave."""
+
+    def __init__(self, grams: list[str], shared, counts):
+        """shared: P of each gram's last letter in the next lower order; counts: ordinary, toxic."""
         import numpy as np
-
-        mass = np.zeros_like(self.total)
-        for y in (0, 1):
-            mass[:, y] = np.bincount(of_context, weights=self.n[:, y], minlength=len(self.contexts))[: len(self.contexts)]
-        self.backoff = np.where(self.total > 0, 1 - mass / np.maximum(self.total, 1), 1).astype(np.float32)
-
-    def ratio(self, before, words):
-        """log P(word | toxic) - log P(word | ordinary) for each word."""
+        import pandas as pd
+
+        t = pd.DataFrame({"g": grams, "shared": shared, "a": counts[0], "b": counts[1]})
+        t["h"] = t.g.str[:-1]
+        p, backs = [], []
+        for c in "ab":
+            total = t.groupby("h")[c].transform("sum")
+            seen = t[c].gt(0).groupby(t.h).transform("sum")
+            back = np.where(total > 0, DISCOUNT * seen / np.maximum(total, 1), 1.0)
+            p.append(np.where(total > 0, np.maximum(t[c] - DISCOUNT, 0) / np.maximum(total, 1), 0) + back * t.shared)
+            backs.append(back)
+        self.grams = dict(zip(t.g, np.log(p[1] / p[0]).round(5).tolist(), strict=True))
+        self.contexts = dict(zip(t.h, np.log(backs[1] / backs[0]).round(5).tolist(), strict=True))
+        self.words: dict[str, float] = {}
+
+    def ratio(self, word: str) -> float:
+        found = self.words.get(word)
+        if found is None:
+            grams, contexts = self.grams, self.contexts
+            found = 0.0
+            for g in grams_of(word):
+                r = grams.get(g)
+                found += contexts.get(g[:-1], 0.0) if r is None else r
+            if len(self.words) < 1_000_000:
+                self.words[word] = found
+        return found
+
+    def figures(self, texts: list[str | None]):
+        """FIGURES of each text; zeros for a text without words."""
         import numpy as np
 
-        def find(keys, wanted):
-            at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-            return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
-
-        at, hit = find(self.words, words)
-        low = np.where(hit[:, None], self.unigram[at], self.unseen) if len(self.words) else np.tile(self.unseen, (len(words), 1))
-        at, hit = find(self.contexts, before)
-        if len(self.contexts):
-            back = np.where(hit[:, None], self.backoff[at], 1)
-            total = np.where(hit[:, None], self.total[at], 0)
-            at, hit = find(self.pairs, pair_key(before, words))
-            own = np.where(hit[:, None], self.n[at], 0) if len(self.pairs) else 0
-            p = np.where(total > 0, own / np.maximum(total, 1), 0) + back * low
-        else:
-            p = low
-        p = np.log(p)
-        return p[:, 1] - p[:, 0]
-
-
-def figures(model: Counts, texts: list[str | None]):
-    """Mean, best window and top words of each text; zeros for a text without words."""
-    import numpy as np
-
-    words, before, starts, sizes = word_hashes(texts)
-    out = np.zeros((len(texts), 3))
-    if not len(words):
+        out = np.zeros((len(texts), len(FIGURES)))
+        for i, text in enumerate(texts):
+            r = np.array([self.ratio(w) for w in words_of(text)])
+            n = len(r)
+            if not n:
+                continue
+            sums = np.concatenate([[0.0], np.cumsum(r)])
+            span = min(WINDOW, n)
+            top = min(TOP, n)
+            out[i] = (
+                sums[-1] / n,
+                (sums[span:] - sums[:-span]).max() / WINDOW,
+                np.partition(r, n - top)[n - top :].sum() / TOP,
+                np.sqrt((r > STRONG).mean()),
+                np.log(n),
+                np.log1p((r > STRONG).sum()),
+                np.log1p((r > STRONG).sum()) ** 2,
+            )
         return out
-    r = model.ratio(before, words).astype(np.float64)
-    sums = np.concatenate([[0], np.cumsum(r)])
-    filled = np.flatnonzero(sizes)
-    out[:, 0] = (sums[starts + sizes] - sums[starts]) / np.maximum(sizes, 1)
-    begins = np.repeat(starts, sizes)
-    ends = np.repeat(starts + sizes, sizes)
-    place = np.arange(len(words))
-    until = np.minimum(place + WINDOW, ends)
-    from_ = np.maximum(begins, until - WINDOW)
-    window = (sums[until] - sums[from_]) / WINDOW
-    out[filled, 1] = np.maximum.reduceat(window, starts[filled])
-    for i in filled:
-        x = r[starts[i] : starts[i] + sizes[i]]
-        out[i, 2] = np.partition(x, len(x) - min(TOP, len(x)))[-TOP:].sum() / TOP
-    return out
 
 
 def logistic(x, y, steps: int = 60, ridge: float = 0.05):
-    """Newton's method; figures are scaled first. Gives the weights and the constant for unscaled figures."""
+    """Newton's method on scaled figures. Gives the weights and the constant for unscaled ones."""
     import numpy as np
 
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
@@ -155,73 +126,72 @@ def logistic(x, y, steps: int = 60, ridge: float = 0.05):
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         h = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, z.T @ (p - y) + ridge * w)
-        w -= np.clip(step, -3, 3)
+        w -= np.clip(np.linalg.solve(h, z.T @ (p - y) + ridge * w), -3, 3)
     return np.append(w[:-1] / scale, w[-1] - (w[:-1] * mean / scale).sum())
 
 
+def count_grams(rows: DataFrame) -> DataFrame:
+    """rows: text, part (half * 2 + label). Counts (g, n0 ... n3) of the grams of all words."""
+    import pyarrow as pa
+
+    def run(batches):
+        from collections import Counter
+
+        for batch in batches:
+            counts: Counter[tuple[str, int]] = Counter()
+            for text, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for word, n in Counter(words_of(text)).items():
+                    for g in grams_of(word):
+                        counts[g, part] += n
+            keys = list(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g for g, _ in keys], pa.string()), pa.array([p for _, p in keys], pa.int32()), pa.array(list(counts.values()), pa.int64())],
+                names=["g", "part", "n"],
+            )
+
+    found = rows.mapInArrow(run, "g string, part int, n long")
+    return found.groupBy("g").agg(*[F.sum(F.when(F.col("part") == i, F.col("n")).otherwise(0)).alias(f"n{i}") for i in range(4)])
+
+
 def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int, max_entries: int):
     """The model of all training rows, and the calibration. docs: id, text; labels: id and the label."""
     import numpy as np
+    import pyarrow as pa
 
     chosen = labels.where(F.col(label).isNotNull() & (fold("id", 5) != 0)).dropDuplicates(["id"])
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(max_rows)
-    part = (F.crc32(F.col("id").cast("string").cast("binary")) % 2 * 2 + F.col(label)).cast("int")
+    part = (F.pmod(F.xxhash64("id"), F.lit(2)) * 2 + F.col(label)).cast("int")
     rows = docs.join(chosen.select("id", part.alias("part")), "id").dropDuplicates(["id"]).select("text", "part")
-    from histora.llm.common import saved
-
     rows = saved(rows, "toxic-rows")
-    counted = saved(count_pairs(rows), "toxic-pairs")
-
-    def fetched(df: DataFrame, *keys: str):
-        t = df.toArrow()
-        return [t.column(k).to_numpy() for k in keys], np.column_stack([t.column(f"n{i}").to_numpy() for i in range(4)])
-
-    names = [f"n{i}" for i in range(4)]
-    frequent = counted.where(sum(F.col(n) for n in names) >= 2)
-    frequent = frequent.orderBy(F.desc(sum(F.col(n) for n in names)), "v", "w").limit(max_entries)
-    (v, w), n = fetched(frequent, "v", "w")
-    of_v = counted.groupBy(F.col("v").alias("k")).agg(*[F.sum(c).alias(c) for c in names])
-    of_w = counted.groupBy(F.col("w").alias("k")).agg(*[F.sum((F.col(c) > 0).cast("int")).alias(c) for c in names])
-    tables = []
-    for df in (of_v, of_w):
-        df = df.orderBy(F.desc(sum(F.col(c) for c in names)), "k").limit(max_entries)
-        (k,), c = fetched(df, "k")
-        order = np.argsort(k)
-        tables.append((k[order], c[order]))
-    # pairs whose context did not make it into its table go as well
-    at = np.minimum(np.searchsorted(tables[0][0], v), max(0, len(tables[0][0]) - 1))
-    known = tables[0][0][at] == v if len(tables[0][0]) else np.zeros(len(v), bool)
-    v, w, n, at = v[known], w[known], n[known], at[known]
-    key = pair_key(v, w)
-    order = np.argsort(key)
-    key, n, at = key[order], n[order], at[order]
-
-    def model(parts: list[int]) -> Counts:
-        m = Counts((key, n), tables[0], tables[1], parts)
-        pairs_kept = sum(n[:, 2 * h] for h in parts), sum(n[:, 2 * h + 1] for h in parts)
-        m.bind(at[np.maximum(*pairs_kept) >= 2])
-        return m
-
-    halves, whole = [model([0]), model([1])], model([0, 1])
-    shared = docs.sparkSession.sparkContext.broadcast(halves)
+    total = F.col("n0") + F.col("n1") + F.col("n2") + F.col("n3")
+    table = count_grams(rows).orderBy(total.desc(), "g").limit(max_entries).toArrow()
+    grams = table.column("g").to_pylist()
+    n = np.column_stack([table.column(f"n{i}").to_numpy() for i in range(4)])
+
+    def model(halves: list[int]) -> Model:
+        counts = [sum(n[:, 2 * h + y] for h in halves) for y in (0, 1)]
+        kept = np.flatnonzero(counts[0] + counts[1])
+        own = [grams[i] for i in kept]
+        follows: dict[str, int] = {}
+        for g in own:
+            follows[g[1:]] = follows.get(g[1:], 0) + 1
+        low = dict(zip(follows, lower_order(list(follows), list(follows.values())), strict=True))
+        return Model(own, [low[g[1:]] for g in own], [c[kept] for c in counts])
+
+    shared = docs.sparkSession.sparkContext.broadcast([model([0]), model([1])])
 
     def run(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            texts, kinds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 200):
-                a, b = (figures(m, texts[at : at + 200]) for m in shared.value)
-                half = np.array(kinds[at : at + 200]) // 2
-                x = np.where((half == 0)[:, None], b, a)  # by the model of the other half
-                y = np.array(kinds[at : at + 200]) % 2
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*x.T, y.astype(np.float64))], names=["a", "b", "c", "y"])
+            texts, kinds = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist())
+            first, second = (m.figures(texts) for m in shared.value)
+            x = np.where((kinds // 2 == 0)[:, None], second, first)  # by the model of the other half
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*x.T, kinds % 2.0)], names=[*FIGURES, "y"])
 
-    seen = rows.mapInArrow(run, "a double, b double, c double, y double").orderBy("a", "b", "c", "y").toArrow()
-    x = np.column_stack([seen.column(c).to_numpy() for c in "abc"]) if seen.num_rows else np.zeros((1, 3))
-    y = seen.column("y").to_numpy() if seen.num_rows else np.zeros(1)
-    return whole, logistic(x, y)
+    seen = rows.mapInArrow(run, ", ".join(f"{c} double" for c in [*FIGURES, "y"])).orderBy(*FIGURES, "y").toArrow()
+    if not seen.num_rows:
+        return model([0, 1]), np.zeros(len(FIGURES) + 1)
+    x = np.column_stack([seen.column(c).to_numpy() for c in FIGURES])
+    return model([0, 1]), logistic(x, seen.column("y").to_numpy())
 
 
 def toxicity_scores(
@@ -232,14 +202,14 @@ def toxicity_scores(
     text_col: str = "text",
     threshold: float = 0.5,
     max_rows: int = 4000,
-    max_entries: int = 1 << 20,
+    max_entries: int = 1 << 19,
 ) -> DataFrame:
     """Score every text; learn from at most `max_rows` labelled rows with crc32(id) mod 5 other than 0.
 
-    `max_entries` bounds each table of the model (the most frequent entries stay, others back off), and with it what
-    is broadcast. Returns id_col, held_out, score (0 to 1) and predicted (score >= threshold). Null, empty and blank texts
-    score alike; rows with a null id are scored, and held out; null labels teach nothing. Repeated rows come back
-    repeatedly; other columns are not read; an empty table gives no rows.
+    `max_entries` bounds the grams of the model (the most frequent stay), and with them what is broadcast. Returns
+    id_col, held_out, score (0 to 1) and predicted (score >= threshold). Null, empty and blank texts score alike;
+    rows with a null id are scored, and held out; null labels teach nothing; without any label every score is 0.5. Repeated
+    rows come back repeatedly; other columns are not read; an empty table gives no rows.
     """
     import numpy as np
     import pandas as pd
@@ -250,9 +220,8 @@ def toxicity_scores(
     model, weights = train(docs, labels, label, max_rows, max_entries)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(texts):
-        out = [figures(shared.value, texts.iloc[at : at + 200].tolist()) for at in range(0, len(texts), 200)]
-        x = np.concatenate([*out, np.empty((0, 3))])
+    def run(texts: pd.Series) -> pd.Series:
+        x = shared.value.figures(texts.tolist())
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), dtype="float64")
 
     score = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR)(F.col("text"))
