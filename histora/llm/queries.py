@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from histora.llm.binary_output import packed_output
 from histora.llm.common import table
 from histora.llm.decontaminate import contaminated
 from histora.llm.hnsw import nearest_neighbours
+from histora.llm.maxent import maxent_scores
 from histora.llm.neardup import near_duplicates
 from histora.llm.packing import pack_documents
 from histora.llm.quality import quality_scores
@@ -45,10 +47,18 @@ def op7_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_binary_output(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_output(table(spark, folder, "documents"))
+
+
 def op9_minimax_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shard_by_bytes(table(spark, folder, "documents"))
 
 
+def op10_maxent_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return maxent_scores(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -57,6 +67,8 @@ QUERIES = {
     "op5_hnsw_neighbours": op5_hnsw_neighbours,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_kneser_ney_toxicity": op7_kneser_ney_toxicity,
+    "op8_binary_output": op8_binary_output,
     "op9_minimax_sharding": op9_minimax_sharding,
+    "op10_maxent_scoring": op10_maxent_scoring,
 }
 ORACLES: dict[str, str] = {}
