@@ -1,7 +1,7 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment (operator 6).
 
 1. Grams of the test items are counted over all documents (one pass; only grams that occur in an item are emitted).
-2. Seeds of an item are the rarer half of its grams by that count, ties in item order. No item is without
+2. Seeds of an item are the rarer three quarters of its grams by that count, ties in item order. No item is without
    seeds, however often its passage occurs.
 3. A second pass looks the seeds up in every document. Seeds of one item that lie close together give a window; the
    item is aligned with the whole window. Words that agree score 2, others -1, and a gap costs 1 per word.
@@ -111,7 +111,7 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
     seeds: list[tuple[int, int, int]] = []
     for i, g in enumerate(each):
         order = sorted(range(len(g)), key=lambda p, g=g: (often.get(int(g[p]), 0), p))
-        seeds += [(int(g[p]), i, p) for p in order[: (len(g) + 1) // 2]]
+        seeds += [(int(g[p]), i, p) for p in order[: (3 * len(g) + 3) // 4]]
     seeds.sort()
     table = np.array(seeds, np.int64).reshape(-1, 3)
     shared = spark.sparkContext.broadcast((table, words, [k for k, _ in items]))
@@ -188,7 +188,7 @@ def contaminated(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text: str = "text",
-    width: int = 4,
+    width: int = 3,
     threshold: float = 0.5,
     block_words: int = 1_000_000,
 ) -> DataFrame:

@@ -81,8 +81,9 @@ class Vocabulary:
         mixed = (hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(NEAR - OWN - GROUPS - 1)
         own = np.where(rank < OWN, rank, OWN + mixed.astype(np.int64))
         self.buckets = np.concatenate([[FIRST], own, FIRST - 1 - np.arange(GROUPS)]).astype(np.int64)
-        sums[RARE] = rare_count
-        self.start = np.log(np.maximum(sums, 0.5) / max(1, total)).astype(np.float32)
+        sums[RARE] = max(1, rare_count)
+        # classes without words get next to nothing
+        self.start = np.where(sums > 0, np.log(np.maximum(sums, 1) / max(1, total)), -30).astype(np.float32)
         self.codes: dict[bytes, int] = {}
 
     def code(self, word: bytes) -> int:

@@ -66,7 +66,7 @@ class Model:
         import numpy as np
         import pandas as pd
 
-        t = pd.DataFrame({"g": grams, "shared": shared, "a": counts[0], "b": counts[1]})
+        t = pd.DataFrame({"g": pd.Series(grams, dtype="object"), "shared": shared, "a": counts[0], "b": counts[1]})
         t["h"] = t.g.str[:-1]
         p, backs = [], []
         for c in "ab":
