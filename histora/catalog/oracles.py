@@ -323,6 +323,33 @@ ORACLES["check_unique_key"] = (
 
 # Pipelines ---------------------------------------------------------------------------------------
 ORACLES["pipeline_scd2"] = after("customer", 4, "SELECT * FROM d4")
+ORACLES["pipeline_repeat"] = after("customer", 3, "SELECT * FROM d3")
+ORACLES["pipeline_bucketed"] = after("customer", 3, "SELECT * FROM d3")
+ORACLES["pipeline_dispatch"] = f"""{batches('customer', 2)}
+  SELECT 'dim_Customer' AS table_name, dim_Customer_bk AS bk, dwh_CurrentFlag, dwh_DeleteFlag,
+    CAST(dwh_ValidFrom AS VARCHAR) AS dwh_ValidFrom FROM d2
+  UNION ALL SELECT 'dim_Event', dim_Event_bk, CAST(1 AS INTEGER), CAST(0 AS INTEGER), '{INIT}' FROM ({with_dummy('event', 2)})"""
+ORACLES["chained_views"] = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS n, max(o_orderkey) AS last
+  FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL"""
+ORACLES["publish_and_replace"] = """SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 2 = 0
+  UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 1"""
+PLACEHOLDER = f"""SELECT o.bk, '-1', '-1', '#NA#', NULL, 0, '-1', TIMESTAMP '2024-02-01 00:00:00',
+  CASE WHEN r.dim_Customer_bk IS NULL THEN {OPEN_END} ELSE TIMESTAMP '2024-02-29 23:59:59' END,
+  CAST(CASE WHEN r.dim_Customer_bk IS NULL THEN 1 ELSE 0 END AS INTEGER), 0, 1, 'dim_Customer_bk', TIMESTAMP '2024-02-01 01:00:00',
+  CASE WHEN r.dim_Customer_bk IS NOT NULL THEN TIMESTAMP '2024-03-01 01:00:00' END, 2,
+  CASE WHEN r.dim_Customer_bk IS NOT NULL THEN 3 END
+  FROM early o LEFT JOIN ({customer_rows(3)}) r ON r.dim_Customer_bk = o.bk"""
+ORACLES["pipeline_early_arriving"] = as_text(
+    f"""WITH known AS ({with_dummy('customer', 1)}),
+    early AS (SELECT DISTINCT 'TPCH|' || o_custkey AS bk FROM orders
+      WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.dim_Customer_bk = 'TPCH|' || o_custkey)),
+    fresh AS (SELECT * FROM ({customer_rows(3)}) r WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.dim_Customer_bk = r.dim_Customer_bk))
+    SELECT {opened('k.', CUSTOMER_COLUMNS, INIT, 1, '0')} FROM known k
+    UNION ALL {PLACEHOLDER}
+    UNION ALL SELECT {opened('f.', CUSTOMER_COLUMNS, '2024-03-01 00:00:00', 3, '0')} FROM fresh f WHERE f.dim_Customer_bk IN (SELECT bk FROM early)
+    UNION ALL SELECT {opened('f.', CUSTOMER_COLUMNS, INIT, 3, '0')} FROM fresh f WHERE f.dim_Customer_bk NOT IN (SELECT bk FROM early)""",
+    AUDIT_TIMES,
+)
 ORACLES["pipeline_full_reload"] = as_text(
     f"SELECT {opened('s.', EVENT_COLUMNS, INIT, 2, '0')} FROM ({with_dummy('event', 2)}) s", TABLES["event"][3] + AUDIT_TIMES
 )
@@ -339,7 +366,10 @@ ORACLES["early_arriving"] = after(
     WHERE NOT EXISTS (SELECT 1 FROM d1 WHERE d1.dim_Customer_bk = o.bk)""",
 )
 LAST_EVENT = "TIMESTAMP '2024-01-15 00:00:00'"
-ORACLES["delta_load"] = as_text(f"SELECT * FROM events WHERE ts > {LAST_EVENT}", ["ts"])
+ORACLES["delta_load"] = as_text(
+    f"SELECT * REPLACE (CASE WHEN event_id % 50 <> 0 THEN ts END AS ts) FROM events WHERE event_id % 50 = 0 OR ts > {LAST_EVENT}",
+    ["ts"],
+)
 ORACLES["delta_trigger"] = (
     f"SELECT CAST(coalesce(max(ts), {LAST_EVENT}) AS VARCHAR) AS next_trigger, count(*) AS n_rows"
     f" FROM events WHERE ts > {LAST_EVENT}"
@@ -368,6 +398,24 @@ ORACLES["scd1_merge"] = as_text(scd1(with_dummy("order", 2)), ORDER_TIMES)
 ORACLES["scd1_delta_upsert"] = as_text(
     scd1(order_rows(2, "o_orderdate > TIMESTAMP '1998-01-01 00:00:00'")), ORDER_TIMES
 )
+ORACLES["pipeline_scd1"] = ORACLES["scd1_merge"]
+ORACLES["pipeline_scd1_delta"] = as_text(
+    f"""SELECT {opened('d.', ORDER_COLUMNS, INIT, 1, '0')}
+      FROM ({order_rows(1, "o_orderdate <= TIMESTAMP '1998-01-01 00:00:00'")} UNION ALL {ORDER_DUMMY}) d
+    UNION ALL SELECT {opened('s.', ORDER_COLUMNS, INIT, 2, '0')}
+      FROM ({order_rows(2, "o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderkey % 20 <> 0 AND o_orderdate <= TIMESTAMP '1998-01-01 00:00:00')")}) s
+    UNION ALL SELECT {opened('t.', ORDER_COLUMNS, INIT, 3, '0')}
+      FROM ({order_rows(3, "o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderkey % 13 <> 0)")}) t""",
+    ORDER_TIMES,
+)
+SECOND = order_rows(2, "o_orderdate > TIMESTAMP '1997-06-30 23:59:59' AND o_orderdate <= TIMESTAMP '1999-06-30 23:59:59'")
+ORACLES["pipeline_scd1_overlap"] = as_text(
+    f"""WITH s AS MATERIALIZED ({SECOND}), span AS (SELECT min(OrderDate) AS low, max(OrderDate) AS high FROM s)
+    SELECT {opened('d.', ORDER_COLUMNS, INIT, 1, '0')} FROM ({with_dummy('order', 1)}) d, span
+      WHERE NOT OrderDate BETWEEN low AND high
+    UNION ALL SELECT {opened('s.', ORDER_COLUMNS, INIT, 2, '0')} FROM s""",
+    ORDER_TIMES,
+)
 OVERLAP = "BETWEEN TIMESTAMP '1997-07-01 00:00:00' AND TIMESTAMP '1999-06-30 23:59:59'"
 ORACLES["scd1_overlap_replace"] = as_text(
     f"""SELECT {opened('d.', ORDER_COLUMNS, INIT, 1, '0')} FROM ({with_dummy('order', 1)}) d
@@ -400,10 +448,11 @@ ORACLES["first_last_flags"] = f"""SELECT o_orderkey,
   CASE WHEN group_key IS NULL THEN '-1' WHEN {PLACE.format('DESC')} = 1 THEN '1' ELSE '0' END AS IsLast_Flag
   FROM {STAYS}"""
 ORACLES["current_of_sequence"] = f"""SELECT o_orderkey, CASE
-  WHEN TIMESTAMP '1999-06-01 00:00:00' BETWEEN start_date AND end_date THEN '1'
-  WHEN max(end_date) OVER (PARTITION BY group_key, kind) < TIMESTAMP '1999-06-01 00:00:00' AND row_number() OVER (
-    PARTITION BY group_key, kind ORDER BY start_date DESC, end_date DESC, o_orderkey DESC) = 1 THEN '1'
-  ELSE '0' END AS Current_flag FROM {STAYS}"""
+  WHEN TIMESTAMP '1999-06-01 00:00:00' BETWEEN start_date AND until THEN '1'
+  WHEN max(until) OVER (PARTITION BY group_key, kind) < TIMESTAMP '1999-06-01 00:00:00' AND row_number() OVER (
+    PARTITION BY group_key, kind ORDER BY start_date DESC, until DESC, o_orderkey DESC) = 1 THEN '1'
+  ELSE '0' END AS Current_flag
+  FROM (SELECT *, CASE WHEN o_orderkey % 13 = 0 THEN DATE '9999-12-31' ELSE end_date END AS until FROM {STAYS})"""
 ORACLES["durations"] = """SELECT event_id, date_sub('second', ts, e) AS duration_seconds, date_sub('minute', ts, e) AS duration_minutes,
   date_sub('hour', ts, e) AS duration_hours, date_sub('day', ts, e) AS duration_days
   FROM (SELECT event_id, ts, ts + to_seconds(user_id * 37) AS e FROM events)"""
@@ -451,14 +500,21 @@ def _flatten(levels: int) -> str:
     columns = ", ".join(
         f"codes[{i + 1}] AS CodeLevel{i:02d}, names[{i + 1}] AS Level{i:02d}" for i in range(levels)
     )
+    nothing = ", ".join("NULL" for _ in range(2 * levels))
     return f"""WITH RECURSIVE {EDGES},
+    links AS (
+      SELECT child, parent, CASE WHEN child NOT IN ('N0', 'N7', 'N14', 'N21') THEN name END AS name FROM edges
+      UNION ALL SELECT 'S' || s_suppkey, 'Q' || s_nationkey, s_name FROM supplier),
     walk AS (
       SELECT node, 0 AS level, [node] AS codes, [name] AS names FROM (
         SELECT 'R' || r_regionkey AS node, r_name AS name FROM region
         UNION SELECT DISTINCT 'P' || o_orderpriority, o_orderpriority FROM orders)
       UNION ALL SELECT e.child, w.level + 1, list_append(w.codes, e.child), list_append(w.names, e.name)
-      FROM walk w JOIN edges e ON e.parent = w.node)
-    SELECT node, CAST(level AS INTEGER) AS LevelNumber, array_to_string(names, '|') AS TreeVector, {columns} FROM walk"""
+      FROM walk w JOIN links e ON e.parent = w.node)
+    SELECT node, CAST(level AS INTEGER) AS LevelNumber,
+      array_to_string(list_transform(names, lambda x: coalesce(x, '#NA#')), '|') AS TreeVector, {columns} FROM walk
+    UNION ALL SELECT node, NULL, NULL, {nothing} FROM (SELECT child AS node FROM links UNION SELECT parent FROM links)
+      WHERE node NOT IN (SELECT node FROM walk)"""
 
 
 ORACLES["hierarchy_flatten"] = _flatten(5)
@@ -478,3 +534,5 @@ ORACLES["nest_children"] = """SELECT conv_id, CAST(part_no AS INTEGER) AS part_n
   FROM (SELECT *, (pos - 1) // 4 AS part_no FROM (
     SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM conversations))
   GROUP BY conv_id, part_no"""
+ORACLES["numbered_children"] = """SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position,
+  turn, role, text FROM conversations"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from histora.operators import checks, early, groups, hierarchy, history, lookup,
 from histora.plans import pipeline, storage, views
 from histora.plans.storage import Warehouse
 from histora.sources import conform, select_rows, source_or_shell
-from histora.spec import CURRENT_FLAG, ref, table
+from histora.spec import CURRENT_FLAG, DELETE_FLAG, ref, table
 from histora.spec import VALID_FROM as VALID_FROM_COLUMN
 from histora.workspace import fresh_path
 
@@ -44,7 +45,7 @@ def plain(df: DataFrame) -> DataFrame:
 @query
 def source_shell(spark, sf):
     """Two sources of one table, one of them not delivered yet: its shell fits the other."""
-    pending = source_or_shell(spark, CUSTOMER, f"{sf}/not_delivered.parquet")
+    pending = source_or_shell(spark, CUSTOMER, f"{sf}/not_delivered.parquet", allow_shell=True)
     return pending.unionByName(conform(fx.customers(spark, sf, 3), CUSTOMER))
 
 
@@ -378,6 +379,124 @@ def pipeline_scd2(spark, sf):
     return plain(views.view_fhi(house.table(), CUSTOMER).drop(CUSTOMER.sid))
 
 
+@query
+def pipeline_repeat(spark, sf):
+    """Batch 2 is loaded from the wrong delivery, repeated with a faulty one (refused) and with the right one; then batch 3."""
+    house = Warehouse(spark, CUSTOMER, fresh_path(spark, "repeat"))
+
+    def run(batch, source):
+        pipeline.run_scd2(source, house, batch, VALID_FROM[batch], NOW[batch], INIT)
+
+    first, second = fx.customers(spark, sf, 1), fx.customers(spark, sf, 2)
+    run(1, first)
+    run(2, fx.customers(spark, sf, 3))
+    try:
+        run(2, second.unionByName(second))
+    except Exception as refused:  # noqa: BLE001 - Spark wraps the error of the merge
+        if "staged twice" not in str(refused):
+            raise
+    run(2, second)
+    run(3, fx.customers(spark, sf, 3))
+    return plain(views.view_fhi(house.table(), CUSTOMER).drop(CUSTOMER.sid))
+
+
+@query
+def pipeline_bucketed(spark, sf):
+    """Three batches of a table whose versions are stored in buckets of the business key."""
+    house = Warehouse(spark, CUSTOMER, fresh_path(spark, "bucketed"), buckets=4)
+    for t in (1, 2, 3):
+        pipeline.run_scd2(fx.customers(spark, sf, t), house, t, VALID_FROM[t], NOW[t], INIT)
+    return plain(views.view_fhi(house.table(), CUSTOMER).drop(CUSTOMER.sid))
+
+
+@query
+def pipeline_dispatch(spark, sf):
+    """Two batches of two tables, each by the pipeline of its contract: one with history, one reloaded."""
+    events = replace(EVENT, table_type="reload")
+    houses = [Warehouse(spark, spec, fresh_path(spark, spec.name)) for spec in (CUSTOMER, events)]
+    for t in (1, 2):
+        sources = {CUSTOMER.name: fx.customers(spark, sf, t), events.name: fx.events(spark, sf, t)}
+        done = pipeline.run_contracts(
+            sources, houses, t, valid_from=VALID_FROM[t], now=NOW[t], init_valid_from=INIT
+        )
+        for result in done.values():
+            if isinstance(result, Exception):
+                raise result
+    parts = [
+        house.table().select(
+            F.lit(house.spec.name).alias("table_name"), ref(house.spec.bk).alias("bk"), CURRENT_FLAG, DELETE_FLAG, VALID_FROM_COLUMN
+        )
+        for house in houses
+    ]
+    return plain(parts[0].unionByName(parts[1]))
+
+
+@query
+def pipeline_scd1(spark, sf):
+    """Two batches of a table that is updated in place."""
+    spec = replace(ORDER, table_type="scd1", delete_detection=False)
+    house = Warehouse(spark, spec, fresh_path(spark, "scd1"))
+    for t in (1, 2):
+        pipeline.run_table(fx.orders(spark, sf, t), house, t, now=NOW[t])
+    return plain(house.table().drop(spec.sid))
+
+
+@query
+def pipeline_scd1_delta(spark, sf):
+    """Three delta loads; each starts behind the highest order date of the one before, which is stored with its batch."""
+    spec = replace(ORDER, table_type="scd1", delete_detection=False, delta_load=True, delta_column="OrderDate")
+    house = Warehouse(spark, spec, fresh_path(spark, "delta"))
+    early = fx.orders(spark, sf, 1).filter(F.col("OrderDate") <= LAST_ORDER)
+    for t, source in ((1, early), (2, fx.orders(spark, sf, 2)), (3, fx.orders(spark, sf, 3))):
+        pipeline.run_table(source, house, t, now=NOW[t])
+    return plain(house.table().drop(spec.sid))
+
+
+@query
+def pipeline_scd1_overlap(spark, sf):
+    """A load, a delta that replaces the order dates it spans, and an empty delivery."""
+    spec = replace(
+        ORDER, table_type="fact", delete_detection=False, delta_load=True, delta_type="overlap", delta_column="OrderDate"
+    )
+    house = Warehouse(spark, spec, fresh_path(spark, "overlap"))
+    second = fx.orders(spark, sf, 2).filter(F.col("OrderDate") <= "1999-06-30 23:59:59")
+    pipeline.run_table(fx.orders(spark, sf, 1), house, 1, now=NOW[1])
+    pipeline.run_scd1(second, house, 2, NOW[2], last_value="1997-06-30 23:59:59")
+    pipeline.run_table(second.limit(0), house, 3, now=NOW[3])
+    return plain(house.table().drop(spec.sid))
+
+
+@query
+def pipeline_early_arriving(spark, sf):
+    """Orders refer to customers not delivered yet: placeholders, which the next delivery replaces."""
+    house = Warehouse(spark, CUSTOMER, fresh_path(spark, "early"))
+    pipeline.run_scd2(fx.customers(spark, sf, 1), house, 1, VALID_FROM[1], NOW[1], INIT)
+    pipeline.run_early_arriving(fx.orders(spark, sf, 3), ORDER, {CUSTOMER.name: house}, 2, VALID_FROM[2], NOW[2])
+    pipeline.run_scd2(fx.customers(spark, sf, 3), house, 3, VALID_FROM[3], NOW[3], INIT)
+    return plain(house.table().drop(CUSTOMER.sid))
+
+
+@query
+def chained_views(spark, sf):
+    """Staging views on top of each other, every step written once."""
+    steps = [
+        lambda d: d.filter(F.col("o_orderstatus") != "P"),
+        lambda d: d.withColumn("year", F.year("o_orderdate")),
+        lambda d: d.groupBy("year", "o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderkey").alias("last")),
+    ]
+    return storage.chain(read(spark, sf, "orders"), steps)
+
+
+@query
+def publish_and_replace(spark, sf):
+    """A published view is pointed to a new folder; the old one stays whole until then."""
+    name = "published_" + fresh_path(spark, "")[-8:]
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    storage.publish(orders.filter(F.col("o_orderkey") % 2 == 0), fresh_path(spark, "publish"), name)
+    storage.publish(spark.table(name).unionByName(orders.filter(F.col("o_orderkey") % 3 == 1)), fresh_path(spark, "publish"), name)
+    return spark.table(name)
+
+
 @query
 def pipeline_full_reload(spark, sf):
     house = Warehouse(spark, EVENT, fresh_path(spark, "reload"))
@@ -411,7 +530,9 @@ LAST_ORDER = "1998-01-01 00:00:00"
 
 @query
 def delta_load(spark, sf):
-    return plain(type1.delta_load(read(spark, sf, "events"), "ts", LAST_EVENT))
+    """Events without a time can't be known to be old."""
+    events = read(spark, sf, "events").withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    return plain(type1.delta_load(events, "ts", LAST_EVENT))
 
 
 @query
@@ -509,8 +630,9 @@ def first_last_flags(spark, sf):
 
 @query
 def current_of_sequence(spark, sf):
+    open_ended = F.when(F.col("o_orderkey") % 13 != 0, F.col("end_date"))
     flagged = groups.current_of_sequence(
-        _stays(spark, sf), ["group_key", "kind"], "start_date", "end_date", "1999-06-01 00:00:00", "o_orderkey"
+        _stays(spark, sf).withColumn("end_date", open_ended), ["group_key", "kind"], "start_date", "end_date", "1999-06-01 00:00:00", "o_orderkey"
     )
     return flagged.select("o_orderkey", "Current_flag")
 
@@ -589,12 +711,20 @@ def hierarchy_flatten(spark, sf):
         F.concat(F.lit("P"), F.col("o_orderpriority")).alias("child"), F.col("o_orderpriority").alias("name")
     )
     roots = regions.unionByName(priorities.distinct())
-    return hierarchy.hierarchy_flatten(_edges(spark, sf), "child", "parent", "name", roots, levels=5)
+    # suppliers hang below nodes that no root reaches, and some nations have no name
+    lost = read(spark, sf, "supplier").select(
+        F.concat(F.lit("S"), F.col("s_suppkey")).alias("child"),
+        F.concat(F.lit("Q"), F.col("s_nationkey")).alias("parent"),
+        F.col("s_name").alias("name"),
+    )
+    nameless = F.col("child").isin("N0", "N7", "N14", "N21")
+    edges = _edges(spark, sf).withColumn("name", F.when(~nameless, F.col("name"))).unionByName(lost)
+    return hierarchy.hierarchy_flatten(edges, "child", "parent", "name", roots, levels=5)
 
 
 @query
 def code_mapping(spark, sf):
-    """Suppliers of line items mapped to nations; suppliers in debt have no mapping."""
+    """Suppliers of line items mapped to nations; suppliers in debt have no mapping, all others the same one twice."""
     mapping = read(spark, sf, "supplier").filter(F.col("s_acctbal") >= 0).select(
         F.lit("TPCH").alias("system"),
         F.lit("lineitem").alias("table_name"),
@@ -603,7 +733,7 @@ def code_mapping(spark, sf):
     )
     items = read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return lookup.map_codes(
-        items, mapping, on={"l_suppkey": "id"}, code="code", where={"system": "TPCH", "table_name": "lineitem"}
+        items, mapping.unionByName(mapping), on={"l_suppkey": "id"}, code="code", where={"system": "TPCH", "table_name": "lineitem"}
     )
 
 
@@ -630,7 +760,14 @@ def year_month_dim(spark, sf):
 def nest_children(spark, sf):
     """Conversations with their turns as ordered lists, shown as text."""
     nested = groups.nest_children(
-        read(spark, sf, "conversations"), ["conv_id"], ["turn", "role", "text"], ["turn", "role", "text"], max_children=4
+        read(spark, sf, "conversations"), ["conv_id"], ["turn", "role", "text"], ["turn", "role", "text"], part_size=4
     )
     line = F.transform("children", lambda c: F.concat_ws(":", c["turn"].cast("string"), c["role"], c["text"]))
     return nested.select("conv_id", "part_no", "n_children", F.array_join(line, "\n").alias("turns"))
+
+
+@query
+def numbered_children(spark, sf):
+    """The turns of each conversation with their place in it."""
+    order = ["turn", "role", "text"]
+    return groups.number_children(read(spark, sf, "conversations"), ["conv_id"], order, order)

@@ -45,6 +45,17 @@ def check_length(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
+def check_constraints(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Nulls in mandatory columns and texts longer than declared, in one pass."""
+    tests = []
+    for f in (f for c in spec.columns for f in c.fields() if f.name in df.columns):
+        if not f.nullable:
+            tests.append((f.name, ref(f.name).isNull()))
+        if f.metadata.get("length"):
+            tests.append((f.name, F.coalesce(F.length(ref(f.name)) > f.metadata["length"], F.lit(False))))
+    return _violations(df, spec, tests)
+
+
 def check_unique_key(df: DataFrame, columns: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return (

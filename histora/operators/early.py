@@ -32,11 +32,10 @@ def early_members(parent: DataFrame, child: DataFrame, fk_columns: list[str], sp
     return keys.join(known, "bk", "left_anti").select("bk", F.get(names, F.col("pos")).alias("field"))
 
 
-def add_early_arriving(
+def placeholders(
     parent: DataFrame, child: DataFrame, fk_columns: list[str], spec: TableSpec, batch_id: int, valid_from, now
 ) -> DataFrame:
-    """The parent with a placeholder version per early member. Its first real delivery replaces it, as
-    the early-arrival mark counts as a difference."""
+    """One placeholder version per early member, in the columns of the parent."""
     stamps = opened_stamp(moment(valid_from), batch_id, moment(now), F.lit(0))
     stamps[EARLY_FLAG], stamps[EARLY_FIELD] = F.lit(1), F.col("field")
     out = [typed_null("bigint").alias(spec.sid)] if spec.sid in parent.columns else []
@@ -44,6 +43,12 @@ def add_early_arriving(
         value = F.col("bk").cast(c.spark_type) if c.name == spec.bk else default_for(c)
         out.append(value.alias(c.name))
         out += [F.lit(UNKNOWN_KEY).alias(key) for key in (c.date_key, c.time_key) if key]
-    early = early_members(parent, child, fk_columns, spec)
-    placeholders = early.select(*out, *[v.alias(k) for k, v in stamps.items()])
-    return parent.unionByName(placeholders)
+    return early_members(parent, child, fk_columns, spec).select(*out, *[v.alias(k) for k, v in stamps.items()])
+
+
+def add_early_arriving(
+    parent: DataFrame, child: DataFrame, fk_columns: list[str], spec: TableSpec, batch_id: int, valid_from, now
+) -> DataFrame:
+    """The parent with a placeholder version per early member. Its first real delivery replaces it, as
+    the early-arrival mark counts as a difference."""
+    return parent.unionByName(placeholders(parent, child, fk_columns, spec, batch_id, valid_from, now))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from histora.functions.scalars import moment
 from histora.operators.surrogate import with_positions, write_in_order
-from histora.spec import ref
+from histora.spec import OPEN_END, ref
 from histora.workspace import fresh_path
 
 
@@ -24,6 +24,20 @@ def consolidated_sum(df: DataFrame, group: str, value: str, name: str | None = N
     )
 
 
+def _at_extreme(df: DataFrame, keys: list[str], column: str, last: bool) -> DataFrame:
+    """The rows of each group that hold its first or last value of a column; a null comes before all values.
+
+    The value alone is aggregated, by hashing and combined before the exchange; the rows are found by a join on the group.
+    """
+    value = ref(column)
+    ends = df.groupBy(*[ref(k).alias(f"_{k}") for k in keys]).agg(
+        (F.max(value) if last else F.min(value)).alias("_end"), F.max(value.isNull()).alias("_null")
+    )
+    same = [ref(k).eqNullSafe(ref(f"_{k}")) for k in keys]
+    hit = value.eqNullSafe(F.col("_end")) if last else F.when(F.col("_null"), value.isNull()).otherwise(value == F.col("_end"))
+    return df.join(ends, same).filter(hit).drop("_end", "_null", *[f"_{k}" for k in keys])
+
+
 def first_last_flags(
     df: DataFrame, group: str, order: str, key: str, first: str = "IsFirst_Flag", last: str = "IsLast_Flag"
 ) -> DataFrame:
@@ -31,20 +45,12 @@ def first_last_flags(
 
     key identifies a row and breaks ties of the order.
     """
-    place = F.struct(ref(order), ref(key))
+    rows = df.filter(ref(group).isNotNull()).select(ref(group).alias("_group"), ref(order).alias("_order"), ref(key).alias("_key"))
+    lows = _at_extreme(rows, ["_group"], "_order", last=False).groupBy("_group").agg(F.min("_key").alias("_key"))
+    highs = _at_extreme(rows, ["_group"], "_order", last=True).groupBy("_group").agg(F.max("_key").alias("_key"))
     ends = (
-        df.filter(ref(group).isNotNull())
-        .groupBy(ref(group))
-        .agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-        .select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("lo")[key].alias("_key"), F.lit(1).alias("_first"), F.lit(0).alias("_last")),
-                    F.struct(F.col("hi")[key].alias("_key"), F.lit(0).alias("_first"), F.lit(1).alias("_last")),
-                )
-            ).alias("e")
-        )
-        .select("e.*")
+        lows.select("_key", F.lit(1).alias("_first"), F.lit(0).alias("_last"))
+        .unionByName(highs.select("_key", F.lit(0).alias("_first"), F.lit(1).alias("_last")))
         .groupBy("_key")
         .agg(F.max("_first").alias("_first"), F.max("_last").alias("_last"))
     )
@@ -63,18 +69,22 @@ def first_last_flags(
 def current_of_sequence(
     df: DataFrame, keys: list[str], valid_from: str, valid_to: str, now, key: str, name: str = "Current_flag"
 ) -> DataFrame:
-    """'1' for rows valid now and, in sequences that have ended, for the last row; '0' otherwise."""
+    """'1' for rows valid now and, in sequences that have ended, for the last row; '0' otherwise.
+
+    A row without an end is open: it is valid from its start on, and its sequence has not ended.
+    """
     at = moment(now)
-    start, end = ref(valid_from).cast("timestamp_ntz"), ref(valid_to).cast("timestamp_ntz")
-    last_of_ended = (
-        df.groupBy(*[ref(k) for k in keys])
-        .agg(
-            F.max(end).alias("_until"),
-            F.max(F.struct(start.alias("s"), end.alias("e"), ref(key).alias("k"))).alias("_latest"),
-        )
-        .filter(F.col("_until") < at)
-        .select(F.col("_latest.k").alias("_last_key"))
+    start = ref(valid_from).cast("timestamp_ntz")
+    end = F.coalesce(ref(valid_to).cast("timestamp_ntz"), moment(OPEN_END))
+    groups = [f"_g{i}" for i in range(len(keys))]
+    rows = df.select(
+        *[ref(k).alias(g) for k, g in zip(keys, groups, strict=True)], start.alias("_s"), end.alias("_e"), ref(key).alias("_key")
     )
+    ended = rows.groupBy(*[F.col(g).alias(f"{g}_") for g in groups]).agg(F.max("_e").alias("_until")).filter(F.col("_until") < at)
+    rows = rows.join(ended, [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups], "left_semi")
+    for column in ("_s", "_e"):
+        rows = _at_extreme(rows, groups, column, last=True)
+    last_of_ended = rows.groupBy(*groups).agg(F.max("_key").alias("_last_key")).select("_last_key")
     valid = F.coalesce(at.between(start, end), F.lit(False))
     return (
         df.join(last_of_ended, ref(key) == F.col("_last_key"), "left")
@@ -99,14 +109,13 @@ def parent_child_days(
     )
 
 
-def nest_children(
-    df: DataFrame, keys: list[str], order_by: list[str], fields: list[str], max_children: int = 1000
+def number_children(
+    df: DataFrame, keys: list[str], order_by: list[str], fields: list[str], name: str = "position"
 ) -> DataFrame:
-    """One row per parent with its children as an ordered list.
+    """One row per child: the parent's keys, the child's place among its siblings (from 1), and the fields.
 
-    A parent with more than max_children children is continued in further rows (part_no 0, 1, ...), so
-    that no list outgrows a task. Children are numbered by their place in sorted files; the group of a
-    large parent is never sorted or collected in one task.
+    Children are numbered by their place in sorted files, so neither a list nor a bound on the number of children
+    is needed, and the group of a large parent is never sorted or collected in one task.
     """
     spark = df.sparkSession
     path = fresh_path(spark, "nest")
@@ -115,11 +124,21 @@ def nest_children(
     placed = with_positions(spark.read.schema(flat.schema).parquet(path), "_pos")
     first = placed.groupBy(*[ref(k).alias(f"_{k}") for k in keys]).agg(F.min("_pos").alias("_first"))
     same_parent = [ref(k).eqNullSafe(ref(f"_{k}")) for k in keys]
-    part = F.floor((F.col("_pos") - F.col("_first")) / max_children).cast("int")
-    child = F.struct(F.col("_pos"), *[ref(f) for f in fields])
+    place = (F.col("_pos") - F.col("_first") + 1).alias(name)
+    return placed.join(first, same_parent).select(*[ref(k) for k in keys], place, *[ref(f) for f in fields if f not in keys])
+
+
+def nest_children(df: DataFrame, keys: list[str], order_by: list[str], fields: list[str], part_size: int) -> DataFrame:
+    """The rows of `number_children` as ordered lists of at most part_size children.
+
+    A parent with more children is continued in further rows (part_no 0, 1, ...), so that no list outgrows a
+    task; part_size is the caller's to choose.
+    """
+    children = number_children(df, keys, order_by, fields, "_place")
+    part = F.floor((F.col("_place") - 1) / part_size).cast("int")
+    child = F.struct(F.col("_place"), *[ref(f) for f in fields])
     return (
-        placed.join(first, same_parent)
-        .groupBy(*[ref(k) for k in keys], part.alias("part_no"))
+        children.groupBy(*[ref(k) for k in keys], part.alias("part_no"))
         .agg(F.sort_array(F.collect_list(child)).alias("_sorted"))
         .select(
             *[ref(k) for k in keys],

@@ -9,12 +9,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from histora.spec import ref
+from histora.spec import UNKNOWN_TEXT, ref
 from histora.workspace import fresh_path, materialise
 
 
 class HierarchyTooDeep(ValueError):
-    """The hierarchy has a cycle or more levels than allowed."""
+    """The hierarchy has more levels than the flattened table."""
+
+
+class HierarchyCycle(ValueError):
+    """A node is its own ancestor."""
 
 
 def _clean(edges: DataFrame, child: str, parent: str) -> DataFrame:
@@ -41,56 +45,62 @@ def _with_roots(links: DataFrame) -> DataFrame:
     ).drop("_inner")
 
 
-def _walk(first: DataFrame, step, max_depth: int, name: str) -> DataFrame:
-    """Union of all levels: the first one, then step(rows of the level before that are no leaves)."""
-    spark = first.sparkSession
-    base = fresh_path(spark, name)
-    level, paths = first, []
-    while True:
-        paths.append(f"{base}/depth={len(paths)}")
-        level.write.parquet(paths[-1])
-        inner = spark.read.schema(level.schema).parquet(paths[-1]).filter(F.col("leaf_flag") == "0")
-        if inner.isEmpty():
-            return spark.read.schema(first.schema).parquet(*paths)
-        if len(paths) >= max_depth:
-            raise HierarchyTooDeep(f"rows left after {max_depth} levels: a cycle, or max_depth is too small")
-        level = step(inner)
-
-
-def hierarchy_closure(edges: DataFrame, child: str, parent: str, max_depth: int = 31) -> DataFrame:
+def hierarchy_closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
     """All pairs (ancestor, descendant) with their shortest distance, and whether the ancestor is a root
-    and the descendant a leaf.
+    and the descendant a leaf. A cycle is refused.
 
-    Both flags belong to an edge and travel with the walk, so that only the edges are joined for them,
-    not the far larger closure. In a tree every pair has one path; only where some node has several
-    parents do pairs have to be reduced to one.
+    Both flags belong to an edge and travel with the walk, so that only the edges are joined for them, not the far
+    larger closure. The walk takes one level after the other and ends with the level that adds no new pair, so its
+    depth has no bound. In a tree every pair has one path; only where some node has several parents are the pairs
+    of a level compared with those reached before.
     """
+    spark = edges.sparkSession
     clean = _clean(edges, child, parent)
-    links = materialise(edges.sparkSession, "edges", _with_roots(_with_leaves(clean, "child", "parent")))
+    links = materialise(spark, "edges", _with_roots(_with_leaves(clean, "child", "parent")))
     is_tree = links.groupBy("child").count().filter(F.col("count") > 1).isEmpty()
-    pairs = links.select(
+    level = links.select(
         F.col("parent").alias("ancestor"),
         F.col("child").alias("descendant"),
         F.lit(1).alias("depth"),
         "root_flag",
         "leaf_flag",
     )
-
-    def down(level: DataFrame) -> DataFrame:
-        above = level.select("ancestor", F.col("descendant").alias("parent"), "depth", "root_flag")
-        below = above.join(links.drop("root_flag"), "parent").select(
+    base, paths, below = fresh_path(spark, "closure"), [], links.drop("root_flag")
+    while True:
+        paths.append(f"{base}/depth={len(paths)}")
+        level.write.parquet(paths[-1])
+        stored = spark.read.schema(level.schema).parquet(paths[-1])
+        own = F.col("ancestor") == F.col("descendant")
+        inner, cycle = stored.agg(F.max(F.col("leaf_flag") == "0"), F.max(F.when(own, F.col("ancestor")))).first()
+        if cycle is not None:
+            raise HierarchyCycle(f"{cycle} is its own ancestor")
+        if not inner:
+            return spark.read.schema(level.schema).parquet(*paths)
+        above = stored.filter(F.col("leaf_flag") == "0").select(
+            "ancestor", F.col("descendant").alias("parent"), "depth", "root_flag"
+        )
+        level = above.join(below, "parent").select(
             "ancestor", F.col("child").alias("descendant"), (F.col("depth") + 1).alias("depth"), "root_flag", "leaf_flag"
         )
-        return below if is_tree else below.distinct()
+        if not is_tree:
+            reached = spark.read.schema(stored.schema).parquet(*paths).select("ancestor", "descendant")
+            level = level.distinct().join(reached, ["ancestor", "descendant"], "left_anti")
 
-    walked = _walk(pairs, down, max_depth, "closure")
-    if is_tree:
-        return walked
-    return (
-        walked.groupBy("ancestor", "descendant", "root_flag", "leaf_flag")
-        .agg(F.min("depth").alias("depth"))
-        .select("ancestor", "descendant", "depth", "root_flag", "leaf_flag")
-    )
+
+def _walk(first: DataFrame, step, max_depth: int, name: str) -> DataFrame:
+    """Union of all levels: the first one, then step(rows of the level before that are no leaves)."""
+    spark = first.sparkSession
+    base = fresh_path(spark, name)
+    level, paths = first, []
+    while True:
+        paths.append(f"{base}/depth={len(paths)}")
+        level.write.parquet(paths[-1])
+        inner = spark.read.schema(level.schema).parquet(paths[-1]).filter(F.col("leaf_flag") == "0")
+        if inner.isEmpty():
+            return spark.read.schema(first.schema).parquet(*paths)
+        if len(paths) >= max_depth:
+            raise HierarchyTooDeep(f"rows left after {max_depth} levels: a cycle, or levels is too small")
+        level = step(inner)
 
 
 def hierarchy_flatten(
@@ -105,7 +115,8 @@ def hierarchy_flatten(
     """One row per node and path from a root: level, names joined to a tree vector, code and name per level.
 
     edges: (child, parent, name of the child); roots: (child, name) of the nodes without a parent.
-    A node with several parents gets one row per path.
+    A node with several parents gets one row per path. A missing name shows as '#NA#' in the tree vector. Nodes that no
+    root reaches (orphans, cycles off the roots) come back once each, with nothing but their code.
     """
     links = edges.select(
         ref(child).alias("node"), ref(parent).alias("parent"), ref(name).alias("name")
@@ -132,10 +143,14 @@ def hierarchy_flatten(
         )
 
     walked = _walk(top, down, levels, "flatten")
+    nodes = _clean(edges, child, parent).select(F.explode(F.array("child", "parent")).alias("node")).distinct()
+    lost = nodes.join(walked.select("node").distinct(), "node", "left_anti")
+    nothing = [F.lit(None).cast(walked.schema[c].dataType).alias(c) for c in walked.columns if c != "node"]
+    walked = walked.unionByName(lost.select("node", *nothing))
     out = [
         F.col("node"),
         F.col("level").alias("LevelNumber"),
-        F.array_join(F.transform("path", lambda p: p["name"]), sep).alias("TreeVector"),
+        F.array_join(F.transform("path", lambda p: p["name"]), sep, UNKNOWN_TEXT).alias("TreeVector"),
     ]
     for i in range(levels):
         step = F.get("path", F.lit(i))

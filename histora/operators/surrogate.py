@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from histora.spec import TableSpec, ref
 from histora.workspace import fresh_path
 
-# The per-file offsets are broadcast up to this many files (some 100 bytes each)
-MAX_BROADCAST_FILES = 100_000
 _TIE = "_tie"
 
 
@@ -37,11 +35,9 @@ def with_positions(files: DataFrame, name: str = "position", start: int = 0) ->
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
     per_file = files.select(F.col("_metadata.file_name").alias("_file")).groupBy("_file").count()
-    # One row per written file, so this window stays small
+    # One row per written file: one task sums them up, which holds for some millions of files
     before = F.sum("count").over(Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_file.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
-    if len(files.inputFiles()) <= MAX_BROADCAST_FILES:
-        offsets = F.broadcast(offsets)
     return (
         place.join(offsets, "_file")
         .withColumn(name, F.lit(start) + F.col("_before") + F.col("_row") + 1)

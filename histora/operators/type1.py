@@ -15,9 +15,12 @@ from histora.spec import TableSpec, ref
 
 
 def delta_load(source: DataFrame, delta_column: str, last_value: Any, extra: Column | None = None) -> DataFrame:
-    """Rows of a delivery that are newer than the last loaded value; the filter reaches the scan."""
-    kind = source.schema[delta_column].dataType
-    newer = source if last_value is None else source.filter(ref(delta_column) > F.lit(last_value).cast(kind))
+    """Rows that are newer than the last loaded value; the filter reaches the scan.
+
+    A row without a value can't be known to be old, so it is always loaded.
+    """
+    kind, value = source.schema[delta_column].dataType, ref(delta_column)
+    newer = source if last_value is None else source.filter(value.isNull() | (value > F.lit(last_value).cast(kind)))
     return newer if extra is None else newer.filter(extra)
 
 
@@ -90,8 +93,8 @@ def scd1_delta_upsert(
     now,
     **options,
 ) -> DataFrame:
-    """Load only rows newer than the last loaded value and merge them; nothing is deleted."""
-    stg = staging_full_load(delta_load(source, delta_column, last_value), spec, batch_id)
+    """Load only cleansed rows newer than the last loaded value and merge them; nothing is deleted."""
+    stg = delta_load(staging_full_load(source, spec, batch_id), delta_column, last_value)
     return scd1_merge(dwh, stg, spec, batch_id, now, **options)
 
 

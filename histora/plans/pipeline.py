@@ -3,29 +3,38 @@
 from __future__ import annotations
 
 import fnmatch
-from typing import Any, Callable, Iterable
+from typing import Any, Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from histora.functions.defaults import default_for
 from histora.functions.scalars import whole_seconds
-from histora.operators.checks import check_not_null, require
+from histora.operators.checks import check_constraints, require
 from histora.operators.staging import staging_full_load, with_deletes, with_dummy
 from histora.operators.type1 import delta_load
-from histora.plans.storage import Warehouse
+from histora.plans.storage import ProtectedTable, Warehouse, switch_partition
 from histora.plans.views import register_views
-from histora.spec import BEGINNING, TableSpec
+from histora.sources.delivery import is_shell
+from histora.spec import BEGINNING, TableSpec, ref
 
 STEPS = ("staging", "checks", "history", "views")
 
 
-def stage(source: DataFrame, spec: TableSpec, batch_id: int) -> DataFrame:
+def stage(
+    source: DataFrame, spec: TableSpec, batch_id: int, narrow: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Full load, then the unknown member. The dummy must precede delete detection, or it would be
     found missing and flagged as deleted."""
     stg = staging_full_load(source, spec, batch_id)
+    stg = narrow(stg) if narrow else stg
     return with_dummy(stg, spec, batch_id) if spec.dummy else stg
 
 
+class NothingDelivered(ValueError):
+    """Delete detection on a source that has not been delivered would delete every member."""
+
+
 def _stage_and_check(
     source: DataFrame | None,
     warehouse: Warehouse,
@@ -33,24 +42,30 @@ def _stage_and_check(
     steps: set[str],
     with_gone: bool = False,
     merging: bool = True,
+    detect: bool = False,
+    allow_shell: bool = False,
+    narrow: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write the staged snapshot and check it.
 
-    NOT NULL is checked on the snapshot as computed, not as written: there Catalyst knows that a
-    cleansed column cannot be null, so the check reads nothing. A merge checks the business key itself.
+    Rows are checked as computed, not as written: there Catalyst knows that a cleansed column cannot be null. A merge
+    checks the business key itself. narrow: what to leave of the cleansed rows.
     """
-    spec, prior = warehouse.spec, warehouse.last_batch(before=batch_id)
-    computed = "staging" in steps
+    spec = warehouse.spec
+    warehouse.open_for(batch_id)
+    prior, computed = warehouse.last_batch(before=batch_id), "staging" in steps
     if computed:
-        stg = stage(source, spec, batch_id)
+        if detect and not allow_shell and prior is not None and is_shell(source):
+            raise NothingDelivered(f"{spec.name}: nothing delivered for batch {batch_id}")
+        stg = stage(source, spec, batch_id, narrow)
         if "checks" in steps:
-            require(check_not_null(stg, spec), f"{spec.name}: null in a mandatory column")
+            require(check_constraints(stg, spec), f"{spec.name}: null in a mandatory column or text too long")
         if with_gone and prior is not None:
             stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
         warehouse.stage(stg, batch_id)
     if "checks" in steps:
         merging = merging and prior is not None and "history" in steps
-        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, nulls=not computed)
+        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, rows=not computed)
 
 
 def run_scd2(
@@ -62,18 +77,22 @@ def run_scd2(
     init_valid_from=BEGINNING,
     steps: Iterable[str] = STEPS,
     stage_deletes: bool = False,
+    allow_shell: bool = False,
     **compare: Any,
 ) -> Warehouse:
     """One batch of a table with history: full load, dummy, delete detection, historization, views.
 
     Members missing from the delivery are found in the historization's own join. With stage_deletes
-    they are first appended to the staged snapshot, which costs one more join.
+    they are first appended to the staged snapshot, which costs one more join. A shell (see
+    `sources.source_or_shell`) is no delivery that members can miss from, unless allow_shell says so.
     """
     spec, steps = warehouse.spec, set(steps)
     now = whole_seconds() if now is None else now
     valid_from = whole_seconds() if valid_from is None else valid_from
     detect = spec.delete_detection
-    _stage_and_check(source, warehouse, batch_id, steps, with_gone=detect and stage_deletes)
+    _stage_and_check(
+        source, warehouse, batch_id, steps, with_gone=detect and stage_deletes, detect=detect, allow_shell=allow_shell
+    )
     if "history" in steps:
         warehouse.historize(
             batch_id, init_valid_from, valid_from, now, detect_deletes=detect and not stage_deletes, **compare
@@ -90,22 +109,49 @@ def run_scd1(
     now=None,
     last_value: Any = None,
     steps: Iterable[str] = STEPS,
+    allow_shell: bool = False,
     **compare: Any,
 ) -> Warehouse:
     """One batch of a table that is updated in place.
 
-    If the contract asks for delta loads, only rows beyond last_value are read (and, if it has one, rows
-    that pass its filter); a delta says nothing about missing members, so none are deleted. The next
-    last_value comes from `type1.next_trigger`.
+    If the contract asks for delta loads, only cleansed rows beyond the stored start value are taken (and, if it has one,
+    rows that pass its filter; rows without a value always are). last_value overrules the stored one. The highest
+    value loaded is stored with the batch. A delta says nothing about missing members, so none are deleted. With
+    delta_type 'overlap' the delta replaces all stored rows from its lowest to its highest value instead of being merged by key.
     """
     spec, steps = warehouse.spec, set(steps)
-    if "staging" in steps and spec.delta_load:
-        extra = F.expr(spec.delta_filter) if spec.delta_filter else None
-        source = delta_load(source, spec.delta_column, last_value, extra)
-    # A delta says nothing about the members it leaves out
-    _stage_and_check(source, warehouse, batch_id, steps, with_gone=spec.delete_detection and not spec.delta_load)
-    if "history" in steps:
-        warehouse.update(batch_id, whole_seconds() if now is None else now, **compare)
+    now = whole_seconds() if now is None else now
+    last = warehouse.delta_value(before=batch_id) if last_value is None else last_value
+
+    def newer(stg: DataFrame) -> DataFrame:
+        return delta_load(stg, spec.delta_column, last, F.expr(spec.delta_filter) if spec.delta_filter else None)
+
+    detect = spec.delete_detection and not spec.delta_load
+    _stage_and_check(
+        source,
+        warehouse,
+        batch_id,
+        steps,
+        with_gone=detect,
+        merging=not (spec.delta_load and spec.delta_type == "overlap"),
+        detect=detect,
+        allow_shell=allow_shell,
+        narrow=newer if spec.delta_load else None,
+    )
+    if "history" in steps and not spec.delta_load:
+        warehouse.update(batch_id, now, **compare)
+    elif "history" in steps:
+        # Neither the unknown member nor a default in the place of a missing value says how far a load has come
+        loaded, column = warehouse.staged(batch_id), next(c for c in spec.columns if c.name == spec.delta_column)
+        if spec.dummy:
+            loaded = loaded.filter(~ref(spec.bk).eqNullSafe(default_for(spec.bk_column)))
+        value = F.when(~ref(column.name).eqNullSafe(default_for(column)), ref(column.name))
+        low, high = loaded.agg(F.min(value), F.max(value)).first()
+        reached = last if high is None else high
+        if spec.delta_type == "overlap" and low is not None and warehouse.last_batch(before=batch_id) is not None:
+            warehouse.replace_range(batch_id, spec.delta_column, low, high, now, stg=loaded, delta_value=reached)
+        else:
+            warehouse.update(batch_id, now, delta_value=reached, **compare)
     if "views" in steps:
         register_views(warehouse.table(), spec)
     return warehouse
@@ -114,8 +160,10 @@ def run_scd1(
 def run_full_reload(
     source: DataFrame | None, warehouse: Warehouse, batch_id: int, now=None, steps: Iterable[str] = STEPS
 ) -> Warehouse:
-    """One batch of a table without history: stage, replace, views."""
+    """One batch of a table without history: stage, replace, views. A protected table is refused before anything is written."""
     spec, steps = warehouse.spec, set(steps)
+    if spec.protect:
+        raise ProtectedTable(spec.name)
     _stage_and_check(source, warehouse, batch_id, steps, merging=False)
     if "history" in steps:
         warehouse.reload(batch_id, whole_seconds() if now is None else now)
@@ -124,6 +172,68 @@ def run_full_reload(
     return warehouse
 
 
+def run_partition_switch(
+    source: DataFrame, spec: TableSpec, path: str, batch_id: int, partition_col: str, steps: Iterable[str] = STEPS
+) -> DataFrame:
+    """One batch of a table kept as partitions: those that occur in the delivery are replaced."""
+    stg = staging_full_load(source, spec, batch_id)
+    if "checks" in set(steps):
+        require(check_constraints(stg, spec), f"{spec.name}: null in a mandatory column or text too long")
+    switch_partition(stg.withColumn("_part", ref(partition_col)), path, ["_part"], spec)
+    return source.sparkSession.read.schema(spec.staging_schema()).parquet(path)
+
+
+def run_early_arriving(
+    child: DataFrame, child_spec: TableSpec, parents: Mapping[str, Warehouse], batch_id: int, valid_from=None, now=None
+) -> list[str]:
+    """Placeholders for the members that a staged child refers to and its parents lack.
+
+    The child's columns name their parents (`early_arrive_parent`). Returns the parents that took part.
+    """
+    wanted: dict[str, list[str]] = {}
+    for c in child_spec.columns:
+        if c.early_arrive_parent:
+            wanted.setdefault(c.early_arrive_parent, []).append(c.name)
+    for name, columns in wanted.items():
+        if name not in parents:
+            raise KeyError(f"{child_spec.name}: no warehouse for parent {name}")
+        parents[name].add_early(
+            batch_id,
+            child,
+            columns,
+            whole_seconds() if valid_from is None else valid_from,
+            whole_seconds() if now is None else now,
+        )
+        register_views(parents[name].table(), parents[name].spec)
+    return list(wanted)
+
+
+def run_table(
+    source: DataFrame,
+    warehouse: Warehouse,
+    batch_id: int,
+    valid_from=None,
+    now=None,
+    init_valid_from=BEGINNING,
+    allow_shell: bool = False,
+    **compare: Any,
+) -> Warehouse:
+    """One batch by the pipeline that the contract asks for.
+
+    table_type 'scd2' keeps history; 'scd1' updates in place; anything else ('reload', 'fact') replaces the table, or, if
+    the contract asks for delta loads, updates it by them. Unknown member and delete detection follow the flags; a
+    protected table is refused where it would be replaced.
+    """
+    kind = warehouse.spec.table_type.lower()
+    if kind == "scd2":
+        return run_scd2(
+            source, warehouse, batch_id, valid_from, now, init_valid_from, allow_shell=allow_shell, **compare
+        )
+    if kind == "scd1" or warehouse.spec.delta_load:
+        return run_scd1(source, warehouse, batch_id, now, allow_shell=allow_shell, **compare)
+    return run_full_reload(source, warehouse, batch_id, now)
+
+
 def run_psa(
     stg: DataFrame,
     warehouse: Warehouse,
@@ -149,9 +259,13 @@ def run_psa(
     return warehouse
 
 
-def run_all(specs: Iterable[TableSpec], run: Callable[[TableSpec], Any], tables: str = "*") -> dict[str, Any]:
+def run_all(
+    specs: Iterable[TableSpec],
+    run: Callable[[TableSpec], Any],
+    tables: str = "*",
+) -> dict[str, Any]:
     """Run the selected tables (a name or pattern). An error stops its own table only and is returned
-    as that table's result."""
+    as that table's result. See `run_contracts` for the pipeline of each contract."""
     results: dict[str, Any] = {}
     for spec in specs:
         if not fnmatch.fnmatchcase(spec.name, tables or "*"):
@@ -161,3 +275,15 @@ def run_all(specs: Iterable[TableSpec], run: Callable[[TableSpec], Any], tables:
         except Exception as error:  # noqa: BLE001 - reported per table
             results[spec.name] = error
     return results
+
+
+def run_contracts(
+    sources: Mapping[str, DataFrame], warehouses: Iterable[Warehouse], batch_id: int, tables: str = "*", **options: Any
+) -> dict[str, Any]:
+    """One batch of every selected table, each by the pipeline of its contract; sources by table name."""
+    by_name = {w.spec.name: w for w in warehouses}
+    return run_all(
+        [w.spec for w in by_name.values()],
+        lambda spec: run_table(sources[spec.name], by_name[spec.name], batch_id, **options),
+        tables,
+    )

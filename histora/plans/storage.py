@@ -1,48 +1,74 @@
 """Where tables are kept: plain parquet folders under the shared folder or any path the cluster reaches.
 
-Plain files know no MERGE. A batch therefore writes a folder of its own and becomes visible by one small
-commit row at the end:
-
-    <base>/staged/batch_id=<n>/                      the staged snapshot
-    <base>/versions/batch_id=<n>/dwh_action=keep     current versions the batch left alone
-    <base>/versions/batch_id=<n>/dwh_action=open     versions the batch opened
-    <base>/versions/batch_id=<n>/dwh_action=close    versions the batch closed
-    <base>/commits/batch_id=<n>/                     one row: the batch it builds on, last surrogate key
-
-Current versions are the keep and open folders of the last batch, history is the close folders of all.
-The current rows are rewritten per batch, history never is. A batch is visible from its commit on, and
-repeating one replaces its own folders only.
+Plain files know no MERGE. Every attempt at a batch therefore writes a folder of its own and becomes visible by one
+small commit row at the end:
+
+    <base>/staged/batch_id=<n>/                                       the staged snapshot
+    <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=keep          current versions the batch left alone
+    <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=open          versions the batch opened
+    <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=close         versions the batch closed
+    <base>/commits/                                                   one row per commit
+
+Of the commit rows of a batch the latest counts. Current versions are the keep and open folders of the last batch,
+history is the close folders of all. A failed attempt leaves the table as it was, and a repeat of the last batch replaces
+it only when it commits. A batch that others build on is refused, unless the later ones are taken back by `rewind`.
+
+The current rows are rewritten per batch, history never is. Once a batch commits, folders that only serve older
+states go: staged, keep and open folders of all but the last `retain` batches, and attempts that no commit names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
+from dataclasses import dataclass
 from functools import reduce
-from typing import Callable, Iterable
+from typing import Any, Callable, Iterable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from histora.functions.scalars import moment
 from histora.operators import history as h
-from histora.operators.checks import check_not_null, check_unique_key, require
+from histora.operators.checks import check_constraints, check_unique_key, require
+from histora.operators.early import placeholders
 from histora.operators.surrogate import with_positions
-from histora.operators.type1 import scd1_merge
+from histora.operators.type1 import scd1_merge, scd1_overlap_replace
 from histora.spec import VALID_FROM, TableSpec, quoted, ref
-from histora.workspace import materialise
+from histora.workspace import exists, materialise, remove, subfolders
 
 UNNUMBERED = "unnumbered"
 _COMMIT = T.StructType(
     [
+        T.StructField("seq", T.LongType(), False),
+        T.StructField("batch_id", T.IntegerType(), False),
+        T.StructField("attempt", T.StringType(), False),
         T.StructField("prior", T.IntegerType(), True),
         T.StructField("max_sid", T.LongType(), False),
-        T.StructField("batch_id", T.IntegerType(), False),
+        T.StructField("delta_value", T.StringType(), True),
+        T.StructField("retired", T.BooleanType(), False),
     ]
 )
 
 
+@dataclass(frozen=True)
+class Commit:
+    """The commit row that counts for a batch. `prior`: the batch it builds on; `delta_value`: where the next delta starts."""
+
+    seq: int
+    batch_id: int
+    attempt: str
+    prior: int | None
+    max_sid: int
+    delta_value: str | None
+    retired: bool
+
+
+class BatchHasSuccessors(ValueError):
+    """Later batches build on the one to be repeated."""
+
+
 class ProtectedTable(PermissionError):
     """The contract forbids replacing this table."""
 
@@ -59,38 +85,58 @@ class Warehouse:
 
     buckets: store the versions in this many buckets of the business key. The merge of the next batch
     then joins the stored side where it lies, and only the staged side is exchanged. The session's
-    catalog holds the bucket layout of a batch folder and may forget it: it is declared anew from the
+    catalog holds the bucket layout of an attempt's folder and may forget it: it is declared anew from the
     folder when missing.
+
+    retain: how many batches stay readable as of their commit, the last one included.
+
+    The commit rows are read once per object and batch; a second writer on the same table is not foreseen.
     """
 
-    def __init__(self, spark: SparkSession, spec: TableSpec, base: str, buckets: int | None = None):
-        self.spark, self.spec, self.base, self.buckets = spark, spec, base.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, spec: TableSpec, base: str, buckets: int | None = None, retain: int = 2):
+        if retain < 1:
+            raise ValueError("the last batch has to stay")
+        self.spark, self.spec, self.base, self.buckets, self.retain = spark, spec, base.rstrip("/"), buckets, retain
+        self._known: list[Commit] | None = None
         self._stored = T.StructType(
             list(spec.warehouse_schema())
-            + [T.StructField("batch_id", T.IntegerType()), T.StructField(h.ACTION, T.StringType())]
+            + [T.StructField(n, T.StringType()) for n in ("attempt", h.ACTION)]
+            + [T.StructField("batch_id", T.IntegerType())]
         )
 
     # reading ------------------------------------------------------------------------------------
-    def commits(self) -> dict[int, tuple[int | None, int]]:
-        """batch -> (batch it builds on, last surrogate key). One row per batch."""
-        try:
-            rows = self.spark.read.schema(_COMMIT).parquet(f"{self.base}/commits").collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return {}
-        return {r["batch_id"]: (r["prior"], r["max_sid"]) for r in rows}
+    def _rows(self) -> list[Commit]:
+        if self._known is None:
+            path = f"{self.base}/commits"
+            rows = self.spark.read.schema(_COMMIT).parquet(path).collect() if exists(self.spark, path) else []
+            self._known = sorted((Commit(**r.asDict()) for r in rows), key=lambda c: c.seq)
+        return self._known
+
+    def commits(self) -> dict[int, Commit]:
+        """batch -> its commit. One row per commit is fetched."""
+        latest = {c.batch_id: c for c in self._rows()}
+        return {b: c for b, c in latest.items() if not c.retired}
+
+    def refresh(self) -> None:
+        """Forget the commit rows read so far."""
+        self._known = None
 
     def last_batch(self, before: int | None = None) -> int | None:
         return max((b for b in self.commits() if before is None or b < before), default=None)
 
+    def delta_value(self, before: int | None = None) -> str | None:
+        """Where the next delta load starts, as text."""
+        batch = self.last_batch(before)
+        return None if batch is None else self.commits()[batch].delta_value
+
     def current(self, batch: int | None = None) -> DataFrame:
         """Current versions (deleted members included) as of a batch, by default the last one."""
         batch = self.last_batch() if batch is None else batch
         if batch is None:
             return h.empty_warehouse(self.spark, self.spec)
+        commit = self.commits()[batch]
         wanted = F.col(h.ACTION).isin(h.KEEP, h.OPEN)
-        stored = self.spark.table(self._declared(batch)) if self.buckets else self._folders([batch])
+        stored = self.spark.table(self._declared(commit)) if self.buckets else self._folders([commit])
         return stored.filter(wanted).select(*self._columns())
 
     def table(self, batch: int | None = None) -> DataFrame:
@@ -101,37 +147,37 @@ class Warehouse:
             return h.empty_warehouse(self.spark, self.spec)
         chain, step = [], batch
         while step is not None:
-            chain.append(step)
-            step = commits[step][0]
+            chain.append(commits[step])
+            step = commits[step].prior
         now = (F.col("batch_id") == batch) & F.col(h.ACTION).isin(h.KEEP, h.OPEN)
         return self._folders(chain).filter((F.col(h.ACTION) == h.CLOSE) | now).select(*self._columns())
 
     def _columns(self) -> list[Column]:
         return [ref(n) for n in self.spec.warehouse_columns()]
 
-    def _folder(self, batch_id: int) -> str:
-        return f"{self.base}/versions/batch_id={batch_id}"
+    def _folder(self, batch_id: int, attempt: str) -> str:
+        return f"{self.base}/versions/batch_id={batch_id}/attempt={attempt}"
 
-    def _folders(self, batches: list[int]) -> DataFrame:
+    def _folders(self, commits: list[Commit]) -> DataFrame:
         reader = self.spark.read.schema(self._stored).option("basePath", f"{self.base}/versions")
-        return reader.parquet(*[self._folder(b) for b in batches])
+        return reader.parquet(*[self._folder(c.batch_id, c.attempt) for c in commits])
 
-    def _declared(self, batch_id: int) -> str:
-        """Name of the catalog table over the folder of a batch."""
-        name = self._name(batch_id)
+    def _declared(self, commit: Commit) -> str:
+        """Name of the catalog table over the folder of an attempt."""
+        name = self._name(commit.batch_id, commit.attempt)
         if not self.spark.catalog.tableExists(name):
-            columns = ", ".join(
-                f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self._stored if f.name != "batch_id"
-            )
+            hidden = ("batch_id", "attempt")
+            columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in self._stored if f.name not in hidden)
             self.spark.sql(
                 f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({h.ACTION}) "
-                f"CLUSTERED BY ({quoted(self.spec.bk)}) INTO {self.buckets} BUCKETS LOCATION '{self._folder(batch_id)}'"
+                f"CLUSTERED BY ({quoted(self.spec.bk)}) INTO {self.buckets} BUCKETS "
+                f"LOCATION '{self._folder(commit.batch_id, commit.attempt)}'"
             )
             self.spark.catalog.recoverPartitions(name)
         return name
 
-    def _name(self, batch_id: int) -> str:
-        place = hashlib.md5(self.base.encode()).hexdigest()[:8]
+    def _name(self, batch_id: int, attempt: str) -> str:
+        place = hashlib.md5(f"{self.base}/{attempt}".encode()).hexdigest()[:8]
         return quoted(f"{self.spec.name}_{place}_{batch_id}".lower())
 
     # writing ------------------------------------------------------------------------------------
@@ -141,18 +187,40 @@ class Warehouse:
     def staged(self, batch_id: int) -> DataFrame:
         return self.spark.read.schema(self.spec.staging_schema()).parquet(f"{self.base}/staged/batch_id={batch_id}")
 
-    def verify(self, stg: DataFrame, key_in_merge: bool = False, nulls: bool = True) -> None:
-        """Refuse a snapshot that breaks NOT NULL or the key.
+    def verify(self, stg: DataFrame, key_in_merge: bool = False, rows: bool = True) -> None:
+        """Refuse a snapshot that breaks NOT NULL, a declared length or the key.
 
         key_in_merge: a merge follows, which refuses repeated business keys itself; a primary key that
-        is just the business key then needs no aggregation of its own.
+        is just the business key then needs no aggregation of its own. rows: check the rows one by one.
         """
-        if nulls:
-            require(check_not_null(stg, self.spec), f"{self.spec.name}: null in a mandatory column")
+        if rows:
+            require(check_constraints(stg, self.spec), f"{self.spec.name}: null in a mandatory column or text too long")
         key = self.spec.pk or [self.spec.bk]
         if not (key_in_merge and key == [self.spec.bk]):
             require(check_unique_key(stg, key), f"{self.spec.name}: key staged twice")
 
+    def open_for(self, batch_id: int) -> None:
+        """Raise unless the batch is a new one or the last one."""
+        later = sorted(b for b in self.commits() if b > batch_id)
+        if later:
+            raise BatchHasSuccessors(f"{self.spec.name}: batches {later} build on what precedes {batch_id}; rewind({batch_id}) takes them back")
+
+    def rewind(self, batch_id: int) -> list[int]:
+        """Take back the commits of all later batches; the table is as it was after `batch_id` again.
+
+        Only the last `retain` batches can be returned to, as older states are not kept.
+        """
+        commits = self.commits()
+        later = sorted((b for b in commits if b > batch_id), reverse=True)
+        if batch_id not in commits:
+            raise ValueError(f"{self.spec.name}: batch {batch_id} has no commit")
+        if batch_id not in sorted(commits)[-self.retain :]:
+            raise ValueError(f"{self.spec.name}: batch {batch_id} is not among the last {self.retain}")
+        for b in later:
+            c = commits[b]
+            self._add(Commit(self._next(), b, c.attempt, c.prior, c.max_sid, c.delta_value, True))
+        return later
+
     def historize(
         self,
         batch_id: int,
@@ -168,88 +236,155 @@ class Warehouse:
         refuse_overlap: raise if a current version starts at valid_from or later; closing it would give
         it an end before its start.
         """
-        commits = self.commits()
-        prior = max((b for b in commits if b < batch_id), default=None)
+        prior = self._prior(batch_id)
         if prior is None:
-            files = self.staged(batch_id) if stg is None else materialise(self.spark, f"{self.spec.name}-first", stg)
-            self._load_all(files, batch_id, init_valid_from, now)
+            self._load_first(stg, batch_id, init_valid_from, now)
             return
         stg = self.staged(batch_id) if stg is None else stg
         if refuse_overlap:
             late = self.current(prior).filter(F.col(VALID_FROM) >= moment(valid_from)).select(ref(self.spec.bk), VALID_FROM)
             require(late, f"{self.spec.name}: versions start at {valid_from} or later")
-        if self.buckets:
-            # The one exchange of the batch: the staged rows move to the buckets of the stored ones
-            stg = stg.repartition(self.buckets, ref(self.spec.bk))
         merged = h.scd2_merge(
-            self.current(prior), stg, self.spec, batch_id, init_valid_from, valid_from, now, **options
+            self.current(prior), self._at_buckets(stg), self.spec, batch_id, init_valid_from, valid_from, now, **options
         )
         part = F.when(F.col(h.ACTION) == h.OPEN, UNNUMBERED).otherwise(F.col(h.ACTION))
-        self._store(merged.withColumn(h.ACTION, part), batch_id, prior, commits[prior][1])
+        self._store(merged.withColumn(h.ACTION, part), batch_id, prior)
 
-    def update(self, batch_id: int, now, stg: DataFrame | None = None, **options) -> None:
-        """Merge a snapshot in place, without history, and commit."""
-        commits = self.commits()
-        prior = max((b for b in commits if b < batch_id), default=None)
+    def update(self, batch_id: int, now, stg: DataFrame | None = None, delta_value: Any = None, **options) -> None:
+        """Merge a snapshot in place, without history, and commit with where the next delta load starts."""
+        prior = self._prior(batch_id)
         if prior is None:
-            files = self.staged(batch_id) if stg is None else materialise(self.spark, f"{self.spec.name}-first", stg)
-            self._load_all(files, batch_id, h.BEGINNING, now)
+            self._load_first(stg, batch_id, h.BEGINNING, now, delta_value)
             return
         stg = self.staged(batch_id) if stg is None else stg
-        if self.buckets:
-            stg = stg.repartition(self.buckets, ref(self.spec.bk))
-        merged = scd1_merge(self.current(prior), stg, self.spec, batch_id, now, **options)
-        part = F.when(ref(self.spec.sid).isNull(), UNNUMBERED).otherwise(h.KEEP)
-        self._store(merged.withColumn(h.ACTION, part), batch_id, prior, commits[prior][1])
+        merged = scd1_merge(self.current(prior), self._at_buckets(stg), self.spec, batch_id, now, **options)
+        self._store(self._to_number(merged), batch_id, prior, delta_value)
 
-    def _store(self, merged: DataFrame, batch_id: int, prior: int, max_sid: int) -> None:
-        """Write a merged batch; only its new versions are read again, to number them."""
-        self._write(merged, batch_id, "overwrite")
-        fresh = self._part(batch_id, UNNUMBERED)
-        if fresh is not None:
-            self._write_open(with_positions(fresh, self.spec.sid, max_sid), batch_id, "append")
-            max_sid += fresh.count()
-        self._commit(batch_id, prior, max_sid)
+    def replace_range(
+        self, batch_id: int, column: str, low: Any, high: Any, now, stg: DataFrame | None = None, delta_value: Any = None
+    ) -> None:
+        """Put a snapshot in the place of the rows whose column lies between low and high (both included), and commit."""
+        prior = self._prior(batch_id)
+        if prior is None:
+            self._load_first(stg, batch_id, h.BEGINNING, now, delta_value)
+            return
+        stg = self.staged(batch_id) if stg is None else stg
+        left = scd1_overlap_replace(self.current(prior), stg, self.spec, column, low, high, batch_id, now)
+        self._store(self._to_number(left), batch_id, prior, delta_value)
+
+    def add_early(self, batch_id: int, child: DataFrame, fk_columns: list[str], valid_from, now) -> None:
+        """Add a placeholder for every key of the child that has no current version here, and commit.
+
+        The next delivery of such a member replaces its placeholder.
+        """
+        prior = self._prior(batch_id)
+        kept = h.empty_warehouse(self.spark, self.spec) if prior is None else self.current(prior)
+        new = placeholders(kept, child, fk_columns, self.spec, batch_id, valid_from, now)
+        self._store(self._to_number(kept.unionByName(new)), batch_id, prior)
 
     def reload(self, batch_id: int, now) -> None:
         """Replace the table by the staged snapshot, without history."""
-        self._load_all(self.staged(batch_id), batch_id, h.BEGINNING, now)
+        if self.spec.protect:
+            raise ProtectedTable(self.spec.name)
+        self.open_for(batch_id)
+        self._load_all(self.staged(batch_id), batch_id, h.BEGINNING, now, None)
+
+    def _prior(self, batch_id: int) -> int | None:
+        self.open_for(batch_id)
+        return self.last_batch(before=batch_id)
+
+    def _at_buckets(self, stg: DataFrame) -> DataFrame:
+        """The one exchange of a bucketed batch: the staged rows move to the buckets of the stored ones."""
+        return stg.repartition(self.buckets, ref(self.spec.bk)) if self.buckets else stg
 
-    def _load_all(self, files: DataFrame, batch_id: int, valid_from, now) -> None:
+    def _to_number(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn(h.ACTION, F.when(ref(self.spec.sid).isNull(), UNNUMBERED).otherwise(h.KEEP))
+
+    def _load_first(self, stg: DataFrame | None, batch_id: int, valid_from, now, delta_value: Any = None) -> None:
+        files = self.staged(batch_id) if stg is None else materialise(self.spark, f"{self.spec.name}-first", stg)
+        self._load_all(files, batch_id, valid_from, now, delta_value)
+
+    def _store(self, merged: DataFrame, batch_id: int, prior: int | None, delta_value: Any = None) -> None:
+        """Write a merged batch; only its new versions are read again, to number them."""
+        attempt, counted = uuid.uuid4().hex, Observation()
+        fresh = F.count(F.when(F.col(h.ACTION) == UNNUMBERED, True)).alias("fresh")
+        self._write(merged.observe(counted, fresh), batch_id, attempt, "overwrite")
+        max_sid = 0 if prior is None else self.commits()[prior].max_sid
+        unnumbered = f"{self._folder(batch_id, attempt)}/{h.ACTION}={UNNUMBERED}"
+        if counted.get["fresh"]:
+            files = self.spark.read.schema(self.spec.warehouse_schema()).parquet(unnumbered)
+            self._write_open(with_positions(files, self.spec.sid, max_sid), batch_id, attempt, "append")
+            remove(self.spark, unnumbered)
+        self._commit(batch_id, attempt, prior, max_sid + counted.get["fresh"], delta_value)
+
+    def _load_all(self, files: DataFrame, batch_id: int, valid_from, now, delta_value: Any) -> None:
         """Every staged row opens a version; it is numbered by its place in the staged files."""
+        attempt, counted = uuid.uuid4().hex, Observation()
         numbered = with_positions(files, self.spec.sid)
         loaded = h.stamp_dwh(numbered, self.spec, valid_from, batch_id, now, keep=[self.spec.sid])
-        self._write_open(loaded, batch_id, "overwrite")
-        self._commit(batch_id, None, files.count())
-
-    def _part(self, batch_id: int, action: str) -> DataFrame | None:
-        path = f"{self._folder(batch_id)}/{h.ACTION}={action}"
-        try:
-            return self.spark.read.schema(self.spec.warehouse_schema()).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
-    def _write_open(self, rows: DataFrame, batch_id: int, mode: str) -> None:
+        self._write_open(loaded.observe(counted, F.count(F.lit(1)).alias("n")), batch_id, attempt, "overwrite")
+        self._commit(batch_id, attempt, None, counted.get["n"], delta_value)
+
+    def _write_open(self, rows: DataFrame, batch_id: int, attempt: str, mode: str) -> None:
         if self.buckets:
             rows = rows.repartition(self.buckets, ref(self.spec.bk))
-        self._write(rows.select(*self._columns(), F.lit(h.OPEN).alias(h.ACTION)), batch_id, mode)
+        self._write(rows.select(*self._columns(), F.lit(h.OPEN).alias(h.ACTION)), batch_id, attempt, mode)
 
-    def _write(self, rows: DataFrame, batch_id: int, mode: str) -> None:
+    def _write(self, rows: DataFrame, batch_id: int, attempt: str, mode: str) -> None:
         writer = rows.write.format("parquet").mode(mode).partitionBy(h.ACTION)
         writer = writer.option("partitionOverwriteMode", "static")
         if self.buckets:
-            writer = writer.bucketBy(self.buckets, self.spec.bk).option("path", self._folder(batch_id))
-            writer.saveAsTable(self._name(batch_id))
+            writer = writer.bucketBy(self.buckets, self.spec.bk).option("path", self._folder(batch_id, attempt))
+            writer.saveAsTable(self._name(batch_id, attempt))
         else:
-            writer.save(self._folder(batch_id))
+            writer.save(self._folder(batch_id, attempt))
+
+    def _next(self) -> int:
+        return max((c.seq for c in self._rows()), default=0) + 1
 
-    def _commit(self, batch_id: int, prior: int | None, max_sid: int) -> None:
+    def _add(self, commit: Commit) -> None:
+        """Add a commit row; rows written before stay as they are."""
         row = self.spark.range(0, 1, 1, 1).select(
-            F.lit(prior).cast("int").alias("prior"), F.lit(max_sid).cast("bigint").alias("max_sid")
+            *[F.lit(getattr(commit, f.name)).cast(f.dataType).alias(f.name) for f in _COMMIT]
         )
-        row.write.mode("overwrite").parquet(f"{self.base}/commits/batch_id={batch_id}")
+        row.write.mode("append").parquet(f"{self.base}/commits")
+        self._rows().append(commit)
+
+    def _commit(self, batch_id: int, attempt: str, prior: int | None, max_sid: int, delta_value: Any = None) -> None:
+        value = None if delta_value is None else str(delta_value)
+        self._add(Commit(self._next(), batch_id, attempt, prior, max_sid, value, False))
+        self._clear(batch_id)
+
+    def _clear(self, batch_id: int) -> None:
+        """Remove what no commit needs: other attempts of the batch, and what only older states are made of."""
+        commits = self.commits()
+        keep = sorted(commits)[-self.retain :]
+        for name in subfolders(self.spark, f"{self.base}/versions/batch_id={batch_id}"):
+            if name != f"attempt={commits[batch_id].attempt}":
+                self._drop(batch_id, name.split("=", 1)[1])
+        chained, step = set(), batch_id
+        while step is not None:
+            chained.add(step)
+            step = commits[step].prior
+        for name in subfolders(self.spark, f"{self.base}/versions"):
+            old = int(name.split("=", 1)[1])
+            if old in keep:
+                continue
+            if old not in chained:
+                for attempt in subfolders(self.spark, f"{self.base}/versions/{name}"):
+                    self._drop(old, attempt.split("=", 1)[1])
+                remove(self.spark, f"{self.base}/versions/{name}")
+                continue
+            for action in (h.KEEP, h.OPEN):
+                remove(self.spark, f"{self._folder(old, commits[old].attempt)}/{h.ACTION}={action}")
+        for name in subfolders(self.spark, f"{self.base}/staged"):
+            if int(name.split("=", 1)[1]) not in keep:
+                remove(self.spark, f"{self.base}/staged/{name}")
+
+    def _drop(self, batch_id: int, attempt: str) -> None:
+        if self.buckets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._name(batch_id, attempt)}")
+        remove(self.spark, self._folder(batch_id, attempt))
 
 
 # Further sinks -----------------------------------------------------------------------------------

@@ -4,11 +4,12 @@ from histora.sources.contracts import (
     read_contracts,
     select_rows,
 )
-from histora.sources.delivery import conform, empty_source, source_or_shell
+from histora.sources.delivery import conform, empty_source, is_shell, source_or_shell
 
 __all__ = [
     "conform",
     "empty_source",
+    "is_shell",
     "load_contract",
     "load_contracts",
     "read_contracts",

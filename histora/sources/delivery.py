@@ -4,14 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import types as T
 
 from histora.functions.scalars import typed_null
 from histora.spec import ContractError, TableSpec, ref
 
 
+_SHELL = "shell"
+
+
 def empty_source(spark: SparkSession, spec: TableSpec) -> DataFrame:
-    """The shell of a source that has not been written yet: typed columns, no rows."""
-    return spark.createDataFrame([], spec.source_schema())
+    """The shell of a source that has not been written yet: typed columns, no rows, and a mark that says so."""
+    marked = [T.StructField(f.name, f.dataType, True, {_SHELL: True}) for f in spec.source_schema()]
+    return spark.createDataFrame([], T.StructType(marked))
+
+
+def is_shell(df: DataFrame) -> bool:
+    """Whether nothing has been delivered, which is not the same as an empty delivery."""
+    return bool(df.schema.fields) and all(f.metadata.get(_SHELL) for f in df.schema)
 
 
 def conform(df: DataFrame, spec: TableSpec, missing: str = "reject") -> DataFrame:
@@ -30,12 +40,12 @@ def conform(df: DataFrame, spec: TableSpec, missing: str = "reject") -> DataFram
     )
 
 
-def source_or_shell(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
-    """The delivery at a path, or the shell if nothing has been delivered there yet."""
+def source_or_shell(spark: SparkSession, spec: TableSpec, path: str, allow_shell: bool = False) -> DataFrame:
+    """The delivery at a path. A path without one raises, or gives the shell if that is asked for."""
     try:
         delivered = spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND" or not allow_shell:
             raise
         return empty_source(spark, spec)
     return conform(delivered, spec)

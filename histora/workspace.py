@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +21,7 @@ def shared_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
     if "root" not in _LOCAL_ROOT:
         _LOCAL_ROOT["root"] = tempfile.mkdtemp(prefix="histora-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOT["root"], ignore_errors=True)
     return _LOCAL_ROOT["root"]
 
 
@@ -32,3 +35,25 @@ def materialise(spark: SparkSession, name: str, df, partition_by: list[str] | No
     path = fresh_path(spark, name)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, place = _path(spark, path)
+    return fs.exists(place)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path; none if it does not exist."""
+    fs, place = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory()] if fs.exists(place) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark keeps it."""
+    fs, place = _path(spark, path)
+    fs.delete(place, True)

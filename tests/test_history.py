@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from histora.operators import history as h
@@ -9,9 +10,10 @@ from histora.operators.checks import check_not_null
 from histora.operators.early import add_early_arriving
 from histora.operators.type1 import scd1_merge
 from histora.plans import pipeline, views
-from histora.plans.storage import Warehouse
+from histora.plans.storage import BatchHasSuccessors, Warehouse
+from histora.sources import source_or_shell
 from histora.spec import ColumnSpec, table
-from histora.workspace import fresh_path
+from histora.workspace import _path, fresh_path, subfolders
 
 INIT = "1900-01-01 00:00:00"
 
@@ -233,6 +235,101 @@ def test_repeating_a_batch_changes_nothing(spark):
             assert state == [("-1", "#NA#", 1, 1), ("a", "x", 0, 1), ("a", "y", 1, 2), ("b", "n", 1, 2)]
 
 
+def run(spark, house, n, *rows_, **options):
+    return pipeline.run_scd2(delivery(spark, *rows_), house, n, f"2024-0{n}-01", f"2024-0{n}-01 01:00:00", INIT, **options)
+
+
+def content(house, batch=None):
+    return sorted(map(str, house.table(batch).collect()))
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_a_failing_repeat_leaves_the_table_as_it_was(spark, buckets):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "repeat"), buckets=buckets)
+    run(spark, house, 1, ("a", "x"))
+    run(spark, house, 2, ("a", "y"), ("b", "n"))
+    before = content(house)
+    with pytest.raises(Exception, match="staged twice"):
+        run(spark, house, 2, ("a", "z"), ("a", "zz"))
+    again = Warehouse(spark, SPEC, house.base, buckets=buckets)
+    assert content(house) == content(again) == before
+    run(spark, again, 2, ("a", "z"), ("c", "n"))
+    assert rows(again.table(), "dim_T_bk", "Name", "dwh_CurrentFlag", "dwh_DeleteFlag") == [
+        ("-1", "#NA#", 1, 0), ("a", "x", 0, 0), ("a", "z", 1, 0), ("c", "n", 1, 0),
+    ]
+    assert len({r[0] for r in again.table().select(SPEC.sid).collect()}) == 4
+    assert len(subfolders(spark, f"{house.base}/versions/batch_id=2")) == 1
+
+
+def test_a_batch_that_others_build_on_is_refused(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "earlier"))
+    for n, name in ((1, "x"), (2, "y"), (3, "z")):
+        run(spark, house, n, ("a", name))
+    before = content(house)
+    with pytest.raises(BatchHasSuccessors, match=r"\[3\]"):
+        run(spark, house, 2, ("a", "other"))
+    assert content(house) == before
+    assert house.rewind(2) == [3]
+    assert rows(Warehouse(spark, SPEC, house.base).current(), "dim_T_bk", "Name") == [("-1", "#NA#"), ("a", "y")]
+    run(spark, house, 3, ("a", "other"))
+    assert rows(house.table(), "dim_T_bk", "Name", "dwh_CurrentFlag") == [
+        ("-1", "#NA#", 1), ("a", "other", 1), ("a", "x", 0), ("a", "y", 0),
+    ]
+    with pytest.raises(ValueError, match="last 2"):
+        house.rewind(1)
+
+
+def size(spark, path):
+    fs, place = _path(spark, path)
+    return fs.getContentSummary(place).getLength()
+
+
+def test_unchanged_batches_do_not_grow_the_table(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "grow"))
+    sizes = []
+    for n in range(1, 7):
+        run(spark, house, n, *[(f"k{i}", "x") for i in range(200)])
+        sizes.append((size(spark, f"{house.base}/versions"), size(spark, f"{house.base}/staged")))
+    for parts in zip(*sizes[-4:], strict=True):  # but for the digits of the batch number
+        assert max(parts) < 1.01 * min(parts)
+    assert not [p for p in subfolders(spark, f"{house.base}/versions/batch_id=6") if "unnumbered" in p]
+
+
+def test_retained_batches_can_still_be_read(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "retain"), retain=3)
+    states = {}
+    for n in range(1, 6):
+        run(spark, house, n, ("a", f"x{n}"), (f"b{n}", "y"))
+        states[n] = content(house)
+    assert all(content(house, n) == states[n] for n in (3, 4, 5))
+
+
+def test_nothing_delivered_is_not_an_empty_delivery(spark, tmp_path):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "late"))
+    run(spark, house, 1, ("a", "x"))
+    before = content(house)
+    with pytest.raises(AnalysisException):
+        source_or_shell(spark, SPEC, str(tmp_path / "mistyped"))
+    shell = source_or_shell(spark, SPEC, str(tmp_path / "mistyped"), allow_shell=True)
+    with pytest.raises(pipeline.NothingDelivered):
+        pipeline.run_scd2(shell, house, 2, "2024-02-01", "2024-02-01")
+    assert content(house) == before
+    pipeline.run_scd2(shell, house, 2, "2024-02-01", "2024-02-01", allow_shell=True)
+    assert rows(house.current(), "dim_T_bk", "dwh_DeleteFlag") == [("-1", 0), ("a", 1)]
+
+
+def test_a_key_that_fills_the_delivery_meets_in_no_task(spark):
+    path = fresh_path(spark, "hot")
+    staged(spark, 2, ("a", "x")).write.parquet(path)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = h.one_row_per_key(spark.read.parquet(path), SPEC)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    partial = plan.index("Partial")
+    assert "WindowGroupLimit" in plan and plan.index("Exchange") < partial
+
+
 def test_empty_deliveries(spark):
     """A source that sends nothing: first an empty table, later every member deleted."""
     house = Warehouse(spark, SPEC, fresh_path(spark, "house"))
@@ -271,12 +368,61 @@ def test_type1_batches(spark):
 
 
 def test_delta_batches(spark):
-    spec = table("dim_T", SPEC.columns, delta_load=True, delta_column="Note", delta_filter="Name <> 'skip'")
+    """The start value is stored with the batch; rows without a value are always loaded."""
+    spec = table("dim_T", SPEC.columns, table_type="scd1", delta_load=True, delta_column="Note", delta_filter="Name <> 'skip'")
     house = Warehouse(spark, spec, fresh_path(spark, "delta"))
-    pipeline.run_scd1(delivery(spark, ("a", "x", "1"), ("b", "y", "2")), house, 1, "2024-01-01")
-    source = delivery(spark, ("a", "changed before", "1"), ("b", "y3", "3"), ("c", "skip", "4"), ("d", "n", "4"))
-    pipeline.run_scd1(source, house, 2, "2024-02-01", last_value="2")
-    assert rows(house.current(), "dim_T_bk", "Name") == [("-1", "#NA#"), ("a", "x"), ("b", "y3"), ("d", "n")]
+    pipeline.run_table(delivery(spark, ("a", "x", "1"), ("b", "y", "2")), house, 1, now="2024-01-01")
+    assert house.delta_value() == "2"
+    source = delivery(spark, ("a", "changed before", "1"), ("b", "y3", "3"), ("c", "skip", "4"), ("d", "n", "4"), ("e", "no value"))
+    pipeline.run_table(source, house, 2, now="2024-02-01")
+    want = [("-1", "#NA#"), ("a", "x"), ("b", "y3"), ("d", "n"), ("e", "no value")]
+    assert rows(house.current(), "dim_T_bk", "Name") == want and house.delta_value() == "4"
+    pipeline.run_table(delivery(spark), house, 3, now="2024-03-01")
+    assert rows(house.current(), "dim_T_bk", "Name") == want and Warehouse(spark, spec, house.base).delta_value() == "4"
+
+
+def test_overlapping_deltas_replace_their_range(spark):
+    spec = table("dim_T", SPEC.columns, table_type="fact", delta_load=True, delta_type="overlap", delta_column="Note", dummy=False)
+    house = Warehouse(spark, spec, fresh_path(spark, "overlap"))
+    pipeline.run_table(delivery(spark, ("a", "x", "1"), ("b", "y", "2"), ("c", "z", "3")), house, 1, now="2024-01-01")
+    pipeline.run_scd1(delivery(spark, ("b", "new", "2"), ("d", "n", "3")), house, 2, "2024-02-01", last_value="1")
+    got = rows(house.table(), "dim_T_bk", "Name", "dim_T_sid", "dwh_BatchRunIdInsert")
+    assert [r[:2] + r[3:] for r in got] == [("a", "x", 1), ("b", "new", 2), ("d", "n", 2)]
+    assert len({r[2] for r in got}) == 3 and min(r[2] for r in got[1:]) > 3 and house.delta_value() == "3"
+
+
+def test_early_members_are_stored_and_replaced(spark):
+    child = table(
+        "fct_C", [ColumnSpec("fct_C_bk", "nvarchar(9)", bk=True), ColumnSpec("dim_T_bk", "nvarchar(20)", early_arrive_parent="dim_T")]
+    )
+    house = Warehouse(spark, SPEC, fresh_path(spark, "early"))
+    run(spark, house, 1, ("a", "x"))
+    facts = spark.createDataFrame([("f1", "a"), ("f2", "late"), ("f3", "late"), ("f4", None)], "fct_C_bk string, dim_T_bk string")
+    assert pipeline.run_early_arriving(facts, child, {"dim_T": house}, 2, "2024-02-01", "2024-02-01") == ["dim_T"]
+    early = rows(house.table(), "dim_T_bk", "Name", "dwh_EarlyArriveFlag", "dwh_EarlyArriveField", SPEC.sid)
+    assert early[2] == ("late", "#NA#", 1, "dim_T_bk", 3)
+    run(spark, house, 3, ("a", "x"), ("late", "here"))
+    assert rows(house.current(), "dim_T_bk", "Name", "dwh_EarlyArriveFlag") == [("-1", "#NA#", 0), ("a", "x", 0), ("late", "here", 0)]
+    with pytest.raises(KeyError, match="dim_T"):
+        pipeline.run_early_arriving(facts, child, {}, 4)
+
+
+def test_each_contract_gets_its_pipeline(spark):
+    kinds = {"dim_H": "scd2", "dim_I": "scd1", "fct_R": "reload"}
+    houses = []
+    for name, kind in kinds.items():
+        spec = table(name, SPEC.columns, table_type=kind, dummy=False)
+        houses.append(Warehouse(spark, spec, fresh_path(spark, name)))
+    for n, rows_ in ((1, [("a", "x"), ("b", "y")]), (2, [("a", "z")])):
+        sources = {name: delivery(spark, *rows_) for name in kinds}
+        got = pipeline.run_contracts(sources, houses, n, valid_from=f"2024-0{n}-01", now=f"2024-0{n}-01")
+        assert all(isinstance(r, Warehouse) for r in got.values())
+    state = {w.spec.name: rows(w.table(), "dim_T_bk", "Name", "dwh_CurrentFlag", "dwh_DeleteFlag") for w in houses}
+    assert state == {
+        "dim_H": [("a", "x", 0, 0), ("a", "z", 1, 0), ("b", "y", 0, 0), ("b", "y", 1, 1)],
+        "dim_I": [("a", "z", 1, 0), ("b", "y", 1, 1)],
+        "fct_R": [("a", "z", 1, 0)],
+    }
 
 
 def test_wide_contract(spark):
@@ -306,7 +452,7 @@ def test_bucketed_storage_gives_the_same_table_without_exchange(spark, forget):
     for n, rows_ in enumerate(batches, 1):
         house = Warehouse(spark, SPEC, base, buckets=3)
         if forget and n > 1:
-            spark.sql(f"DROP TABLE {house._name(n - 1)}")
+            spark.sql(f"DROP TABLE {house._name(n - 1, house.commits()[n - 1].attempt)}")
         for target in (plainly, house):
             pipeline.run_scd2(delivery(spark, *rows_), target, n, f"2024-0{n}-01", f"2024-0{n}-01 01:00:00", INIT)
     names = [n for n in SPEC.warehouse_columns() if n != SPEC.sid]

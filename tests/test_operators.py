@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from histora.functions import scalars as sc
@@ -8,7 +9,7 @@ from histora.functions.calendar import year_month_dim
 from histora.operators import checks, groups, hierarchy, lookup, surrogate
 from histora.plans import pipeline, storage, views
 from histora.plans.storage import Warehouse
-from histora.sources import conform, empty_source, source_or_shell
+from histora.sources import conform, empty_source, is_shell, source_or_shell
 from histora.spec import ColumnSpec, ContractError, table
 from histora.workspace import fresh_path, shared_root
 
@@ -58,7 +59,12 @@ def test_keys_do_not_depend_on_the_time_zone(spark):
 
 def test_sources(spark, tmp_path):
     assert empty_source(spark, SPEC).count() == 0
-    assert source_or_shell(spark, SPEC, str(tmp_path / "none")).schema == SPEC.source_schema()
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        source_or_shell(spark, SPEC, str(tmp_path / "none"))
+    shell = source_or_shell(spark, SPEC, str(tmp_path / "none"), allow_shell=True)
+    assert [(f.name, f.dataType) for f in shell.schema] == [(f.name, f.dataType) for f in SPEC.source_schema()]
+    empty = spark.createDataFrame([], SPEC.source_schema())
+    assert is_shell(shell) and not is_shell(empty) and shell.unionByName(empty).count() == 0
     raw = spark.createDataFrame([(1, "2024-01-01", "p", 0)], ["dim_K_bk", "Day", "dim Person_bk", "extra"])
     assert rows(conform(raw, SPEC)) == [("1", dt.date(2024, 1, 1), "p")]
     with pytest.raises(ContractError, match="Day"):
@@ -110,12 +116,15 @@ def test_copies_of_one_row_are_spread(spark):
     assert placed.agg(F.min("position"), F.max("position"), F.countDistinct("position")).first() == (1, 4000, 4000)
 
 
-def test_many_files_join_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(surrogate, "MAX_BROADCAST_FILES", 0)
+def test_positions_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     path = fresh_path(spark, "pos")
     spark.range(0, 100, 1, 4).write.parquet(path)
-    placed = surrogate.with_positions(spark.read.parquet(path))
-    assert sorted(r.position for r in placed.collect()) == list(range(1, 101))
+    try:
+        placed = surrogate.with_positions(spark.read.parquet(path))
+        assert sorted(r.position for r in placed.collect()) == list(range(1, 101))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_first_last_flags(spark):
@@ -134,6 +143,45 @@ def test_current_of_sequence(spark):
     assert rows(out) == [(1, "0"), (2, "1"), (3, "1"), (4, "0"), (5, "0")]
 
 
+def test_a_sequence_with_an_open_row_has_not_ended(spark):
+    df = spark.createDataFrame(
+        [(1, "a", "2020-01-01", "2020-12-31"), (2, "a", "2021-01-01", None), (3, "b", "2030-01-01", None), (4, "b", "2020-01-01", "2020-12-31")],
+        "id int, k string, f string, t string",
+    )
+    out = groups.current_of_sequence(df, ["k"], "f", "t", "2024-01-01", "id").select("id", "Current_flag")
+    assert rows(out) == [(1, "0"), (2, "1"), (3, "0"), (4, "0")]
+
+
+def test_flags_of_ties_and_missing_order(spark):
+    df = spark.createDataFrame([(1, "g", None), (2, "g", 4), (3, "g", 4), (4, "h", None), (5, "h", None)], "id int, g string, o int")
+    out = groups.first_last_flags(df, "g", "o", "id").select("id", "IsFirst_Flag", "IsLast_Flag")
+    assert rows(out) == [(1, "1", "0"), (2, "0", "0"), (3, "0", "1"), (4, "1", "0"), (5, "0", "1")]
+
+
+def test_many_children_are_numbered_without_a_bound(spark):
+    df = spark.range(1500).select(F.lit(1).alias("k"), (-F.col("id")).alias("o"), F.col("id").alias("v"))
+    got = groups.number_children(df, ["k"], ["o"], ["v"]).collect()
+    assert sorted((r.position, r.v) for r in got) == [(i + 1, 1499 - i) for i in range(1500)]
+    with pytest.raises(TypeError):
+        groups.nest_children(df, ["k"], ["o"], ["v"])
+
+
+def test_plans_of_groups_and_codes(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).select(F.col("id"), (F.col("id") % 7).alias("g"), (F.col("id") % 5).alias("o"))
+        days = df.select("id", "g", F.to_date(F.lit("2024-01-01")).alias("f"), F.to_date(F.lit("2024-02-01")).alias("t"))
+        plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan(groups.first_last_flags(df, "g", "o", "id"))
+        assert "SortAggregate" not in plan(groups.current_of_sequence(days, ["g"], "f", "t", "2024-03-01", "id"))
+        codes = spark.createDataFrame([("A", "alpha"), ("A01", "one")], "code string, name string")
+        assert plan(lookup.code_levels(codes, "code", "name")).count("Exchange hashpartitioning") <= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_parent_child_days(spark):
     parent = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "k int, p date")
     child = spark.createDataFrame([(1, dt.date(2024, 1, 5)), (2, dt.date(2024, 1, 5))], "k int, c date")
@@ -145,7 +193,7 @@ def test_nested_lists_stay_bounded(spark):
     """One parent holds most rows, many of them copies, and some rows have no parent."""
     big = spark.range(500).select(F.lit("big").alias("k"), (F.col("id") % 3).alias("o"), F.lit("same").alias("v"))
     small = spark.createDataFrame([("s", 2, "b"), ("s", 1, "a"), (None, 1, "x")], "k string, o long, v string")
-    out = groups.nest_children(big.unionByName(small), ["k"], ["o"], ["o", "v"], max_children=64)
+    out = groups.nest_children(big.unionByName(small), ["k"], ["o"], ["o", "v"], part_size=64)
     got = out.collect()
     assert max(r.n_children for r in got) == 64 and sum(r.n_children for r in got) == 503
     assert [tuple(c) for r in got if r.k == "s" for c in r.children] == [(1, "a"), (2, "b")]
@@ -163,6 +211,18 @@ def test_lookups(spark):
     assert {r.id: r.StandardValue for r in out.collect()} == {1: 20.0, 2: None, None: None}
 
 
+def test_a_mapping_must_not_multiply_rows(spark):
+    df = spark.createDataFrame([(1, 10.0), (2, 10.0)], "id int, v double")
+    same = spark.createDataFrame([(1, "c1"), (1, "c1"), (None, "c0"), (None, "c9")], "id int, code string")
+    assert {r.id: r.code for r in lookup.map_codes(df, same, {"id": "id"}, "code").collect()} == {1: "c1", 2: "-1"}
+    two = spark.createDataFrame([(1, "c1"), (1, "c2")], "id int, code string")
+    with pytest.raises(Exception, match="several entries for 1"):
+        lookup.map_codes(df, two, {"id": "id"}, "code").collect()
+    factors = spark.createDataFrame([(1, 2.0, 1), (1, 3.0, 1)], "id int, f double, a int")
+    with pytest.raises(Exception, match="several entries for 1"):
+        lookup.recalculate_units(df, factors, ["id"], "v", "f", ["a"]).collect()
+
+
 def test_code_levels(spark):
     codes = spark.createDataFrame([("A", "alpha"), ("A01", "one"), ("A01B", "bee"), ("XX", "odd")], "code string, name string")
     got = {r.code: r for r in lookup.code_levels(codes, "code", "name").collect()}
@@ -186,12 +246,40 @@ def test_closure_of_a_tree_and_of_several_parents(spark):
 
 def test_cycles_are_reported(spark):
     loop = spark.createDataFrame([("b", "a", "B"), ("a", "b", "A")], EDGE)
+    with pytest.raises(hierarchy.HierarchyCycle):
+        hierarchy.hierarchy_closure(loop, "child", "parent")
+    twice = spark.createDataFrame([("b", "a", "B"), ("c", "b", "C"), ("c", "a", "C"), ("a", "c", "A"), ("d", "c", "D")], EDGE)
+    with pytest.raises(hierarchy.HierarchyCycle):
+        hierarchy.hierarchy_closure(twice, "child", "parent")
+
+
+def test_depth_has_no_bound(spark):
+    chain = spark.createDataFrame([(f"n{i + 1:02d}", f"n{i:02d}", "x") for i in range(40)], EDGE).coalesce(1)
+    got = hierarchy.hierarchy_closure(chain, "child", "parent").collect()
+    assert len(got) == 40 * 41 // 2 and max(r.depth for r in got) == 40
+
+
+def test_shortest_distance_where_ways_differ(spark):
+    ways = spark.createDataFrame([("b", "a", ""), ("c", "b", ""), ("d", "c", ""), ("d", "a", ""), ("e", "d", "")], EDGE)
+    got = {(r.ancestor, r.descendant): r.depth for r in hierarchy.hierarchy_closure(ways, "child", "parent").collect()}
+    assert got["a", "d"] == 1 and got["a", "e"] == 2 and got["b", "e"] == 3 and len(got) == 10
+
+
+def test_flatten_keeps_lost_nodes_and_missing_names(spark):
+    edges = spark.createDataFrame(
+        [("b", "a", None), ("c", "b", "C"), ("y", "x", "Y"), ("p", "q", "P"), ("q", "p", "Q")], EDGE
+    )
+    roots = spark.createDataFrame([("a", "A")], "child string, name string")
+    out = hierarchy.hierarchy_flatten(edges, "child", "parent", "name", roots, levels=3)
+    got = {r.node: (r.LevelNumber, r.TreeVector, r.CodeLevel01, r.Level01) for r in out.collect()}
+    lost = (None, None, None, None)
+    assert got == {
+        "a": (0, "A", None, None), "b": (1, "A|#NA#", "b", None), "c": (2, "A|#NA#|C", "b", None),
+        "x": lost, "y": lost, "p": lost, "q": lost,
+    }
+    chain = spark.createDataFrame([("b", "a", "B"), ("c", "b", "C")], EDGE)
     with pytest.raises(hierarchy.HierarchyTooDeep):
-        hierarchy.hierarchy_closure(loop, "child", "parent", max_depth=3)
-    chain = spark.createDataFrame([(f"n{i + 1:02d}", f"n{i:02d}", "x") for i in range(5)], EDGE)
-    assert hierarchy.hierarchy_closure(chain, "child", "parent", max_depth=5).count() == 15
-    with pytest.raises(hierarchy.HierarchyTooDeep):
-        hierarchy.hierarchy_closure(chain, "child", "parent", max_depth=4)
+        hierarchy.hierarchy_flatten(chain, "child", "parent", "name", roots, levels=2)
 
 
 def test_flatten_gives_a_row_per_path(spark):
@@ -245,6 +333,27 @@ def test_full_reload_has_no_history(spark):
     assert views.view_cur(stored, SPEC).count() == 4
 
 
+def test_a_protected_table_is_not_replaced(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "kept"))
+    source = spark.createDataFrame([("a", dt.date(2024, 1, 1), "p")], ["dim_K_bk", "Day", "dim Person_bk"])
+    pipeline.run_full_reload(source, house, 1, "2024-01-01")
+    locked = Warehouse(spark, table("dim_K", SPEC.columns, protect=True, table_type="reload"), house.base)
+    for run in (pipeline.run_full_reload, pipeline.run_table):
+        with pytest.raises(storage.ProtectedTable):
+            run(source.limit(0), locked, 2)
+    assert house.table().count() == 2
+
+
+def test_a_text_that_is_too_long_is_refused(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "long"))
+    source = spark.createDataFrame([("a", dt.date(2024, 1, 1), "far too long")], ["dim_K_bk", "Day", "dim Person_bk"])
+    for spec_type in ("scd2", "reload"):
+        other = Warehouse(spark, table("dim_K", SPEC.columns, table_type=spec_type), house.base)
+        with pytest.raises(checks.ConstraintViolation, match="dim Person_bk"):
+            pipeline.run_table(source, other, 1)
+    assert house.last_batch() is None
+
+
 def test_one_failing_table_does_not_stop_the_others():
     specs = [table(n, [ColumnSpec("k_bk", "int", bk=True)]) for n in ("dim_A", "dim_B", "fct_C")]
 
