@@ -1,11 +1,12 @@
 """Near-duplicate documents by MinHash with sequential Bayesian verification (operator 3).
 
 1. Every text becomes its set of shingles, a MinHash signature and band keys. Equal sets are one node from here on.
-2. Nodes that share a band key are candidates. A first round compares each node with one partner only, the smallest
-   node it shares a key with. What that links needs no more comparing; in a large group of copies it links nearly all.
+2. Nodes that share a band key are candidates. A first round compares each node with one partner only, the node among them that
+   shares most keys with others. What that links needs no more comparing; in a large group of copies it links most.
 3. A second round takes the candidates whose nodes are not linked yet. Keys held by up to `crowd` nodes give their
    pairs. For nodes under fuller keys an exact way finds every pair instead: sets that are similar enough share one of
-   their rarest shingles (prefix filter), so a passage that many texts have in common pairs nobody.
+   their rarest shingles, early enough in both (prefix and positional filter), so neither a passage that many texts have
+   in common nor copies that are edited too much pair anybody.
 4. Candidates are compared batch by batch of their signatures. After m equal values of n, the posterior of their
    similarity (uniform prior) gives the probability that it reaches the threshold; below `miss` the pair is dropped.
 5. Survivors are confirmed on their full sets.
@@ -35,7 +36,7 @@ class WordHashes(dict):
         import xxhash
 
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 500_000:
+        if len(self) < 100_000:
             self[word] = h
         return h
 
@@ -111,8 +112,8 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
         factors, terms = hash_functions(BANDS * ROWS)
         band = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 sizes, nodes, keys, signs = [], [], [], []
                 for text in part.column(1).to_pylist():
                     s = shingle_set(text, width)
@@ -155,14 +156,14 @@ def promising(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float)
 
     def run(batches):
         for batch in batches:
-            a, b = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, total) for c in (2, 3)
-            )
-            alive, equal = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for n, least in steps:
-                equal[alive] += (a[alive, n - BATCH : n] == b[alive, n - BATCH : n]).sum(axis=1)
-                alive = alive[equal[alive] >= least]
-            yield batch.select([0, 1]).take(alive)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                a, b = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint32).reshape(-1, total) for c in (2, 3))
+                alive, equal = np.arange(part.num_rows), np.zeros(part.num_rows, np.int64)
+                for n, least in steps:
+                    equal[alive] += (a[alive, n - BATCH : n] == b[alive, n - BATCH : n]).sum(axis=1)
+                    alive = alive[equal[alive] >= least]
+                yield part.select([0, 1]).take(alive)
 
     sig = nodes.select("node", "sig")
     joined = pairs.join(sig.withColumnsRenamed({"node": "b", "sig": "sb"}), "b")
@@ -196,12 +197,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) else 0
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            for at in range(0, batch.num_rows, 250):
+                part, keep = batch.slice(at, 250), []
+                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
+                    x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                    sizes = len(x) + len(y)
+                    near = 100 * min(len(x), len(y)) >= percent * max(len(x), len(y))
+                    both = len(np.intersect1d(x, y, assume_unique=True)) if near else 0
+                    keep.append(100 * both >= percent * (sizes - both))
+                yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(sets.withColumnsRenamed({"node": "b", "s": "sb"}), "b")
     joined = joined.join(sets.withColumnsRenamed({"node": "a", "s": "sa"}), "a").select("a", "b", "sa", "sb")
@@ -235,16 +239,20 @@ def rare_partners(sets: DataFrame, crowded: DataFrame, percent: int) -> DataFram
 
     rows = sets.join(crowded, "node").select("node", "c", "s").mapInArrow(spread, "node long, c long, n long, x long")
     rows = saved(rows, "crowd")
-    often = rows.groupBy("x").agg(F.count("*").alias("df"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "x"))
-    first = rows.join(often, "x").withColumn("rank", rank)
-    first = first.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)
-    first = saved(first.where("c0 != c1").select("node", "c", "n", "x"), "crowd")
-    a, b = (first.select(*[F.col(k).alias(k + s) for k in ("node", "c", "n")], "x") for s in "12")
+    often = rows.groupBy("x").agg(F.count("*").alias("df"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "x"))
+    first = rows.join(often, "x").withColumn("place", place).select("node", "c", "n", "x", "place")
+    first = saved(first.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1), "crowd")
+    open_ = first.groupBy("x").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("x")
+    first = first.join(open_, "x")
+    a, b = (first.select(*[F.col(k).alias(k + s) for k in ("node", "c", "n", "place")], "x") for s in "12")
+    # of the first member that two sets share, nothing before is shared: so much can follow, and so much is needed
+    most = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
     pairs = a.join(b, "x").where(
         (F.col("node1") < F.col("node2"))
         & (F.col("c1") != F.col("c2"))
         & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2"))
+        & ((100 + percent) * most >= percent * (F.col("n1") + F.col("n2")))
     )
     return pairs.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
 
@@ -256,7 +264,7 @@ def near_duplicates(
     width: int = 5,
     percent: int = 75,
     miss: float = 1e-6,
-    crowd: int = 64,
+    crowd: int = 16,
 ) -> DataFrame:
     """Link documents with 100 * intersection >= percent * union of their shingle sets, and follow the links.
 
@@ -280,10 +288,13 @@ def near_duplicates(
     held = nodes.select("node", F.explode("keys").alias("key"))
     threshold = percent / 100
 
-    # First round: one partner each
-    shared = held.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").select("key", "low")
-    first = held.join(shared, "key").where("node != low")
-    first = first.groupBy("node").agg(F.min("low").alias("a")).select("a", F.col("node").alias("b"))
+    # First round: one partner each, the node that shares most keys with others (an original rather than an edited copy)
+    shared = held.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    held = saved(held.join(shared, "key"), "held")
+    fame = held.groupBy("node").agg(F.sum("n").alias("fame"))
+    famous = held.join(fame, "node").groupBy("key").agg(F.max(F.struct("fame", "node")).alias("top"))
+    first = held.join(famous, "key").where("node != top.node").groupBy("node").agg(F.max("top").alias("top"))
+    first = first.select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct()
     first = saved(promising(first, nodes, threshold, miss), "pairs")
     sets = full_sets(first.select(F.col("a").alias("node")).union(first.select("b")).distinct(), nodes, docs, width)
     sets = saved(sets, "sets")
@@ -291,9 +302,9 @@ def near_duplicates(
     roots = components(links)
 
     # Second round: what is not linked yet
-    known = held.join(roots, "node", "left").select("node", "key", F.coalesce("root", "node").alias("c"))
-    mixed_keys = known.groupBy("key").agg(F.count("*").alias("n"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-    mixed_keys = mixed_keys.where("c0 != c1").select("key", "n")
+    known = held.join(roots, "node", "left").select("node", "key", "n", F.coalesce("root", "node").alias("c"))
+    mixed_keys = known.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
+    mixed_keys = mixed_keys.where("c0 != c1").select("key")
     known = saved(known.join(mixed_keys, "key"), "known")
     few = known.where(F.col("n") <= crowd)
     x, y = (few.select("key", F.col("node").alias(n), F.col("c").alias("c" + n)) for n in "ab")
