@@ -10,6 +10,7 @@ from histora.llm.decontaminate import contaminated
 from histora.llm.hnsw import nearest_neighbours
 from histora.llm.maxent import maxent_scores
 from histora.llm.neardup import near_duplicates
+from histora.llm.oracles import ORACLES
 from histora.llm.packing import pack_documents
 from histora.llm.quality import quality_scores
 from histora.llm.sharding import shard_by_bytes
@@ -71,4 +72,5 @@ QUERIES = {
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_maxent_scoring": op10_maxent_scoring,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
