@@ -48,7 +48,7 @@ class Hashes(dict):
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
         found = word_hash(word), letter_group(word)
-        if len(self) < 300_000:
+        if len(self) < 100_000:
             self[word] = found
         return found
 
@@ -84,30 +84,29 @@ class Vocabulary:
         sums[RARE] = max(1, rare_count)
         # classes without words get next to nothing
         self.start = np.where(sums > 0, np.log(np.maximum(sums, 1) / max(1, total)), -30).astype(np.float32)
-        self.codes: dict[bytes, int] = {}
+        self.codes: Codes | None = None
 
-    def code(self, word: bytes) -> int:
+    def encode(self, words: list[bytes]):
+        """Codes of a text."""
         import numpy as np
 
-        found = self.codes.get(word)
-        if found is None:
-            h, g = word_hash(word), letter_group(word)
-            at = int(np.searchsorted(self.sorted, h))
-            known = at < len(self.sorted) and self.sorted[at] == h
-            found = 1 + int(self.rank[at]) if known else len(self.sorted) + 1 + g
-            if len(self.codes) < 600_000:
-                self.codes[word] = found
-        return found
+        if self.codes is None:
+            self.codes = Codes(self)
+        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
 
-    def encode(self, words: list[bytes]):
-        """Codes of a text, with the end."""
-        import numpy as np
 
-        known = self.codes
-        try:
-            return np.fromiter((known[w] for w in words), np.int64, len(words))
-        except KeyError:
-            return np.fromiter(map(self.code, words), np.int64, len(words))
+class Codes(dict):
+    """Codes of words; those met first are kept."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.ranks = dict(zip(vocabulary.sorted.tolist(), vocabulary.rank.tolist(), strict=True))
+
+    def __missing__(self, word: bytes) -> int:
+        rank = self.ranks.get(word_hash(word))
+        code = 1 + rank if rank is not None else len(self.ranks) + 1 + letter_group(word)
+        if len(self) < 200_000:
+            self[word] = code
+        return code
 
 
 def features(vocabulary: Vocabulary, codes: list):
@@ -128,38 +127,48 @@ def features(vocabulary: Vocabulary, codes: list):
     return all_codes, starts, (1 + one, 1 + NEAR + two, 1 + 2 * NEAR + pair)
 
 
-def log_softmax(weights, rows):
+def exponentials(weights, rows):
+    """exp of the logits of every class; divided by their sum they are the probabilities."""
     import numpy as np
 
-    z = weights[rows[0]]
-    z += weights[rows[1]]
-    z += weights[rows[2]]
+    z = np.take(weights, rows[0], axis=0)
+    z += np.take(weights, rows[1], axis=0)
+    z += np.take(weights, rows[2], axis=0)
     z += weights[0]
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    # far beyond what training reaches, and safe for exp
+    return np.exp(np.clip(z, -60, 60, out=z), out=z)
+
+
+def log_probability(weights, rows, classes):
+    """log P(class) of each place."""
+    import numpy as np
+
+    e = exponentials(weights, rows)
+    return np.log(e[np.arange(len(classes)), classes] / e.sum(axis=1))
 
 
-def descend(weights, squares, seen, rows, classes, rate: float = 0.3) -> None:
-    """One gradient step on a batch, with Adagrad's step sizes; `seen` counts the tokens of each row."""
+def descend(weights, squares, seen, rows, classes, rate: float = 0.6) -> None:
+    """One gradient step on a batch, with Adagrad's step sizes per row; `seen` counts the tokens of each row."""
     import numpy as np
 
-    g = np.exp(log_softmax(weights, rows))
-    g[np.arange(len(classes)), classes] -= 1
+    g = exponentials(weights, rows)
+    g /= g.sum(axis=1, keepdims=True)
     n = len(classes)
+    g[np.arange(n), classes] -= 1
     change = g.sum(axis=0)
-    squares[0] += change**2
-    weights[0] -= rate * change / np.sqrt(squares[0])
+    squares[0] += change @ change
+    weights[0] -= rate / np.sqrt(squares[0]) * change
     seen[0] += n
+    by_class = np.ascontiguousarray(g.T)
     for r in rows:
-        order = np.argsort(r, kind="stable")
+        order = np.argsort(r.astype(np.uint16), kind="stable")
         sorted_rows = r[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
         known = sorted_rows[first]
-        change = np.add.reduceat(g[order], first, axis=0)
-        total = squares[known] + change**2
-        squares[known] = total
-        weights[known] -= rate * change / np.sqrt(total)
+        change = np.add.reduceat(np.take(by_class, order, axis=1), first, axis=1)
+        squares[known] += np.einsum("ij,ij->j", change, change)
+        change *= rate / np.sqrt(squares[known])
+        weights[known] -= change.T
         seen[known] += np.diff(np.append(first, n))
 
 
@@ -179,7 +188,7 @@ def train(texts: DataFrame, vocabulary, start, rounds: int, batch: int):
 
         def run(batches, shared=shared):
             own = shared.value.copy()
-            squares, seen = np.full_like(own, 1.0), np.zeros(ROWS)
+            squares, seen = np.ones(ROWS, np.float32), np.zeros(ROWS)
             for texts in batches:
                 column = texts.column(0)
                 for at in range(0, texts.num_rows, 1000):
@@ -231,7 +240,7 @@ def maxent_scores(
     text_col: str = "text",
     vocabulary: int = 1 << 18,
     rounds: int = 4,
-    batch: int = 2048,
+    batch: int = 4096,
 ) -> DataFrame:
     """log10 probability of every text; learn from all texts with crc32(id) mod 7 other than 2.
 
@@ -276,9 +285,8 @@ def maxent_scores(
                 all_codes, starts, rows = features(voc, codes)
                 classes = voc.classes[all_codes]
                 p = np.empty(len(classes))
-                for b in range(0, len(classes), 8192):
-                    z = log_softmax(w, [r[b : b + 8192] for r in rows])
-                    p[b : b + 8192] = z[np.arange(len(z)), classes[b : b + 8192]]
+                for b in range(0, len(classes), 4096):
+                    p[b : b + 4096] = log_probability(w, [r[b : b + 4096] for r in rows], classes[b : b + 4096])
                 p += voc.share[all_codes]
                 rare_words: list[dict[int, int]] = []
                 for x, c in zip(split, codes, strict=True):

@@ -48,7 +48,8 @@ def test_probabilities_of_one_place_sum_to_one():
     weights = rng.normal(size=(me.ROWS, me.CLASSES)).astype(np.float32)
     weights[0] += voc.start
     _, _, rows = me.features(voc, [np.array([5, 7, 800])])
-    for z in np.exp(me.log_softmax(weights, rows).astype(float)):
+    for z in me.exponentials(weights, rows).astype(float):
+        z /= z.sum()
         known = sum(z[voc.classes[c]] * math.exp(voc.share[c]) for c in range(901))
         others = z[me.RARE] * (sum(rare) + voc.unseen) / voc.rare_total
         assert abs(known + others - 1) < 1e-4
@@ -59,8 +60,8 @@ def test_a_step_goes_down_the_gradient():
     n = 400
     rows = [rng.integers(1, 5, n), rng.integers(5, 9, n), rng.integers(9, 13, n)]
     classes = (rows[0] + rows[1]) % me.CLASSES
-    weights, squares = np.zeros((me.ROWS, me.CLASSES), np.float32), np.ones((me.ROWS, me.CLASSES), np.float32)
-    loss = lambda: -me.log_softmax(weights, rows)[np.arange(n), classes].mean()
+    weights, squares = np.zeros((me.ROWS, me.CLASSES), np.float32), np.ones(me.ROWS, np.float32)
+    loss = lambda: -me.log_probability(weights, rows, classes).mean()
     losses, seen = [loss()], np.zeros(me.ROWS)
     for _ in range(30):
         me.descend(weights, squares, seen, rows, classes)
@@ -74,7 +75,7 @@ def test_what_follows_what_is_learned(spark):
     df = spark.createDataFrame(rows + [(1000, "red apple green pear " * 5), (1001, "pear green apple red " * 5)], "doc_id long, text string")
     by = {r.doc_id: r for r in me.maxent_scores(df).collect()}
     assert by[1000].score > by[1001].score + 3
-    assert sum(r.score for r in by.values()) > 0.8 * sum(r.base_score for r in by.values())
+    assert sum(r.score for r in by.values()) > sum(r.base_score for r in by.values())
 
 
 def test_a_small_vocabulary_joins_the_rest(documents):
