@@ -254,7 +254,7 @@ def nearest_neighbours(
     shard_rows: int = 8192,
     m: int = 12,
     ef_build: int = 48,
-    ef_search: int = 96,
+    ef_search: int = 160,
     block_rows: int = 2048,
 ) -> DataFrame:
     """The k rows of `vectors` nearest to each row of `queries` by cosine, without the query's own id.

@@ -87,7 +87,7 @@ class Model:
             for g in grams_of(word):
                 r = grams.get(g)
                 found += contexts.get(g[:-1], 0.0) if r is None else r
-            if len(self.words) < 1_000_000:
+            if len(self.words) < 300_000:
                 self.words[word] = found
         return found
 
