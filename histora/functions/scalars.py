@@ -13,10 +13,6 @@ def typed_null(data_type: T.DataType | str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-def cast_to(value: Column, data_type: T.DataType | str) -> Column:
-    return value.cast(data_type)
-
-
 def or_default(value: Column, default: Column, data_type: T.DataType | str) -> Column:
     """The value, or the default in the value's type where it is null."""
     return F.coalesce(value, default.cast(data_type))
