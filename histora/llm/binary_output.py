@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +132,6 @@ def write_packed(
     are not read. An empty table writes no rows.
     """
     import numpy as np
-    import pandas as pd
 
     ship(docs.sparkSession)
     file = tokenizer_file or tokenizer_path()
@@ -143,7 +143,7 @@ def write_packed(
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"shard int, sequence int, ids binary, cu_seqlens array<int>, resets binary, doc_ids array<{kind}>, pieces array<int>, starts array<long>"
 
-    def pack(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # an order of its own, whatever order the rows arrive in
         pdf = pdf.assign(order=[zlib.crc32(x) for x in pdf.ids]).sort_values(["doc_id", "piece", "order"], kind="stable", ignore_index=True)
         rows = []

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from heapq import heappop, heappush, heapreplace
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -169,7 +170,6 @@ INDEX = "dim int, shard int, m int, entry int, vectors binary, ids binary, id_en
 def build_index(vectors: DataFrame, keep: int, shard_rows: int, m: int, ef: int) -> DataFrame:
     """The stored index, one row per shard. vectors: id, v (double array), dim; equal vectors share a node with `keep` ids."""
     import numpy as np
-    import pandas as pd
 
     nth = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     few = vectors.withColumn("nth", nth).where(F.col("nth") <= keep)
@@ -177,7 +177,7 @@ def build_index(vectors: DataFrame, keep: int, shard_rows: int, m: int, ef: int)
     shards = -(-nodes.count() // shard_rows) or 1
     nodes = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
 
-    def index(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def index(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.iloc[np.argsort([x[0] for x in pdf.ids], kind="stable")]
         v = np.stack(pdf.v.to_numpy()).astype(np.float64)
         g = Graph(unit_vectors(v), m)
@@ -216,7 +216,6 @@ def load(row) -> tuple:
 def search(index: DataFrame, queries: DataFrame, k: int, ef: int, block_rows: int) -> DataFrame:
     """The k nearest of each query (id, v, dim): query_id, vec_id, score, from every shard, not merged yet."""
     import numpy as np
-    import pandas as pd
 
     shards = index.select("dim", "shard").collect()
     blocks = -(-queries.count() // block_rows) or 1
@@ -224,7 +223,7 @@ def search(index: DataFrame, queries: DataFrame, k: int, ef: int, block_rows: in
     listed = queries.sparkSession.createDataFrame(shards or [(0, 0)], "dim int, shard int")
     asked = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).join(listed, "dim")
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int, float]] = []
         if len(left) and len(right):
             g, v, ids = load(left.iloc[0])

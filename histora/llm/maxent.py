@@ -48,7 +48,7 @@ class Hashes(dict):
 
     def __missing__(self, word: bytes) -> tuple[int, int]:
         found = word_hash(word), letter_group(word)
-        if len(self) < 100_000:
+        if len(self) < 50_000:
             self[word] = found
         return found
 
@@ -104,7 +104,7 @@ class Codes(dict):
     def __missing__(self, word: bytes) -> int:
         rank = self.ranks.get(word_hash(word))
         code = 1 + rank if rank is not None else len(self.ranks) + 1 + letter_group(word)
-        if len(self) < 200_000:
+        if len(self) < 120_000:
             self[word] = code
         return code
 

@@ -20,6 +20,7 @@ import zlib
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -166,7 +167,6 @@ def pack(pieces: DataFrame, key: list[str], capacity: int, length_col: str = "le
     of their own. An empty table gives no rows. Fetched: one number per length, `capacity` at most.
     """
     import numpy as np
-    import pandas as pd
 
     ship(pieces.sparkSession)
     counts = {r[0]: r[1] for r in pieces.groupBy(length_col).agg(F.count("*")).collect()}
@@ -184,7 +184,6 @@ def pack(pieces: DataFrame, key: list[str], capacity: int, length_col: str = "le
         k = at - r[:, 0]
         return pd.DataFrame({"sequence_id": r[:, 2] + k // r[:, 1], "offset": r[:, 3] + k % r[:, 1] * r[:, 4]})
 
-    place.__annotations__ = {}
     placed = F.pandas_udf(place, "sequence_id long, offset long")
 
     # Numbers within a length: within cells, which split a frequent length, and cells within the length.

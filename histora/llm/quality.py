@@ -9,6 +9,7 @@ The machine is fitted by Adagrad on at most `max_rows` labelled rows, chosen by
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -181,13 +182,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str, buckets: int, rank: in
 def scored(docs: DataFrame, model, text_col: str, score_col: str) -> DataFrame:
     """docs with a score between 0 and 1 in one more column."""
     import numpy as np
-    import pandas as pd
 
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     buckets = len(model[1]) - len(STATISTICS) * BINS
 
-    def run(texts):
+    def run(texts: pd.Series) -> pd.Series:
         out = []
         for at in range(0, len(texts), 200):
             found = [features(t, buckets) for t in texts.iloc[at : at + 200]]
@@ -197,7 +197,7 @@ def scored(docs: DataFrame, model, text_col: str, score_col: str) -> DataFrame:
         logit = np.concatenate(out) if out else np.empty(0)
         return pd.Series(1 / (1 + np.exp(-np.clip(logit, -30, 30))), dtype="float64")
 
-    return docs.withColumn(score_col, F.pandas_udf(run, "double", F.PandasUDFType.SCALAR)(F.col(text_col)))
+    return docs.withColumn(score_col, F.pandas_udf(run, "double")(F.col(text_col)))
 
 
 def quality_scores(

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,6 @@ def grams_of(word: str) -> list[str]:
 def lower_order(grams: list[str], counts):
     """P(last letter | letters before) of every gram, by interpolated Kneser-Ney over its own and lower orders."""
     import numpy as np
-    import pandas as pd
 
     t = pd.DataFrame({"g": grams, "n": counts})
     if not len(t) or not t.g.iloc[0]:
@@ -64,7 +64,6 @@ class Model:
     def __init__(self, grams: list[str], shared, counts):
         """shared: P of each gram's last letter in the next lower order; counts: ordinary, toxic."""
         import numpy as np
-        import pandas as pd
 
         t = pd.DataFrame({"g": pd.Series(grams, dtype="object"), "shared": shared, "a": counts[0], "b": counts[1]})
         t["h"] = t.g.str[:-1]
@@ -212,7 +211,6 @@ def toxicity_scores(
     rows come back repeatedly; other columns are not read; an empty table gives no rows.
     """
     import numpy as np
-    import pandas as pd
 
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -224,7 +222,7 @@ def toxicity_scores(
         x = shared.value.figures(texts.tolist())
         return pd.Series(1 / (1 + np.exp(-np.clip(x @ weights[:-1] + weights[-1], -30, 30))), dtype="float64")
 
-    score = F.pandas_udf(run, "double", F.PandasUDFType.SCALAR)(F.col("text"))
+    score = F.pandas_udf(run, "double")(F.col("text"))
     return docs.select(
         F.col("id").alias(id_col),
         F.coalesce(fold("id", 5) == 0, F.lit(True)).alias("held_out"),
