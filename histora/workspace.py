@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOT: dict[str, str] = {}
+_MADE: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,7 +28,8 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path that no other run uses."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
 
 
 def materialise(spark: SparkSession, name: str, df, partition_by: list[str] | None = None):
@@ -57,3 +59,11 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever Spark keeps it."""
     fs, place = _path(spark, path)
     fs.delete(place, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete all paths that this process was given so far; their number. For the end of a job: results still to be read from them go too."""
+    paths = [_MADE.pop() for _ in range(len(_MADE))]
+    for path in paths:
+        remove(spark, path)
+    return len(paths)

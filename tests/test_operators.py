@@ -11,6 +11,7 @@ from histora.plans import pipeline, storage, views
 from histora.plans.storage import Warehouse
 from histora.sources import conform, empty_source, is_shell, source_or_shell
 from histora.spec import ColumnSpec, ContractError, table
+from histora import workspace
 from histora.workspace import fresh_path, shared_root
 
 SPEC = table(
@@ -368,3 +369,11 @@ def test_one_failing_table_does_not_stop_the_others():
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_scratch_can_be_cleared(spark, monkeypatch):
+    monkeypatch.setattr(workspace, "_MADE", [])
+    kept = workspace.materialise(spark, "scratch", spark.range(3))
+    assert kept.count() == 3 and len(workspace._MADE) == 1
+    path = workspace._MADE[0]
+    assert workspace.exists(spark, path) and workspace.clear_scratch(spark) == 1 and not workspace.exists(spark, path)
