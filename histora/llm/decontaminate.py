@@ -17,17 +17,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from histora.llm.common import ascii_words, ship
-from histora.llm.neardup import HASHES
 
 MATCH, MISMATCH, GAP = 2, -1, 1
 
 
+class PlainHashes(dict):
+    """64-bit hashes of words without the punctuation around them; 0 for punctuation only. Those met first are kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        plain = word.strip(b".,;:!?\"'()[]{}*#$%&|")
+        found = xxhash.xxh3_64_intdigest(plain) or 1 if plain else 0
+        if len(self) < 150_000:
+            self[word] = found
+        return found
+
+
+HASHES = PlainHashes()
+
+
 def plain_words(text: str | None):
     """64-bit hashes of the words without punctuation around them; words of punctuation only are left out."""
     import numpy as np
 
-    words = [w.strip(b".,;:!?\"'()[]{}*#$%&|") for w in ascii_words(text)]
-    return np.fromiter((HASHES[w] for w in words if w), np.uint64)
+    words = ascii_words(text)
+    found = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
+    return found[found != 0]
+
+
+class Known:
+    """A set of grams. A table of marks by their lower bits lets few others through to the search."""
+
+    def __init__(self, keys):
+        import numpy as np
+
+        self.keys = keys
+        self.marks = np.zeros(1 << 22, bool)
+        self.marks[keys & (len(self.marks) - 1)] = True
+
+    def places(self, found):
+        """Places in `found` that hold a known gram."""
+        import numpy as np
+
+        at = np.flatnonzero(self.marks[found & (len(self.marks) - 1)])
+        if not len(at):
+            return at
+        near = np.minimum(np.searchsorted(self.keys, found[at]), len(self.keys) - 1)
+        return at[self.keys[near] == found[at]]
 
 
 def grams(words, width: int):
@@ -95,15 +132,17 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
     known = spark.sparkContext.broadcast(every)
 
     def occurrences(batches):
+        held = Known(known.value)
         for batch in batches:
-            counts = np.zeros(len(known.value), np.int64)
-            for text in batch.column(0).to_pylist():
-                found = np.unique(grams(plain_words(text), width))
-                if len(known.value) and len(found):
-                    at = np.minimum(np.searchsorted(known.value, found), len(known.value) - 1)
-                    counts[at[known.value[at] == found]] += 1
+            counts = np.zeros(len(held.keys), np.int64)
+            for at in range(0, batch.num_rows, 1000):
+                for text in batch.column(0).slice(at, 1000).to_pylist():
+                    found = grams(plain_words(text), width)
+                    found = found[held.places(found)]
+                    if len(found):
+                        counts[np.searchsorted(held.keys, np.unique(found))] += 1
             hit = np.flatnonzero(counts)
-            yield pa.RecordBatch.from_arrays([pa.array(known.value[hit]), pa.array(counts[hit])], names=["gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(held.keys[hit]), pa.array(counts[hit])], names=["gram", "n"])
 
     counted = docs.select("text").mapInArrow(occurrences, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     often = dict(counted.toLocalIterator())  # one row per item gram at most
@@ -116,19 +155,18 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
     table = np.array(seeds, np.int64).reshape(-1, 3)
     shared = spark.sparkContext.broadcast((table, words, [k for k, _ in items]))
 
-    def find(text: str | None):
+    def find(held: Known, text: str | None):
         table, words, ids = shared.value
         own = plain_words(text)
         g = grams(own, width)
-        if not len(table) or not len(g):
-            return []
-        low, high = np.searchsorted(table[:, 0], g), np.searchsorted(table[:, 0], g, side="right")
-        hit = np.flatnonzero(high > low)
+        hit = held.places(g)
         if not len(hit):
             return []
+        low = np.searchsorted(table[:, 0], g[hit])
+        high = np.searchsorted(table[:, 0], g[hit], side="right")
         by_item: dict[int, list[tuple[int, int]]] = {}
-        for p in hit.tolist():
-            for s in range(low[p], high[p]):
+        for p, a, b in zip(hit.tolist(), low.tolist(), high.tolist(), strict=True):
+            for s in range(a, b):
                 by_item.setdefault(int(table[s, 1]), []).append((p, int(table[s, 2])))
         out = []
         for i, places in by_item.items():
@@ -150,12 +188,14 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
+        held = Known(np.unique(shared.value[0][:, 0]))
         for batch in batches:
             which, rows = [], []
-            for at, text in enumerate(batch.column(1).to_pylist()):
-                for r in find(text):
-                    which.append(at)
-                    rows.append(r)
+            for start in range(0, batch.num_rows, 1000):
+                for at, text in enumerate(batch.column(1).slice(start, 1000).to_pylist(), start):
+                    for r in find(held, text):
+                        which.append(at)
+                        rows.append(r)
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(which, pa.int64()))]
