@@ -18,6 +18,7 @@ import hashlib
 import hmac
 import re
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,26 +30,36 @@ TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Sra", "Madame", "Mme", "Mademoiselle", "Doña", "Госпожа"),
 }
 
-#: What a text must contain to be looked at: a superset of all patterns below, in Java's syntax.
+_PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "pk-", "xoxb-", "xoxp-")
+_ALL_TITLES = [t for group in TITLES.values() for t in group]
+#: What a text must contain to be looked at: a digit or an @, or the start of a key or a name. A superset of all patterns below, in
+#: Java's syntax; the look-ahead lets the alternatives be tried at few places only.
 MAY_HOLD = (
-    r"@|\d[\d ().-]{6,}\d|\d\.\d|(?i:token|secret|passw|key|pwd)|[0-9a-f]{32}|[0-9A-F]{32}|[A-Z]{2}\d{2} ?[A-Z0-9]{4}|"
-    r"AKIA|ASIA|gh[po]_|[sp]k-|xox[bp]-|"
-    r"\b(?:" + "|".join(t for group in TITLES.values() for t in group) + r")\.? \p{Lu}"
+    "[0-9@]|(?=["
+    + "".join(sorted({x[0] for x in (*_PREFIXES, *_ALL_TITLES)}))
+    + "])(?:"
+    + "|".join(_PREFIXES)
+    + "|(?:"
+    + "|".join(_ALL_TITLES)
+    + r")\.? \p{Lu})"
 )
 
 _NAME = r"[^\W\d_a-zа-яß-ÿ][^\W\d_]+(?:[-'][^\W\d_]+)*"
 PATTERN = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,24}(?![\w-]))"
     r"|(?P<secret>(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|key)\b\s*[:=]\s*[\"']?)(?P<value>[A-Za-z0-9_\-+/]{12,}))"
-    r"|(?P<hex>(?<![\w-])(?=[0-9a-fA-F]*\d)(?=[0-9a-fA-F]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\w-]))"
+    r"|(?P<hex>(?<![\w-])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\w-]))"
     r"|(?P<access>(?<!\w)(?:AKIA|ASIA|ghp_|gho_|sk-|pk-|xoxb-|xoxp-)[A-Za-z0-9]{16,}(?!\w))"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w))"
-    r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w))"
-    r"|(?P<card>(?<![\w.+-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\w|[.,]\d))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w))"
+    r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?\w))"
+    r"|(?P<card>(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-]|\.[0-9]))"
+    r"|(?P<phone>(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?!\w|[.,][0-9]))"
     r"|(?:\b(?P<title>" + "|".join(t for group in TITLES.values() for t in group) + r")\b\.? (?P<first>" + _NAME + r")(?: (?P<last>" + _NAME + r"))?)"
 )
 
+#: So often a surrogate is drawn again. Names and emails grow with the attempts, so only numbers that nearly fill their format end here.
+MOST_ATTEMPTS = 60
+
 # Syllables of made-up names, by script; endings by gender
 SYLLABLES = {
     "latin": "ba be bi bo da de di do fa fe ga ge ka ke ki la le li lo lu ma me mi mo na ne ni no ra re ri ro sa se ta te ti to va ve vi".split(),
@@ -62,6 +73,10 @@ ENDINGS = {
 }
 
 
+def is_digit(c: str) -> bool:
+    return "0" <= c <= "9"
+
+
 class Stream:
     """Numbers drawn from a key and a context, the same ones every time."""
 
@@ -80,7 +95,7 @@ class Stream:
 
     def like(self, c: str) -> str:
         """A character of the same class; others stay."""
-        if c.isdigit():
+        if is_digit(c):
             return str(self.below(10))
         if "a" <= c <= "z":
             return chr(97 + self.below(26))
@@ -113,10 +128,12 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         name, _, domain = entity.partition("@")
         *labels, top = domain.split(".")
         draw = lambda t: "".join(s.like(c) if c.isascii() else chr(97 + s.below(26)) for c in t)
-        return f"{draw(name)}@{'.'.join(map(draw, labels))}.{top}"
+        longer = "".join(chr(97 + s.below(26)) for _ in range(attempt // 8))
+        return f"{draw(name)}{longer}@{'.'.join(map(draw, labels))}.{top}"
     if kind == "ip":
         a, b, *_ = map(int, entity.split("."))
         keep = [a] if a in (10, 127) else [a, b] if (a, b) == (192, 168) or a == 172 and 16 <= b < 32 else []
+        keep = keep if attempt < 16 else []
         drawn = [str(1 + s.below(223)) if i == 0 else str(1 + s.below(254)) for i in range(4 - len(keep))]
         return ".".join([*map(str, keep), *drawn])
     if kind == "card":
@@ -135,7 +152,7 @@ def surrogate(kind: str, entity: str, attempt: int, key: bytes) -> str:
         ending = ENDINGS[way][kind]
         return "".join(parts) + ending[s.below(len(ending))]
     if kind == "access":  # what tells its kind stays
-        known = re.match("AKIA|ASIA|ghp_|gho_|sk-|pk-|xoxb-|xoxp-", entity)[0]
+        known = next(p for p in _PREFIXES if entity.startswith(p))
         return known + "".join(map(s.like, entity[len(known) :]))
     letters = "0123456789abcdef"
     if re.fullmatch(r"[0-9a-f]+", entity):
@@ -152,21 +169,21 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         if m["email"]:
             found.append((m.start(), m.end(), "email", m[0].lower()))
         elif m["value"]:
-            if not m["value"].isalpha():
+            if any(map(is_digit, m["value"])):
                 found.append((m.start("value"), m.end("value"), "secret", m["value"]))
         elif m["hex"]:
             found.append((m.start(), m.end(), "secret", m[0]))
         elif m["access"]:
             found.append((m.start(), m.end(), "access", m[0]))
         elif m["iban"]:
-            if sum(c.isdigit() for c in m[0]) >= 8:
+            if sum(is_digit(c) for c in m[0]) >= 8:
                 found.append((m.start(), m.end(), "iban", m[0].replace(" ", "")))
         elif m["ip"]:
             found.append((m.start(), m.end(), "ip", ".".join(str(int(x)) for x in m[0].split("."))))
         elif m["card"]:
-            found.append((m.start(), m.end(), "card", re.sub(r"\D", "", m[0])))
+            found.append((m.start(), m.end(), "card", "".join(filter(is_digit, m[0]))))
         elif m["phone"]:
-            digits = re.sub(r"\D", "", m[0])
+            digits = "".join(filter(is_digit, m[0]))
             social = re.fullmatch(r"\d{3}-\d{2}-\d{4}", m[0])
             if 8 <= len(digits) <= 15 and (m[0][0] in "+(" or len(digits) >= 10 or social):
                 code = re.match(r"\+\d{1,3}(?=\D)", m[0])
@@ -190,7 +207,7 @@ def written(kind: str, mention: str, new: str) -> str:
             code, _, new = new.rpartition("|")
             keep, rest = code, mention[len(code) :]
         digits = iter(new)
-        return keep + "".join(next(digits) if c.isdigit() else c for c in rest)
+        return keep + "".join(next(digits) if is_digit(c) else c for c in rest)
     if kind == "iban":
         signs = iter(new)
         return "".join(c if c == " " else next(signs) for c in mention)
@@ -212,12 +229,10 @@ def replaced(text: str, new: dict[tuple[str, str], str]) -> tuple[str, int]:
 
 def mapping(entities: DataFrame, key: bytes) -> DataFrame:
     """(kind, entity, new) for distinct (kind, entity): no two entities of a kind share `new`, and none is an entity."""
-    import pandas as pd
-
     def draw(kind: pd.Series, entity: pd.Series, attempt: pd.Series) -> pd.Series:
         return pd.Series([surrogate(k, e, a, key) for k, e, a in zip(kind, entity, attempt, strict=True)], dtype="object")
 
-    drawn = F.pandas_udf(draw, "string", F.PandasUDFType.SCALAR)
+    drawn = F.pandas_udf(draw, "string")
     new = F.col("new")
     rows = entities.withColumn("attempt", F.lit(0)).withColumn("new", drawn("kind", "entity", "attempt"))
     while True:
@@ -229,13 +244,14 @@ def mapping(entities: DataFrame, key: bytes) -> DataFrame:
         held = saved(held.select("kind", "entity", "attempt", "new", clash.alias("clash")), "surrogates")
         if held.where("clash").isEmpty():
             return held.select("kind", "entity", "new")
+        if held.agg(F.max("attempt")).first()[0] >= MOST_ATTEMPTS:
+            raise ValueError("the formats of the data leave too few surrogates that are free")
         rows = held.withColumn("attempt", F.col("attempt") + F.col("clash").cast("int"))
         rows = rows.withColumn("new", F.when(F.col("clash"), drawn("kind", "entity", "attempt")).otherwise(new))
 
 
 def with_surrogates(docs: DataFrame, text_col: str, key: bytes, count_col: str) -> DataFrame:
     """docs with the entities of one text column replaced, and their number in `count_col` (0 for null texts)."""
-    import pandas as pd
     import pyarrow as pa
 
     ship(docs.sparkSession)
@@ -267,7 +283,7 @@ def with_surrogates(docs: DataFrame, text_col: str, key: bytes, count_col: str)
             out.append(replaced(text, known) if known else (text, 0))
         return pd.DataFrame(out, columns=["text", "n"])
 
-    changed = F.pandas_udf(write, "text string, n int", F.PandasUDFType.SCALAR)
+    changed = F.pandas_udf(write, "text string, n int")
     texts = looked.join(by_text.withColumnRenamed("th", th), th, "left")
     texts = texts.withColumn("__changed", changed(F.col(text_col), F.col("__new")))
     texts = texts.withColumns({text_col: F.col("__changed.text"), count_col: F.col("__changed.n")})
