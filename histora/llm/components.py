@@ -11,8 +11,9 @@ from histora.llm.common import saved
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b) that is not a root itself; the root is the smallest reachable node.
 
-    Each step takes one aggregate that combines before its exchange and one join on the same key, so a node with very
-    many links is split like any hot key. Rounds grow with the logarithm of the longest path. Each is stored in the shared folder.
+    Each step takes one aggregate that combines before its exchange and one join on the same key. The aggregate is stored
+    first, so the join has exchanges of its own, and a node with very many links is split like any hot key. Rounds grow
+    with the logarithm of the longest path.
     """
     e = links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     e, before = saved(e.distinct(), "links"), None
@@ -22,10 +23,10 @@ def components(links: DataFrame) -> DataFrame:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = saved(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "links")
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = saved(large, "links")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        low = saved(large.groupBy("a").agg(F.min("b").alias("m")), "links")
         small = large.join(low, "a")
         small = small.select("a", F.col("m").alias("b")).union(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
         e = saved(small.where("a != b").distinct(), "links")

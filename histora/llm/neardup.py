@@ -320,7 +320,8 @@ def near_duplicates(
     # Components carry the smallest id of their documents
     of = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("c"))
     of = saved(of, "components")
-    least = of.groupBy("c").agg(F.min("id").alias("component_id"))
+    # stored first: a join on an exchange of its own can split a large component
+    least = saved(of.groupBy("c").agg(F.min("id").alias("component_id")), "labels")
     of = of.join(least, "c").select("node", "component_id")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return rows.select("id", "th", "n", "node").join(of, "node", "left").select(
