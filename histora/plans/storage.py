@@ -9,19 +9,22 @@ small commit row at the end:
     <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=close         versions the batch closed
     <base>/commits/                                                   one row per commit
 
-Of the commit rows of a batch the latest counts. Current versions are the keep and open folders of the last batch,
-history is the close folders of all. A failed attempt leaves the table as it was, and a repeat of the last batch replaces
-it only when it commits. A batch that others build on is refused, unless the later ones are taken back by `rewind`.
-
-The current rows are rewritten per batch, history never is. Once a batch commits, folders that only serve older
-states go: staged, keep and open folders of all but the last `retain` batches, and attempts that no commit names.
+Of the commit rows of a batch the latest counts. A full batch writes all current rows (keep and open); a batch with history
+writes only what it opens and closes, and names the last full batch as its base. Current versions are then those of the base and
+those opened since, less those closed since; history is the close folders of all batches. A failed attempt leaves the
+table as it was, and a repeat of the last batch replaces it only when it commits. A batch that others build on is refused,
+unless the later ones are taken back by `rewind`.
+
+History is never rewritten, and current rows only by a full batch: the first one, loads without history, bucketed
+tables, `rewrite()`, and every batch that finds `rewrite_after` others since the base. Once a batch commits, folders that only
+serve older states go: staged, keep and open folders that none of the last `retain` batches needs, and attempts that no commit names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any, Callable, Iterable
 
@@ -45,6 +48,7 @@ _COMMIT = T.StructType(
         T.StructField("batch_id", T.IntegerType(), False),
         T.StructField("attempt", T.StringType(), False),
         T.StructField("prior", T.IntegerType(), True),
+        T.StructField("base", T.IntegerType(), False),
         T.StructField("max_sid", T.LongType(), False),
         T.StructField("delta_value", T.StringType(), True),
         T.StructField("retired", T.BooleanType(), False),
@@ -54,12 +58,14 @@ _COMMIT = T.StructType(
 
 @dataclass(frozen=True)
 class Commit:
-    """The commit row that counts for a batch. `prior`: the batch it builds on; `delta_value`: where the next delta starts."""
+    """The commit row that counts for a batch. `prior`: the batch it builds on; `base`: the batch whose folders hold all current
+    rows; `delta_value`: where the next delta load starts."""
 
     seq: int
     batch_id: int
     attempt: str
     prior: int | None
+    base: int
     max_sid: int
     delta_value: str | None
     retired: bool
@@ -90,13 +96,25 @@ class Warehouse:
 
     retain: how many batches stay readable as of their commit, the last one included.
 
-    The commit rows are read once per object and batch; a second writer on the same table is not foreseen.
+    rewrite_after: how many batches with history may follow a full one before the next one is full again. More make a batch
+    cheaper to write, and the current rows dearer to read.
+
+    The commit rows are read once per object; a second writer on the same table is not foreseen.
     """
 
-    def __init__(self, spark: SparkSession, spec: TableSpec, base: str, buckets: int | None = None, retain: int = 2):
+    def __init__(
+        self,
+        spark: SparkSession,
+        spec: TableSpec,
+        base: str,
+        buckets: int | None = None,
+        retain: int = 2,
+        rewrite_after: int = 20,
+    ):
         if retain < 1:
             raise ValueError("the last batch has to stay")
         self.spark, self.spec, self.base, self.buckets, self.retain = spark, spec, base.rstrip("/"), buckets, retain
+        self.rewrite_after = 0 if buckets else rewrite_after
         self._known: list[Commit] | None = None
         self._stored = T.StructType(
             list(spec.warehouse_schema())
@@ -134,10 +152,16 @@ class Warehouse:
         batch = self.last_batch() if batch is None else batch
         if batch is None:
             return h.empty_warehouse(self.spark, self.spec)
-        commit = self.commits()[batch]
-        wanted = F.col(h.ACTION).isin(h.KEEP, h.OPEN)
-        stored = self.spark.table(self._declared(commit)) if self.buckets else self._folders([commit])
-        return stored.filter(wanted).select(*self._columns())
+        if self.buckets:
+            stored = self.spark.table(self._declared(self.commits()[batch]))
+            return stored.filter(F.col(h.ACTION).isin(h.KEEP, h.OPEN)).select(*self._columns())
+        base, *later = self._since_base(batch)
+        live = F.col(h.ACTION).isin(h.KEEP, h.OPEN)
+        rows = self._folders([base, *later]).filter(live)
+        if later:
+            ended = self._folders(later).filter(F.col(h.ACTION) == h.CLOSE).select(ref(self.spec.sid))
+            rows = rows.join(ended, self.spec.sid, "left_anti")
+        return rows.select(*self._columns())
 
     def table(self, batch: int | None = None) -> DataFrame:
         """All versions as of a batch, by default the last one; only the folders needed are read."""
@@ -145,12 +169,21 @@ class Warehouse:
         batch = max(commits, default=None) if batch is None else batch
         if batch is None:
             return h.empty_warehouse(self.spark, self.spec)
-        chain, step = [], batch
+        past = self._folders(self._chain(batch)).filter(F.col(h.ACTION) == h.CLOSE).select(*self._columns())
+        return past.unionByName(self.current(batch))
+
+    def _chain(self, batch: int) -> list[Commit]:
+        """The batch and those it builds on, latest first."""
+        commits, chain, step = self.commits(), [], batch
         while step is not None:
             chain.append(commits[step])
             step = commits[step].prior
-        now = (F.col("batch_id") == batch) & F.col(h.ACTION).isin(h.KEEP, h.OPEN)
-        return self._folders(chain).filter((F.col(h.ACTION) == h.CLOSE) | now).select(*self._columns())
+        return chain
+
+    def _since_base(self, batch: int) -> list[Commit]:
+        """The base of a batch and what was committed on it, up to the batch, in this order."""
+        base = self.commits()[batch].base
+        return [c for c in reversed(self._chain(batch)) if c.batch_id >= base]
 
     def _columns(self) -> list[Column]:
         return [ref(n) for n in self.spec.warehouse_columns()]
@@ -218,7 +251,7 @@ class Warehouse:
             raise ValueError(f"{self.spec.name}: batch {batch_id} is not among the last {self.retain}")
         for b in later:
             c = commits[b]
-            self._add(Commit(self._next(), b, c.attempt, c.prior, c.max_sid, c.delta_value, True))
+            self._add(replace(c, seq=self._next(), retired=True))
         return later
 
     def historize(
@@ -247,8 +280,11 @@ class Warehouse:
         merged = h.scd2_merge(
             self.current(prior), self._at_buckets(stg), self.spec, batch_id, init_valid_from, valid_from, now, **options
         )
+        base = self._base_for(prior)
+        if base is not None:
+            merged = merged.filter(F.col(h.ACTION) != h.KEEP)
         part = F.when(F.col(h.ACTION) == h.OPEN, UNNUMBERED).otherwise(F.col(h.ACTION))
-        self._store(merged.withColumn(h.ACTION, part), batch_id, prior)
+        self._store(merged.withColumn(h.ACTION, part), batch_id, prior, base=base)
 
     def update(self, batch_id: int, now, stg: DataFrame | None = None, delta_value: Any = None, **options) -> None:
         """Merge a snapshot in place, without history, and commit with where the next delta load starts."""
@@ -280,7 +316,21 @@ class Warehouse:
         prior = self._prior(batch_id)
         kept = h.empty_warehouse(self.spark, self.spec) if prior is None else self.current(prior)
         new = placeholders(kept, child, fk_columns, self.spec, batch_id, valid_from, now)
-        self._store(self._to_number(kept.unionByName(new)), batch_id, prior)
+        base = None if prior is None else self._base_for(prior)
+        rows = new if base is not None else kept.unionByName(new)
+        self._store(self._to_number(rows), batch_id, prior, base=base)
+
+    def rewrite(self) -> None:
+        """Store the current rows of the last batch in full, so that later reads need no older folders."""
+        batch = self.last_batch()
+        if batch is None or self.commits()[batch].base == batch:
+            return
+        c, attempt = self.commits()[batch], uuid.uuid4().hex
+        closed = self._folders([c]).filter(F.col(h.ACTION) == h.CLOSE).select(*self._columns(), F.col(h.ACTION))
+        rows = self.current(batch).withColumn(h.ACTION, F.lit(h.KEEP)).unionByName(closed)
+        self._write(rows, batch, attempt, "overwrite")
+        self._add(replace(c, seq=self._next(), attempt=attempt, base=batch))
+        self._clear()
 
     def reload(self, batch_id: int, now) -> None:
         """Replace the table by the staged snapshot, without history."""
@@ -293,6 +343,10 @@ class Warehouse:
         self.open_for(batch_id)
         return self.last_batch(before=batch_id)
 
+    def _base_for(self, prior: int) -> int | None:
+        """The base that a batch after `prior` can build on; None if it has to be full."""
+        return self.commits()[prior].base if len(self._since_base(prior)) <= self.rewrite_after else None
+
     def _at_buckets(self, stg: DataFrame) -> DataFrame:
         """The one exchange of a bucketed batch: the staged rows move to the buckets of the stored ones."""
         return stg.repartition(self.buckets, ref(self.spec.bk)) if self.buckets else stg
@@ -304,7 +358,9 @@ class Warehouse:
         files = self.staged(batch_id) if stg is None else materialise(self.spark, f"{self.spec.name}-first", stg)
         self._load_all(files, batch_id, valid_from, now, delta_value)
 
-    def _store(self, merged: DataFrame, batch_id: int, prior: int | None, delta_value: Any = None) -> None:
+    def _store(
+        self, merged: DataFrame, batch_id: int, prior: int | None, delta_value: Any = None, base: int | None = None
+    ) -> None:
         """Write a merged batch; only its new versions are read again, to number them."""
         attempt, counted = uuid.uuid4().hex, Observation()
         fresh = F.count(F.when(F.col(h.ACTION) == UNNUMBERED, True)).alias("fresh")
@@ -315,7 +371,7 @@ class Warehouse:
             files = self.spark.read.schema(self.spec.warehouse_schema()).parquet(unnumbered)
             self._write_open(with_positions(files, self.spec.sid, max_sid), batch_id, attempt, "append")
             remove(self.spark, unnumbered)
-        self._commit(batch_id, attempt, prior, max_sid + counted.get["fresh"], delta_value)
+        self._commit(batch_id, attempt, prior, max_sid + counted.get["fresh"], delta_value, base)
 
     def _load_all(self, files: DataFrame, batch_id: int, valid_from, now, delta_value: Any) -> None:
         """Every staged row opens a version; it is numbered by its place in the staged files."""
@@ -350,33 +406,31 @@ class Warehouse:
         row.write.mode("append").parquet(f"{self.base}/commits")
         self._rows().append(commit)
 
-    def _commit(self, batch_id: int, attempt: str, prior: int | None, max_sid: int, delta_value: Any = None) -> None:
+    def _commit(
+        self, batch_id: int, attempt: str, prior: int | None, max_sid: int, delta_value: Any = None, base: int | None = None
+    ) -> None:
         value = None if delta_value is None else str(delta_value)
-        self._add(Commit(self._next(), batch_id, attempt, prior, max_sid, value, False))
-        self._clear(batch_id)
+        base = batch_id if base is None else base
+        self._add(Commit(self._next(), batch_id, attempt, prior, base, max_sid, value, False))
+        self._clear()
 
-    def _clear(self, batch_id: int) -> None:
+    def _clear(self) -> None:
         """Remove what no commit needs: other attempts of the batch, and what only older states are made of."""
         commits = self.commits()
         keep = sorted(commits)[-self.retain :]
-        for name in subfolders(self.spark, f"{self.base}/versions/batch_id={batch_id}"):
-            if name != f"attempt={commits[batch_id].attempt}":
-                self._drop(batch_id, name.split("=", 1)[1])
-        chained, step = set(), batch_id
-        while step is not None:
-            chained.add(step)
-            step = commits[step].prior
+        needed = {c.batch_id for b in keep for c in self._since_base(b)}
+        chained = {c.batch_id for b in keep for c in self._chain(b)}
         for name in subfolders(self.spark, f"{self.base}/versions"):
             old = int(name.split("=", 1)[1])
-            if old in keep:
-                continue
+            for attempt in subfolders(self.spark, f"{self.base}/versions/{name}"):
+                attempt = attempt.split("=", 1)[1]
+                if old not in chained or attempt != commits[old].attempt:
+                    self._drop(old, attempt)
+                elif old not in needed:
+                    for action in (h.KEEP, h.OPEN):
+                        remove(self.spark, f"{self._folder(old, attempt)}/{h.ACTION}={action}")
             if old not in chained:
-                for attempt in subfolders(self.spark, f"{self.base}/versions/{name}"):
-                    self._drop(old, attempt.split("=", 1)[1])
                 remove(self.spark, f"{self.base}/versions/{name}")
-                continue
-            for action in (h.KEEP, h.OPEN):
-                remove(self.spark, f"{self._folder(old, commits[old].attempt)}/{h.ACTION}={action}")
         for name in subfolders(self.spark, f"{self.base}/staged"):
             if int(name.split("=", 1)[1]) not in keep:
                 remove(self.spark, f"{self.base}/staged/{name}")

@@ -284,8 +284,9 @@ def size(spark, path):
     return fs.getContentSummary(place).getLength()
 
 
-def test_unchanged_batches_do_not_grow_the_table(spark):
-    house = Warehouse(spark, SPEC, fresh_path(spark, "grow"))
+@pytest.mark.parametrize("after", [0, 20])
+def test_unchanged_batches_do_not_grow_the_table(spark, after):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "grow"), rewrite_after=after)
     sizes = []
     for n in range(1, 7):
         run(spark, house, n, *[(f"k{i}", "x") for i in range(200)])
@@ -295,8 +296,35 @@ def test_unchanged_batches_do_not_grow_the_table(spark):
     assert not [p for p in subfolders(spark, f"{house.base}/versions/batch_id=6") if "unnumbered" in p]
 
 
-def test_retained_batches_can_still_be_read(spark):
-    house = Warehouse(spark, SPEC, fresh_path(spark, "retain"), retain=3)
+def test_a_batch_writes_only_what_it_opens_and_closes(spark):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "deltas"), rewrite_after=3)
+    full = Warehouse(spark, SPEC, fresh_path(spark, "full"), rewrite_after=0)
+    many = [(f"k{i}", "x") for i in range(100)]
+    for n in range(1, 7):
+        for target in (house, full):
+            run(spark, target, n, ("a", f"x{n}"), *many)
+        written = house._folders([house.commits()[n]]).groupBy("dwh_action").count().collect()
+        whole = n in (1, 5)  # the fifth batch finds three others since the base
+        assert {r.dwh_action: r["count"] for r in written} == (
+            {"open": 102} if n == 1 else {"open": 1, "close": 1} | ({"keep": 101} if whole else {})
+        )
+        columns = [c for c in SPEC.warehouse_columns() if c != SPEC.sid]
+        assert rows(house.table(), *columns[:2], "dwh_ValidFrom", "dwh_CurrentFlag") == rows(
+            full.table(), *columns[:2], "dwh_ValidFrom", "dwh_CurrentFlag"
+        )
+        assert house.current().count() == 102 == house.current().select(SPEC.sid).distinct().count()
+    before = content(house)
+    house.rewrite()
+    assert content(house) == content(Warehouse(spark, SPEC, house.base)) == before
+    assert house.commits()[6].base == 6 and house.current(5).count() == 102
+    assert house.rewind(5) == [6]
+    run(spark, house, 6, ("a", "other"), *many)
+    assert rows(house.current(), "dim_T_bk", "Name")[1] == ("a", "other")
+
+
+@pytest.mark.parametrize("after", [0, 20])
+def test_retained_batches_can_still_be_read(spark, after):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "retain"), retain=3, rewrite_after=after)
     states = {}
     for n in range(1, 6):
         run(spark, house, n, ("a", f"x{n}"), (f"b{n}", "y"))
