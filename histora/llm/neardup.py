@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from math import comb
 
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,8 +34,6 @@ class WordHashes(dict):
     """64-bit hashes of words; those met first are kept."""
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         h = xxhash.xxh3_64_intdigest(word)
         if len(self) < 100_000:
             self[word] = h
@@ -104,7 +103,6 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     """docs: id, text, th. Gives id, th, n, node (null for an empty set), keys of the bands and the signature."""
     import numpy as np
     import pyarrow as pa
-    import xxhash
 
     kind = docs.schema["id"].dataType.simpleString()
 
@@ -239,12 +237,12 @@ def rare_partners(sets: DataFrame, crowded: DataFrame, percent: int) -> DataFram
 
     rows = sets.join(crowded, "node").select("node", "c", "s").mapInArrow(spread, "node long, c long, n long, x long")
     rows = saved(rows, "crowd")
-    often = rows.groupBy("x").agg(F.count("*").alias("df"))
+    often = saved(rows.groupBy("x").agg(F.count("*").alias("df")), "often")
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "x"))
     first = rows.join(often, "x").withColumn("place", place).select("node", "c", "n", "x", "place")
     first = saved(first.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1), "crowd")
     open_ = first.groupBy("x").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("x")
-    first = first.join(open_, "x")
+    first = first.join(saved(open_, "open"), "x")
     a, b = (first.select(*[F.col(k).alias(k + s) for k in ("node", "c", "n", "place")], "x") for s in "12")
     # of the first member that two sets share, nothing before is shared: so much can follow, and so much is needed
     most = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
@@ -288,11 +286,12 @@ def near_duplicates(
     held = nodes.select("node", F.explode("keys").alias("key"))
     threshold = percent / 100
 
-    # First round: one partner each, the node that shares most keys with others (an original rather than an edited copy)
-    shared = held.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # First round: one partner each, the node that shares most keys with others (an original rather than an edited copy).
+    # Aggregates by key are stored before they are joined by it: a join with exchanges of its own can split a full key.
+    shared = saved(held.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     held = saved(held.join(shared, "key"), "held")
     fame = held.groupBy("node").agg(F.sum("n").alias("fame"))
-    famous = held.join(fame, "node").groupBy("key").agg(F.max(F.struct("fame", "node")).alias("top"))
+    famous = saved(held.join(fame, "node").groupBy("key").agg(F.max(F.struct("fame", "node")).alias("top")), "famous")
     first = held.join(famous, "key").where("node != top.node").groupBy("node").agg(F.max("top").alias("top"))
     first = first.select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct()
     first = saved(promising(first, nodes, threshold, miss), "pairs")
@@ -304,7 +303,7 @@ def near_duplicates(
     # Second round: what is not linked yet
     known = held.join(roots, "node", "left").select("node", "key", "n", F.coalesce("root", "node").alias("c"))
     mixed_keys = known.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
-    mixed_keys = mixed_keys.where("c0 != c1").select("key")
+    mixed_keys = saved(mixed_keys.where("c0 != c1").select("key"), "mixed")
     known = saved(known.join(mixed_keys, "key"), "known")
     few = known.where(F.col("n") <= crowd)
     x, y = (few.select("key", F.col("node").alias(n), F.col("c").alias("c" + n)) for n in "ab")
@@ -320,7 +319,6 @@ def near_duplicates(
     # Components carry the smallest id of their documents
     of = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("c"))
     of = saved(of, "components")
-    # stored first: a join on an exchange of its own can split a large component
     least = saved(of.groupBy("c").agg(F.min("id").alias("component_id")), "labels")
     of = of.join(least, "c").select("node", "component_id")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
