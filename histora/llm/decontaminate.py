@@ -13,6 +13,7 @@ Documents are never shuffled.
 
 from __future__ import annotations
 
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,8 +26,6 @@ class PlainHashes(dict):
     """64-bit hashes of words without the punctuation around them; 0 for punctuation only. Those met first are kept."""
 
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         plain = word.strip(b".,;:!?\"'()[]{}*#$%&|")
         found = xxhash.xxh3_64_intdigest(plain) or 1 if plain else 0
         if len(self) < 150_000:

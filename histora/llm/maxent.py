@@ -15,6 +15,9 @@ over small batches, and the changes, weighted by how often a task has seen a row
 
 from __future__ import annotations
 
+import zlib
+
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,30 +35,13 @@ END = b"\n"
 
 
 def word_hash(word: bytes) -> int:
-    import xxhash
-
     return xxhash.xxh3_64_intdigest(word) - (1 << 63)
 
 
 def letter_group(word: bytes) -> int:
-    import zlib
-
     return zlib.crc32(word[-2:]) % GROUPS
 
 
-class Hashes(dict):
-    """(hash, letter group) of words."""
-
-    def __missing__(self, word: bytes) -> tuple[int, int]:
-        found = word_hash(word), letter_group(word)
-        if len(self) < 50_000:
-            self[word] = found
-        return found
-
-
-HASHES = Hashes()
-
-
 class Vocabulary:
     """The words of the model by rank, with class, share of the class and feature bucket; rarer words are beyond it.
 
@@ -214,6 +200,7 @@ def train(texts: DataFrame, vocabulary, start, rounds: int, batch: int):
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(h, g, c): hash, letter group and number of each word of the texts."""
+    import numpy as np
     import pyarrow as pa
 
     def run(batches):
@@ -221,14 +208,18 @@ def count_words(texts: DataFrame) -> DataFrame:
         from collections import Counter
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 4000):
-                part = batch.column(0).slice(at, 4000).to_pylist()
+            for at in range(0, batch.num_rows, 3000):
+                part = batch.column(0).slice(at, 3000).to_pylist()
                 counts = Counter(itertools.chain.from_iterable(map(ascii_words, part)))
-                both = list(map(HASHES.__getitem__, counts))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([h for h, _ in both], pa.int64()), pa.array([g for _, g in both], pa.int32()), pa.array(counts.values(), pa.int64())],
-                    names=["h", "g", "c"],
-                )
+                del part
+                n = len(counts)
+                columns = [
+                    np.fromiter(map(word_hash, counts), np.int64, n),
+                    np.fromiter(map(letter_group, counts), np.int32, n),
+                    np.fromiter(counts.values(), np.int64, n),
+                ]
+                del counts
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["h", "g", "c"])
 
     counted = texts.select("text").mapInArrow(run, "h long, g int, c long")
     return counted.groupBy("h").agg(F.max("g").alias("g"), F.sum("c").alias("c"))

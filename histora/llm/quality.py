@@ -10,6 +10,7 @@ The machine is fitted by Adagrad on at most `max_rows` labelled rows, chosen by
 from __future__ import annotations
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,6 @@ STATISTICS = (
 
 class Buckets(dict):
     def __missing__(self, word: bytes) -> int:
-        import xxhash
-
         h = xxhash.xxh3_64_intdigest(word)
         if len(self) < 100_000:
             self[word] = h
