@@ -45,15 +45,24 @@ def check_length(df: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def check_constraints(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Nulls in mandatory columns and texts longer than declared, in one pass."""
+def _constraints(df: DataFrame, spec: TableSpec) -> list[tuple[str, Column]]:
     tests = []
     for f in (f for c in spec.columns for f in c.fields() if f.name in df.columns):
         if not f.nullable:
             tests.append((f.name, ref(f.name).isNull()))
         if f.metadata.get("length"):
             tests.append((f.name, F.coalesce(F.length(ref(f.name)) > f.metadata["length"], F.lit(False))))
-    return _violations(df, spec, tests)
+    return tests
+
+
+def check_constraints(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Nulls in mandatory columns and texts longer than declared, in one pass."""
+    return _violations(df, spec, _constraints(df, spec))
+
+
+def breaks_constraint(df: DataFrame, spec: TableSpec) -> Column:
+    """Whether a row has a null in a mandatory column or a text longer than declared."""
+    return reduce(or_, [test for _, test in _constraints(df, spec)], F.lit(False))
 
 
 def check_unique_key(df: DataFrame, columns: list[str]) -> DataFrame:

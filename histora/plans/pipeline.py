@@ -5,12 +5,12 @@ from __future__ import annotations
 import fnmatch
 from typing import Any, Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from histora.functions.defaults import default_for
 from histora.functions.scalars import whole_seconds
-from histora.operators.checks import check_constraints, require
+from histora.operators.checks import breaks_constraint, check_constraints, require
 from histora.operators.staging import staging_full_load, with_deletes, with_dummy
 from histora.operators.type1 import delta_load
 from histora.plans.storage import ProtectedTable, Warehouse, switch_partition
@@ -48,8 +48,8 @@ def _stage_and_check(
 ) -> None:
     """Write the staged snapshot and check it.
 
-    Rows are checked as computed, not as written: there Catalyst knows that a cleansed column cannot be null. A merge
-    checks the business key itself. narrow: what to leave of the cleansed rows.
+    Rows that break a constraint are counted while the snapshot is written; only if there are any is it read to
+    name them. A merge checks the business key itself. narrow: what to leave of the cleansed rows.
     """
     spec = warehouse.spec
     warehouse.open_for(batch_id)
@@ -58,14 +58,13 @@ def _stage_and_check(
         if detect and not allow_shell and prior is not None and is_shell(source):
             raise NothingDelivered(f"{spec.name}: nothing delivered for batch {batch_id}")
         stg = stage(source, spec, batch_id, narrow)
-        if "checks" in steps:
-            require(check_constraints(stg, spec), f"{spec.name}: null in a mandatory column or text too long")
         if with_gone and prior is not None:
             stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
-        warehouse.stage(stg, batch_id)
+        counted = Observation()
+        warehouse.stage(stg.observe(counted, F.count(F.when(breaks_constraint(stg, spec), True)).alias("bad")), batch_id)
     if "checks" in steps:
         merging = merging and prior is not None and "history" in steps
-        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, rows=not computed)
+        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, rows=not computed or counted.get["bad"] > 0)
 
 
 def run_scd2(
