@@ -14,8 +14,18 @@ from histora.workspace import materialise
 _SHIPPED: set[str] = set()
 
 
+#: Rows of whole texts that Spark hands to Python at a time, where the session has Spark's default
+BATCH_ROWS = "arrow.maxRecordsPerBatch", "10000", "2000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once per application (as `--py-files` would)."""
+    """Give the executors this package, once per application (as `--py-files` would), and keep batches of texts small.
+
+    With Spark's default of 10,000 rows a batch, a worker, its copies and the JVM's buffers hold several times 10,000 texts.
+    """
+    name, usual, rows = BATCH_ROWS
+    if spark.conf.get(f"spark.sql.execution.{name}") == usual:
+        spark.conf.set(f"spark.sql.execution.{name}", rows)
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

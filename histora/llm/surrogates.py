@@ -262,11 +262,12 @@ def with_surrogates(docs: DataFrame, text_col: str, key: bytes, count_col: str)
     def detect(batches):
         for batch in batches:
             which, kinds, names = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                for kind, entity in dict.fromkeys((k, e) for _, _, k, e in mentions(text)):
-                    which.append(i)
-                    kinds.append(kind)
-                    names.append(entity)
+            for at in range(0, batch.num_rows, 500):
+                for i, text in enumerate(batch.column(1).slice(at, 500).to_pylist(), at):
+                    for kind, entity in dict.fromkeys((k, e) for _, _, k, e in mentions(text)):
+                        which.append(i)
+                        kinds.append(kind)
+                        names.append(entity)
             rows = [batch.column(0).take(pa.array(which, pa.int64())), pa.array(kinds, pa.string()), pa.array(names, pa.string())]
             yield pa.RecordBatch.from_arrays(rows, names=["th", "kind", "entity"])
 
