@@ -28,7 +28,7 @@ class PlainHashes(dict):
     def __missing__(self, word: bytes) -> int:
         plain = word.strip(b".,;:!?\"'()[]{}*#$%&|")
         found = xxhash.xxh3_64_intdigest(plain) or 1 if plain else 0
-        if len(self) < 150_000:
+        if len(self) < 60_000:
             self[word] = found
         return found
 

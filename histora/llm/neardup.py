@@ -35,7 +35,7 @@ class WordHashes(dict):
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 100_000:
+        if len(self) < 60_000:
             self[word] = h
         return h
 
