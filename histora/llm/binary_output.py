@@ -76,10 +76,13 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[list[int]]:
     return found
 
 
-def dealt_pieces(docs: DataFrame, capacity: int, path: str, shards: int) -> DataFrame:
-    """docs: id, text. Pieces (shard, doc_id, piece, start, ids as 32-bit numbers)."""
+def dealt_pieces(docs: DataFrame, capacity: int, path: str, shards: int, number: str) -> DataFrame:
+    """docs: id, text. Pieces (shard, doc_id, piece, start, ids in numbers of the given kind)."""
+    import numpy as np
     import pyarrow as pa
 
+    width = np.dtype(number).itemsize
+
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -92,15 +95,15 @@ def dealt_pieces(docs: DataFrame, capacity: int, path: str, shards: int) -> Data
                 part = batch.slice(at, 500)
                 which, where, pieces, starts, ids = [], [], [], [], []
                 for i, data in enumerate(coder.ids([t or "" for t in part.column(1).to_pylist()])):
-                    data += SEPARATOR
-                    n, begin = len(data) // 4, 0
+                    data = np.frombuffer(data + SEPARATOR, "<u4").astype(number).tobytes()
+                    n, begin = len(data) // width, 0
                     for piece in range(-(-n // capacity)):
                         end = min(n, begin + capacity)
                         which.append(i)
                         where.append(zlib.crc32(b"%d %d" % (task, row)) % shards)
                         pieces.append(piece)
                         starts.append(begin)
-                        ids.append(data[4 * begin : 4 * end])
+                        ids.append(data[width * begin : width * end])
                         begin, row = end, row + 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -139,7 +142,8 @@ def write_packed(
     # an id stands for a byte at least, so a shard has at most about shard_tokens ids
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long")).first()[0] or 0
     shards = max(1, -(-size // (3 * shard_tokens)))
-    wide = tokenizer(file).whole.get_vocab_size() > 1 << 16
+    number = "<u4" if tokenizer(file).whole.get_vocab_size() > 1 << 16 else "<u2"
+    width = np.dtype(number).itemsize
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"shard int, sequence int, ids binary, cu_seqlens array<int>, resets binary, doc_ids array<{kind}>, pieces array<int>, starts array<long>"
 
@@ -148,20 +152,20 @@ def write_packed(
         pdf = pdf.assign(order=[zlib.crc32(x) for x in pdf.ids]).sort_values(["doc_id", "piece", "order"], kind="stable", ignore_index=True)
         rows = []
         names, pieces, starts = list(pdf.doc_id), pdf.piece.to_numpy(), pdf.start.to_numpy()
-        for number, members in enumerate(best_fit_decreasing([len(x) // 4 for x in pdf.ids], capacity)):
-            ids = np.frombuffer(b"".join(pdf.ids[i] for i in members), "<u4")
-            ends = np.cumsum([0, *(len(pdf.ids[i]) // 4 for i in members)])
-            full = np.full(capacity, padding, "<u4" if wide else "<u2")
+        for sequence, members in enumerate(best_fit_decreasing([len(x) // width for x in pdf.ids], capacity)):
+            ids = np.frombuffer(b"".join(pdf.ids[i] for i in members), number)
+            ends = np.cumsum([0, *(len(pdf.ids[i]) // width for i in members)])
+            full = np.full(capacity, padding, number)
             full[: len(ids)] = ids
             resets = np.zeros(capacity, bool)
             resets[ends[:-1]] = True
             rows.append(
-                (key[0], number, full.tobytes(), ends.astype(np.int32).tolist(), np.packbits(resets, bitorder="little").tobytes())
+                (key[0], sequence, full.tobytes(), ends.astype(np.int32).tolist(), np.packbits(resets, bitorder="little").tobytes())
                 + ([None if pd.isna(names[i]) else names[i] for i in members], pieces[members].tolist(), starts[members].tolist())
             )
         return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in schema.split(", ")])
 
-    pieces = dealt_pieces(docs, capacity, file, shards)
+    pieces = dealt_pieces(docs, capacity, file, shards, number)
     pieces.groupBy("shard").applyInPandas(pack, schema).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 

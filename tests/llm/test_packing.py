@@ -90,6 +90,13 @@ def test_both_libraries_give_the_same_ids():
     assert coder.ids(texts) == coder.encode(texts)
 
 
+def test_both_libraries_agree_on_every_latin_letter():
+    coder = TextTokenizer(tokenizer_path())
+    forms = ("a {}b c", "a b{} c", "a b{}c d", "a {}1 b", "a ,{}. b", "x {}{} y", "x 1{}2 y", "x .{}{}' y")
+    texts = [f.replace("{}", chr(c)) for c in range(1, 0x250) for f in forms]
+    assert coder.ids(texts) == coder.encode(texts)
+
+
 def check_places(rows, docs, capacity=2048):
     """Every document whole, sequences gapless from 0."""
     from tokenizers import Tokenizer
