@@ -8,7 +8,7 @@
 3. The surrogates are joined back per text and written in the format of each mention: same separators, same case.
 
 Kinds: email, phone or social security number, card (13 to 19 digits; the check digit stays right if it was), IBAN, IPv4, access key, secret (long
-hexadecimal or mixed tokens behind a name such as token or password), and names behind a title (given and family names apart; a title
+hexadecimal tokens, and what is not letters only behind a name such as token or password), and names behind a title (given and family names apart; a title
 tells the gender, letters tell the script).
 """
 
@@ -32,12 +32,18 @@ TITLES = {
 
 _PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "sk-", "pk-", "xoxb-", "xoxp-")
 _ALL_TITLES = [t for group in TITLES.values() for t in group]
-#: What a text must contain to be looked at: a digit or an @, or the start of a key or a name. A superset of all patterns below, in
-#: Java's syntax; the look-ahead lets the alternatives be tried at few places only.
+#: What Python's \s matches, and what its case-insensitive k and s match, in Java's syntax
+_SPACE = r"[\s\x1c-\x1f\x85\p{Z}]*"
+_K, _S = "[kK\u212a]", "[sS\u017f]"
+_NAMED = f"(?:[tT][oO]{_K}[eE][nN]|{_S}[eE][cC][rR][eE][tT]|[pP][aA]{_S}{_S}(?:[wW][oO][rR])?[wW]?[dD]|[pP][wW][dD]|{_K}[eE][yY])"
+#: What a text must contain to be looked at: a digit or an @, a named secret, or the start of a key or a name. A superset of all patterns
+#: below, in Java's syntax; the look-ahead lets the alternatives be tried at few places only. Digits of any script count, also
+#: those that Java does not know yet (Cn).
 MAY_HOLD = (
-    "[0-9@]|(?=["
-    + "".join(sorted({x[0] for x in (*_PREFIXES, *_ALL_TITLES)}))
+    r"[0-9@\p{Nd}\p{Cn}]|(?=["
+    + "".join(sorted({x[0] for x in (*_PREFIXES, *_ALL_TITLES)} | set("tTsS\u017fpPkK\u212a")))
     + "])(?:"
+    + _NAMED + _SPACE + "[:=]" + _SPACE + r"[\"']?[A-Za-z0-9_+/-]{12}|"
     + "|".join(_PREFIXES)
     + "|(?:"
     + "|".join(_ALL_TITLES)
@@ -50,10 +56,10 @@ PATTERN = re.compile(
     r"|(?P<secret>(?i:\b(?:token|secret|password|passwd|pwd|api[_-]?key|key)\b\s*[:=]\s*[\"']?)(?P<value>[A-Za-z0-9_\-+/]{12,}))"
     r"|(?P<hex>(?<![\w-])(?=[0-9a-fA-F]*[0-9])(?=[0-9a-fA-F]*[a-fA-F])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![\w-]))"
     r"|(?P<access>(?<!\w)(?:AKIA|ASIA|ghp_|gho_|sk-|pk-|xoxb-|xoxp-)[A-Za-z0-9]{16,}(?!\w))"
-    r"|(?P<iban>(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w))"
-    r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?!\.?\w))"
-    r"|(?P<card>(?<![\w.+-])(?:[0-9]{13,19}|[0-9]{4}(?P<gap>[ -])[0-9]{4}(?P=gap)[0-9]{4}(?P=gap)[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-]|\.[0-9]))"
-    r"|(?P<phone>(?<![\w.])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,4}(?!\w|[.,][0-9]))"
+    r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,4})?(?!\w))"
+    r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w))"
+    r"|(?P<card>(?<![\w.+-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d))"
+    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\w|[.,]\d))"
     r"|(?:\b(?P<title>" + "|".join(t for group in TITLES.values() for t in group) + r")\b\.? (?P<first>" + _NAME + r")(?: (?P<last>" + _NAME + r"))?)"
 )
 
@@ -74,7 +80,12 @@ ENDINGS = {
 
 
 def is_digit(c: str) -> bool:
-    return "0" <= c <= "9"
+    return "0" <= c <= "9" or c.isdecimal()
+
+
+def plain(text: str) -> str:
+    """The text with the digits of any script as 0 to 9."""
+    return text if text.isascii() else "".join(str(int(c)) if is_digit(c) else c for c in text)
 
 
 class Stream:
@@ -169,7 +180,7 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         if m["email"]:
             found.append((m.start(), m.end(), "email", m[0].lower()))
         elif m["value"]:
-            if any(map(is_digit, m["value"])):
+            if not m["value"].isalpha():
                 found.append((m.start("value"), m.end("value"), "secret", m["value"]))
         elif m["hex"]:
             found.append((m.start(), m.end(), "secret", m[0]))
@@ -177,16 +188,17 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
             found.append((m.start(), m.end(), "access", m[0]))
         elif m["iban"]:
             if sum(is_digit(c) for c in m[0]) >= 8:
-                found.append((m.start(), m.end(), "iban", m[0].replace(" ", "")))
+                found.append((m.start(), m.end(), "iban", plain(m[0].replace(" ", ""))))
         elif m["ip"]:
             found.append((m.start(), m.end(), "ip", ".".join(str(int(x)) for x in m[0].split("."))))
         elif m["card"]:
-            found.append((m.start(), m.end(), "card", "".join(filter(is_digit, m[0]))))
+            found.append((m.start(), m.end(), "card", plain("".join(filter(is_digit, m[0])))))
         elif m["phone"]:
-            digits = "".join(filter(is_digit, m[0]))
-            social = re.fullmatch(r"\d{3}-\d{2}-\d{4}", m[0])
+            number = plain(m[0])
+            digits = "".join(filter(is_digit, number))
+            social = re.fullmatch(r"\d{3}-\d{2}-\d{4}", number)
             if 8 <= len(digits) <= 15 and (m[0][0] in "+(" or len(digits) >= 10 or social):
-                code = re.match(r"\+\d{1,3}(?=\D)", m[0])
+                code = re.match(r"\+\d{1,3}(?=\D)", number)
                 code = code[0] if code else ""
                 found.append((m.start(), m.end(), "phone", f"{code}|{digits[max(0, len(code) - 1):]}"))
         elif m["title"]:
@@ -201,6 +213,9 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
 
 def written(kind: str, mention: str, new: str) -> str:
     """A canonical surrogate in the format of the mention."""
+    if kind in ("card", "phone", "iban", "ip") and not mention.isascii():  # the mention's own digits
+        zero = next(ord(c) - int(c) for c in mention if is_digit(c) and not c.isascii())
+        return written(kind, plain(mention), new).translate({48 + d: zero + d for d in range(10)})
     if kind in ("card", "phone"):
         keep, rest = "", mention
         if kind == "phone":

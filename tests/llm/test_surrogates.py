@@ -82,6 +82,25 @@ def test_the_pattern_of_candidates_is_a_superset(spark, folder, documents):
     assert all(t in hit for t in texts if mentions(t))
 
 
+@pytest.mark.parametrize(
+    "text, entities",
+    [
+        ("password: correct-horse-battery", ["correct-horse-battery"]),
+        ("secret=abcd_efgh/ijkl+mnop", ["abcd_efgh/ijkl+mnop"]),
+        ("API_KEY\u00a0=\u2003'only-letters-here'", ["only-letters-here"]),
+        ("the \u212aey: and-more-words", ["and-more-words"]),
+        ("password: onlylettershere, key = short-one", []),
+        ("+\u0661 (\u0660\u0661\u0667) \u0665\u0665\u0665-\u0667\u0667\u0661\u0663", ["+\u0661 (\u0660\u0661\u0667) \u0665\u0665\u0665-\u0667\u0667\u0661\u0663"]),
+    ],
+)
+def test_secrets_without_digits_and_digits_of_other_scripts(spark, text, entities):
+    assert [text[a:b] for a, b, *_ in mentions(text)] == entities
+    row = replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert row.n_entities == len(entities) and (row.text == text) == (not entities)
+    assert not any(e in row.text for e in entities)
+    assert [c for c in row.text if not c.isalnum()] == [c for c in text if not c.isalnum()]
+
+
 def test_odd_rows(odd_rows):
     rows = replace_pii(odd_rows).collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == sorted(((r.doc_id, r.text) for r in odd_rows.collect()), key=str)
