@@ -7,7 +7,9 @@
    stay different, and one entity has one surrogate in all documents.
 3. The surrogates are joined back per text and written in the format of each mention: same separators, same case.
 
-Kinds: email, phone or social security number, card (13 to 19 digits; the check digit stays right if it was), IBAN, IPv4, access key, secret (long
+Kinds: email, phone (8 to 15 digits behind + or with a bracket; 10 to 15 in groups, which are longer than 4 only behind
+a 0 or as 5 and 5; 10 digits at a stretch, 11 behind a 1, 10 to 12 from a 0;
+ddd-dddd) or social security number, card (13 to 19 digits; the check digit stays right if it was), IBAN, IPv4, access key, secret (long
 hexadecimal tokens, and what is not letters only behind a name such as token or password), and names behind a title (given and family names apart; a title
 tells the gender, letters tell the script).
 """
@@ -59,10 +61,20 @@ PATTERN = re.compile(
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,4})?(?!\w))"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\w))"
     r"|(?P<card>(?<![\w.+-])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]\d{2,4}){1,4}(?!\w|[.,]\d))"
+    r"|(?P<phone>(?<![\w.])(?:"
+    r"\+\d{1,15}+(?:[ .-]?\(\d{1,5}\)[ .-]?\d{1,14}+)?(?:[ .-]\d{1,14}+){0,5}"
+    r"|(?:\+?\(\+?\d{1,5}\)[ .-]?)\d{2,14}+(?:[ .-]\d{1,14}+){0,4}"
+    r"|0\d{1,5}+(?:[ .-]\d{2,8}+){1,4}|[6-9]\d{4}[ -]\d{5}|\d{2,4}(?:[ .-]\d{2,4}){1,4}"
+    r"|(?<!\d,)(?<![/#%&$-])(?:0\d{9,11}|1[2-9]\d{9}|[2-9]\d{9})(?![-/%])"
+    r")(?!\w|[.,]\d))"
     r"|(?:\b(?P<title>" + "|".join(t for group in TITLES.values() for t in group) + r")\b\.? (?P<first>" + _NAME + r")(?: (?P<last>" + _NAME + r"))?)"
 )
 
+#: Country codes of telephone numbers, for numbers that don't set theirs apart
+_COUNTRY = re.compile(r"\+(?:\d{1,3}(?=\D)|[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})")
+#: Without + or bracket fewer than ten digits are a number only if written so: a social security number or a local number
+_SHORT = re.compile(r"\d{3}-\d{2}-\d{4}|\d{3}-\d{4}")
+
 #: So often a surrogate is drawn again. Names and emails grow with the attempts, so only numbers that nearly fill their format end here.
 MOST_ATTEMPTS = 60
 
@@ -196,9 +208,9 @@ def mentions(text: str) -> list[tuple[int, int, str, str]]:
         elif m["phone"]:
             number = plain(m[0])
             digits = "".join(filter(is_digit, number))
-            social = re.fullmatch(r"\d{3}-\d{2}-\d{4}", number)
-            if 8 <= len(digits) <= 15 and (m[0][0] in "+(" or len(digits) >= 10 or social):
-                code = re.match(r"\+\d{1,3}(?=\D)", number)
+            marked = number[0] in "+(" and len(digits) >= 8
+            if len(digits) <= 15 and (marked or len(digits) >= 10 or _SHORT.fullmatch(number)):
+                code = _COUNTRY.match(number)
                 code = code[0] if code else ""
                 found.append((m.start(), m.end(), "phone", f"{code}|{digits[max(0, len(code) - 1):]}"))
         elif m["title"]:

@@ -101,6 +101,37 @@ def test_secrets_without_digits_and_digits_of_other_scripts(spark, text, entitie
     assert [c for c in row.text if not c.isalnum()] == [c for c in text if not c.isalnum()]
 
 
+PHONES = [
+    "+4915112345678", "+33612345678", "+44 7911 123456", "+49 151 12345678", "(030) 12345678", "5551234567", "555-0199", "+9 (999) 999-9999",
+    "+44 (0)20 7946 0958", "030 12345678", "0151-23456789", "(555)555-0199", "+1.555.555.0199", "15551234567", "01511234567", "07911 123456", "98765 43210", "+49 (0151) 12345678",
+]
+
+
+@pytest.mark.parametrize("phone", PHONES)
+def test_formats_of_phones(phone):
+    for text in (phone, f"call {phone}, please", f"({phone}).", f"tel:{phone}\n", f"In 7 of 10 cases {phone} or {phone} and 3"):
+        found = mentions(text)
+        assert [(text[a:b], k) for a, b, k, _ in found] == [(phone, "phone")] * text.count(phone)
+    (_, _, kind, entity), *_ = found
+    new = written(kind, phone, surrogate(kind, entity, 0, b"k"))
+    assert new != phone and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", phone)
+    assert phone[0] != "+" or new.startswith(entity.partition("|")[0])
+
+
+def test_one_number_in_several_formats_is_one_entity():
+    assert len({mentions(t)[0][3] for t in ("+4915112345678", "+49 151 12345678", "+49-151-1234-5678")}) == 1
+
+
+@pytest.mark.parametrize("text", ["at 1700000000 s", "3.1415926535", "1,234567890123", "id/5551234567", "1999-2004", "12345-6789", "+1 234", "2 + 2", "4,5551234567", "20230101 120000", "123456 234567"])
+def test_numbers_that_are_no_phones(text):
+    assert mentions(text) == []
+
+
+def test_long_runs_of_digits_end():
+    for text in ("1" * 5000, "12 " * 5000, "+" + "12-" * 5000 + "x", "(12)" * 3000, "+1" * 3000):
+        mentions(text + "a")
+
+
 def test_odd_rows(odd_rows):
     rows = replace_pii(odd_rows).collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == sorted(((r.doc_id, r.text) for r in odd_rows.collect()), key=str)
