@@ -49,7 +49,7 @@ MAY_HOLD = (
     + "|".join(_PREFIXES)
     + "|(?:"
     + "|".join(_ALL_TITLES)
-    + r")\.? \p{Lu})"
+    + r")\.? [^\x00-@\[-\x7fа-яß-ÿ])"
 )
 
 _NAME = r"[^\W\d_a-zа-яß-ÿ][^\W\d_]+(?:[-'][^\W\d_]+)*"

@@ -132,6 +132,21 @@ def test_long_runs_of_digits_end():
         mentions(text + "a")
 
 
+def test_names_of_every_script_pass_the_filter(spark):
+    """A letter of every kind behind a title, and every digit that Python knows."""
+    import sys
+
+    letters = {}
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        if mentions(f"Mr. {c}a"):
+            letters.setdefault((ord(c) >> 8, c.isupper(), c.islower(), c.isnumeric()), c)
+    texts = ["Mr. 李明", "Mme אבג", "Herr ანა", "Frau محمد", "M ǅor", "Miss łódź", *(f"Mr. {c}a" for c in letters.values())]
+    texts += [f"({c}{c}{c}) {c}{c}{c}-{c}{c}{c}{c}" for c in map(chr, range(sys.maxunicode + 1)) if c.isdecimal() and int(c) == 5]
+    assert all(map(mentions, texts)) and len(texts) > 300
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert df.where(~df.text.rlike(MAY_HOLD)).collect() == []
+
+
 def test_odd_rows(odd_rows):
     rows = replace_pii(odd_rows).collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == sorted(((r.doc_id, r.text) for r in odd_rows.collect()), key=str)
