@@ -1,15 +1,17 @@
 """Language-model scores from a hashed maximum-entropy model with class-factored softmax (operator 10).
 
-P(word | words before) = P(class | features) * P(word | class).
+P(word | words before) = P(class | features) * P(word | class, features).
 
 Classes: the end; the most frequent words, each alone; the other words of the vocabulary by rank and last letters; and all
 rarer words. The class is a softmax over features: a constant, the word before (n-gram), the word before that
-(skip), and both together, each hashed to a row of weights. Within a class a word has its share of the class's count. Unseen words are
-one event of the rare class, with as much mass as all words seen once.
+(skip), and both together, each hashed to a row of weights. Within a class the words of the vocabulary are the leaves of a Huffman tree.
+Each fork is a logistic function of the same three features, by word and not by bucket; fork and feature are hashed to one of
+`slots` weights, 2 to 4 for each word. A fork starts at the counts of its sides, so that a word starts at its share of the class. Words
+beyond the vocabulary have their share of the rare class. Unseen words are one event of it, with as much mass as all words seen once.
 
 The vocabulary holds the `vocabulary` most frequent words seen twice or more; it and the weights are all that is
 broadcast. Counts of rarer words are joined. The weights start at the log frequency of the classes and are trained
-in rounds, which together visit every training text once: in a round each task updates its own copy by gradient steps
+in rounds, at the forks as well, which together visit every training text once: in a round each task updates its own copy by gradient steps
 over small batches, and the changes, weighted by how often a task has seen a row, are added up by Spark.
 """
 
@@ -71,6 +73,7 @@ class Vocabulary:
         # classes without words get next to nothing
         self.start = np.where(sums > 0, np.log(np.maximum(sums, 1) / max(1, total)), -30).astype(np.float32)
         self.codes: Codes | None = None
+        self.forks = Forks(self.classes[: n + 1], np.maximum(self.counts[: n + 1], 1), len(self.classes))
 
     def encode(self, words: list[bytes]):
         """Codes of a text."""
@@ -81,6 +84,116 @@ class Vocabulary:
         return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
 
 
+def huffman(counts: list[int]):
+    """Parent and side of every leaf, then of every fork, of a Huffman tree; counts in descending order. The root is last."""
+    n = len(counts)
+    weights, parent, side = [*counts, *[0] * (n - 1)], [-1] * (2 * n - 1), [0] * (2 * n - 1)
+    leaf, fork = n - 1, n  # the lightest ones not yet joined
+    for new in range(n, 2 * n - 1):
+        for s in (0, 1):
+            if leaf >= 0 and (fork >= new or weights[leaf] <= weights[fork]):
+                x, leaf = leaf, leaf - 1
+            else:
+                x, fork = fork, fork + 1
+            parent[x], side[x] = new, s
+            weights[new] += weights[x]
+    return weights, parent, side
+
+
+class Forks:
+    """The trees of all classes. A word's way is the forks from its leaf up, each with the side it lies on."""
+
+    def __init__(self, classes, counts, codes: int):
+        """classes and counts by code, most frequent words first; `codes`: all codes, the others have no way."""
+        import numpy as np
+
+        parents, sides, starts, leaves = [], [], [], np.full(len(classes), -1, np.int64)
+        leaf_sides, base = np.zeros(len(classes), np.int64), 0
+        order = np.lexsort((-counts, classes))
+        for members in np.split(order, np.flatnonzero(np.diff(classes[order])) + 1):
+            n = len(members)
+            if n < 2:
+                continue
+            weights, parent, side = (np.array(x) for x in huffman(counts[members].tolist()))
+            left = np.zeros(n - 1)
+            of_left = np.flatnonzero((side == 0) & (parent >= 0))
+            left[parent[of_left] - n] = weights[of_left]
+            starts.append(np.log((weights[n:] - left) / left))
+            above = np.where(parent >= 0, parent - n + base, -1)
+            leaves[members], leaf_sides[members] = above[:n], side[:n]
+            parents.append(above[n:])
+            sides.append(side[n:])
+            base += n - 1
+        none = np.empty(0, np.int64)
+        parents, sides = np.concatenate([*parents, none]), np.concatenate([*sides, none])
+        self.start = np.concatenate([*starts, none]).astype(np.float32)
+        code, at, side, ways = np.flatnonzero(leaves >= 0), leaves[leaves >= 0], leaf_sides[leaves >= 0], []
+        while len(code):
+            ways.append((code, 2 * at + side))
+            at, side = parents[at], sides[at]
+            code, at, side = code[at >= 0], at[at >= 0], side[at >= 0]
+        code = np.concatenate([*[c for c, _ in ways], none])
+        self.ways = np.concatenate([*[w for _, w in ways], none])[np.argsort(code, kind="stable")].astype(np.int32)
+        self.ends = np.cumsum(np.bincount(code, minlength=codes))
+        self.lengths = np.diff(self.ends, prepend=0)
+        self.slots = 1 << max(10, (2 * len(classes) - 3).bit_length())
+
+    def places(self, codes, contexts):
+        """Of all forks on the ways of the codes: the token, the side, the logit to start with, and the slots of its features."""
+        import numpy as np
+
+        lengths = self.lengths[codes]
+        ends = np.cumsum(lengths)
+        token = np.repeat(np.arange(len(codes)), lengths)
+        way = self.ways[np.arange(len(token)) + np.repeat(self.ends[codes] - ends, lengths)]
+        fork = way >> 1
+        mixed = np.take(contexts, token, axis=1)
+        mixed ^= fork.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        mixed *= np.uint64(0xD6E8FEB86659FD93)
+        mixed >>= np.uint64(65 - self.slots.bit_length())
+        return token, way & 1, self.start[fork], mixed.view(np.int64)
+
+    def log_probability(self, weights, codes, contexts):
+        """log P(word | class, features) of each place; 0 for words without a way."""
+        import numpy as np
+
+        token, side, z, slots = self.places(codes, contexts)
+        z = z + np.take(weights, slots).sum(axis=0)
+        np.negative(z, out=z, where=side == 1)
+        return np.bincount(token, weights=-np.logaddexp(0, z), minlength=len(codes))
+
+    def descend(self, weights, squares, sums, codes, contexts, rate: float = 0.2) -> None:
+        """One gradient step on a batch, with Adagrad's step sizes per slot. `sums` is zero before and after."""
+        import numpy as np
+
+        _, side, z, slots = self.places(codes, contexts)
+        z = z + np.take(weights, slots).sum(axis=0)
+        g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - side.astype(np.float32)
+        flat = slots.ravel()
+        np.add.at(sums, flat, np.tile(g, len(slots)))
+        change = sums[flat]
+        sums[flat] = 0
+        square = squares[flat] + change * change
+        # places with the same slot write the same values
+        squares[flat] = square
+        weights[flat] -= rate * change / np.sqrt(square)
+
+
+def contexts(codes, starts):
+    """Hashes of the word before, the word before that, and both, for every token; before a text is its end."""
+    import numpy as np
+
+    both = np.zeros((3, len(codes)), np.uint64)
+    both[0, 1:] = codes[:-1]
+    both[0, starts] = 0
+    both[1, 1:] = both[0, :-1]
+    both[1, starts] = 0
+    both[2] = both[0] * np.uint64(0xA24BAED4963EE407) + both[1] * np.uint64(0x9FB21C651E98DF25) + np.uint64(3)
+    both[:2] += np.array([[1 << 40], [1 << 41]], np.uint64)
+    both *= np.uint64(0xC2B2AE3D27D4EB4F)
+    return both ^ (both >> np.uint64(29))
+
+
 class Codes(dict):
     """Codes of words; those met first are kept."""
 
@@ -158,44 +271,63 @@ def descend(weights, squares, seen, rows, classes, rate: float = 0.6) -> None:
         seen[known] += np.diff(np.append(first, n))
 
 
-def train(texts: DataFrame, vocabulary, start, rounds: int, batch: int):
-    """Weights after `rounds` rounds over the training texts (columns: text, part: 0 to rounds - 1)."""
+def train(texts: DataFrame, vocabulary, start, slots: int, rounds: int, batch: int):
+    """Weights of classes and of forks after `rounds` rounds over the training texts (columns: text, part: 0 to rounds - 1)."""
     import numpy as np
     import pyarrow as pa
 
     spark = texts.sparkSession
     weights = np.zeros((ROWS, CLASSES), np.float32)
     weights[0] = start
+    forks = np.zeros(slots, np.float32)
     names = [f"d{i}" for i in range(CLASSES)]
-    schema = "row int, n double, " + ", ".join(f"{c} double" for c in names)
+    schema = "row int, n double, " + ", ".join(f"{c} float" for c in names)
 
     for part in range(rounds):
-        shared = spark.sparkContext.broadcast(weights)
+        shared = spark.sparkContext.broadcast((weights, forks))
 
         def run(batches, shared=shared):
-            own = shared.value.copy()
+            own, inner = (x.copy() for x in shared.value)
+            inner_squares, sums = np.ones(slots, np.float32), np.zeros(slots, np.float32)
             squares, seen = np.ones(ROWS, np.float32), np.zeros(ROWS)
             for texts in batches:
                 column = texts.column(0)
                 for at in range(0, texts.num_rows, 1000):
                     voc = vocabulary.value
                     codes = [voc.encode(ascii_words(t)) for t in column.slice(at, 1000).to_pylist()]
-                    all_codes, _, rows = features(voc, codes)
-                    classes = voc.classes[all_codes]
+                    all_codes, starts, rows = features(voc, codes)
+                    classes, before = voc.classes[all_codes], contexts(all_codes, starts)
                     for b in range(0, len(classes), batch):
+                        voc.forks.descend(inner, inner_squares, sums, all_codes[b : b + batch], before[:, b : b + batch])
                         descend(own, squares, seen, [r[b : b + batch] for r in rows], classes[b : b + batch])
             hit = np.flatnonzero(seen)
-            change = (own - shared.value)[hit].astype(np.float64) * seen[hit][:, None]
+            change = ((own - shared.value[0])[hit] * seen[hit][:, None]).astype(np.float32)
             columns = [pa.array(hit.astype(np.int32)), pa.array(seen[hit]), *(pa.array(c) for c in np.ascontiguousarray(change.T))]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "n", *names])
+            # slots in rows of CLASSES: the changes times the sum of squared gradients, then that sum
+            inner_squares -= 1
+            inner -= shared.value[1]
+            inner *= inner_squares
+            pairs = np.stack([inner.reshape(-1, CLASSES), inner_squares.reshape(-1, CLASSES)], axis=1).reshape(-1, CLASSES)
+            hit = np.flatnonzero(pairs.any(axis=1))
+            columns = [pa.array((ROWS + hit).astype(np.int32)), pa.array(np.ones(len(hit)))]
+            columns += [pa.array(np.ascontiguousarray(c)) for c in pairs[hit].T]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", "n", *names])
 
         changes = texts.where(F.col("part") == part).select("text").mapInArrow(run, schema)
         changes = changes.groupBy("row").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in names]).toArrow()
         if changes.num_rows:
+            row = changes.column("row").to_numpy()
+            found = np.column_stack([changes.column(c).to_numpy() for c in names])
+            outer = row < ROWS
             weights = weights.copy()
-            weights[changes.column("row").to_numpy()] += np.column_stack([changes.column(c).to_numpy() for c in names]).astype(np.float32)
+            weights[row[outer]] += found[outer].astype(np.float32)
+            pairs = np.zeros((2 * slots // CLASSES, CLASSES))
+            pairs[row[~outer] - ROWS] = found[~outer]
+            change, seen = pairs[0::2].ravel(), pairs[1::2].ravel()
+            forks = forks + np.divide(change, seen, out=np.zeros(slots), where=seen > 0).astype(np.float32)
         shared.unpersist()
-    return weights
+    return weights, forks
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -258,7 +390,7 @@ def maxent_scores(
     own = Vocabulary(held[0], held[1], held[2], ends, total, rare, once)
     shared = spark.sparkContext.broadcast(own)
     parts = teaching.select("text", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(rounds)).alias("part"))
-    weights = spark.sparkContext.broadcast(train(parts, shared, own.start, rounds, batch))
+    weights = spark.sparkContext.broadcast(train(parts, shared, own.start, own.forks.slots, rounds, batch))
     size, unseen, rare_total = len(held[0]), own.unseen, own.rare_total
     kind = docs.schema["id"].dataType.simpleString()
 
@@ -266,7 +398,7 @@ def maxent_scores(
         from pyspark import TaskContext
 
         key = TaskContext.get().partitionId() << 40
-        voc, w = shared.value, weights.value
+        voc, (w, inner) = shared.value, weights.value
         base = np.log10(voc.counts + 1.0)
         for texts in batches:
             for at in range(0, texts.num_rows, 200):
@@ -274,11 +406,11 @@ def maxent_scores(
                 split = [ascii_words(t) for t in part.column(1).to_pylist()]
                 codes = [voc.encode(x) for x in split]
                 all_codes, starts, rows = features(voc, codes)
-                classes = voc.classes[all_codes]
+                classes, before = voc.classes[all_codes], contexts(all_codes, starts)
                 p = np.empty(len(classes))
                 for b in range(0, len(classes), 4096):
                     p[b : b + 4096] = log_probability(w, [r[b : b + 4096] for r in rows], classes[b : b + 4096])
-                p += voc.share[all_codes]
+                    p[b : b + 4096] += voc.forks.log_probability(inner, all_codes[b : b + 4096], before[:, b : b + 4096])
                 rare_words: list[dict[int, int]] = []
                 for x, c in zip(split, codes, strict=True):
                     found: dict[int, int] = {}

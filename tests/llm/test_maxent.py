@@ -55,6 +55,49 @@ def test_probabilities_of_one_place_sum_to_one():
         assert abs(known + others - 1) < 1e-4
 
 
+def forks_of(n=900):
+    rng = np.random.default_rng(2)
+    classes = np.sort(rng.integers(0, 20, n))
+    counts = rng.integers(1, 500, n)
+    return rng, classes, counts, me.Forks(classes, counts, n + 6)
+
+
+def test_words_of_a_class_start_at_their_shares_and_sum_to_one():
+    rng, classes, counts, forks = forks_of()
+    shares = counts / np.bincount(classes, weights=counts)[classes]
+    before = me.contexts(np.array([5, 7, 8]), np.array([0]))[:, 2:].repeat(900, axis=1)
+    codes = np.arange(900)
+    assert np.allclose(forks.log_probability(np.zeros(forks.slots, np.float32), codes, before), np.log(shares), atol=1e-4)
+    p = np.exp(forks.log_probability(rng.normal(size=forks.slots).astype(np.float32), codes, before))
+    assert np.allclose(np.bincount(classes, weights=p), 1) and not np.allclose(p, shares, atol=0.01)
+    assert (forks.log_probability(np.zeros(forks.slots, np.float32), np.array([900, 905]), before[:, :2]) == 0).all()
+
+
+def test_a_step_at_the_forks_goes_down_the_gradient():
+    rng, _, _, forks = forks_of()
+    codes = np.tile([3, 700, 451, 20], 200)
+    before = me.contexts(codes, np.array([0]))
+    weights, squares, sums = np.zeros(forks.slots, np.float32), np.ones(forks.slots, np.float32), np.zeros(forks.slots, np.float32)
+    loss = lambda: -forks.log_probability(weights, codes, before).mean()
+    losses = [loss()]
+    for _ in range(30):
+        forks.descend(weights, squares, sums, codes, before)
+        losses.append(loss())
+    assert losses[1] < losses[0] and losses[-1] < 0.1 * losses[0] and not sums.any()
+
+
+def test_words_of_one_class_are_told_apart_by_the_words_before(spark):
+    """Phrases of words that share classes: the usual partner scores higher than another word of its class."""
+    pairs = [(f"first{i:03d}xx", f"second{i:03d}xx") for i in range(60)]
+    rng = np.random.default_rng(4)
+    say = lambda p: " ".join(f"{a} {b}" for a, b in p)
+    rows = [(i, say([pairs[j] for j in rng.integers(0, 60, 80)])) for i in range(400)]
+    swapped = [(a, pairs[(i + 1) % 60][1]) for i, (a, _) in enumerate(pairs)]
+    df = spark.createDataFrame([*rows, (1000, say(pairs)), (1001, say(swapped))], "doc_id long, text string")
+    by = {r.doc_id: r for r in me.maxent_scores(df).collect()}
+    assert by[1000].score > by[1001].score + 30
+
+
 def test_a_step_goes_down_the_gradient():
     rng = np.random.default_rng(1)
     n = 400
