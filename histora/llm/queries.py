@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from histora.llm.alignment import alignment_summary
 from histora.llm.binary_output import packed_output
 from histora.llm.common import table
 from histora.llm.decontaminate import contaminated
@@ -60,6 +61,10 @@ def op10_maxent_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return maxent_scores(table(spark, folder, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment_summary(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -71,6 +76,7 @@ QUERIES = {
     "op8_binary_output": op8_binary_output,
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_maxent_scoring": op10_maxent_scoring,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

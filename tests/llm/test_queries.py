@@ -14,6 +14,8 @@ CONTRACTS = {
     "op7_kneser_ney_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_minimax_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
     "op10_maxent_scoring": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
+    "op11_cross_tokenizer_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
+    "count_sum bigint, groups_sha256 string",
 }
 
 
@@ -29,4 +31,4 @@ def test_columns(spark, folder, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
