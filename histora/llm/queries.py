@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from histora.llm.alignment import alignment_summary
 from histora.llm.binary_output import packed_output
 from histora.llm.common import table
 from histora.llm.decontaminate import contaminated
 from histora.llm.hnsw import nearest_neighbours
+from histora.llm.html_text import page_texts
 from histora.llm.maxent import maxent_scores
 from histora.llm.neardup import near_duplicates
 from histora.llm.oracles import ORACLES
@@ -17,6 +19,7 @@ from histora.llm.quality import quality_scores
 from histora.llm.sharding import shard_by_bytes
 from histora.llm.surrogates import replace_pii
 from histora.llm.toxicity import toxicity_scores
+from histora.llm.whitening import whitened_components
 
 
 def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -65,6 +68,15 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFram
     return alignment_summary(table(spark, folder, "documents"))
 
 
+def op12_lanczos_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitened_components(table(spark, folder, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
+def op13_html_text_density(spark: SparkSession, folder: str) -> DataFrame:
+    return page_texts(table(spark, folder, "pages"))
+
+
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -77,6 +89,8 @@ QUERIES = {
     "op9_minimax_sharding": op9_minimax_sharding,
     "op10_maxent_scoring": op10_maxent_scoring,
     "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_lanczos_whitening": op12_lanczos_whitening,
+    "op13_html_text_density": op13_html_text_density,
 }
 
 __all__ = ["ORACLES", "QUERIES"]

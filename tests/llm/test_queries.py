@@ -16,6 +16,8 @@ CONTRACTS = {
     "op10_maxent_scoring": "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     "op11_cross_tokenizer_alignment": "doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, "
     "count_sum bigint, groups_sha256 string",
+    "op12_lanczos_whitening": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+    "op13_html_text_density": "page_id bigint, url string, text string, n_chars bigint",
 }
 
 
@@ -31,4 +33,4 @@ def test_columns(spark, folder, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
