@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 from operator import or_
+from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from histora.spec import (
 
 ACTION = "dwh_action"
 KEEP, CLOSE, OPEN = "keep", "close", "open"
+#: The row's version_hash as stored
+HASH = "dwh_version_hash"
 
 
 # Comparison --------------------------------------------------------------------------------------
@@ -48,14 +51,25 @@ def _comparable(name: str, alias: str | None, spec: TableSpec, collation: str |
     return value
 
 
-def row_hash(spec: TableSpec, alias: str | None = None, columns: list[str] | None = None) -> Column:
-    """SHA-256 over the tracked columns. Each value carries its length and nulls a mark of their own,
-    so that two different rows never give the same input."""
-    parts = []
-    for name in columns or spec.staging_columns():
-        text = ref(name, alias).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
-    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+def row_hash(spec: TableSpec, alias: str | None = None, extra: Iterable[Column] = ()) -> Column:
+    """64-bit hash over the tracked columns. Spark's hash passes over nulls, so which columns are null is hashed as well. Only rows of
+    one key are ever compared by it: a change goes unseen with a probability of 2 ** -64."""
+    values = [ref(n, alias) for n in spec.staging_columns()]
+    return F.xxhash64(*values, *[v.isNull() for v in values], *extra)
+
+
+def version_hash(spec: TableSpec, delete: Column | None = None, early: Column | None = None, field: Column | None = None) -> Column:
+    """Hash of a version with its delete and early-arrival marks (by default the row's own), to be stored with it. The lowest bit says
+    that the member exists: it is neither deleted nor waiting for its delivery, so it can vanish."""
+    delete, early = ref(DELETE_FLAG) if delete is None else delete, ref(EARLY_FLAG) if early is None else early
+    field = ref(EARLY_FIELD) if field is None else field
+    exists = ((delete == 0) & (early == 0)).cast("bigint")
+    return row_hash(spec, None, (delete.cast("int"), early.cast("int"), field)).bitwiseAND(-2).bitwiseOR(exists)
+
+
+def staged_hash(spec: TableSpec) -> Column:
+    """`version_hash` of the version that a staged row would open."""
+    return version_hash(spec, early=F.lit(0), field=F.lit(UNKNOWN_TEXT))
 
 
 def changed(
@@ -258,6 +272,20 @@ def _merge(
     return rows.select(*out, action.alias(ACTION))
 
 
+def touched_keys(versions: DataFrame, staged: DataFrame, detect_deletes: bool = False) -> DataFrame:
+    """What a merge may have to do with, found from narrow sides: a row (bk, sid) for every staged key that is new or whose hash differs
+    from that of its current version, and, with detect_deletes, for every existing member that is not staged.
+
+    versions: _key, sid, hash; staged: _key, bk, hash. Only these columns are exchanged.
+    """
+    v, s = versions.alias("v"), staged.alias("s")
+    stored, delivered = F.col("v.sid").isNotNull(), F.col("s.bk").isNotNull()
+    differs = stored & delivered & ~F.col("v.hash").eqNullSafe(F.col("s.hash"))
+    gone = ~delivered & F.coalesce(F.col("v.hash").bitwiseAND(1) == 1, F.lit(True)) & F.lit(detect_deletes)
+    both = v.join(s, F.col("v._key") == F.col("s._key"), "full_outer")
+    return both.filter(~stored | differs | gone).select(F.col("s.bk").alias("bk"), F.col("v.sid").alias("sid"))
+
+
 def scd2_apply(
     dwh: DataFrame,
     stg: DataFrame,

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.scalars import moment, typed_null
-from histora.operators.history import _audit_names, _comparable, changed, one_row_per_key, stamp_dwh
+from histora.operators.history import ACTION, OPEN, _audit_names, _comparable, changed, one_row_per_key, stamp_dwh
 from histora.operators.staging import staging_full_load
 from histora.spec import BATCH_UPDATE, BEGINNING, DELETE_FLAG, EARLY_FIELD, EARLY_FLAG, UNKNOWN_TEXT, UPDATE_DATE
 from histora.spec import TableSpec, ref
@@ -33,6 +33,40 @@ def next_trigger(loaded: DataFrame, delta_column: str, last_value: Any = None) -
     )
 
 
+#: What becomes of a stored row that an update in place replaces
+DROP = "drop"
+
+
+def _matched(dwh: DataFrame, stg: DataFrame, spec: TableSpec, batch_id: int, now, null_safe, collation, by) -> DataFrame:
+    """Stored rows (alias d) and staged ones (alias s) side by side, and whether the staged one replaces the stored one (_update)."""
+    fresh = stamp_dwh(stg, spec, BEGINNING, batch_id, now)
+    d = dwh.withColumn("_in_dwh", F.lit(True)).alias("d")
+    s = fresh.withColumn("_in_stg", F.lit(True)).alias("s")
+    on = _comparable(spec.bk, "d", spec, collation) == _comparable(spec.bk, "s", spec, collation)
+    differs = changed(spec, null_safe=null_safe, collation=collation, by=by)
+    update = F.col("d._in_dwh").isNotNull() & F.col("s._in_stg").isNotNull() & differs
+    return d.join(s, on, "full_outer").withColumn("_update", update)
+
+
+def _updated(spec: TableSpec, batch_id: int, now, with_sid: bool) -> list[Column]:
+    """The columns of a row after the batch."""
+    overwritten = {
+        DELETE_FLAG: ref(DELETE_FLAG, "s"),
+        EARLY_FLAG: F.lit(0),
+        EARLY_FIELD: F.lit(UNKNOWN_TEXT),
+        UPDATE_DATE: moment(now),
+        BATCH_UPDATE: F.lit(batch_id).cast("int"),
+        **{n: ref(n, "s") for n in spec.staging_columns()},
+    }
+    out = [ref(spec.sid, "d").alias(spec.sid)] if with_sid else []
+    for n in spec.staging_columns() + _audit_names(spec):
+        value = F.when(F.col("d._in_dwh").isNull(), ref(n, "s"))
+        if n in overwritten:
+            value = value.when(F.col("_update"), overwritten[n])
+        out.append(value.otherwise(ref(n, "d")).alias(n))
+    return out
+
+
 def scd1_merge(
     dwh: DataFrame,
     stg: DataFrame,
@@ -56,33 +90,37 @@ def scd1_merge(
         dwh, stg = dwh.filter(~no_key), stg.filter(~no_key)
     if guard:
         stg = one_row_per_key(stg, spec, collation)
-    fresh = stamp_dwh(stg, spec, BEGINNING, batch_id, now)
-    d = dwh.withColumn("_in_dwh", F.lit(True)).alias("d")
-    s = fresh.withColumn("_in_stg", F.lit(True)).alias("s")
-    on = _comparable(spec.bk, "d", spec, collation) == _comparable(spec.bk, "s", spec, collation)
-    in_dwh, in_stg = F.col("d._in_dwh").isNotNull(), F.col("s._in_stg").isNotNull()
-    update = in_dwh & in_stg & changed(spec, null_safe=null_safe, collation=collation, by=by)
-    rows = d.join(s, on, "full_outer").withColumn("_update", update)
-    overwritten = {
-        DELETE_FLAG: ref(DELETE_FLAG, "s"),
-        EARLY_FLAG: F.lit(0),
-        EARLY_FIELD: F.lit(UNKNOWN_TEXT),
-        UPDATE_DATE: moment(now),
-        BATCH_UPDATE: F.lit(batch_id).cast("int"),
-        **{n: ref(n, "s") for n in spec.staging_columns()},
-    }
-    out = [ref(spec.sid, "d").alias(spec.sid)] if with_sid else []
-    for n in spec.staging_columns() + _audit_names(spec):
-        value = F.when(~in_dwh, ref(n, "s"))
-        if n in overwritten:
-            value = value.when(F.col("_update"), overwritten[n])
-        out.append(value.otherwise(ref(n, "d")).alias(n))
-    merged = rows.select(*out)
+    merged = _matched(dwh, stg, spec, batch_id, now, null_safe, collation, by).select(*_updated(spec, batch_id, now, with_sid))
     for part in bypass:
         merged = merged.unionByName(part.select(*[ref(c) for c in merged.columns]))
     return merged
 
 
+def scd1_changes(
+    dwh: DataFrame,
+    stg: DataFrame,
+    spec: TableSpec,
+    batch_id: int,
+    now,
+    null_safe: bool = True,
+    collation: str | None = None,
+    by: str = "columns",
+) -> DataFrame:
+    """What `scd1_merge` changes: a row marked 'open' in dwh_action for every new member (without a surrogate key) and every new
+    image of a changed one, and the image that it replaces, marked 'drop'. Business keys are staged once."""
+    no_key = ref(spec.bk).isNull()
+    rows = _matched(dwh.filter(~no_key), stg.filter(~no_key), spec, batch_id, now, null_safe, collation, by)
+    steps = F.when(F.col("d._in_dwh").isNull(), F.array(F.lit(OPEN))).when(F.col("_update"), F.array(F.lit(DROP), F.lit(OPEN)))
+    rows = rows.withColumn(ACTION, F.explode(steps))
+    dropped = F.col(ACTION) == DROP
+    after = zip(spec.warehouse_columns(), _updated(spec, batch_id, now, True), strict=True)
+    changes = rows.select(*[F.when(dropped, ref(n, "d")).otherwise(value).alias(n) for n, value in after], ACTION)
+    if not spec.bk_column.mandatory:
+        new = stamp_dwh(stg.filter(no_key), spec, BEGINNING, batch_id, now).withColumn(spec.sid, typed_null("bigint"))
+        changes = changes.unionByName(new.withColumn(ACTION, F.lit(OPEN)).select(*[ref(c) for c in changes.columns]))
+    return changes
+
+
 def scd1_delta_upsert(
     dwh: DataFrame,
     source: DataFrame,
@@ -98,13 +136,17 @@ def scd1_delta_upsert(
     return scd1_merge(dwh, stg, spec, batch_id, now, **options)
 
 
+def outside_range(df: DataFrame, column: str, low: Any, high: Any) -> Column:
+    """Rows whose column has no value from low to high (both included), as a filter that reaches the scan."""
+    kind, value = df.schema[column].dataType, ref(column)
+    return value.isNull() | (value < F.lit(low).cast(kind)) | (value > F.lit(high).cast(kind))
+
+
 def scd1_overlap_replace(
     dwh: DataFrame, stg: DataFrame, spec: TableSpec, overlap_column: str, low: Any, high: Any, batch_id: int, now
 ) -> DataFrame:
     """Remove the overlapping range (low to high, both included) and insert the staged rows instead."""
-    kind = dwh.schema[overlap_column].dataType
-    inside = ref(overlap_column).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
-    kept = dwh.filter(~F.coalesce(inside, F.lit(False)))
+    kept = dwh.filter(outside_range(dwh, overlap_column, low, high))
     fresh = stamp_dwh(stg, spec, BEGINNING, batch_id, now)
     if spec.sid in dwh.columns:
         fresh = fresh.withColumn(spec.sid, typed_null("bigint"))

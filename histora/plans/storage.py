@@ -7,28 +7,35 @@ small commit row at the end:
     <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=keep          current versions the batch left alone
     <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=open          versions the batch opened
     <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=close         versions the batch closed
+    <base>/versions/batch_id=<n>/attempt=<a>/dwh_action=drop          keys of rows the batch updated in place
     <base>/commits/                                                   one row per commit
 
-Of the commit rows of a batch the latest counts. A full batch writes all current rows (keep and open); a batch with history
-writes only what it opens and closes, and names the last full batch as its base. Current versions are then those of the base and
-those opened since, less those closed since; history is the close folders of all batches. A failed attempt leaves the
-table as it was, and a repeat of the last batch replaces it only when it commits. A batch that others build on is refused,
-unless the later ones are taken back by `rewind`.
+Of the commit rows of a batch the latest counts. A full batch writes all current rows (keep and open). Any other batch
+writes only what it changes, and names the last full batch as its base: versions opened and closed, or, without history, new
+images of updated rows and the keys of the images they replace; a replaced range of values is just named in the commit row.
+Current rows are then those of the base and those opened since, less what was closed, dropped or replaced after it was written;
+history is the close folders of all batches. A failed attempt leaves the table as it was, and a repeat of the last batch
+replaces it only when it commits. A batch that others build on is refused, unless the later ones are taken back by `rewind`.
 
-History is never rewritten, and current rows only by a full batch: the first one, loads without history, bucketed
-tables, `rewrite()`, and every batch that finds `rewrite_after` others since the base. Once a batch commits, folders that only
-serve older states go: staged, keep and open folders that none of the last `retain` batches needs, and attempts that no commit names.
+Every row is stored with a hash of its values. A merge exchanges keys, surrogate keys and hashes only, and reads the whole rows just
+of the keys that are new, differ or vanished.
+
+History is never rewritten, and current rows only by a full batch: the first one, bucketed tables (a merge without an exchange of
+the stored side, paid for by writing all of it), `rewrite()`, and every batch that finds `rewrite_after` others since the
+base. Once a batch commits, folders that only serve older states go: staged, keep, open and drop folders that none of the last
+`retain` batches needs, and attempts that no commit names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any, Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +44,7 @@ from histora.operators import history as h
 from histora.operators.checks import check_constraints, check_unique_key, require
 from histora.operators.early import placeholders
 from histora.operators.surrogate import with_positions
-from histora.operators.type1 import scd1_merge, scd1_overlap_replace
+from histora.operators.type1 import DROP, outside_range, scd1_changes, scd1_merge, scd1_overlap_replace
 from histora.spec import VALID_FROM, TableSpec, quoted, ref
 from histora.workspace import exists, materialise, remove, subfolders
 
@@ -52,6 +59,7 @@ _COMMIT = T.StructType(
         T.StructField("max_sid", T.LongType(), False),
         T.StructField("delta_value", T.StringType(), True),
         T.StructField("retired", T.BooleanType(), False),
+        T.StructField("replaced", T.StringType(), True),
     ]
 )
 
@@ -59,7 +67,7 @@ _COMMIT = T.StructType(
 @dataclass(frozen=True)
 class Commit:
     """The commit row that counts for a batch. `prior`: the batch it builds on; `base`: the batch whose folders hold all current
-    rows; `delta_value`: where the next delta load starts."""
+    rows; `delta_value`: where the next delta load starts; `replaced`: the range of values the batch took the place of."""
 
     seq: int
     batch_id: int
@@ -69,6 +77,7 @@ class Commit:
     max_sid: int
     delta_value: str | None
     retired: bool
+    replaced: str | None = None
 
 
 class BatchHasSuccessors(ValueError):
@@ -80,9 +89,10 @@ class ProtectedTable(PermissionError):
 
 
 def write_staging(stg: DataFrame, spec: TableSpec, path: str) -> DataFrame:
-    """Replace a staging folder by a snapshot in the declared schema, and read it back."""
+    """Replace a staging folder by a snapshot in the declared schema, and read it back. The hash is stored for the merge."""
     schema = spec.staging_schema()
-    stg.select(*[ref(f.name).cast(f.dataType) for f in schema]).write.mode("overwrite").parquet(path)
+    typed = stg.select(*[ref(f.name).cast(f.dataType) for f in schema])
+    typed.withColumn(h.HASH, h.staged_hash(spec)).write.mode("overwrite").parquet(path)
     return stg.sparkSession.read.schema(schema).parquet(path)
 
 
@@ -96,7 +106,7 @@ class Warehouse:
 
     retain: how many batches stay readable as of their commit, the last one included.
 
-    rewrite_after: how many batches with history may follow a full one before the next one is full again. More make a batch
+    rewrite_after: how many batches may follow a full one before the next one is full again. More make a batch
     cheaper to write, and the current rows dearer to read.
 
     The commit rows are read once per object; a second writer on the same table is not foreseen.
@@ -118,6 +128,7 @@ class Warehouse:
         self._known: list[Commit] | None = None
         self._stored = T.StructType(
             list(spec.warehouse_schema())
+            + [T.StructField(h.HASH, T.LongType())]
             + [T.StructField(n, T.StringType()) for n in ("attempt", h.ACTION)]
             + [T.StructField("batch_id", T.IntegerType())]
         )
@@ -155,13 +166,8 @@ class Warehouse:
         if self.buckets:
             stored = self.spark.table(self._declared(self.commits()[batch]))
             return stored.filter(F.col(h.ACTION).isin(h.KEEP, h.OPEN)).select(*self._columns())
-        base, *later = self._since_base(batch)
-        live = F.col(h.ACTION).isin(h.KEEP, h.OPEN)
-        rows = self._folders([base, *later]).filter(live)
-        if later:
-            ended = self._folders(later).filter(F.col(h.ACTION) == h.CLOSE).select(ref(self.spec.sid))
-            rows = rows.join(ended, self.spec.sid, "left_anti")
-        return rows.select(*self._columns())
+        commits = self._since_base(batch)
+        return self._less_ended(self._images(commits), commits).select(*self._columns())
 
     def table(self, batch: int | None = None) -> DataFrame:
         """All versions as of a batch, by default the last one; only the folders needed are read."""
@@ -185,6 +191,83 @@ class Warehouse:
         base = self.commits()[batch].base
         return [c for c in reversed(self._chain(batch)) if c.batch_id >= base]
 
+    def _images(self, commits: list[Commit]) -> DataFrame:
+        """All rows written as current by these commits, but for those in a range that a later one of them replaced. The ranges
+        are filters on the scan, which passes over files and row groups that lie within."""
+        parts, segment = [], []
+        for i, c in enumerate(commits):
+            segment.append(c)
+            if i + 1 == len(commits) or commits[i + 1].replaced:
+                rows = self._folders(segment).filter(F.col(h.ACTION).isin(h.KEEP, h.OPEN))
+                for later in commits[i + 1 :]:
+                    if later.replaced:
+                        column, low, high = json.loads(later.replaced)
+                        rows = rows.filter(outside_range(rows, column, low, high))
+                parts.append(rows)
+                segment = []
+        return reduce(DataFrame.unionByName, parts)
+
+    def _ended(self, commits: list[Commit]) -> DataFrame:
+        """Rows that say that a version was closed or an image replaced."""
+        return self._folders(commits).filter(F.col(h.ACTION).isin(h.CLOSE, DROP))
+
+    def _less_ended(self, rows: DataFrame, commits: list[Commit], by_key: bool = False) -> DataFrame:
+        """Rows of these commits without those that a later one of them ended.
+
+        by_key: a merge on the business key follows. The rows are then subtracted by it (the surrogate key is compared as a
+        further condition), so that the merge finds them exchanged and sorted as it needs them.
+        """
+        if len(commits) == 1:
+            return rows
+        bk, sid = self.spec.bk, self.spec.sid
+        ended = self._ended(commits[1:]).select(ref(bk).alias("_bk"), ref(sid).alias("_sid"), F.col("batch_id").alias("_end"))
+        same = ref(sid) - F.col("_sid") == 0 if by_key else ref(sid) == F.col("_sid")
+        return rows.join(ended, (ref(bk) == F.col("_bk") if by_key else F.lit(True)) & same & (F.col("batch_id") < F.col("_end")), "left_anti")
+
+    def _narrow(self, commits: list[Commit], collation: str | None = None) -> DataFrame:
+        """(_key, sid, hash) of the current rows with a business key. Ended rows come in as a second row with a negative
+        surrogate key and cancel out where the merge needs the rows anyway: one exchange, of three columns."""
+        def narrow(rows: DataFrame, sign: int) -> DataFrame:
+            rows = rows.filter(ref(self.spec.bk).isNotNull())
+            key = h._comparable(self.spec.bk, None, self.spec, collation)
+            return rows.select(key.alias("_key"), (ref(self.spec.sid) * sign).alias("sid"), F.col(h.HASH).alias("hash"))
+
+        rows = narrow(self._images(commits), 1)
+        if len(commits) > 1:
+            rows = rows.unionAll(narrow(self._ended(commits[1:]), -1)).repartition("_key")
+            rows = rows.groupBy("_key", F.abs("sid").alias("sid"), "hash").agg(F.sum(F.signum("sid")).alias("left"))
+            rows = rows.filter("left > 0").select("_key", "sid", "hash")
+        return rows
+
+    def _touched(self, commits: list[Commit], stg: DataFrame, detect_deletes: bool, collation: str | None) -> DataFrame:
+        key, has_key = h._comparable(self.spec.bk, None, self.spec, collation), ref(self.spec.bk).isNotNull()
+        value = F.col(h.HASH) if h.HASH in stg.columns else h.staged_hash(self.spec)
+        staged = stg.filter(has_key).select(ref(self.spec.bk), value.alias("hash"))
+        staged = h.one_row_per_key(staged, self.spec, collation).select(key.alias("_key"), ref(self.spec.bk).alias("bk"), "hash")
+        return h.touched_keys(self._narrow(commits, collation), staged, detect_deletes)
+
+    def _whole(
+        self, commits: list[Commit], stg: DataFrame, collation: str | None = None, detect_deletes: bool = False
+    ) -> tuple[DataFrame, DataFrame]:
+        """The current and the staged rows that a merge may have to do with, whole; the others were compared by their hashes."""
+        touched = materialise(self.spark, f"{self.spec.name}-touched", self._touched(commits, stg, detect_deletes, collation))
+        bk, sid = self.spec.bk, self.spec.sid
+        sids = touched.filter("sid IS NOT NULL").select(F.col("sid").alias(sid))
+        keys = touched.filter("bk IS NOT NULL").select(F.col("bk").alias(bk))
+        rows = self._images(commits).join(sids, sid, "left_semi")
+        if len(commits) > 1:
+            # of a row updated in place the latest image counts; few rows are left here
+            latest = Window.partitionBy(ref(sid)).orderBy(F.desc("batch_id"))
+            rows = rows.withColumn("_nth", F.row_number().over(latest)).filter("_nth = 1")
+        current, staged = rows.select(*self._columns()), stg.join(keys, bk, "left_semi")
+        if not self.spec.bk_column.mandatory:
+            # null keys match nothing
+            if detect_deletes:
+                lost = self._images(commits).filter(ref(bk).isNull())
+                current = current.unionByName(self._less_ended(lost, commits).select(*self._columns()))
+            staged = staged.unionByName(stg.filter(ref(bk).isNull()))
+        return current, staged
+
     def _columns(self) -> list[Column]:
         return [ref(n) for n in self.spec.warehouse_columns()]
 
@@ -218,7 +301,11 @@ class Warehouse:
         return write_staging(stg, self.spec, f"{self.base}/staged/batch_id={batch_id}")
 
     def staged(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.spec.staging_schema()).parquet(f"{self.base}/staged/batch_id={batch_id}")
+        return self._staged(batch_id).drop(h.HASH)
+
+    def _staged(self, batch_id: int) -> DataFrame:
+        schema = T.StructType(list(self.spec.staging_schema()) + [T.StructField(h.HASH, T.LongType())])
+        return self.spark.read.schema(schema).parquet(f"{self.base}/staged/batch_id={batch_id}")
 
     def verify(self, stg: DataFrame, key_in_merge: bool = False, rows: bool = True) -> None:
         """Refuse a snapshot that breaks NOT NULL, a declared length or the key.
@@ -273,28 +360,44 @@ class Warehouse:
         if prior is None:
             self._load_first(stg, batch_id, init_valid_from, now)
             return
-        stg = self.staged(batch_id) if stg is None else stg
+        stg = self._staged(batch_id) if stg is None else stg
         if refuse_overlap:
             late = self.current(prior).filter(F.col(VALID_FROM) >= moment(valid_from)).select(ref(self.spec.bk), VALID_FROM)
             require(late, f"{self.spec.name}: versions start at {valid_from} or later")
-        merged = h.scd2_merge(
-            self.current(prior), self._at_buckets(stg), self.spec, batch_id, init_valid_from, valid_from, now, **options
-        )
-        base = self._base_for(prior)
+        base, commits = self._base_for(prior), self._since_base(prior)
+        if base is not None:
+            current, stg = self._whole(commits, stg, options.get("collation"), options.get("detect_deletes", False))
+            options["guard"] = False
+        else:
+            current, stg = self._for_merge(prior, commits), self._at_buckets(stg)
+        merged = h.scd2_merge(current, stg, self.spec, batch_id, init_valid_from, valid_from, now, **options)
         if base is not None:
             merged = merged.filter(F.col(h.ACTION) != h.KEEP)
         part = F.when(F.col(h.ACTION) == h.OPEN, UNNUMBERED).otherwise(F.col(h.ACTION))
         self._store(merged.withColumn(h.ACTION, part), batch_id, prior, base=base)
 
+    def _for_merge(self, prior: int, commits: list[Commit]) -> DataFrame:
+        return self.current(prior) if self.buckets else self._less_ended(self._images(commits), commits, by_key=True).select(*self._columns())
+
     def update(self, batch_id: int, now, stg: DataFrame | None = None, delta_value: Any = None, **options) -> None:
         """Merge a snapshot in place, without history, and commit with where the next delta load starts."""
         prior = self._prior(batch_id)
         if prior is None:
             self._load_first(stg, batch_id, h.BEGINNING, now, delta_value)
             return
-        stg = self.staged(batch_id) if stg is None else stg
-        merged = scd1_merge(self.current(prior), self._at_buckets(stg), self.spec, batch_id, now, **options)
-        self._store(self._to_number(merged), batch_id, prior, delta_value)
+        stg = self._staged(batch_id) if stg is None else stg
+        base, commits = self._base_for(prior), self._since_base(prior)
+        if base is None:
+            merged = scd1_merge(self._for_merge(prior, commits), self._at_buckets(stg), self.spec, batch_id, now, **options)
+            self._store(self._to_number(merged), batch_id, prior, delta_value)
+            return
+        current, stg = self._whole(commits, stg, options.get("collation"))
+        changes = scd1_changes(current, stg, self.spec, batch_id, now, **options).withColumn(h.HASH, h.version_hash(self.spec))
+        # of a replaced image only the key stays
+        known, dropped = {self.spec.bk, self.spec.sid, h.HASH, h.ACTION}, F.col(h.ACTION) == DROP
+        changes = changes.select(*[ref(n) if n in known else F.when(~dropped, ref(n)).alias(n) for n in changes.columns])
+        new = ref(self.spec.sid).isNull()
+        self._store(changes.withColumn(h.ACTION, F.when(new, UNNUMBERED).otherwise(F.col(h.ACTION))), batch_id, prior, delta_value, base)
 
     def replace_range(
         self, batch_id: int, column: str, low: Any, high: Any, now, stg: DataFrame | None = None, delta_value: Any = None
@@ -305,8 +408,14 @@ class Warehouse:
             self._load_first(stg, batch_id, h.BEGINNING, now, delta_value)
             return
         stg = self.staged(batch_id) if stg is None else stg
-        left = scd1_overlap_replace(self.current(prior), stg, self.spec, column, low, high, batch_id, now)
-        self._store(self._to_number(left), batch_id, prior, delta_value)
+        base = self._base_for(prior)
+        if base is None:
+            left = scd1_overlap_replace(self.current(prior), stg, self.spec, column, low, high, batch_id, now)
+            self._store(self._to_number(left), batch_id, prior, delta_value)
+            return
+        new = h.stamp_dwh(stg, self.spec, h.BEGINNING, batch_id, now).withColumn(self.spec.sid, F.lit(None).cast("bigint"))
+        new = new.select(*self._columns(), F.lit(UNNUMBERED).alias(h.ACTION))
+        self._store(new, batch_id, prior, delta_value, base, json.dumps([column, str(low), str(high)]))
 
     def add_early(self, batch_id: int, child: DataFrame, fk_columns: list[str], valid_from, now) -> None:
         """Add a placeholder for every key of the child that has no current version here, and commit.
@@ -329,7 +438,7 @@ class Warehouse:
         closed = self._folders([c]).filter(F.col(h.ACTION) == h.CLOSE).select(*self._columns(), F.col(h.ACTION))
         rows = self.current(batch).withColumn(h.ACTION, F.lit(h.KEEP)).unionByName(closed)
         self._write(rows, batch, attempt, "overwrite")
-        self._add(replace(c, seq=self._next(), attempt=attempt, base=batch))
+        self._add(replace(c, seq=self._next(), attempt=attempt, base=batch, replaced=None))
         self._clear()
 
     def reload(self, batch_id: int, now) -> None:
@@ -359,7 +468,13 @@ class Warehouse:
         self._load_all(files, batch_id, valid_from, now, delta_value)
 
     def _store(
-        self, merged: DataFrame, batch_id: int, prior: int | None, delta_value: Any = None, base: int | None = None
+        self,
+        merged: DataFrame,
+        batch_id: int,
+        prior: int | None,
+        delta_value: Any = None,
+        base: int | None = None,
+        replaced: str | None = None,
     ) -> None:
         """Write a merged batch; only its new versions are read again, to number them."""
         attempt, counted = uuid.uuid4().hex, Observation()
@@ -371,7 +486,7 @@ class Warehouse:
             files = self.spark.read.schema(self.spec.warehouse_schema()).parquet(unnumbered)
             self._write_open(with_positions(files, self.spec.sid, max_sid), batch_id, attempt, "append")
             remove(self.spark, unnumbered)
-        self._commit(batch_id, attempt, prior, max_sid + counted.get["fresh"], delta_value, base)
+        self._commit(batch_id, attempt, prior, max_sid + counted.get["fresh"], delta_value, base, replaced)
 
     def _load_all(self, files: DataFrame, batch_id: int, valid_from, now, delta_value: Any) -> None:
         """Every staged row opens a version; it is numbered by its place in the staged files."""
@@ -387,7 +502,8 @@ class Warehouse:
         self._write(rows.select(*self._columns(), F.lit(h.OPEN).alias(h.ACTION)), batch_id, attempt, mode)
 
     def _write(self, rows: DataFrame, batch_id: int, attempt: str, mode: str) -> None:
-        writer = rows.write.format("parquet").mode(mode).partitionBy(h.ACTION)
+        rows = rows if h.HASH in rows.columns else rows.withColumn(h.HASH, h.version_hash(self.spec))
+        writer = rows.select(*self._columns(), h.HASH, h.ACTION).write.format("parquet").mode(mode).partitionBy(h.ACTION)
         writer = writer.option("partitionOverwriteMode", "static")
         if self.buckets:
             writer = writer.bucketBy(self.buckets, self.spec.bk).option("path", self._folder(batch_id, attempt))
@@ -407,11 +523,18 @@ class Warehouse:
         self._rows().append(commit)
 
     def _commit(
-        self, batch_id: int, attempt: str, prior: int | None, max_sid: int, delta_value: Any = None, base: int | None = None
+        self,
+        batch_id: int,
+        attempt: str,
+        prior: int | None,
+        max_sid: int,
+        delta_value: Any = None,
+        base: int | None = None,
+        replaced: str | None = None,
     ) -> None:
         value = None if delta_value is None else str(delta_value)
         base = batch_id if base is None else base
-        self._add(Commit(self._next(), batch_id, attempt, prior, base, max_sid, value, False))
+        self._add(Commit(self._next(), batch_id, attempt, prior, base, max_sid, value, False, replaced))
         self._clear()
 
     def _clear(self) -> None:
@@ -427,7 +550,7 @@ class Warehouse:
                 if old not in chained or attempt != commits[old].attempt:
                     self._drop(old, attempt)
                 elif old not in needed:
-                    for action in (h.KEEP, h.OPEN):
+                    for action in (h.KEEP, h.OPEN, DROP):
                         remove(self.spark, f"{self._folder(old, attempt)}/{h.ACTION}={action}")
             if old not in chained:
                 remove(self.spark, f"{self.base}/versions/{name}")
