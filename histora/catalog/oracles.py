@@ -325,6 +325,13 @@ ORACLES["check_unique_key"] = (
 ORACLES["pipeline_scd2"] = after("customer", 4, "SELECT * FROM d4")
 ORACLES["pipeline_repeat"] = after("customer", 3, "SELECT * FROM d3")
 ORACLES["pipeline_bucketed"] = after("customer", 3, "SELECT * FROM d3")
+ORACLES["pipeline_collation"] = after(
+    "customer",
+    2,
+    """SELECT * REPLACE (CASE WHEN dwh_BatchRunIdInsert = 2 AND dwh_DeleteFlag = 0 AND CAST(InternalId AS BIGINT) % 3 = 0
+      THEN lower(dim_Customer_bk) || CASE WHEN CAST(InternalId AS BIGINT) % 5 = 0 THEN '  ' ELSE '' END
+      ELSE dim_Customer_bk END AS dim_Customer_bk) FROM d2""",
+)
 ORACLES["pipeline_dispatch"] = f"""{batches('customer', 2)}
   SELECT 'dim_Customer' AS table_name, dim_Customer_bk AS bk, dwh_CurrentFlag, dwh_DeleteFlag,
     CAST(dwh_ValidFrom AS VARCHAR) AS dwh_ValidFrom FROM d2
@@ -370,6 +377,11 @@ ORACLES["delta_load"] = as_text(
     f"SELECT * REPLACE (CASE WHEN event_id % 50 <> 0 THEN ts END AS ts) FROM events WHERE event_id % 50 = 0 OR ts > {LAST_EVENT}",
     ["ts"],
 )
+ORACLES["delta_boundary"] = as_text(
+    "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'"
+    " OR (o_orderdate = TIMESTAMP '1998-01-01 00:00:00' AND o_orderkey % 2 <> 0)",
+    ["o_orderdate"],
+)
 ORACLES["delta_trigger"] = (
     f"SELECT CAST(coalesce(max(ts), {LAST_EVENT}) AS VARCHAR) AS next_trigger, count(*) AS n_rows"
     f" FROM events WHERE ts > {LAST_EVENT}"
@@ -399,13 +411,18 @@ ORACLES["scd1_delta_upsert"] = as_text(
     scd1(order_rows(2, "o_orderdate > TIMESTAMP '1998-01-01 00:00:00'")), ORDER_TIMES
 )
 ORACLES["pipeline_scd1"] = ORACLES["scd1_merge"]
+# Orders with the highest date of the batch before are late ones if that batch did not have their key
+REACHED = {
+    1: "SELECT max(o_orderdate) FROM orders WHERE o_orderkey % 20 <> 0 AND o_orderdate <= TIMESTAMP '1998-01-01 00:00:00'",
+    2: "SELECT max(o_orderdate) FROM orders WHERE o_orderkey % 13 <> 0",
+}
 ORACLES["pipeline_scd1_delta"] = as_text(
     f"""SELECT {opened('d.', ORDER_COLUMNS, INIT, 1, '0')}
       FROM ({order_rows(1, "o_orderdate <= TIMESTAMP '1998-01-01 00:00:00'")} UNION ALL {ORDER_DUMMY}) d
     UNION ALL SELECT {opened('s.', ORDER_COLUMNS, INIT, 2, '0')}
-      FROM ({order_rows(2, "o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderkey % 20 <> 0 AND o_orderdate <= TIMESTAMP '1998-01-01 00:00:00')")}) s
+      FROM ({order_rows(2, f"(o_orderdate > ({REACHED[1]}) OR (o_orderdate = ({REACHED[1]}) AND o_orderkey % 20 = 0))")}) s
     UNION ALL SELECT {opened('t.', ORDER_COLUMNS, INIT, 3, '0')}
-      FROM ({order_rows(3, "o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderkey % 13 <> 0)")}) t""",
+      FROM ({order_rows(3, f"(o_orderdate > ({REACHED[2]}) OR (o_orderdate = ({REACHED[2]}) AND o_orderkey % 13 = 0))")}) t""",
     ORDER_TIMES,
 )
 SECOND = order_rows(2, "o_orderdate > TIMESTAMP '1997-06-30 23:59:59' AND o_orderdate <= TIMESTAMP '1999-06-30 23:59:59'")

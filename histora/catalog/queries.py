@@ -409,6 +409,17 @@ def pipeline_bucketed(spark, sf):
     return plain(views.view_fhi(house.table(), CUSTOMER).drop(CUSTOMER.sid))
 
 
+@query
+def pipeline_collation(spark, sf):
+    """The second delivery spells a third of the keys in lower case and some of them with trailing blanks: the same members."""
+    house = Warehouse(spark, CUSTOMER, fresh_path(spark, "collation"))
+    key, bk = F.col("InternalId").cast("bigint"), F.col("dim_Customer_bk")
+    spelled = F.when(key % 15 == 0, F.concat(F.lower(bk), F.lit("  "))).when(key % 3 == 0, F.lower(bk)).otherwise(bk)
+    for t, source in ((1, fx.customers(spark, sf, 1)), (2, fx.customers(spark, sf, 2).withColumn("dim_Customer_bk", spelled))):
+        pipeline.run_scd2(source, house, t, VALID_FROM[t], NOW[t], INIT, stage_deletes=True, collation="UTF8_LCASE_RTRIM")
+    return plain(views.view_fhi(house.table(), CUSTOMER).drop(CUSTOMER.sid))
+
+
 @query
 def pipeline_dispatch(spark, sf):
     """Two batches of two tables, each by the pipeline of its contract: one with history, one reloaded."""
@@ -443,7 +454,7 @@ def pipeline_scd1(spark, sf):
 
 @query
 def pipeline_scd1_delta(spark, sf):
-    """Three delta loads; each starts behind the highest order date of the one before, which is stored with its batch."""
+    """Three delta loads; each starts at the highest order date of the one before, which is stored with its batch."""
     spec = replace(ORDER, table_type="scd1", delete_detection=False, delta_load=True, delta_column="OrderDate")
     house = Warehouse(spark, spec, fresh_path(spark, "delta"))
     early = fx.orders(spark, sf, 1).filter(F.col("OrderDate") <= LAST_ORDER)
@@ -535,6 +546,14 @@ def delta_load(spark, sf):
     return plain(type1.delta_load(events, "ts", LAST_EVENT))
 
 
+@query
+def delta_boundary(spark, sf):
+    """Orders with the last value itself are loaded unless their key was loaded with it."""
+    orders = read(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    known = orders.filter((F.col("o_orderdate") == LAST_ORDER) & (F.col("o_orderkey") % 2 == 0))
+    return plain(type1.delta_load(orders, "o_orderdate", LAST_ORDER, loaded=known, key="o_orderkey"))
+
+
 @query
 def delta_trigger(spark, sf):
     newer = type1.delta_load(read(spark, sf, "events"), "ts", LAST_EVENT)

@@ -12,6 +12,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from histora.operators.staging import comparable
 from histora.spec import TableSpec, ref
 
 
@@ -65,13 +66,17 @@ def breaks_constraint(df: DataFrame, spec: TableSpec) -> Column:
     return reduce(or_, [test for _, test in _constraints(df, spec)], F.lit(False))
 
 
-def check_unique_key(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Keys that occur more than once, with their number of rows."""
-    return (
-        df.groupBy(*[ref(c) for c in columns])
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .filter(F.col("n_rows") > 1)
-    )
+def check_unique_key(
+    df: DataFrame, columns: list[str], spec: TableSpec | None = None, collation: str | None = None
+) -> DataFrame:
+    """Keys that occur more than once, with their number of rows. With a contract and a collation, keys that differ only in what the
+    collation passes over are one key, shown by its first spelling."""
+    rows = F.count(F.lit(1)).alias("n_rows")
+    if spec is None or not collation:
+        return df.groupBy(*[ref(c) for c in columns]).agg(rows).filter(F.col("n_rows") > 1)
+    keys = [comparable(c, None, spec, collation).alias(f"_key{i}") for i, c in enumerate(columns)]
+    shown = [F.min(ref(c)).alias(c) for c in columns]
+    return df.groupBy(*keys).agg(*shown, rows).filter(F.col("n_rows") > 1).select(*[ref(c) for c in columns], "n_rows")
 
 
 class ConstraintViolation(ValueError):

@@ -12,8 +12,11 @@ from histora.operators.staging import is_current_version
 from histora.spec import EARLY_FIELD, EARLY_FLAG, UNKNOWN_KEY, TableSpec, ref
 
 
-def early_members(parent: DataFrame, child: DataFrame, fk_columns: list[str], spec: TableSpec) -> DataFrame:
-    """Keys (with the first column that refers to them) that have no current row in the parent.
+def early_members(
+    parent: DataFrame, child: DataFrame, fk_columns: list[str], spec: TableSpec, collation: str | None = None
+) -> DataFrame:
+    """Keys (with the first column that refers to them) that have no current row in the parent. Keys that a collation takes for one
+    are one, in their first spelling.
 
     One pass over the child for all its columns. Keys shrink to one row each before the exchange, so
     neither a popular key nor a large fact table reaches the join.
@@ -21,19 +24,29 @@ def early_members(parent: DataFrame, child: DataFrame, fk_columns: list[str], sp
     order = {name: i for i, name in enumerate(fk_columns)}
     refs = F.array(*[F.struct(F.lit(order[n]).alias("pos"), ref(n).cast("string").alias("bk")) for n in fk_columns])
     names = F.array(*[F.lit(n) for n in fk_columns])
+    wanted = spec.bk_column.collation if collation == "declared" else collation
+    wanted = wanted if spec.bk_column.length is not None else None
+    key = F.collate("bk", wanted) if wanted else F.col("bk")
     keys = (
         child.select(F.explode(refs).alias("r"))
         .select("r.bk", "r.pos")
         .filter(F.col("bk").isNotNull() & (F.col("bk") != UNKNOWN_KEY))
-        .groupBy("bk")
-        .agg(F.min("pos").alias("pos"))
+        .groupBy(key.alias("_key"))
+        .agg(F.min("pos").alias("pos"), F.min("bk").alias("bk"))
     )
-    known = parent.filter(is_current_version()).select(ref(spec.bk).cast("string").alias("bk"))
-    return keys.join(known, "bk", "left_anti").select("bk", F.get(names, F.col("pos")).alias("field"))
+    known = parent.filter(is_current_version()).select(ref(spec.bk).cast("string").alias("bk")).select(key.alias("_key"))
+    return keys.join(known, "_key", "left_anti").select("bk", F.get(names, F.col("pos")).alias("field"))
 
 
 def placeholders(
-    parent: DataFrame, child: DataFrame, fk_columns: list[str], spec: TableSpec, batch_id: int, valid_from, now
+    parent: DataFrame,
+    child: DataFrame,
+    fk_columns: list[str],
+    spec: TableSpec,
+    batch_id: int,
+    valid_from,
+    now,
+    collation: str | None = None,
 ) -> DataFrame:
     """One placeholder version per early member, in the columns of the parent."""
     stamps = opened_stamp(moment(valid_from), batch_id, moment(now), F.lit(0))
@@ -43,7 +56,7 @@ def placeholders(
         value = F.col("bk").cast(c.spark_type) if c.name == spec.bk else default_for(c)
         out.append(value.alias(c.name))
         out += [F.lit(UNKNOWN_KEY).alias(key) for key in (c.date_key, c.time_key) if key]
-    return early_members(parent, child, fk_columns, spec).select(*out, *[v.alias(k) for k, v in stamps.items()])
+    return early_members(parent, child, fk_columns, spec, collation).select(*out, *[v.alias(k) for k, v in stamps.items()])
 
 
 def add_early_arriving(

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from histora.functions.scalars import closing_ts, moment, typed_null
-from histora.operators.staging import is_current_version, without_match
+from histora.operators.staging import comparable, is_current_version, without_match
 from histora.spec import (
     BATCH_INSERT,
     BATCH_UPDATE,
@@ -40,17 +40,6 @@ HASH = "dwh_version_hash"
 
 
 # Comparison --------------------------------------------------------------------------------------
-def _comparable(name: str, alias: str | None, spec: TableSpec, collation: str | None) -> Column:
-    """A column for comparison; collation may name one, or be 'declared' for those of the contract."""
-    value = ref(name, alias)
-    column = next((c for c in spec.columns if c.name == name), None)
-    if collation and column is not None and column.length is not None:
-        wanted = column.collation if collation == "declared" else collation
-        if wanted:
-            return F.collate(value, wanted)
-    return value
-
-
 def row_hash(spec: TableSpec, alias: str | None = None, extra: Iterable[Column] = ()) -> Column:
     """64-bit hash over the tracked columns. Spark's hash passes over nulls, so which columns are null is hashed as well. Only rows of
     one key are ever compared by it: a change goes unseen with a probability of 2 ** -64."""
@@ -95,7 +84,7 @@ def changed(
         tests = [row_hash(spec, d) != row_hash(spec, s)]
     elif by == "columns":
         pairs = [
-            (_comparable(n, d, spec, collation), _comparable(n, s, spec, collation))
+            (comparable(n, d, spec, collation), comparable(n, s, spec, collation))
             for n in spec.staging_columns()
         ]
         tests = [~a.eqNullSafe(b) if null_safe else a != b for a, b in pairs]
@@ -138,7 +127,7 @@ def dwh_full_load(stg: DataFrame, spec: TableSpec, batch_id: int, now) -> DataFr
 # Steps, one at a time ----------------------------------------------------------------------------
 def match_current(dwh: DataFrame, stg: DataFrame, spec: TableSpec, collation: str | None = None) -> DataFrame:
     """Current versions (alias d) with the staged row (alias s) of the same business key."""
-    on = _comparable(spec.bk, "d", spec, collation) == _comparable(spec.bk, "s", spec, collation)
+    on = comparable(spec.bk, "d", spec, collation) == comparable(spec.bk, "s", spec, collation)
     return dwh.filter(is_current_version()).alias("d").join(stg.alias("s"), on, "inner")
 
 
@@ -172,14 +161,14 @@ def new_versions(dwh, stg, spec: TableSpec, batch_id: int, valid_from, now, **co
     return matched.select(*_image(spec, "s"), *[v.alias(k) for k, v in stamps.items()])
 
 
-def new_members(stg: DataFrame, dwh: DataFrame, spec: TableSpec) -> DataFrame:
+def new_members(stg: DataFrame, dwh: DataFrame, spec: TableSpec, collation: str | None = None) -> DataFrame:
     """Staged rows without a current version."""
-    return without_match(stg, dwh.filter(is_current_version()), spec)
+    return without_match(stg, dwh.filter(is_current_version()), spec, collation)
 
 
-def initial_versions(dwh, stg, spec: TableSpec, batch_id: int, init_valid_from, now) -> DataFrame:
+def initial_versions(dwh, stg, spec: TableSpec, batch_id: int, init_valid_from, now, collation: str | None = None) -> DataFrame:
     """First versions of members the warehouse does not know yet."""
-    return stamp_dwh(new_members(stg, dwh, spec), spec, init_valid_from, batch_id, now)
+    return stamp_dwh(new_members(stg, dwh, spec, collation), spec, init_valid_from, batch_id, now)
 
 
 # The whole step ----------------------------------------------------------------------------------
@@ -187,7 +176,7 @@ def one_row_per_key(df: DataFrame, spec: TableSpec, collation: str | None = None
     """Fail when a business key is staged twice, without an exchange of its own: the window needs the
     partitioning and order that the join on the key asks for anyway. Two rows of a key are enough to fail, so each
     task passes on no more (a row number limit is applied before the exchange): a key that fills a delivery meets in no task."""
-    key = _comparable(spec.bk, None, spec, collation)
+    key = comparable(spec.bk, None, spec, collation)
     nth = F.row_number().over(Window.partitionBy(key).orderBy(key))
     twice = F.raise_error(F.concat(F.lit(f"{spec.name}: staged twice: "), ref(spec.bk).cast("string")))
     few = df.withColumn("_nth", nth).filter(F.col("_nth") <= 2)
@@ -238,7 +227,7 @@ def _merge(
     s = stg.select(
         *[ref(n) for n in spec.staging_columns()], ref(DELETE_FLAG), F.lit(True).alias("_in_stg")
     ).alias("s")
-    on = _comparable(spec.bk, "d", spec, collation) == _comparable(spec.bk, "s", spec, collation)
+    on = comparable(spec.bk, "d", spec, collation) == comparable(spec.bk, "s", spec, collation)
     in_dwh, in_stg = F.col("d._in_dwh").isNotNull(), F.col("s._in_stg").isNotNull()
     differs = changed(spec, null_safe=null_safe, collation=collation, by=by)
     if detect_deletes:

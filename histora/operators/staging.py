@@ -20,6 +20,18 @@ from histora.spec import (
 )
 
 
+def comparable(name: str, alias: str | None, spec: TableSpec, collation: str | None) -> Column:
+    """A column for comparison; collation may name one, or be 'declared' for those of the contract. Whatever compares keys (merges,
+    anti joins, checks, grouping) compares them in this form."""
+    value = ref(name, alias)
+    column = next((c for c in spec.columns if c.name == name), None)
+    if collation and column is not None and column.length is not None:
+        wanted = column.collation if collation == "declared" else collation
+        if wanted:
+            return F.collate(value, wanted)
+    return value
+
+
 def is_current_version() -> Column:
     return F.col(CURRENT_FLAG) == 1
 
@@ -83,24 +95,25 @@ def with_dummy(stg: DataFrame, spec: TableSpec, batch_id: int) -> DataFrame:
     return stg.unionByName(dummy_row(stg.sparkSession, spec, batch_id))
 
 
-def without_match(left: DataFrame, right: DataFrame, spec: TableSpec) -> DataFrame:
+def without_match(left: DataFrame, right: DataFrame, spec: TableSpec, collation: str | None = None) -> DataFrame:
     """Rows of the left side whose business key does not occur on the right (NOT EXISTS)."""
     # One row per key: a key that occurs many times shrinks before the exchange, and the anti join
     # reuses the partitioning of the aggregation.
-    keys = right.select(ref(spec.bk)).filter(ref(spec.bk).isNotNull()).distinct()
+    key = comparable(spec.bk, None, spec, collation)
+    keys = right.filter(ref(spec.bk).isNotNull()).select(key.alias("_known")).distinct()
     if spec.bk_column.mandatory:
-        return left.join(keys, spec.bk, "left_anti")
+        return left.join(keys, key == F.col("_known"), "left_anti")
     # Null keys match nothing, so they need no exchange and must not meet in one task
-    with_key = left.filter(ref(spec.bk).isNotNull()).join(keys, spec.bk, "left_anti")
+    with_key = left.filter(ref(spec.bk).isNotNull()).join(keys, key == F.col("_known"), "left_anti")
     return with_key.unionByName(left.filter(ref(spec.bk).isNull()))
 
 
-def missing_members(dwh: DataFrame, stg: DataFrame, spec: TableSpec) -> DataFrame:
+def missing_members(dwh: DataFrame, stg: DataFrame, spec: TableSpec, collation: str | None = None) -> DataFrame:
     """Current members of the warehouse that the staged snapshot lacks."""
-    return without_match(dwh.filter(is_current_member()), stg, spec)
+    return without_match(dwh.filter(is_current_member()), stg, spec, collation)
 
 
-def with_deletes(stg: DataFrame, dwh: DataFrame, spec: TableSpec, batch_id: int) -> DataFrame:
+def with_deletes(stg: DataFrame, dwh: DataFrame, spec: TableSpec, batch_id: int, collation: str | None = None) -> DataFrame:
     """Append the last known values of missing members to the snapshot, flagged as deleted."""
-    gone = missing_members(dwh, stg, spec).select(*[ref(n) for n in spec.staging_columns()])
+    gone = missing_members(dwh, stg, spec, collation).select(*[ref(n) for n in spec.staging_columns()])
     return stg.unionByName(stamp_staging(gone, batch_id, delete_flag=1))

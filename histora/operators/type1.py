@@ -8,20 +8,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from histora.functions.scalars import moment, typed_null
-from histora.operators.history import ACTION, OPEN, _audit_names, _comparable, changed, one_row_per_key, stamp_dwh
-from histora.operators.staging import staging_full_load
+from histora.operators.history import ACTION, OPEN, _audit_names, changed, one_row_per_key, stamp_dwh
+from histora.operators.staging import comparable, staging_full_load
 from histora.spec import BATCH_UPDATE, BEGINNING, DELETE_FLAG, EARLY_FIELD, EARLY_FLAG, UNKNOWN_TEXT, UPDATE_DATE
 from histora.spec import TableSpec, ref
 
 
-def delta_load(source: DataFrame, delta_column: str, last_value: Any, extra: Column | None = None) -> DataFrame:
+def delta_load(
+    source: DataFrame,
+    delta_column: str,
+    last_value: Any,
+    extra: Column | None = None,
+    loaded: DataFrame | None = None,
+    key: str | None = None,
+) -> DataFrame:
     """Rows that are newer than the last loaded value; the filter reaches the scan.
 
-    A row without a value can't be known to be old, so it is always loaded.
+    A row without a value can't be known to be old, so it is always loaded. loaded: the keys (column `key`) that were loaded with
+    the last value itself. Rows that come late with that very value are then loaded as well, unless their key is among
+    them. Only rows with this value meet the keys.
     """
     kind, value = source.schema[delta_column].dataType, ref(delta_column)
-    newer = source if last_value is None else source.filter(value.isNull() | (value > F.lit(last_value).cast(kind)))
-    return newer if extra is None else newer.filter(extra)
+    if extra is not None:
+        source = source.filter(extra)
+    if last_value is None:
+        return source
+    last = F.lit(last_value).cast(kind)
+    newer = source.filter(value.isNull() | (value > last))
+    if loaded is None:
+        return newer
+    known = loaded.select(ref(key).alias("_known")).distinct()
+    return newer.unionByName(source.filter(value == last).join(known, ref(key).eqNullSafe(F.col("_known")), "left_anti"))
 
 
 def next_trigger(loaded: DataFrame, delta_column: str, last_value: Any = None) -> DataFrame:
@@ -42,7 +59,7 @@ def _matched(dwh: DataFrame, stg: DataFrame, spec: TableSpec, batch_id: int, now
     fresh = stamp_dwh(stg, spec, BEGINNING, batch_id, now)
     d = dwh.withColumn("_in_dwh", F.lit(True)).alias("d")
     s = fresh.withColumn("_in_stg", F.lit(True)).alias("s")
-    on = _comparable(spec.bk, "d", spec, collation) == _comparable(spec.bk, "s", spec, collation)
+    on = comparable(spec.bk, "d", spec, collation) == comparable(spec.bk, "s", spec, collation)
     differs = changed(spec, null_safe=null_safe, collation=collation, by=by)
     update = F.col("d._in_dwh").isNotNull() & F.col("s._in_stg").isNotNull() & differs
     return d.join(s, on, "full_outer").withColumn("_update", update)

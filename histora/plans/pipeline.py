@@ -45,6 +45,7 @@ def _stage_and_check(
     detect: bool = False,
     allow_shell: bool = False,
     narrow: Callable[[DataFrame], DataFrame] | None = None,
+    collation: str | None = None,
 ) -> None:
     """Write the staged snapshot and check it.
 
@@ -59,12 +60,13 @@ def _stage_and_check(
             raise NothingDelivered(f"{spec.name}: nothing delivered for batch {batch_id}")
         stg = stage(source, spec, batch_id, narrow)
         if with_gone and prior is not None:
-            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id)
+            stg = with_deletes(stg, warehouse.current(prior), spec, batch_id, collation)
         counted = Observation()
         warehouse.stage(stg.observe(counted, F.count(F.when(breaks_constraint(stg, spec), True)).alias("bad")), batch_id)
     if "checks" in steps:
         merging = merging and prior is not None and "history" in steps
-        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, rows=not computed or counted.get["bad"] > 0)
+        bad = not computed or counted.get["bad"] > 0
+        warehouse.verify(warehouse.staged(batch_id), key_in_merge=merging, rows=bad, collation=collation)
 
 
 def run_scd2(
@@ -90,7 +92,14 @@ def run_scd2(
     valid_from = whole_seconds() if valid_from is None else valid_from
     detect = spec.delete_detection
     _stage_and_check(
-        source, warehouse, batch_id, steps, with_gone=detect and stage_deletes, detect=detect, allow_shell=allow_shell
+        source,
+        warehouse,
+        batch_id,
+        steps,
+        with_gone=detect and stage_deletes,
+        detect=detect,
+        allow_shell=allow_shell,
+        collation=compare.get("collation"),
     )
     if "history" in steps:
         warehouse.historize(
@@ -114,16 +123,22 @@ def run_scd1(
     """One batch of a table that is updated in place.
 
     If the contract asks for delta loads, only cleansed rows beyond the stored start value are taken (and, if it has one,
-    rows that pass its filter; rows without a value always are). last_value overrules the stored one. The highest
-    value loaded is stored with the batch. A delta says nothing about missing members, so none are deleted. With
-    delta_type 'overlap' the delta replaces all stored rows from its lowest to its highest value instead of being merged by key.
+    rows that pass its filter; rows without a value always are). Rows with that very value are taken if their key is not stored with
+    it, so none is lost that comes late. last_value overrules the stored one. The highest value loaded is stored with the
+    batch. A delta says nothing about missing members, so none are deleted. With delta_type 'overlap' the delta replaces all
+    stored rows from its lowest value beyond the start to its highest one instead of being merged by key.
     """
     spec, steps = warehouse.spec, set(steps)
     now = whole_seconds() if now is None else now
     last = warehouse.delta_value(before=batch_id) if last_value is None else last_value
 
     def newer(stg: DataFrame) -> DataFrame:
-        return delta_load(stg, spec.delta_column, last, F.expr(spec.delta_filter) if spec.delta_filter else None)
+        prior, known = warehouse.last_batch(before=batch_id), None
+        if last is not None and prior is not None:
+            kind = stg.schema[spec.delta_column].dataType
+            known = warehouse.current(prior).filter(ref(spec.delta_column) == F.lit(last).cast(kind))
+        condition = F.expr(spec.delta_filter) if spec.delta_filter else None
+        return delta_load(stg, spec.delta_column, last, condition, known, spec.bk)
 
     detect = spec.delete_detection and not spec.delta_load
     _stage_and_check(
@@ -136,6 +151,7 @@ def run_scd1(
         detect=detect,
         allow_shell=allow_shell,
         narrow=newer if spec.delta_load else None,
+        collation=compare.get("collation"),
     )
     if "history" in steps and not spec.delta_load:
         warehouse.update(batch_id, now, **compare)
@@ -145,7 +161,8 @@ def run_scd1(
         if spec.dummy:
             loaded = loaded.filter(~ref(spec.bk).eqNullSafe(default_for(spec.bk_column)))
         value = F.when(~ref(column.name).eqNullSafe(default_for(column)), ref(column.name))
-        low, high = loaded.agg(F.min(value), F.max(value)).first()
+        beyond = F.lit(True) if last is None else value > F.lit(last).cast(loaded.schema[column.name].dataType)
+        low, high = loaded.agg(F.min(F.when(beyond, value)), F.max(value)).first()
         reached = last if high is None else high
         if spec.delta_type == "overlap" and low is not None and warehouse.last_batch(before=batch_id) is not None:
             warehouse.replace_range(batch_id, spec.delta_column, low, high, now, stg=loaded, delta_value=reached)
@@ -183,7 +200,13 @@ def run_partition_switch(
 
 
 def run_early_arriving(
-    child: DataFrame, child_spec: TableSpec, parents: Mapping[str, Warehouse], batch_id: int, valid_from=None, now=None
+    child: DataFrame,
+    child_spec: TableSpec,
+    parents: Mapping[str, Warehouse],
+    batch_id: int,
+    valid_from=None,
+    now=None,
+    collation: str | None = None,
 ) -> list[str]:
     """Placeholders for the members that a staged child refers to and its parents lack.
 
@@ -202,6 +225,7 @@ def run_early_arriving(
             columns,
             whole_seconds() if valid_from is None else valid_from,
             whole_seconds() if now is None else now,
+            collation,
         )
         register_views(parents[name].table(), parents[name].spec)
     return list(wanted)
@@ -245,7 +269,8 @@ def run_psa(
 ) -> Warehouse:
     """Persistent staging: historize a staged snapshot that already exists, then the views."""
     if checks:
-        warehouse.verify(stg, key_in_merge=warehouse.last_batch(before=batch_id) is not None)
+        merging = warehouse.last_batch(before=batch_id) is not None
+        warehouse.verify(stg, key_in_merge=merging, collation=compare.get("collation"))
     warehouse.historize(
         batch_id,
         init_valid_from,

@@ -43,6 +43,7 @@ from histora.functions.scalars import moment
 from histora.operators import history as h
 from histora.operators.checks import check_constraints, check_unique_key, require
 from histora.operators.early import placeholders
+from histora.operators.staging import comparable
 from histora.operators.surrogate import with_positions
 from histora.operators.type1 import DROP, outside_range, scd1_changes, scd1_merge, scd1_overlap_replace
 from histora.spec import VALID_FROM, TableSpec, quoted, ref
@@ -229,7 +230,7 @@ class Warehouse:
         surrogate key and cancel out where the merge needs the rows anyway: one exchange, of three columns."""
         def narrow(rows: DataFrame, sign: int) -> DataFrame:
             rows = rows.filter(ref(self.spec.bk).isNotNull())
-            key = h._comparable(self.spec.bk, None, self.spec, collation)
+            key = comparable(self.spec.bk, None, self.spec, collation)
             return rows.select(key.alias("_key"), (ref(self.spec.sid) * sign).alias("sid"), F.col(h.HASH).alias("hash"))
 
         rows = narrow(self._images(commits), 1)
@@ -240,7 +241,7 @@ class Warehouse:
         return rows
 
     def _touched(self, commits: list[Commit], stg: DataFrame, detect_deletes: bool, collation: str | None) -> DataFrame:
-        key, has_key = h._comparable(self.spec.bk, None, self.spec, collation), ref(self.spec.bk).isNotNull()
+        key, has_key = comparable(self.spec.bk, None, self.spec, collation), ref(self.spec.bk).isNotNull()
         value = F.col(h.HASH) if h.HASH in stg.columns else h.staged_hash(self.spec)
         staged = stg.filter(has_key).select(ref(self.spec.bk), value.alias("hash"))
         staged = h.one_row_per_key(staged, self.spec, collation).select(key.alias("_key"), ref(self.spec.bk).alias("bk"), "hash")
@@ -307,7 +308,7 @@ class Warehouse:
         schema = T.StructType(list(self.spec.staging_schema()) + [T.StructField(h.HASH, T.LongType())])
         return self.spark.read.schema(schema).parquet(f"{self.base}/staged/batch_id={batch_id}")
 
-    def verify(self, stg: DataFrame, key_in_merge: bool = False, rows: bool = True) -> None:
+    def verify(self, stg: DataFrame, key_in_merge: bool = False, rows: bool = True, collation: str | None = None) -> None:
         """Refuse a snapshot that breaks NOT NULL, a declared length or the key.
 
         key_in_merge: a merge follows, which refuses repeated business keys itself; a primary key that
@@ -317,7 +318,7 @@ class Warehouse:
             require(check_constraints(stg, self.spec), f"{self.spec.name}: null in a mandatory column or text too long")
         key = self.spec.pk or [self.spec.bk]
         if not (key_in_merge and key == [self.spec.bk]):
-            require(check_unique_key(stg, key), f"{self.spec.name}: key staged twice")
+            require(check_unique_key(stg, key, self.spec, collation), f"{self.spec.name}: key staged twice")
 
     def open_for(self, batch_id: int) -> None:
         """Raise unless the batch is a new one or the last one."""
@@ -417,14 +418,16 @@ class Warehouse:
         new = new.select(*self._columns(), F.lit(UNNUMBERED).alias(h.ACTION))
         self._store(new, batch_id, prior, delta_value, base, json.dumps([column, str(low), str(high)]))
 
-    def add_early(self, batch_id: int, child: DataFrame, fk_columns: list[str], valid_from, now) -> None:
+    def add_early(
+        self, batch_id: int, child: DataFrame, fk_columns: list[str], valid_from, now, collation: str | None = None
+    ) -> None:
         """Add a placeholder for every key of the child that has no current version here, and commit.
 
         The next delivery of such a member replaces its placeholder.
         """
         prior = self._prior(batch_id)
         kept = h.empty_warehouse(self.spark, self.spec) if prior is None else self.current(prior)
-        new = placeholders(kept, child, fk_columns, self.spec, batch_id, valid_from, now)
+        new = placeholders(kept, child, fk_columns, self.spec, batch_id, valid_from, now, collation)
         base = None if prior is None else self._base_for(prior)
         rows = new if base is not None else kept.unionByName(new)
         self._store(self._to_number(rows), batch_id, prior, base=base)
