@@ -122,11 +122,14 @@ def scd1_changes(
     null_safe: bool = True,
     collation: str | None = None,
     by: str = "columns",
+    guard: bool = True,
 ) -> DataFrame:
     """What `scd1_merge` changes: a row marked 'open' in dwh_action for every new member (without a surrogate key) and every new
-    image of a changed one, and the image that it replaces, marked 'drop'. Business keys are staged once."""
+    image of a changed one, and the image that it replaces, marked 'drop'."""
     no_key = ref(spec.bk).isNull()
-    rows = _matched(dwh.filter(~no_key), stg.filter(~no_key), spec, batch_id, now, null_safe, collation, by)
+    keyed = stg.filter(~no_key)
+    keyed = one_row_per_key(keyed, spec, collation) if guard else keyed
+    rows = _matched(dwh.filter(~no_key), keyed, spec, batch_id, now, null_safe, collation, by)
     steps = F.when(F.col("d._in_dwh").isNull(), F.array(F.lit(OPEN))).when(F.col("_update"), F.array(F.lit(DROP), F.lit(OPEN)))
     rows = rows.withColumn(ACTION, F.explode(steps))
     dropped = F.col(ACTION) == DROP

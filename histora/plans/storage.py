@@ -17,8 +17,8 @@ Current rows are then those of the base and those opened since, less what was cl
 history is the close folders of all batches. A failed attempt leaves the table as it was, and a repeat of the last batch
 replaces it only when it commits. A batch that others build on is refused, unless the later ones are taken back by `rewind`.
 
-Every row is stored with a hash of its values. A merge exchanges keys, surrogate keys and hashes only, and reads the whole rows just
-of the keys that are new, differ or vanished.
+Every row is stored with a hash of its values. A merge of a large table exchanges keys, surrogate keys and hashes only, and reads the
+whole rows just of the keys that are new, differ or vanished.
 
 History is never rewritten, and current rows only by a full batch: the first one, bucketed tables (a merge without an exchange of
 the stored side, paid for by writing all of it), `rewrite()`, and every batch that finds `rewrite_after` others since the
@@ -110,6 +110,9 @@ class Warehouse:
     rewrite_after: how many batches may follow a full one before the next one is full again. More make a batch
     cheaper to write, and the current rows dearer to read.
 
+    narrow_from: how many versions a table has had when merges begin to compare hashes first. That takes two passes over the narrow
+    columns in the place of one over all, which pays once the exchange outweighs the start of a further job. Results are the same.
+
     The commit rows are read once per object; a second writer on the same table is not foreseen.
     """
 
@@ -121,11 +124,12 @@ class Warehouse:
         buckets: int | None = None,
         retain: int = 2,
         rewrite_after: int = 20,
+        narrow_from: int = 1_000_000,
     ):
         if retain < 1:
             raise ValueError("the last batch has to stay")
         self.spark, self.spec, self.base, self.buckets, self.retain = spark, spec, base.rstrip("/"), buckets, retain
-        self.rewrite_after = 0 if buckets else rewrite_after
+        self.rewrite_after, self.narrow_from = 0 if buckets else rewrite_after, narrow_from
         self._known: list[Commit] | None = None
         self._stored = T.StructType(
             list(spec.warehouse_schema())
@@ -366,7 +370,8 @@ class Warehouse:
             late = self.current(prior).filter(F.col(VALID_FROM) >= moment(valid_from)).select(ref(self.spec.bk), VALID_FROM)
             require(late, f"{self.spec.name}: versions start at {valid_from} or later")
         base, commits = self._base_for(prior), self._since_base(prior)
-        if base is not None:
+        narrow = base is not None and self.commits()[prior].max_sid >= self.narrow_from
+        if narrow:
             current, stg = self._whole(commits, stg, options.get("collation"), options.get("detect_deletes", False))
             options["guard"] = False
         else:
@@ -392,7 +397,12 @@ class Warehouse:
             merged = scd1_merge(self._for_merge(prior, commits), self._at_buckets(stg), self.spec, batch_id, now, **options)
             self._store(self._to_number(merged), batch_id, prior, delta_value)
             return
-        current, stg = self._whole(commits, stg, options.get("collation"))
+        narrow = self.commits()[prior].max_sid >= self.narrow_from
+        if narrow:
+            current, stg = self._whole(commits, stg, options.get("collation"))
+        else:
+            current = self._for_merge(prior, commits)
+        options["guard"] = not narrow
         changes = scd1_changes(current, stg, self.spec, batch_id, now, **options).withColumn(h.HASH, h.version_hash(self.spec))
         # of a replaced image only the key stays
         known, dropped = {self.spec.bk, self.spec.sid, h.HASH, h.ACTION}, F.col(h.ACTION) == DROP

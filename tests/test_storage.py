@@ -38,10 +38,10 @@ def written(house, batch):
     return {r["dwh_action"]: r["count"] for r in found}
 
 
-@pytest.mark.parametrize("after", [0, 20])
-def test_a_delta_of_one_row_writes_one_row(spark, after):
+@pytest.mark.parametrize(("after", "narrow"), [(0, 0), (20, 0), (20, 10**6)])
+def test_a_delta_of_one_row_writes_one_row(spark, after, narrow):
     spec = contract(delta_load=True, delta_column="Seen")
-    house = Warehouse(spark, spec, fresh_path(spark, "one"), rewrite_after=after)
+    house = Warehouse(spark, spec, fresh_path(spark, "one"), rewrite_after=after, narrow_from=narrow)
     many = [(f"k{i:03}", "x", i) for i in range(100)]
     pipeline.run_scd1(source(spark, *many), house, 1, "2024-01-01")
     pipeline.run_scd1(source(spark, ("k007", "new", 500)), house, 2, "2024-02-01")
@@ -62,7 +62,7 @@ def test_a_delta_of_one_row_writes_one_row(spark, after):
 
 @pytest.mark.parametrize("after", [1, 20])
 def test_values_that_go_and_come_back(spark, after):
-    house = Warehouse(spark, contract(), fresh_path(spark, "back"), rewrite_after=after, retain=5)
+    house = Warehouse(spark, contract(), fresh_path(spark, "back"), rewrite_after=after, retain=5, narrow_from=0)
     states = [("a", "x"), ("a", "y"), ("a", "x"), ("a", "x"), ("a", "y")]
     for n, (key, name) in enumerate(states, 1):
         pipeline.run_scd1(source(spark, (key, name, 1), ("b", "b", 1)), house, n, f"2024-0{n}-01")
@@ -135,7 +135,7 @@ def exchanges(plan: str) -> list[str]:
 
 
 def test_a_merge_exchanges_each_side_once_and_only_hashes(spark):
-    house = Warehouse(spark, SPEC, fresh_path(spark, "narrow"))
+    house = Warehouse(spark, SPEC, fresh_path(spark, "narrow"), narrow_from=0)
     batches(spark, house)
     stg = house.stage(st.staging_full_load(delivery(spark, ("k0", "x")), SPEC, 4), 4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -163,13 +163,13 @@ def test_narrow_and_wide_merges_agree(spark, options):
         [("a", "x", "n"), ("b", "x", None), ("c", "x", "n"), ("d", "x", "n")],
     ]
     found = []
-    for after in (0, 20):
-        house = Warehouse(spark, SPEC, fresh_path(spark, "agree"), rewrite_after=after)
+    for after, narrow in ((0, 0), (20, 0), (20, 10**6)):
+        house = Warehouse(spark, SPEC, fresh_path(spark, "agree"), rewrite_after=after, narrow_from=narrow)
         for n, given in enumerate(deliveries, 1):
             run(spark, house, n, *given, **options)
         found.append(sorted(map(str, house.table().drop(SPEC.sid).collect())))
         assert house.table().select(SPEC.sid).distinct().count() == len(found[-1])
-    assert found[0] == found[1]
+    assert found[0] == found[1] == found[2]
 
 
 def test_hashes_tell_where_nulls_are(spark):
@@ -180,10 +180,10 @@ def test_hashes_tell_where_nulls_are(spark):
 
 
 # Collation ----------------------------------------------------------------------------------------
-@pytest.mark.parametrize("after", [0, 20])
+@pytest.mark.parametrize("narrow", [0, 10**6])
 @pytest.mark.parametrize("staged", [True, False])
-def test_deletes_under_a_collation(spark, staged, after):
-    house = Warehouse(spark, SPEC, fresh_path(spark, "ci"), rewrite_after=after)
+def test_deletes_under_a_collation(spark, staged, narrow):
+    house = Warehouse(spark, SPEC, fresh_path(spark, "ci"), narrow_from=narrow)
     run(spark, house, 1, ("a", "x"), ("b", "x"), ("c ", "x"), collation=CI, stage_deletes=staged)
     run(spark, house, 2, ("A", "x"), ("B ", "y"), collation=CI, stage_deletes=staged)
     run(spark, house, 3, ("a", "X"), ("b", "y"), ("C", "x"), collation=CI, stage_deletes=staged)
