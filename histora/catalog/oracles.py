@@ -332,6 +332,19 @@ ORACLES["pipeline_collation"] = after(
       THEN lower(dim_Customer_bk) || CASE WHEN CAST(InternalId AS BIGINT) % 5 = 0 THEN '  ' ELSE '' END
       ELSE dim_Customer_bk END AS dim_Customer_bk) FROM d2""",
 )
+ORACLES["pipeline_dependencies"] = f"""
+  SELECT CAST(1 AS INTEGER) AS loaded_as, 'dim_Nation' AS table_name, 'TPCH|' || n_nationkey AS bk, CAST(0 AS INTEGER) AS dwh_DeleteFlag FROM nation
+  UNION ALL SELECT 1, 'dim_Nation', '-1', 0
+  UNION ALL SELECT 2, 'dim_Customer', dim_Customer_bk, 0 FROM ({with_dummy('customer', 1)})
+  UNION ALL SELECT 3, 'dim_Order', dim_Order_bk, 0 FROM ({with_dummy('order', 1)})"""
+ORACLES["pipeline_catalog_views"] = f"""{batches('customer', 2)}
+  SELECT c.dim_Customer_bk, c.Segment, c.Balance, v.n_versions FROM d2 c
+  JOIN (SELECT dim_Customer_bk, count(*) AS n_versions FROM d2 GROUP BY 1) v ON v.dim_Customer_bk = c.dim_Customer_bk
+  WHERE c.dwh_CurrentFlag = 1 AND c.dwh_DeleteFlag = 0"""
+ORACLES["pipeline_hash_keys"] = (
+    f"{batches('customer', 2)} SELECT count(*) AS n_versions, count(*) AS n_keys, count(*) AS n_repeated FROM d2"
+)
+ORACLES["hash_keys"] = "SELECT count(*) AS n, count(*) AS n_keys, CAST(0 AS BIGINT) AS n_out, count(*) AS n_same FROM orders"
 ORACLES["pipeline_dispatch"] = f"""{batches('customer', 2)}
   SELECT 'dim_Customer' AS table_name, dim_Customer_bk AS bk, dwh_CurrentFlag, dwh_DeleteFlag,
     CAST(dwh_ValidFrom AS VARCHAR) AS dwh_ValidFrom FROM d2
@@ -448,6 +461,8 @@ ORACLES["partition_switch"] = as_text(
     ["OrderDate"],
 )
 
+ORACLES["pipeline_partitions"] = ORACLES["partition_switch"].replace("SELECT * REPLACE", "SELECT * EXCLUDE (order_year) REPLACE")
+
 # Derivations -------------------------------------------------------------------------------------
 ORACLES["composite_bk"] = """SELECT l_orderkey, l_linenumber, 'TPCH|' || l_orderkey || '|' || l_linenumber || '|' ||
   CASE WHEN l_partkey % 19 = 0 THEN '-1' ELSE CAST(l_partkey AS VARCHAR) END AS line_bk FROM lineitem"""

@@ -15,6 +15,7 @@ from histora.functions import scalars as sc
 from histora.functions.calendar import year_months
 from histora.operators import checks, early, groups, hierarchy, history, lookup, staging, surrogate, type1
 from histora.plans import pipeline, storage, views
+from histora.plans.partitions import PartitionedTable
 from histora.plans.storage import Warehouse
 from histora.sources import conform, select_rows, source_or_shell
 from histora.spec import CURRENT_FLAG, DELETE_FLAG, ref, table
@@ -442,6 +443,78 @@ def pipeline_dispatch(spark, sf):
     return plain(parts[0].unionByName(parts[1]))
 
 
+@query
+def pipeline_dependencies(spark, sf):
+    """Nations, customers and orders given in the wrong order: each is loaded once the table it refers to is there."""
+    nation = table(
+        "dim_Nation", [column("dim_Nation_bk", "nvarchar(56)", bk=True), column("Name", "nvarchar(50)")], table_type="reload"
+    )
+    linked = [
+        replace(c, early_arrive_parent="dim_Nation") if c.name == "dim_Nation_bk" else c for c in CUSTOMER.columns
+    ]
+    specs = [ORDER, replace(CUSTOMER, columns=tuple(linked)), nation]
+    houses = {s.name: Warehouse(spark, s, fresh_path(spark, s.name)) for s in specs}
+    nations = read(spark, sf, "nation").select(
+        sc.composite_bk(F.lit("TPCH"), F.col("n_nationkey")).alias("dim_Nation_bk"), F.col("n_name").alias("Name")
+    )
+    sources = {"dim_Order": fx.orders(spark, sf, 1), "dim_Customer": fx.customers(spark, sf, 1), "dim_Nation": nations}
+    done = pipeline.run_contracts(sources, houses.values(), 1, valid_from=VALID_FROM[1], now=NOW[1], init_valid_from=INIT)
+    parts = []
+    for i, (name, result) in enumerate(done.items()):
+        if isinstance(result, Exception):
+            raise result
+        rows = houses[name].table().select(ref(houses[name].spec.bk).alias("bk"), DELETE_FLAG)
+        parts.append(rows.select(F.lit(i + 1).alias("loaded_as"), F.lit(name).alias("table_name"), "bk", DELETE_FLAG))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def pipeline_catalog_views(spark, sf):
+    """Two batches whose views are in the catalog, read by another session: the members that exist, and how many versions each has."""
+    spec = replace(CUSTOMER, name="dim_CustomerShared")
+    house = Warehouse(spark, spec, fresh_path(spark, "shared"), catalog_views=True)
+    for t in (1, 2):
+        pipeline.run_scd2(fx.customers(spark, sf, t), house, t, VALID_FROM[t], NOW[t], INIT)
+    other = spark.newSession()
+    versions = other.table("v_dim_CustomerShared_fhi").groupBy("dim_Customer_bk").agg(F.count(F.lit(1)).alias("n_versions"))
+    return other.table("v_dim_CustomerShared_cur").select("dim_Customer_bk", "Segment", "Balance").join(versions, "dim_Customer_bk")
+
+
+@query
+def pipeline_hash_keys(spark, sf):
+    """Two batches of a table with hashes as surrogate keys: versions, different keys and keys that a repeat of the load gives again."""
+    houses = [Warehouse(spark, CUSTOMER, fresh_path(spark, "hashed"), hash_sids=True) for _ in range(2)]
+    for house, parts in zip(houses, (1, 7), strict=True):
+        for t in (1, 2):
+            pipeline.run_scd2(fx.customers(spark, sf, t).repartition(parts), house, t, VALID_FROM[t], NOW[t], INIT)
+    version = ["sid", CUSTOMER.bk, VALID_FROM_COLUMN]
+    first, again = (house.table().withColumnRenamed(CUSTOMER.sid, "sid").select(*version) for house in houses)
+    return first.join(again.withColumn("again", F.lit(1)), version, "left").agg(
+        F.count("sid").alias("n_versions"), F.count_distinct("sid").alias("n_keys"), F.count("again").alias("n_repeated")
+    )
+
+
+@query
+def hash_keys(spark, sf):
+    """Orders numbered by hashes in a space of twice their number, where many collide, the even ones beside the keys of the odd ones:
+    as many keys as orders, none out of the space, and the same ones when the rows lie otherwise."""
+    rows, sid = read(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("bk")), ref(ORDER.sid)
+    space = 2 * rows.count()
+
+    def numbered(rows):
+        odd = surrogate.assign_hash_sids(rows.filter("k % 2 = 1"), ORDER, ["bk"], space=space)
+        even = surrogate.assign_hash_sids(rows.filter("k % 2 = 0"), ORDER, ["bk"], odd.select(sid), space)
+        return odd.unionByName(even)
+
+    again = numbered(rows.repartition(5)).select("k", sid.alias("again"))
+    return numbered(rows).join(again, "k").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct(sid).alias("n_keys"),
+        F.count(F.when((sid < 0) | (sid >= space), 1)).alias("n_out"),
+        F.count(F.when(sid == F.col("again"), 1)).alias("n_same"),
+    )
+
+
 @query
 def pipeline_scd1(spark, sf):
     """Two batches of a table that is updated in place."""
@@ -598,6 +671,20 @@ def partition_switch(spark, sf):
 
 
 # Derivations -------------------------------------------------------------------------------------
+@query
+def pipeline_partitions(spark, sf):
+    """Orders by year with commits: the second batch first brings wrong rows for more years and is then repeated with the right ones."""
+    store = PartitionedTable(spark, ORDER, fresh_path(spark, "partitions"), "OrderYear")
+
+    def staged(t):
+        return staging.staging_full_load(fx.orders(spark, sf, t), ORDER, t).withColumn("OrderYear", F.year("OrderDate"))
+
+    store.switch(staged(1), 1)
+    store.switch(staged(3).filter("OrderYear >= 1996"), 2)
+    store.switch(staged(2).filter("OrderYear >= 1998"), 2)
+    return plain(store.read())
+
+
 @query
 def composite_bk(spark, sf):
     part = F.when(F.col("l_partkey") % 19 != 0, F.col("l_partkey"))

@@ -77,22 +77,29 @@ def current_of_sequence(
     start = ref(valid_from).cast("timestamp_ntz")
     end = F.coalesce(ref(valid_to).cast("timestamp_ntz"), moment(OPEN_END))
     groups = [f"_g{i}" for i in range(len(keys))]
+    # Start and end in one number, of which the largest is found by hashing, with the end of the sequence in the same aggregate
+    place = F.coalesce(_micros(start), F.lit(-(10**18)).cast("decimal(19,0)")) * F.lit(10**18).cast("decimal(19,0)") + _micros(end)
     rows = df.select(
-        *[ref(k).alias(g) for k, g in zip(keys, groups, strict=True)], start.alias("_s"), end.alias("_e"), ref(key).alias("_key")
+        *[ref(k).alias(g) for k, g in zip(keys, groups, strict=True)], end.alias("_e"), place.alias("_place"), ref(key).alias("_key")
     )
-    ended = rows.groupBy(*[F.col(g).alias(f"{g}_") for g in groups]).agg(F.max("_e").alias("_until")).filter(F.col("_until") < at)
-    rows = rows.join(ended, [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups], "left_semi")
-    for column in ("_s", "_e"):
-        rows = _at_extreme(rows, groups, column, last=True)
-    last_of_ended = rows.groupBy(*groups).agg(F.max("_key").alias("_last_key")).select("_last_key")
+    ended = rows.groupBy(*[F.col(g).alias(f"{g}_") for g in groups]).agg(F.max("_e").alias("_until"), F.max("_place").alias("_last"))
+    ended = ended.filter(F.col("_until") < at)
+    same = [F.col(g).eqNullSafe(F.col(f"{g}_")) for g in groups]
+    last_of_ended = rows.join(ended, [*same, F.col("_place") == F.col("_last")]).groupBy(*groups).agg(F.max("_key").alias("_last_key"))
     valid = F.coalesce(at.between(start, end), F.lit(False))
     return (
-        df.join(last_of_ended, ref(key) == F.col("_last_key"), "left")
+        df.join(last_of_ended.select("_last_key"), ref(key) == F.col("_last_key"), "left")
         .withColumn(name, F.when(valid | F.col("_last_key").isNotNull(), "1").otherwise("0"))
         .drop("_last_key")
     )
 
 
+def _micros(time: Column) -> Column:
+    """Microseconds since 1970 of a time without zone, exact and in the same order."""
+    seconds = (time - F.lit("1970-01-01").cast("timestamp_ntz")).cast("interval second").cast("decimal(18,6)")
+    return (seconds * 1_000_000).cast("decimal(18,0)")
+
+
 def parent_child_days(
     parent: DataFrame, child: DataFrame, key: str, parent_start: str, child_start: str, name: str = "days_between"
 ) -> DataFrame:

@@ -1,6 +1,6 @@
-"""Parent-child hierarchies, walked level by level.
+"""Parent-child hierarchies, walked level by level, and their closure, by doubling paths.
 
-Every level is written to the shared folder before the next one starts, so the plan stays one join deep
+Every level or round is written to the shared folder before the next one starts, so the plan stays one join deep
 and a lost executor costs at most one level.
 """
 
@@ -50,41 +50,45 @@ def hierarchy_closure(edges: DataFrame, child: str, parent: str) -> DataFrame:
     and the descendant a leaf. A cycle is refused.
 
     Both flags belong to an edge and travel with the walk, so that only the edges are joined for them, not the far
-    larger closure. The walk takes one level after the other and ends with the level that adds no new pair, so its
-    depth has no bound. In a tree every pair has one path; only where some node has several parents are the pairs
-    of a level compared with those reached before.
+    larger closure. Paths are doubled: a pair at a distance above 2^k and up to 2^(k+1) consists of one at exactly 2^k and one at
+    2^k or less, so round k joins those two, and the rounds grow with the logarithm of the depth. In a tree every pair has
+    one path; only where some node has several parents are the new pairs of a round compared with those reached before.
     """
     spark = edges.sparkSession
     clean = _clean(edges, child, parent)
     links = materialise(spark, "edges", _with_roots(_with_leaves(clean, "child", "parent")))
     is_tree = links.groupBy("child").count().filter(F.col("count") > 1).isEmpty()
-    level = links.select(
+    found = links.select(
         F.col("parent").alias("ancestor"),
         F.col("child").alias("descendant"),
         F.lit(1).alias("depth"),
         "root_flag",
         "leaf_flag",
     )
-    base, paths, below = fresh_path(spark, "closure"), [], links.drop("root_flag")
+    base, paths, reach = fresh_path(spark, "closure"), [], 1
     while True:
-        paths.append(f"{base}/depth={len(paths)}")
-        level.write.parquet(paths[-1])
-        stored = spark.read.schema(level.schema).parquet(paths[-1])
-        own = F.col("ancestor") == F.col("descendant")
-        inner, cycle = stored.agg(F.max(F.col("leaf_flag") == "0"), F.max(F.when(own, F.col("ancestor")))).first()
+        # what is not further than `reach`, the power of two
+        paths.append(f"{base}/reach={reach}")
+        found.write.parquet(paths[-1])
+        stored = spark.read.schema(found.schema).parquet(paths[-1])
+        own, furthest = F.col("ancestor") == F.col("descendant"), F.col("depth") == reach
+        inner, cycle = stored.agg(F.max((F.col("leaf_flag") == "0") & furthest), F.max(F.when(own, F.col("ancestor")))).first()
         if cycle is not None:
             raise HierarchyCycle(f"{cycle} is its own ancestor")
+        reached = spark.read.schema(found.schema).parquet(*paths)
         if not inner:
-            return spark.read.schema(level.schema).parquet(*paths)
-        above = stored.filter(F.col("leaf_flag") == "0").select(
-            "ancestor", F.col("descendant").alias("parent"), "depth", "root_flag"
-        )
-        level = above.join(below, "parent").select(
-            "ancestor", F.col("child").alias("descendant"), (F.col("depth") + 1).alias("depth"), "root_flag", "leaf_flag"
+            return reached
+        above = stored.filter((F.col("leaf_flag") == "0") & furthest)
+        above = above.select("ancestor", F.col("descendant").alias("middle"), F.col("depth").alias("first"), "root_flag")
+        below = reached.select(F.col("ancestor").alias("middle"), "descendant", "depth", "leaf_flag")
+        found = above.join(below, "middle").select(
+            "ancestor", "descendant", (F.col("first") + F.col("depth")).alias("depth"), "root_flag", "leaf_flag"
         )
         if not is_tree:
-            reached = spark.read.schema(stored.schema).parquet(*paths).select("ancestor", "descendant")
-            level = level.distinct().join(reached, ["ancestor", "descendant"], "left_anti")
+            found = found.groupBy("ancestor", "descendant", "root_flag", "leaf_flag").agg(F.min("depth").alias("depth"))
+            found = found.join(reached.select("ancestor", "descendant"), ["ancestor", "descendant"], "left_anti")
+            found = found.select("ancestor", "descendant", "depth", "root_flag", "leaf_flag")
+        reach *= 2
 
 
 def _walk(first: DataFrame, step, max_depth: int, name: str) -> DataFrame:

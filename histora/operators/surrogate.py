@@ -1,4 +1,4 @@
-"""Row positions and surrogate keys without a single-task sort.
+"""Row positions and surrogate keys without a single-task sort; surrogate keys that are hashes.
 
 Rows are written once to the shared folder. A row's place is then (file, row index in the file), which
 stays the same however often and wherever the files are read, also when executors are lost between the
@@ -7,11 +7,13 @@ reads. The only aggregate is one row count per file.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from histora.spec import TableSpec, ref
-from histora.workspace import fresh_path
+from histora.workspace import fresh_path, materialise
 
 _TIE = "_tie"
 
@@ -61,6 +63,61 @@ def assign_sids(rows: DataFrame, spec: TableSpec, start: int = 0, order_by: list
     return numbered.select(ref(spec.sid), *[ref(c) for c in bare.columns])
 
 
+class KeySpaceFull(ValueError):
+    """There are more rows than values for their surrogate keys."""
+
+
+def assign_hash_sids(
+    rows: DataFrame,
+    spec: TableSpec,
+    on: list[str],
+    taken: DataFrame | None = None,
+    space: int = (1 << 63) - 1,
+    seed: int = 0,
+) -> DataFrame:
+    """Give rows without a surrogate key the hash of the columns `on`, a value from 0 to space - 1 that no other row has.
+
+    on: columns that identify a row, such as the business key and the start of a version. taken: the keys given out so far. A row
+    whose value is taken, or wanted by a row with smaller `on` as well, moves on to the next value, in rounds until all rows have
+    one. The outcome depends on the rows and `taken` only, not on tasks or partitions. Each round exchanges the rows that are
+    left, by value; with 63 bits that is one round and, at 10 billion rows, a few rows of a second one.
+    """
+    spark, sid = rows.sparkSession, spec.sid
+    bare = materialise(spark, f"{spec.name}-hash", rows.drop(sid))
+    keys = [ref(c) for c in on]
+    nulls = [k.isNull() for k in keys]
+    twice = bare.groupBy(*keys).count().filter("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"{spec.name}: rows to be numbered agree in {', '.join(on)}")
+    held = taken.select(ref(taken.columns[0]).alias("_value")) if taken is not None else None
+    n = bare.count() + (held.count() if held is not None else 0)
+    if n > space:
+        raise KeySpaceFull(f"{spec.name}: {n} rows for {space} values")
+    start = F.pmod(F.xxhash64(F.lit(seed), *keys, *nulls), F.lit(space))
+    left = bare.select(*keys, start.alias("_value"))
+    order = Window.partitionBy("_value").orderBy(*keys)
+    placed = []
+    while True:
+        nth = left.withColumn("_nth", F.row_number().over(order))
+        if held is not None:
+            # where few rows are left, this comes down to a scan of the values given out
+            met = held.join(left.select("_value").distinct(), "_value", "left_semi").distinct()
+            nth = nth.join(met.withColumn("_taken", F.lit(True)), "_value", "left")
+        else:
+            nth = nth.withColumn("_taken", F.lit(None).cast("boolean"))
+        tried = materialise(spark, f"{spec.name}-hash", nth)
+        got = tried.filter("_nth = 1 AND _taken IS NULL").select(*keys, "_value")
+        placed.append(got)
+        left = tried.filter("_nth > 1 OR _taken").select(*keys, ((F.col("_value") + 1) % F.lit(space)).alias("_value"))
+        if left.isEmpty():
+            break
+        held = got.select("_value") if held is None else held.unionByName(got.select("_value"))
+    found = reduce(DataFrame.unionByName, placed)
+    found = found.select(*[k.alias(f"_on{i}") for i, k in enumerate(keys)], F.col("_value").cast("bigint").alias(sid))
+    same = [k.eqNullSafe(F.col(f"_on{i}")) for i, k in enumerate(keys)]
+    return bare.join(found, same).select(ref(sid), *[ref(c) for c in bare.columns])
+
+
 def highest_sid(dwh: DataFrame, spec: TableSpec) -> int:
     """The last surrogate key given out; 0 for an empty table."""
     return dwh.agg(F.max(ref(spec.sid))).first()[0] or 0

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import fnmatch
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from typing import Any, Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from histora.functions.defaults import default_for
@@ -14,9 +16,8 @@ from histora.operators.checks import breaks_constraint, check_constraints, requi
 from histora.operators.staging import staging_full_load, with_deletes, with_dummy
 from histora.operators.type1 import delta_load
 from histora.plans.storage import ProtectedTable, Warehouse, switch_partition
-from histora.plans.views import register_views
 from histora.sources.delivery import is_shell
-from histora.spec import BEGINNING, TableSpec, ref
+from histora.spec import BEGINNING, ContractError, TableSpec, ref
 
 STEPS = ("staging", "checks", "history", "views")
 
@@ -106,7 +107,7 @@ def run_scd2(
             batch_id, init_valid_from, valid_from, now, detect_deletes=detect and not stage_deletes, **compare
         )
     if "views" in steps:
-        register_views(warehouse.table(), spec)
+        warehouse.show()
     return warehouse
 
 
@@ -169,7 +170,7 @@ def run_scd1(
         else:
             warehouse.update(batch_id, now, delta_value=reached, **compare)
     if "views" in steps:
-        register_views(warehouse.table(), spec)
+        warehouse.show()
     return warehouse
 
 
@@ -184,7 +185,7 @@ def run_full_reload(
     if "history" in steps:
         warehouse.reload(batch_id, whole_seconds() if now is None else now)
     if "views" in steps:
-        register_views(warehouse.table(), spec)
+        warehouse.show()
     return warehouse
 
 
@@ -227,7 +228,7 @@ def run_early_arriving(
             whole_seconds() if now is None else now,
             collation,
         )
-        register_views(parents[name].table(), parents[name].spec)
+        parents[name].show()
     return list(wanted)
 
 
@@ -279,35 +280,89 @@ def run_psa(
         stg=stg,
         **compare,
     )
-    register_views(warehouse.table(), warehouse.spec)
+    warehouse.show()
     return warehouse
 
 
+class ParentFailed(RuntimeError):
+    """A table was not loaded because one that it refers to was not."""
+
+
+def parents_of(spec: TableSpec, names: Iterable[str]) -> set[str]:
+    """The tables among `names` that columns of a contract refer to (`early_arrive_parent`); a reference to itself is none."""
+    return {c.early_arrive_parent for c in spec.columns if c.early_arrive_parent in set(names) - {spec.name}}
+
+
+def load_layers(specs: Iterable[TableSpec]) -> list[list[TableSpec]]:
+    """Tables in layers: those of a layer refer to tables of earlier layers only. Tables that refer to each other in a circle are refused."""
+    left = {s.name: s for s in specs}
+    waiting = {name: parents_of(s, left) for name, s in left.items()}
+    layers = []
+    while waiting:
+        ready = [name for name, parents in waiting.items() if not parents]
+        if not ready:
+            raise ContractError(f"tables refer to each other in a circle: {', '.join(sorted(waiting))}")
+        layers.append([left[name] for name in ready])
+        waiting = {name: parents - set(ready) for name, parents in waiting.items() if name not in ready}
+    return layers
+
+
 def run_all(
     specs: Iterable[TableSpec],
     run: Callable[[TableSpec], Any],
     tables: str = "*",
+    parallel: int = 4,
+    spark: SparkSession | None = None,
 ) -> dict[str, Any]:
-    """Run the selected tables (a name or pattern). An error stops its own table only and is returned
-    as that table's result. See `run_contracts` for the pipeline of each contract."""
-    results: dict[str, Any] = {}
-    for spec in specs:
-        if not fnmatch.fnmatchcase(spec.name, tables or "*"):
-            continue
-        try:
-            results[spec.name] = run(spec)
-        except Exception as error:  # noqa: BLE001 - reported per table
-            results[spec.name] = error
-    return results
+    """Run the selected tables (a name or pattern), each as soon as all tables it refers to are done, up to `parallel` at a time.
+
+    An error stops its own table and those that refer to it, and is returned as that table's result. The driver's threads only
+    submit jobs; with `spark` each table's go to a scheduler pool of its own, which share the cluster evenly if the session
+    runs with spark.scheduler.mode=FAIR. See `run_contracts` for the pipeline of each contract.
+    """
+    chosen = [s for s in specs if fnmatch.fnmatchcase(s.name, tables or "*")]
+    order = [s for layer in load_layers(chosen) for s in layer]
+    waiting = {s.name: parents_of(s, [o.name for o in order]) for s in order}
+    by_name, results, running = {s.name: s for s in order}, {}, {}
+
+    def work(spec: TableSpec) -> Any:
+        if spark is not None:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
+        return run(spec)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as threads:
+        while waiting or running:
+            for name in [n for n, parents in waiting.items() if parents <= set(results)]:
+                failed = sorted(p for p in waiting.pop(name) if isinstance(results[p], Exception))
+                if failed:
+                    results[name] = ParentFailed(f"{name}: not loaded, as {', '.join(failed)} failed")
+                else:
+                    target = work if spark is None else inheritable_thread_target(spark)(work)
+                    running[threads.submit(target, by_name[name])] = name
+            for future in wait(running, return_when=FIRST_COMPLETED).done if running else ():
+                error = future.exception()
+                if error is not None and not isinstance(error, Exception):
+                    raise error
+                results[running.pop(future)] = future.result() if error is None else error
+    return {s.name: results[s.name] for s in order}
 
 
 def run_contracts(
-    sources: Mapping[str, DataFrame], warehouses: Iterable[Warehouse], batch_id: int, tables: str = "*", **options: Any
+    sources: Mapping[str, DataFrame],
+    warehouses: Iterable[Warehouse],
+    batch_id: int,
+    tables: str = "*",
+    parallel: int = 4,
+    **options: Any,
 ) -> dict[str, Any]:
-    """One batch of every selected table, each by the pipeline of its contract; sources by table name."""
+    """One batch of every selected table, each by the pipeline of its contract; sources by table name. Tables that others refer
+    to are loaded before them, independent ones at the same time."""
     by_name = {w.spec.name: w for w in warehouses}
+    spark = next((w.spark for w in by_name.values()), None)
     return run_all(
         [w.spec for w in by_name.values()],
         lambda spec: run_table(sources[spec.name], by_name[spec.name], batch_id, **options),
         tables,
+        parallel,
+        spark,
     )

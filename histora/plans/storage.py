@@ -44,8 +44,9 @@ from histora.operators import history as h
 from histora.operators.checks import check_constraints, check_unique_key, require
 from histora.operators.early import placeholders
 from histora.operators.staging import comparable
-from histora.operators.surrogate import with_positions
+from histora.operators.surrogate import assign_hash_sids, with_positions
 from histora.operators.type1 import DROP, outside_range, scd1_changes, scd1_merge, scd1_overlap_replace
+from histora.plans.views import publish_views, register_views
 from histora.spec import VALID_FROM, TableSpec, quoted, ref
 from histora.workspace import exists, materialise, remove, subfolders
 
@@ -113,6 +114,9 @@ class Warehouse:
     narrow_from: how many versions a table has had when merges begin to compare hashes first. That takes two passes over the narrow
     columns in the place of one over all, which pays once the exchange outweighs the start of a further job. Results are the same.
 
+    catalog_views: the reporting views go to the catalog instead of the session. hash_sids: surrogate keys are 64-bit hashes of business
+    key and start of the version instead of dense numbers (see `assign_hash_sids`).
+
     The commit rows are read once per object; a second writer on the same table is not foreseen.
     """
 
@@ -125,11 +129,14 @@ class Warehouse:
         retain: int = 2,
         rewrite_after: int = 20,
         narrow_from: int = 1_000_000,
+        catalog_views: bool = False,
+        hash_sids: bool = False,
     ):
         if retain < 1:
             raise ValueError("the last batch has to stay")
         self.spark, self.spec, self.base, self.buckets, self.retain = spark, spec, base.rstrip("/"), buckets, retain
         self.rewrite_after, self.narrow_from = 0 if buckets else rewrite_after, narrow_from
+        self.catalog_views, self.hash_sids = catalog_views, hash_sids
         self._known: list[Commit] | None = None
         self._stored = T.StructType(
             list(spec.warehouse_schema())
@@ -183,6 +190,49 @@ class Warehouse:
         past = self._folders(self._chain(batch)).filter(F.col(h.ACTION) == h.CLOSE).select(*self._columns())
         return past.unionByName(self.current(batch))
 
+    def show(self) -> list[str]:
+        """(Re)create the reporting views on the last batch."""
+        if not self.catalog_views:
+            return register_views(self.table(), self.spec)
+        return publish_views(self.spark, self.spec, self.state_sql())
+
+    def state_sql(self) -> str:
+        """The rows of `table()` in SQL, over the folders of the last batch, and dwh_past for closed versions."""
+        batch, schema = self.last_batch(), self.spec.warehouse_schema()
+        columns, sid = ", ".join(quoted(f.name) for f in schema), quoted(self.spec.sid)
+
+        def parts(commits: list[Commit], actions: tuple[str, ...], select: str, where: Callable[[Commit], str] = lambda c: "TRUE") -> str:
+            found = []
+            for c in commits:
+                folder = self._folder(c.batch_id, c.attempt)
+                for name in subfolders(self.spark, folder):
+                    if name.split("=", 1)[1] in actions:
+                        source = f"parquet.{quoted(f'{folder}/{name}')}"
+                        found.append(f"SELECT {select}, {c.batch_id} AS _batch FROM {source} WHERE {where(c)}")
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema)
+            return " UNION ALL ".join(found) or f"SELECT {select}, 0 AS _batch FROM (SELECT {nothing}) WHERE FALSE"
+
+        commits = [] if batch is None else self._since_base(batch)
+        kinds = {f.name: f.dataType.simpleString() for f in schema}
+
+        def outside(commit: Commit) -> str:
+            tests = ["TRUE"]
+            for later in commits:
+                if later.replaced and later.batch_id > commit.batch_id:
+                    name, *bounds = json.loads(later.replaced)
+                    escaped = [b.replace("\\", "\\\\").replace("'", "\\'") for b in bounds]
+                    low, high = (f"CAST('{b}' AS {kinds[name]})" for b in escaped)
+                    tests.append(f"({quoted(name)} IS NULL OR {quoted(name)} < {low} OR {quoted(name)} > {high})")
+            return " AND ".join(tests)
+
+        live = parts(commits, (h.KEEP, h.OPEN), columns, outside)
+        ended = parts(commits[1:], (h.CLOSE, DROP), f"{sid} AS _sid")
+        past = parts([] if batch is None else self._chain(batch), (h.CLOSE,), columns)
+        return (
+            f"SELECT {columns}, FALSE AS dwh_past FROM ({live}) AS r LEFT ANTI JOIN ({ended}) AS e ON r.{sid} = e._sid AND r._batch < e._batch"
+            f" UNION ALL SELECT {columns}, TRUE AS dwh_past FROM ({past})"
+        )
+
     def _chain(self, batch: int) -> list[Commit]:
         """The batch and those it builds on, latest first."""
         commits, chain, step = self.commits(), [], batch
@@ -497,18 +547,27 @@ class Warehouse:
         unnumbered = f"{self._folder(batch_id, attempt)}/{h.ACTION}={UNNUMBERED}"
         if counted.get["fresh"]:
             files = self.spark.read.schema(self.spec.warehouse_schema()).parquet(unnumbered)
-            self._write_open(with_positions(files, self.spec.sid, max_sid), batch_id, attempt, "append")
+            self._write_open(self._numbered(files, max_sid, prior), batch_id, attempt, "append")
             remove(self.spark, unnumbered)
         self._commit(batch_id, attempt, prior, max_sid + counted.get["fresh"], delta_value, base, replaced)
 
     def _load_all(self, files: DataFrame, batch_id: int, valid_from, now, delta_value: Any) -> None:
         """Every staged row opens a version; it is numbered by its place in the staged files."""
         attempt, counted = uuid.uuid4().hex, Observation()
-        numbered = with_positions(files, self.spec.sid)
-        loaded = h.stamp_dwh(numbered, self.spec, valid_from, batch_id, now, keep=[self.spec.sid])
+        if self.hash_sids:
+            loaded = self._numbered(h.stamp_dwh(files, self.spec, valid_from, batch_id, now), 0, None)
+        else:
+            numbered = with_positions(files, self.spec.sid)
+            loaded = h.stamp_dwh(numbered, self.spec, valid_from, batch_id, now, keep=[self.spec.sid])
         self._write_open(loaded.observe(counted, F.count(F.lit(1)).alias("n")), batch_id, attempt, "overwrite")
         self._commit(batch_id, attempt, None, counted.get["n"], delta_value)
 
+    def _numbered(self, files: DataFrame, max_sid: int, prior: int | None) -> DataFrame:
+        if not self.hash_sids:
+            return with_positions(files, self.spec.sid, max_sid)
+        taken = None if prior is None else self.table(prior).select(ref(self.spec.sid))
+        return assign_hash_sids(files, self.spec, [self.spec.bk, VALID_FROM], taken)
+
     def _write_open(self, rows: DataFrame, batch_id: int, attempt: str, mode: str) -> None:
         if self.buckets:
             rows = rows.repartition(self.buckets, ref(self.spec.bk))
@@ -598,11 +657,15 @@ def archive_table(spark: SparkSession, name: str, ts: str, spec: TableSpec | Non
     return aside
 
 
-def publish(df: DataFrame, path: str, view_name: str) -> DataFrame:
-    """Write to a new folder, then point the view to it: readers never meet an empty table."""
+def publish(df: DataFrame, path: str, view_name: str, in_catalog: bool = False) -> DataFrame:
+    """Write to a new folder, then point the view to it: readers never meet an empty table. in_catalog: a view of the catalog, which
+    readers in other sessions find as well; they see the old folder until the one statement that points it to the new one."""
     df.write.mode("errorifexists").parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    stored.createOrReplaceTempView(quoted(view_name))
+    if in_catalog:
+        df.sparkSession.sql(f"CREATE OR REPLACE VIEW {quoted(view_name)} AS SELECT * FROM parquet.{quoted(path)}")
+    else:
+        stored.createOrReplaceTempView(quoted(view_name))
     return stored
 
 

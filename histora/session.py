@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Tables that are loaded at the same time share the cluster
+    "spark.scheduler.mode": "FAIR",
     # The three parts of a merged batch are written side by side instead of sorted first
     "spark.sql.maxConcurrentOutputFileWriters": "16",
     # Recording the Python call site of every expression makes wide contracts slow to plan
