@@ -9,7 +9,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from histora.workspace import materialise
+from histora.workspace import fresh_path, materialise, remove
 
 _SHIPPED: set[str] = set()
 
@@ -41,6 +41,36 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(app)
 
 
+class Scratch:
+    """Tables that one operator writes to the shared folder and removes once it has read them for the last time.
+
+    What a write has shuffled is let go with it: nothing reads it again, as later steps read the table.
+    """
+
+    CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self._paths: dict[str, str] = {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows, written under a name and read back; a table that had the name is removed then."""
+        path, usual = fresh_path(self.spark, name), self.spark.conf.get(self.CLEANUP, "false")
+        self.spark.conf.set(self.CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(self.CLEANUP, usual)
+        self.drop(name)
+        self._paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            if name in self._paths:
+                remove(self.spark, self._paths.pop(name))
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read back: later steps survive lost executors."""
     return materialise(df.sparkSession, name, df)

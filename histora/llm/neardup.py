@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histora.llm.common import ascii_words, saved, ship
+from histora.llm.common import Scratch, ascii_words, ship
 from histora.llm.components import components
 
 BANDS, ROWS = 32, 4
@@ -100,7 +100,7 @@ def fewest_equal(n: int, threshold: float, miss: float) -> int:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """docs: id, text, th. Gives id, th, n, node (null for an empty set), keys of the bands and the signature."""
+    """docs: id, text, th. Gives id, th, n, node (null for an empty set) and the signature."""
     import numpy as np
     import pyarrow as pa
 
@@ -108,41 +108,50 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         factors, terms = hash_functions(BANDS * ROWS)
-        band = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                sizes, nodes, keys, signs = [], [], [], []
+                sizes, nodes, signs = [], [], []
                 for text in part.column(1).to_pylist():
                     s = shingle_set(text, width)
                     sizes.append(len(s))
                     if len(s):
-                        sig = signature(s, factors, terms)
-                        x = band.copy()
-                        for r in range(ROWS):
-                            x = mixed(x * np.uint64(0x9E3779B97F4A7C15) + sig[r::ROWS].astype(np.uint64))
                         nodes.append(xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63))
-                        keys.append(x.view(np.int64))
-                        signs.append(sig.tobytes())
+                        signs.append(signature(s, factors, terms).tobytes())
                     else:
                         nodes.append(None)
-                        keys.append(np.empty(0, np.int64))
                         signs.append(None)
-                flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-                ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(2),
                         pa.array(sizes, pa.int64()),
                         pa.array(nodes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
                         pa.array(signs, pa.binary()),
                     ],
-                    names=["id", "th", "n", "node", "keys", "sig"],
+                    names=["id", "th", "n", "node", "sig"],
                 )
 
-    return docs.mapInArrow(run, f"id {kind}, th long, n long, node long, keys array<long>, sig binary")
+    return docs.mapInArrow(run, f"id {kind}, th long, n long, node long, sig binary")
+
+
+def band_keys(nodes: DataFrame) -> DataFrame:
+    """(node, key): the keys of the bands, computed from the signatures wherever they are needed."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        band = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
+        for batch in batches:
+            if batch.num_rows:
+                sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
+                x = np.tile(band, (len(sig), 1))
+                for r in range(ROWS):
+                    x = mixed(x * np.uint64(0x9E3779B97F4A7C15) + sig[:, r::ROWS].astype(np.uint64))
+                which = pa.array(np.repeat(np.arange(len(sig)), BANDS))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(which), pa.array(x.view(np.int64).ravel())], names=["node", "key"])
+
+    return nodes.select("node", "sig").mapInArrow(run, "node long, key long")
 
 
 def promising(pairs: DataFrame, nodes: DataFrame, threshold: float, miss: float) -> DataFrame:
@@ -210,7 +219,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def rare_partners(sets: DataFrame, crowded: DataFrame, percent: int) -> DataFrame:
+def rare_partners(sets: DataFrame, crowded: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Every pair of `crowded` (node, c) with different c that may reach the threshold: they share a rare shingle.
 
     Two sets of which one has x members share at least percent/100 * x, so they share one of the x - that + 1 members
@@ -236,13 +245,14 @@ def rare_partners(sets: DataFrame, crowded: DataFrame, percent: int) -> DataFram
                 )
 
     rows = sets.join(crowded, "node").select("node", "c", "s").mapInArrow(spread, "node long, c long, n long, x long")
-    rows = saved(rows, "crowd")
-    often = saved(rows.groupBy("x").agg(F.count("*").alias("df")), "often")
+    rows = scratch.save(rows, "crowd-rows")
+    often = scratch.save(rows.groupBy("x").agg(F.count("*").alias("df")), "often")
     place = F.row_number().over(Window.partitionBy("node").orderBy("df", "x"))
     first = rows.join(often, "x").withColumn("place", place).select("node", "c", "n", "x", "place")
-    first = saved(first.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1), "crowd")
+    first = scratch.save(first.where(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1), "crowd")
+    scratch.drop("crowd-rows", "often")
     open_ = first.groupBy("x").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 != c1").select("x")
-    first = first.join(saved(open_, "open"), "x")
+    first = first.join(scratch.save(open_, "open"), "x")
     a, b = (first.select(*[F.col(k).alias(k + s) for k in ("node", "c", "n", "place")], "x") for s in "12")
     # of the first member that two sets share, nothing before is shared: so much can follow, and so much is needed
     most = F.least(F.col("n1") - F.col("place1"), F.col("n2") - F.col("place2")) + 1
@@ -273,56 +283,61 @@ def near_duplicates(
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
-    rows = saved(sketches(docs.select("id", "text", "th"), width), "sketches")
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.save(sketches(docs.select("id", "text", "th"), width), "sketches")
     nodes = rows.where("node IS NOT NULL").groupBy("node")
-    nodes = saved(
-        nodes.agg(
-            F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("r"),
-            F.first("keys").alias("keys"),
-            F.first("sig").alias("sig"),
-        ).select("node", "r.id", "r.th", "keys", "sig"),
-        "nodes",
-    )
-    held = nodes.select("node", F.explode("keys").alias("key"))
+    nodes = nodes.agg(F.min(F.struct(F.col("id").isNull(), "id", "th")).alias("r"), F.first("sig").alias("sig"))
+    nodes = scratch.save(nodes.select("node", "r.id", "r.th", "sig"), "nodes")
+    # the signature of a node is kept once
+    rows = scratch.save(rows.drop("sig"), "rows")
+    scratch.drop("sketches")
+    held = band_keys(nodes)
     threshold = percent / 100
 
     # First round: one partner each, the node that shares most keys with others (an original rather than an edited copy).
     # Aggregates by key are stored before they are joined by it: a join with exchanges of its own can split a full key.
-    shared = saved(held.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    held = saved(held.join(shared, "key"), "held")
+    shared = scratch.save(held.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+    held = scratch.save(held.join(shared, "key"), "held")
+    scratch.drop("shared")
     fame = held.groupBy("node").agg(F.sum("n").alias("fame"))
-    famous = saved(held.join(fame, "node").groupBy("key").agg(F.max(F.struct("fame", "node")).alias("top")), "famous")
+    famous = held.join(fame, "node").groupBy("key").agg(F.max(F.struct("fame", "node")).alias("top"))
+    famous = scratch.save(famous, "famous")
     first = held.join(famous, "key").where("node != top.node").groupBy("node").agg(F.max("top").alias("top"))
     first = first.select(F.least("node", "top.node").alias("a"), F.greatest("node", "top.node").alias("b")).distinct()
-    first = saved(promising(first, nodes, threshold, miss), "pairs")
+    first = scratch.save(promising(first, nodes, threshold, miss), "pairs")
+    scratch.drop("famous")
     sets = full_sets(first.select(F.col("a").alias("node")).union(first.select("b")).distinct(), nodes, docs, width)
-    sets = saved(sets, "sets")
-    links = saved(confirmed(first, sets, percent), "links")
+    links = scratch.save(confirmed(first, scratch.save(sets, "sets"), percent), "links")
+    scratch.drop("pairs", "sets")
     roots = components(links)
 
     # Second round: what is not linked yet
     known = held.join(roots, "node", "left").select("node", "key", "n", F.coalesce("root", "node").alias("c"))
     mixed_keys = known.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"))
-    mixed_keys = saved(mixed_keys.where("c0 != c1").select("key"), "mixed")
-    known = saved(known.join(mixed_keys, "key"), "known")
+    mixed_keys = scratch.save(mixed_keys.where("c0 != c1").select("key"), "mixed")
+    known = scratch.save(known.join(mixed_keys, "key"), "known")
+    scratch.drop("held", "mixed")
     few = known.where(F.col("n") <= crowd)
     x, y = (few.select("key", F.col("node").alias(n), F.col("c").alias("c" + n)) for n in "ab")
     pairs = x.join(y, "key").where("a < b AND ca != cb").select("a", "b").distinct()
-    crowded = saved(known.where(F.col("n") > crowd).select("node", "c").distinct(), "crowded")
-    crowd_sets = saved(full_sets(crowded.select("node"), nodes, docs, width), "sets")
-    pairs = pairs.union(rare_partners(crowd_sets, crowded, percent)).distinct()
-    second = saved(promising(pairs, nodes, threshold, miss), "pairs")
+    crowded = scratch.save(known.where(F.col("n") > crowd).select("node", "c").distinct(), "crowded")
+    crowd_sets = scratch.save(full_sets(crowded.select("node"), nodes, docs, width), "crowd-sets")
+    pairs = pairs.union(rare_partners(crowd_sets, crowded, percent, scratch)).distinct()
+    second = scratch.save(promising(pairs, nodes, threshold, miss), "second")
+    scratch.drop("known", "crowded", "crowd-sets", "crowd", "open")
     sets = full_sets(second.select(F.col("a").alias("node")).union(second.select("b")).distinct(), nodes, docs, width)
-    second = confirmed(second, saved(sets, "sets"), percent)
+    second = scratch.save(confirmed(second, scratch.save(sets, "sets"), percent), "more")
     roots = components(links.union(second))
+    scratch.drop("sets", "second", "links", "more")
 
     # Components carry the smallest id of their documents
     of = nodes.select("node", "id").join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("c"))
-    of = saved(of, "components")
-    least = saved(of.groupBy("c").agg(F.min("id").alias("component_id")), "labels")
+    of = scratch.save(of, "components")
+    scratch.drop("nodes")
+    least = scratch.save(of.groupBy("c").agg(F.min("id").alias("component_id")), "labels")
     of = of.join(least, "c").select("node", "component_id")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return rows.select("id", "th", "n", "node").join(of, "node", "left").select(
+    return rows.join(of, "node", "left").select(
         F.col("id").alias(id_col),
         F.col("th").alias("text_hash"),
         F.col("n").alias("n_shingles"),
