@@ -496,10 +496,10 @@ def pipeline_hash_keys(spark, sf):
 
 @query
 def hash_keys(spark, sf):
-    """Orders numbered by hashes in a space of twice their number, where many collide, the even ones beside the keys of the odd ones:
+    """Orders numbered by hashes in a space of eight times their number, where many collide, the even ones beside the keys of the odd ones:
     as many keys as orders, none out of the space, and the same ones when the rows lie otherwise."""
     rows, sid = read(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderkey").cast("string").alias("bk")), ref(ORDER.sid)
-    space = 2 * rows.count()
+    space = 8 * rows.count()
 
     def numbered(rows):
         odd = surrogate.assign_hash_sids(rows.filter("k % 2 = 1"), ORDER, ["bk"], space=space)
