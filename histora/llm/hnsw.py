@@ -2,20 +2,23 @@
 
 Equal vectors are one node, which keeps its smallest ids, as a graph of copies would not be navigable. Nodes are dealt over
 shards of about `shard_rows`. Each shard is indexed by one task and stored as one row of flat arrays: vectors, the
-neighbours of every level as a matrix of node numbers (-1: none), and the nodes of every level. Queries come in blocks;
-every pair of shard and block is searched by itself, so nothing larger than a shard and a block is in memory at once.
+neighbours of every level as a matrix of node numbers (-1: none), and the nodes of every level. Queries are broadcast in
+blocks of bounded size; for a block every task reads its shards where they are stored, one at a time. So the index is neither copied
+nor exchanged, nothing larger than a shard and a block is in memory at once, and a shard is loaded once for `block_rows` queries.
 Nodes found are measured anew with the original vectors in double precision, and the best of all shards are kept.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from heapq import heappop, heappush, heapreplace
+from types import SimpleNamespace
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from histora.llm.common import saved, ship
+from histora.llm.common import Scratch, saved, ship
 
 
 class Graph:
@@ -213,35 +216,53 @@ def load(row) -> tuple:
     return Graph.stored(unit_vectors(v), int(row.m), int(row.entry), nodes, links), v, np.split(ids, ends[:-1])
 
 
-def search(index: DataFrame, queries: DataFrame, k: int, ef: int, block_rows: int) -> DataFrame:
-    """The k nearest of each query (id, v, dim): query_id, vec_id, score, from every shard, not merged yet."""
+def blocks_of(queries: DataFrame, block_rows: int):
+    """The queries (id, v, dim) in blocks of about `block_rows`: dimension -> ids and vectors."""
     import numpy as np
 
-    shards = index.select("dim", "shard").collect()
-    blocks = -(-queries.count() // block_rows) or 1
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    listed = queries.sparkSession.createDataFrame(shards or [(0, 0)], "dim int, shard int")
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).join(listed, "dim")
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple[int, int, float]] = []
-        if len(left) and len(right):
-            g, v, ids = load(left.iloc[0])
-            wanted = np.stack(right.v.to_numpy()).astype(np.float64)
-            units = unit_vectors(wanted)
-            for own, q, u in zip(right.id.tolist(), wanted, units, strict=True):
-                near = np.array(g.nearest(u, ef), np.int64)
-                scores = cosines(q, v[near])
-                order = sorted(zip((-scores).tolist(), [int(ids[x][0]) for x in near], near.tolist(), strict=True))
-                best = sorted((s, int(i)) for s, _, x in order[: k + 1] for i in ids[x] if i != own)[:k]
-                out += [(own, i, -s) for s, i in best]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    n = 2 * blocks * max(1, len(shards))
-    left = index.withColumn("block", every).repartition(n, "dim", "shard", "block")
-    right = asked.repartition(n, "dim", "shard", "block")
-    pairs = left.groupBy("dim", "shard", "block").cogroup(right.groupBy("dim", "shard", "block"))
-    return pairs.applyInPandas(run, "query_id long, vec_id long, score double")
+    blocks = -(-queries.count() // block_rows)
+    block = F.pmod(F.xxhash64("id", "v"), F.lit(max(blocks, 1)))
+    for b in range(blocks):
+        rows = queries.where(block == b).select("dim", "id", "v").toArrow()
+        dims, ids, v = (rows.column(c).combine_chunks() for c in ("dim", "id", "v"))
+        dims = dims.to_numpy()
+        yield {
+            int(d): (ids.to_numpy()[dims == d], v.filter(dims == d).flatten().to_numpy().reshape(-1, d).astype(np.float64))
+            for d in np.unique(dims)
+        }
+
+
+def search(index: DataFrame, queries: DataFrame, k: int, ef: int, block_rows: int, scratch: Scratch) -> DataFrame:
+    """The k nearest of each query (id, v, dim): query_id, vec_id, score, from every shard, not merged yet."""
+    import numpy as np
+    import pyarrow as pa
+
+    spark, schema, found = queries.sparkSession, "query_id long, vec_id long, score double", []
+    for block in blocks_of(queries, block_rows):
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    row = SimpleNamespace(**batch.slice(i, 1).to_pylist()[0])
+                    ids_asked, wanted = shared.value.get(row.dim, ((), None))
+                    if not len(ids_asked):
+                        continue
+                    out: list[tuple[int, int, float]] = []
+                    g, v, ids = load(row)
+                    for own, q, u in zip(ids_asked.tolist(), wanted, unit_vectors(wanted), strict=True):
+                        near = np.array(g.nearest(u, ef), np.int64)
+                        scores = cosines(q, v[near])
+                        order = sorted(zip((-scores).tolist(), [int(ids[x][0]) for x in near], near.tolist(), strict=True))
+                        best = sorted((s, int(i)) for s, _, x in order[: k + 1] for i in ids[x] if i != own)[:k]
+                        out += [(own, i, -s) for s, i in best]
+                    columns = list(zip(*out, strict=True)) or [(), (), ()]
+                    kinds = (pa.int64(), pa.int64(), pa.float64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["query_id", "vec_id", "score"])
+
+        found.append(scratch.save(index.mapInArrow(run, schema), f"found-{len(found)}"))
+        shared.unpersist()
+    return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], schema)
 
 
 def nearest_neighbours(
@@ -254,7 +275,7 @@ def nearest_neighbours(
     m: int = 12,
     ef_build: int = 48,
     ef_search: int = 160,
-    block_rows: int = 2048,
+    block_rows: int = 1 << 16,
 ) -> DataFrame:
     """The k rows of `vectors` nearest to each row of `queries` by cosine, without the query's own id.
 
@@ -271,9 +292,10 @@ def nearest_neighbours(
         df = df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
         return df.where(F.col("id").isNotNull() & v.isNotNull() & good).withColumn("dim", F.size("v")).distinct()
 
+    scratch = Scratch(vectors.sparkSession)
     index = build_index(usable(vectors), k + 1, shard_rows, m, ef_build)
-    found = search(index, saved(usable(queries), "queries"), k, ef_search, block_rows)
-    found = saved(found, "found")
+    found = search(index, scratch.save(usable(queries), "queries"), k, ef_search, block_rows, scratch)
+    scratch.drop("queries")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best))
     return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
