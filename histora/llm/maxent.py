@@ -13,6 +13,10 @@ The vocabulary holds the `vocabulary` most frequent words seen twice or more; it
 broadcast. Counts of rarer words are joined. The weights start at the log frequency of the classes and are trained
 in rounds, at the forks as well, which together visit every training text once: in a round each task updates its own copy by gradient steps
 over small batches, and the changes, weighted by how often a task has seen a row, are added up by Spark.
+
+Every text is turned into codes once; training and scoring read these. A task gives out a change as large as the model, so their
+number follows the training tokens (TASK_TOKENS) and not the files of the input: the texts of a round are dealt to the tasks by a
+hash of id and text and read in that order. Scores therefore don't depend on how the input is split.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histora.llm.common import ascii_words, fold, saved, ship
+from histora.llm.common import Scratch, ascii_words, fold, ship
 
 SINGLE, GROUPS, BANDS = 12, 6, (500, 8000)
 CLASSES = 1 + SINGLE + GROUPS * (len(BANDS) + 1) + 1
@@ -32,6 +36,8 @@ OWN, NEAR, PAIRS = 3000, 4096, 8192
 #: Rows of weights: the constant, the word before, the word before that, both
 ROWS = 1 + NEAR + NEAR + PAIRS
 FIRST = NEAR - 1
+#: Tokens that a task of a training round learns from, and the most tasks a round has; beyond it tasks have more tokens
+TASK_TOKENS, TASKS = 3_000_000, 4096
 END = b"\n"
 """No word can be a line break."""
 
@@ -271,12 +277,13 @@ def descend(weights, squares, seen, rows, classes, rate: float = 0.6) -> None:
         seen[known] += np.diff(np.append(first, n))
 
 
-def train(texts: DataFrame, vocabulary, start, slots: int, rounds: int, batch: int):
-    """Weights of classes and of forks after `rounds` rounds over the training texts (columns: text, part: 0 to rounds - 1)."""
+def train(coded: DataFrame, vocabulary, start, slots: int, rounds: int, batch: int, tasks: int):
+    """Weights of classes and of forks after `rounds` rounds over the training texts (columns: codes, part: 0 to rounds - 1, and `deal`,
+    by which the texts of a round are dealt to `tasks` tasks)."""
     import numpy as np
     import pyarrow as pa
 
-    spark = texts.sparkSession
+    spark = coded.sparkSession
     weights = np.zeros((ROWS, CLASSES), np.float32)
     weights[0] = start
     forks = np.zeros(slots, np.float32)
@@ -290,16 +297,25 @@ def train(texts: DataFrame, vocabulary, start, slots: int, rounds: int, batch: i
             own, inner = (x.copy() for x in shared.value)
             inner_squares, sums = np.ones(slots, np.float32), np.zeros(slots, np.float32)
             squares, seen = np.ones(ROWS, np.float32), np.zeros(ROWS)
-            for texts in batches:
-                column = texts.column(0)
-                for at in range(0, texts.num_rows, 1000):
-                    voc = vocabulary.value
-                    codes = [voc.encode(ascii_words(t)) for t in column.slice(at, 1000).to_pylist()]
-                    all_codes, starts, rows = features(voc, codes)
-                    classes, before = voc.classes[all_codes], contexts(all_codes, starts)
-                    for b in range(0, len(classes), batch):
-                        voc.forks.descend(inner, inner_squares, sums, all_codes[b : b + batch], before[:, b : b + batch])
-                        descend(own, squares, seen, [r[b : b + batch] for r in rows], classes[b : b + batch])
+            voc, held, size = vocabulary.value, [], 0
+
+            def learn():
+                all_codes, starts, rows = features(voc, held)
+                classes, before = voc.classes[all_codes], contexts(all_codes, starts)
+                for b in range(0, len(classes), batch):
+                    voc.forks.descend(inner, inner_squares, sums, all_codes[b : b + batch], before[:, b : b + batch])
+                    descend(own, squares, seen, [r[b : b + batch] for r in rows], classes[b : b + batch])
+
+            # batches of Arrow depend on settings; those of the steps don't
+            for found in batches:
+                for codes in found.column(0).to_pylist():
+                    held.append(np.frombuffer(codes, np.int32))
+                    size += len(held[-1]) + 1
+                    if size >= 64 * batch:
+                        learn()
+                        held, size = [], 0
+            if held:
+                learn()
             hit = np.flatnonzero(seen)
             change = ((own - shared.value[0])[hit] * seen[hit][:, None]).astype(np.float32)
             columns = [pa.array(hit.astype(np.int32)), pa.array(seen[hit]), *(pa.array(c) for c in np.ascontiguousarray(change.T))]
@@ -314,7 +330,12 @@ def train(texts: DataFrame, vocabulary, start, slots: int, rounds: int, batch: i
             columns += [pa.array(np.ascontiguousarray(c)) for c in pairs[hit].T]
             yield pa.RecordBatch.from_arrays(columns, names=["row", "n", *names])
 
-        changes = texts.where(F.col("part") == part).select("text").mapInArrow(run, schema)
+        # copies of one row are counted first and dealt out one by one, so no task gets all of them
+        copies = coded.where(F.col("part") == part).groupBy("deal", "codes").agg(F.count("*").alias("n"))
+        copies = copies.select("codes", F.explode(F.transform(F.sequence(F.lit(1), "n"), lambda i: F.xxhash64("deal", i))).alias("deal"))
+        # coalesce holds the number of tasks also where a session deals out to more partitions than asked for
+        dealt = copies.repartition(tasks, "deal").coalesce(tasks).sortWithinPartitions("deal", "codes")
+        changes = dealt.select("codes").mapInArrow(run, schema)
         changes = changes.groupBy("row").agg(*[(F.sum(c) / F.sum("n")).alias(c) for c in names]).toArrow()
         if changes.num_rows:
             row = changes.column("row").to_numpy()
@@ -369,7 +390,7 @@ def maxent_scores(
 
     Returns id_col, held_out, n_tokens (words and the end), n_known (of them, in the training texts), train_tokens, base_score
     (add-one unigram) and score. Null, empty and blank texts are only the end. Rows with a null id are scored, and held
-    out. Repeated rows come back repeatedly, and teach repeatedly. Without training texts base_score is 0 and score
+    out. Repeated rows come back repeatedly, and teach repeatedly. How the input is split into files changes no score. Without training texts base_score is 0 and score
     comes from the starting weights. Other columns are not read; an empty table gives no rows.
     """
     import numpy as np
@@ -379,7 +400,8 @@ def maxent_scores(
     ship(spark)
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     teaching = docs.where(fold("id", 7) != 2)
-    counts = saved(count_words(teaching), "word-counts")
+    scratch = Scratch(spark)
+    counts = scratch.save(count_words(teaching), "word-counts")
     ends = teaching.count()
     words, types, once = counts.agg(F.sum("c"), F.count("*"), F.count(F.when(F.col("c") == 1, 1))).first()
     total, types = (words or 0) + ends, types + (ends > 0)
@@ -389,28 +411,16 @@ def maxent_scores(
     rare = (words or 0) - int(held[2].sum())
     own = Vocabulary(held[0], held[1], held[2], ends, total, rare, once)
     shared = spark.sparkContext.broadcast(own)
-    parts = teaching.select("text", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(rounds)).alias("part"))
-    weights = spark.sparkContext.broadcast(train(parts, shared, own.start, own.forks.slots, rounds, batch))
     size, unseen, rare_total = len(held[0]), own.unseen, own.rare_total
     kind = docs.schema["id"].dataType.simpleString()
 
-    def run(batches):
-        from pyspark import TaskContext
-
-        key = TaskContext.get().partitionId() << 40
-        voc, (w, inner) = shared.value, weights.value
-        base = np.log10(voc.counts + 1.0)
+    def encode(batches):
+        voc = shared.value
         for texts in batches:
             for at in range(0, texts.num_rows, 200):
                 part = texts.slice(at, 200)
                 split = [ascii_words(t) for t in part.column(1).to_pylist()]
                 codes = [voc.encode(x) for x in split]
-                all_codes, starts, rows = features(voc, codes)
-                classes, before = voc.classes[all_codes], contexts(all_codes, starts)
-                p = np.empty(len(classes))
-                for b in range(0, len(classes), 4096):
-                    p[b : b + 4096] = log_probability(w, [r[b : b + 4096] for r in rows], classes[b : b + 4096])
-                    p[b : b + 4096] += voc.forks.log_probability(inner, all_codes[b : b + 4096], before[:, b : b + 4096])
                 rare_words: list[dict[int, int]] = []
                 for x, c in zip(split, codes, strict=True):
                     found: dict[int, int] = {}
@@ -418,24 +428,60 @@ def maxent_scores(
                         h = word_hash(x[i])
                         found[h] = found.get(h, 0) + 1
                     rare_words.append(found)
-                n = len(split)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(2),
+                        part.column(3),
+                        pa.array([c.astype(np.int32).tobytes() for c in codes], pa.binary()),
+                        pa.array([list(x) for x in rare_words], pa.list_(pa.int64())),
+                        pa.array([list(x.values()) for x in rare_words], pa.list_(pa.int64())),
+                    ],
+                    names=["id", "part", "deal", "codes", "words", "times"],
+                )
+
+    teaches = F.coalesce(fold("id", 7) != 2, F.lit(False))
+    part = F.when(teaches, F.pmod(F.xxhash64("id", F.lit(1)), F.lit(rounds)))
+    dealt = docs.select("id", "text", part.cast("int").alias("part"), F.xxhash64("id", "text").alias("deal"))
+    coded = scratch.save(dealt.mapInArrow(encode, f"id {kind}, part int, deal long, codes binary, words array<long>, times array<long>"), "coded")
+    tasks = min(TASKS, max(1, -(-total // (rounds * TASK_TOKENS))))
+    weights = spark.sparkContext.broadcast(train(coded, shared, own.start, own.forks.slots, rounds, batch, tasks))
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        key = TaskContext.get().partitionId() << 40
+        voc, (w, inner) = shared.value, weights.value
+        base = np.log10(voc.counts + 1.0)
+        for found in batches:
+            for at in range(0, found.num_rows, 200):
+                part = found.slice(at, 200)
+                codes = [np.frombuffer(c, np.int32) for c in part.column(1).to_pylist()]
+                all_codes, starts, rows = features(voc, codes)
+                classes, before = voc.classes[all_codes], contexts(all_codes, starts)
+                p = np.empty(len(classes))
+                for b in range(0, len(classes), 4096):
+                    p[b : b + 4096] = log_probability(w, [r[b : b + 4096] for r in rows], classes[b : b + 4096])
+                    p[b : b + 4096] += voc.forks.log_probability(inner, all_codes[b : b + 4096], before[:, b : b + 4096])
+                n = len(codes)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(key, key + n)),
                         part.column(0),
-                        pa.array([len(x) + 1 for x in split], pa.int64()),
+                        pa.array([len(x) + 1 for x in codes], pa.int64()),
                         pa.array(np.add.reduceat((voc.counts[all_codes] > 0).astype(np.int64), starts)),
                         pa.array(np.add.reduceat(base[all_codes], starts)),
                         pa.array(np.add.reduceat(p, starts) / np.log(10)),
-                        pa.array([list(x) for x in rare_words], pa.list_(pa.int64())),
-                        pa.array([list(x.values()) for x in rare_words], pa.list_(pa.int64())),
+                        part.column(2),
+                        part.column(3),
                     ],
                     names=["k", "id", "n_tokens", "n_known", "base", "score", "words", "times"],
                 )
                 key += n
 
-    scored = docs.mapInArrow(run, f"k long, id {kind}, n_tokens long, n_known long, base double, score double, words array<long>, times array<long>")
-    scored = saved(scored, "scored")
+    scored = coded.select("id", "codes", "words", "times").mapInArrow(run, f"k long, id {kind}, n_tokens long, n_known long, base double, score double, words array<long>, times array<long>")
+    scored = scratch.save(scored, "scored")
+    scratch.drop("coded")
     listed = scored.select("k", F.explode(F.arrays_zip("words", "times")).alias("w")).select("k", F.col("w.words").alias("h"), F.col("w.times").alias("n"))
     c = F.coalesce("c", F.lit(0))
     listed = listed.join(counts.select("h", "c"), "h", "left").groupBy("k").agg(

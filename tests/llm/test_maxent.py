@@ -4,6 +4,8 @@ from collections import Counter
 
 import numpy as np
 
+import pytest
+
 from histora.llm import maxent as me
 
 
@@ -136,3 +138,29 @@ def test_odd_rows(odd_rows):
     assert me.maxent_scores(odd_rows.limit(0)).collect() == []
     alone = me.maxent_scores(odd_rows.where("doc_id is null")).collect()
     assert [(r.held_out, r.train_tokens, r.base_score) for r in alone] == [(True, 0, 0.0)]
+
+
+def test_scores_do_not_depend_on_how_the_input_is_split(spark, documents, monkeypatch):
+    monkeypatch.setattr(me, "TASK_TOKENS", 2_000)
+    found, changes = [], []
+    plain = me.train
+
+    def counted(coded, *given):
+        changes.append(given[-1])
+        return plain(coded, *given)
+
+    monkeypatch.setattr(me, "train", counted)
+    for parts in (4, 64):
+        rows = me.maxent_scores(documents.repartition(parts), vocabulary=2000).collect()
+        found.append({r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in rows})
+    assert changes[0] == changes[1] > 1, "tasks of a round, each of which gives out one change"
+    assert found[0].keys() == found[1].keys()
+    for i, want in found[0].items():
+        assert found[1][i] == pytest.approx(want, rel=1e-6)
+
+
+def test_copies_of_one_row_are_dealt_to_several_tasks(spark):
+    rows = [(1, "the same words again and again")] * 400 + [(i, f"word{i} other text") for i in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in me.maxent_scores(docs).collect()}
+    assert len(scores) == 39 and all(s < 0 for s in scores.values())
