@@ -4,7 +4,7 @@
 2. Seeds of an item are the rarer three quarters of its grams by that count, ties in item order. No item is without
    seeds, however often its passage occurs.
 3. A second pass looks the seeds up in every document. Seeds of one item that lie close together give a window; the
-   item is aligned with the whole window. Words that agree score 2, others -1, and a gap costs 1 per word.
+   item (of fewer than three words: one gram of them all) is aligned with the whole window. Words that agree score 2, others -1, and a gap costs 1 per word.
 4. A document holds an item if the best local alignment reaches `threshold` of the score of a verbatim copy.
 
 The item side is broadcast in blocks of at most `block_words` words, so its size is bounded; each block takes its passes.
@@ -13,6 +13,8 @@ Documents are never shuffled.
 
 from __future__ import annotations
 
+import re
+
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +22,8 @@ from pyspark.sql import functions as F
 from histora.llm.common import ascii_words, ship
 
 MATCH, MISMATCH, GAP = 2, -1, 1
+#: Letters of scripts that put no blanks between words (Thai to Tibetan, Burmese, Khmer, kana, Han): each is a word of its own
+UNSEGMENTED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 class PlainHashes(dict):
@@ -40,6 +44,8 @@ def plain_words(text: str | None):
     """64-bit hashes of the words without punctuation around them; words of punctuation only are left out."""
     import numpy as np
 
+    if text and not text.isascii() and UNSEGMENTED.search(text):
+        text = UNSEGMENTED.sub(r" \g<0> ", text)
     words = ascii_words(text)
     found = np.fromiter(map(HASHES.__getitem__, words), np.uint64, len(words))
     return found[found != 0]
@@ -81,6 +87,16 @@ def grams(words, width: int):
     return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
+def document_grams(words, widths: list[int]):
+    """Hashes of the grams of all these widths and the places where they start."""
+    import numpy as np
+
+    parts = [grams(words, k) for k in widths if k <= len(words)]
+    places = [np.arange(len(g)) for g in parts]
+    none = np.empty(0, np.int64)
+    return (parts[0], places[0]) if len(parts) == 1 else (np.concatenate([*parts, none]), np.concatenate([*places, none]))
+
+
 def align(item, window) -> tuple[int, int, int]:
     """Best local score of two word sequences, and the words [start, end) of the window that it covers."""
     import numpy as np
@@ -127,6 +143,8 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
     spark = docs.sparkSession
     words = [plain_words(t) for _, t in items]
     each = [grams(w, width) for w in words]
+    # an item of fewer words is one gram, so documents need grams of that width as well
+    widths = sorted({min(width, len(w)) for w in words if len(w)})
     every = np.unique(np.concatenate([*each, np.empty(0, np.int64)]))
     known = spark.sparkContext.broadcast(every)
 
@@ -136,7 +154,7 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
             counts = np.zeros(len(held.keys), np.int64)
             for at in range(0, batch.num_rows, 1000):
                 for text in batch.column(0).slice(at, 1000).to_pylist():
-                    found = grams(plain_words(text), width)
+                    found, _ = document_grams(plain_words(text), widths)
                     found = found[held.places(found)]
                     if len(found):
                         counts[np.searchsorted(held.keys, np.unique(found))] += 1
@@ -157,14 +175,14 @@ def matches(docs: DataFrame, items: list[tuple], width: int, threshold: float) -
     def find(held: Known, text: str | None):
         table, words, ids = shared.value
         own = plain_words(text)
-        g = grams(own, width)
+        g, place = document_grams(own, widths)
         hit = held.places(g)
         if not len(hit):
             return []
         low = np.searchsorted(table[:, 0], g[hit])
         high = np.searchsorted(table[:, 0], g[hit], side="right")
         by_item: dict[int, list[tuple[int, int]]] = {}
-        for p, a, b in zip(hit.tolist(), low.tolist(), high.tolist(), strict=True):
+        for p, a, b in zip(place[hit].tolist(), low.tolist(), high.tolist(), strict=True):
             for s in range(a, b):
                 by_item.setdefault(int(table[s, 1]), []).append((p, int(table[s, 2])))
         out = []
@@ -234,7 +252,8 @@ def contaminated(
     """Documents that hold a test item: id_col, item_id, score (1: verbatim), first_word and last_word (words
     without punctuation-only ones, from 0, the last one excluded); one row per document row and item.
 
-    Case (A-Z) and punctuation around words don't count. Null, empty or blank texts and items match nothing. Rows with a
+    Case (A-Z) and punctuation around words don't count. Letters of scripts without blanks between words are words of their
+    own. An item of fewer words than `width` is found wherever it stands word for word. Null, empty or blank texts and items match nothing. Rows with a
     null id come back with it, repeated rows repeatedly, repeated items once. Items with a null id are not looked for.
     Other columns are not read. An empty table on either side gives no rows.
     """

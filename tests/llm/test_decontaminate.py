@@ -90,3 +90,23 @@ def test_odd_rows(spark, odd_rows):
     assert [(r.doc_id, r.item_id) for r in contaminated(odd_rows, items).collect()] == [(None, 7)]
     assert contaminated(odd_rows.limit(0), items).collect() == []
     assert contaminated(odd_rows, items.limit(0)).collect() == []
+
+
+def test_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "Quantum entanglement"), (2, "photosynthesis"), (3, "天地玄黄宇宙洪荒日月盈昃"), (4, "ภาษาไทยไม่มีช่องว่าง"), (5, "three words here")]
+    docs = [
+        (1, "They spoke of quantum entanglement, and more."),
+        (2, "quantum of entanglement"),
+        (3, "On (photosynthesis)!"),
+        (4, "千字文：天地玄黄，宇宙洪荒，日月盈昃。辰宿列张"),
+        (5, "地天黄玄宙宇荒洪月日昃盈"),
+        (6, "ดีมาก ภาษาไทยไม่มีช่องว่าง ครับ"),
+        (7, "entanglement"),
+        (8, "Quantum entanglement"),
+        (9, "of three words here and there"),
+        (10, "three other words"),
+    ]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for options in ({}, {"block_words": 1}):
+        got = {(r.doc_id, r.item_id) for r in contaminated(df, bench, **options).collect()}
+        assert got == {(1, 1), (3, 2), (4, 3), (6, 4), (8, 1), (9, 5)}
