@@ -76,6 +76,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return materialise(df.sparkSession, name, df)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the rows don't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(column: str, modulus: int) -> Column:
     """crc32 of an id as text, modulo `modulus`; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

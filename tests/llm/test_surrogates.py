@@ -2,7 +2,8 @@ import re
 
 import pytest
 
-from histora.llm.surrogates import MAY_HOLD, luhn, mapping, mentions, replace_pii, script, surrogate, written
+from histora.llm import surrogates as su
+from histora.llm.surrogates import luhn, mapping, may_hold, mentions, permuted, phone_form, replace_pii, script, surrogate, written
 
 TEXT = (
     "Write to Ann.Lee+1@Mail.Example.org or ann.lee+1@mail.example.org, call +1 (017) 555-7713 or +1-017-555-7713, pay with "
@@ -76,9 +77,9 @@ def test_the_key_decides(spark):
 
 
 def test_the_pattern_of_candidates_is_a_superset(spark, folder, documents):
-    texts = [r.text for r in documents.collect()] + [TEXT, *(TEXT[a:b] for a, b, k, _ in mentions(TEXT) if k in ("email", "phone", "card", "ip", "access", "iban"))]
+    texts = [r.text for r in documents.collect()] + [TEXT, *map(unlabelled, LABELLED), *(TEXT[a:b] for a, b, k, _ in mentions(TEXT) if k in ("email", "phone", "card", "ip", "access", "iban"))]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    hit = {r.text for r in df.where(df.text.rlike(MAY_HOLD)).collect()}
+    hit = {r.text for r in df.where(may_hold(df.text)).collect()}
     assert all(t in hit for t in texts if mentions(t))
 
 
@@ -95,7 +96,7 @@ def test_the_pattern_of_candidates_is_a_superset(spark, folder, documents):
 )
 def test_secrets_without_digits_and_digits_of_other_scripts(spark, text, entities):
     assert [text[a:b] for a, b, *_ in mentions(text)] == entities
-    row = replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    row = replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), b"k").first()
     assert row.n_entities == len(entities) and (row.text == text) == (not entities)
     assert not any(e in row.text for e in entities)
     assert [c for c in row.text if not c.isalnum()] == [c for c in text if not c.isalnum()]
@@ -144,11 +145,88 @@ def test_names_of_every_script_pass_the_filter(spark):
     texts += [f"({c}{c}{c}) {c}{c}{c}-{c}{c}{c}{c}" for c in map(chr, range(sys.maxunicode + 1)) if c.isdecimal() and int(c) == 5]
     assert all(map(mentions, texts)) and len(texts) > 300
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    assert df.where(~df.text.rlike(MAY_HOLD)).collect() == []
+    assert df.where(~may_hold(df.text)).collect() == []
 
 
 def test_odd_rows(odd_rows):
-    rows = replace_pii(odd_rows).collect()
+    rows = replace_pii(odd_rows, b"k").collect()
     assert sorted(((r.doc_id, r.text) for r in rows), key=str) == sorted(((r.doc_id, r.text) for r in odd_rows.collect()), key=str)
     assert {r.n_entities for r in rows} == {0}
-    assert replace_pii(odd_rows.limit(0)).collect() == []
+    assert replace_pii(odd_rows.limit(0), b"k").collect() == []
+
+
+#: Labelled by hand: the text, with every personal item in brackets, and whether the items that are marked alike are one entity
+LABELLED = [
+    "Mr. [John] [Smith] spoke. [Smith] left, [John] too, in [SMITH]'s car.",
+    "Dr. [Mary] [Jones] and Prof. [Karl] [Weber] agreed; later [Jones] did not.",
+    "Herr Dr. [Müller] rief Frau [Anna] [Schmidt] an. [Müller] war krank.",
+    "My name is [Ivan] [Petrov], said [Petrov].",
+    "Меня зовут [Иван] [Петров]. Потом [Петров] ушёл. Госпожа [Анна] [Иванова] тоже.",
+    "Mr. [李明] came with Mme [محمد], Herr [გიორგი], Ms [אברהם], Mr. [Αλέξης] [Παππάς], Mr. [Արամ].",
+    "Name: [Ann] [Lee]\nContact: [Max] [Power]",
+    "password: [hunter2pass!x] and pwd=[ab-12!], then token: '[two words 7]' end",
+    '{"secret": "[a1b2c3]", "n": 5}',
+    "call [020 7946 0958] or [+44 (0)20 7946 0958], write to [j.smith@mail.example.org].",
+    "the password: required, a key: short-1, name: unknown, Contact: Support, the secret: nothing",
+    "Mr and Mrs, Dr Who? No doctor. A name is a name: x.",
+]
+
+
+def unlabelled(text):
+    return text.replace("[", "").replace("]", "")
+
+
+@pytest.mark.parametrize("labelled", LABELLED)
+def test_texts_labelled_by_hand(labelled):
+    if "Dr Who" in labelled:
+        labelled = labelled.replace("Who", "[Who]")
+    want, text = re.findall(r"\[([^\]]*)\]", labelled), unlabelled(labelled)
+    found = mentions(text)
+    assert [text[a:b] for a, b, *_ in found] == want
+    new = {(k, e): surrogate(k, e, 0, b"k") for *_, k, e in found}
+    out, n = su.replaced(text, new)
+    assert n == len(want)
+    # same words, same surrogates; different ones, different surrogates; the text around stays
+    pattern = re.escape(labelled).replace(r"\[", "[").replace(r"\]", "]")
+    pattern = re.sub(r"\[([^\]]*)\]", "(.+?)", pattern)
+    got = re.fullmatch(pattern, out, re.DOTALL).groups() if want else ()
+    assert len({(a.lower(), b.lower()) for a, b in zip(want, got)}) == len({a.lower() for a in want}) == len({b.lower() for b in got})
+    for a, b in zip(want, got):
+        assert a.lower() != b.lower()
+        if a[0].isalpha() and "@" not in a and not any(map(str.isdigit, a)):
+            assert script(a) == script(b) and a[0].isupper() == b[0].isupper() and a.isupper() == b.isupper()
+        assert not a.startswith("0") or b.startswith("0")
+
+
+def test_scripts_by_unicode():
+    import unicodedata
+
+    for name in ("李明", "محمد", "გიორგი", "אברהם", "Արամ", "김철수", "さくら", "สมชาย", "राम"):
+        own = {unicodedata.name(c).split()[0].split("-")[0] for c in name if c.isalpha()}
+        for attempt in (0, 9, 30):
+            new = surrogate("last", name.lower(), attempt, b"k")
+            assert {unicodedata.name(c).split()[0].split("-")[0] for c in new if c.isalpha()} <= own and new != name
+            assert len(new) == len(name) + attempt // 8
+
+
+def test_a_permutation_of_a_format_is_one_to_one():
+    for code, zeros, size in (("", "", 1), ("", "0", 3), ("+1", "", 4)):
+        every = [f"{code}|{zeros}{i}" for i in range(10 ** (size - 1), 10**size)]
+        new = [permuted(e, b"k") for e in every]
+        assert sorted(new) == sorted(every) and not any(a == b for a, b in zip(every, new))
+        assert {phone_form(n) for n in new} == {phone_form(every[0])} and new != [permuted(e, b"other") for e in every]
+
+
+def test_a_full_format_still_gets_distinct_surrogates(spark, monkeypatch):
+    monkeypatch.setattr(su, "MOST_ATTEMPTS", 3)
+    rows = [("phone", f"|{i}") for i in range(100, 1000)] + [("phone", "|5551234567"), ("secret", "!!!!!!"), ("email", "a@b.org")]
+    found = {r.entity: r.new for r in mapping(spark.createDataFrame(rows, "kind string, entity string"), b"k").collect()}
+    assert len(found) == len(set(found.values())) == 903 and not any(a == b for a, b in found.items())
+    assert all(len(n) == 4 for e, n in found.items() if len(e) == 4)
+
+
+def test_other_columns_may_have_any_name(spark):
+    rows = [(1, "Mr. John Smith", 5, 6, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _text_hash int, _new int, _changed int")
+    out = su.with_surrogates(df, "text", b"k", "n")
+    assert out.columns == [*df.columns, "n"] and out.first()[2:] == (5, 6, 7, 2)
