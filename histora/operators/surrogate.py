@@ -63,6 +63,10 @@ def assign_sids(rows: DataFrame, spec: TableSpec, start: int = 0, order_by: list
     return numbered.select(ref(spec.sid), *[ref(c) for c in bare.columns])
 
 
+#: Rows that look for a value are few if the values given out are more than this many times their number
+FEW = 8
+
+
 class KeySpaceFull(ValueError):
     """There are more rows than values for their surrogate keys."""
 
@@ -89,28 +93,36 @@ def assign_hash_sids(
     twice = bare.groupBy(*keys).count().filter("count > 1")
     if not twice.isEmpty():
         raise ValueError(f"{spec.name}: rows to be numbered agree in {', '.join(on)}")
-    held = taken.select(ref(taken.columns[0]).alias("_value")) if taken is not None else None
-    n = bare.count() + (held.count() if held is not None else 0)
-    if n > space:
-        raise KeySpaceFull(f"{spec.name}: {n} rows for {space} values")
+    held, n_held, n_left = None, 0, bare.count()
+    if taken is not None:
+        # written once: every round reads them, and what they come from may be a join
+        held = materialise(spark, f"{spec.name}-taken", taken.select(ref(taken.columns[0]).alias("_value")))
+        n_held = held.count()
+    if n_left + n_held > space:
+        raise KeySpaceFull(f"{spec.name}: {n_left + n_held} rows for {space} values")
     start = F.pmod(F.xxhash64(F.lit(seed), *keys, *nulls), F.lit(space))
     left = bare.select(*keys, start.alias("_value"))
-    order = Window.partitionBy("_value").orderBy(*keys)
+    none = [F.lit(None).cast(bare.schema[c].dataType).alias(c) for c in on]
+    order = Window.partitionBy("_value").orderBy("_free", *keys)
     placed = []
     while True:
-        nth = left.withColumn("_nth", F.row_number().over(order))
+        wanted = left.withColumn("_free", F.lit(True))
         if held is not None:
-            # where few rows are left, this comes down to a scan of the values given out
-            met = held.join(left.select("_value").distinct(), "_value", "left_semi").distinct()
-            nth = nth.join(met.withColumn("_taken", F.lit(True)), "_value", "left")
-        else:
-            nth = nth.withColumn("_taken", F.lit(None).cast("boolean"))
+            met = held.filter("_value IS NOT NULL")
+            if n_left * FEW < n_held:
+                # where few rows are left, this comes down to a scan of the values given out
+                met = met.join(left.select("_value").distinct(), "_value", "left_semi")
+            # one exchange and one sort: a value given out lies before the rows that want it
+            wanted = wanted.unionByName(met.select(*none, "_value", F.lit(False).alias("_free")))
+        nth = wanted.withColumn("_nth", F.row_number().over(order)).filter("_free").drop("_free")
         tried = materialise(spark, f"{spec.name}-hash", nth)
-        got = tried.filter("_nth = 1 AND _taken IS NULL").select(*keys, "_value")
+        got = tried.filter("_nth = 1").select(*keys, "_value")
         placed.append(got)
-        left = tried.filter("_nth > 1 OR _taken").select(*keys, ((F.col("_value") + 1) % F.lit(space)).alias("_value"))
-        if left.isEmpty():
+        later = tried.filter("_nth > 1")
+        n_held, n_left = n_held + n_left, later.count()
+        if not n_left:
             break
+        left = later.select(*keys, ((F.col("_value") + 1) % F.lit(space)).alias("_value"))
         held = got.select("_value") if held is None else held.unionByName(got.select("_value"))
     found = reduce(DataFrame.unionByName, placed)
     found = found.select(*[k.alias(f"_on{i}") for i, k in enumerate(keys)], F.col("_value").cast("bigint").alias(sid))

@@ -157,6 +157,24 @@ def test_hash_keys_collide_and_stay_unique(spark):
     assert surrogate.assign_hash_sids(df.limit(0), SPEC, ["dim_T_bk"]).count() == 0
 
 
+def test_keys_given_out_are_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def taken(value):
+        seen.add(1)
+        return value
+
+    df = spark.createDataFrame([(f"k{i}", i) for i in range(40)], "dim_T_bk string, v int")
+    # nulls, repeated values and values out of the space take no part
+    held = spark.createDataFrame([(v,) for v in [*range(0, 60, 3), 0, None, None, 99]], "sid long").select(taken("sid").alias("sid"))
+    got = surrogate.assign_hash_sids(df, SPEC, ["dim_T_bk"], held, space=64)
+    values = {r[SPEC.sid] for r in got.collect()}
+    assert len(values) == 40 and values <= set(range(64)) - set(range(0, 60, 3))
+    # many rounds, each of which has all keys given out before it
+    assert seen.value == 24
+
+
 def test_a_table_with_hash_keys(spark):
     house = Warehouse(spark, SPEC, fresh_path(spark, "hash"), hash_sids=True)
     run(spark, house, 1, ("a", "x"), ("b", "x"))
