@@ -40,8 +40,9 @@ def with_positions(files: DataFrame, name: str = "position", start: int = 0) ->
     # One row per written file: one task sums them up, which holds for some millions of files
     before = F.sum("count").over(Window.orderBy(F.length("_file"), "_file").rowsBetween(Window.unboundedPreceding, -1))
     offsets = per_file.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    # broadcast: joined by exchange, all rows would move, and into no more tasks than there are files
     return (
-        place.join(offsets, "_file")
+        place.join(F.broadcast(offsets), "_file")
         .withColumn(name, F.lit(start) + F.col("_before") + F.col("_row") + 1)
         .drop("_file", "_row", "_before")
     )
