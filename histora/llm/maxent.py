@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from histora.llm.common import Scratch, ascii_words, fold, ship
+from histora.llm.common import Scratch, fold, ship
 
 SINGLE, GROUPS, BANDS = 12, 6, (500, 8000)
 CLASSES = 1 + SINGLE + GROUPS * (len(BANDS) + 1) + 1
@@ -38,16 +38,32 @@ ROWS = 1 + NEAR + NEAR + PAIRS
 FIRST = NEAR - 1
 #: Tokens that a task of a training round learns from, and the most tasks a round has; beyond it tasks have more tokens
 TASK_TOKENS, TASKS = 3_000_000, 4096
+#: Runs of rows up to this length are added up row by row
+SHORT = 4
 END = b"\n"
 """No word can be a line break."""
 
 
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word) - (1 << 63)
+def word_lists(texts):
+    """Lists of the words of an Arrow array of texts, as `ascii_words` gives them but as an Arrow array; white space that begins or ends a text
+    gives an empty word as well. Null texts are empty."""
+    import pyarrow.compute as pc
 
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
 
-def letter_group(word: bytes) -> int:
-    return zlib.crc32(word[-2:]) % GROUPS
+
+def hashes_and_groups(words):
+    """Hash and letter group, by its last bytes, of each word of an Arrow array."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    words = words.cast(pa.large_binary())
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), np.uint64, len(words))
+    hashes ^= np.uint64(1 << 63)
+    ends = pc.binary_slice(words, -2).dictionary_encode()
+    groups = np.array([zlib.crc32(x) % GROUPS for x in ends.dictionary.to_pylist()], np.int32)
+    return hashes.view(np.int64), groups[ends.indices.to_numpy()]
 
 
 class Vocabulary:
@@ -78,16 +94,36 @@ class Vocabulary:
         sums[RARE] = max(1, rare_count)
         # classes without words get next to nothing
         self.start = np.where(sums > 0, np.log(np.maximum(sums, 1) / max(1, total)), -30).astype(np.float32)
-        self.codes: Codes | None = None
         self.forks = Forks(self.classes[: n + 1], np.maximum(self.counts[: n + 1], 1), len(self.classes))
 
-    def encode(self, words: list[bytes]):
-        """Codes of a text."""
+    def codes(self, hashes, groups):
+        """Codes of words."""
+        import numpy as np
+
+        n = len(self.sorted)
+        if not n:
+            return 1 + groups
+        at = np.minimum(np.searchsorted(self.sorted, hashes), n - 1)
+        return np.where(self.sorted[at] == hashes, 1 + self.rank[at], n + 1 + groups).astype(np.int32)
+
+    def encode(self, texts):
+        """Of an Arrow array of texts: codes of all their words, the place in them where each text begins (and the last ends), and for the
+        rare words of each text: the text, the hash and how often the word occurs in it, by text."""
         import numpy as np
 
-        if self.codes is None:
-            self.codes = Codes(self)
-        return np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
+        words = word_lists(texts)
+        coded = words.flatten().dictionary_encode()
+        hashes, groups = hashes_and_groups(coded.dictionary)
+        ids, bounds = coded.indices.to_numpy(), words.offsets.to_numpy() - words.offsets[0].as_py()
+        empty = coded.dictionary.index("").as_py()
+        if empty >= 0:
+            kept = ids != empty
+            ids, bounds = ids[kept], np.concatenate([[0], np.cumsum(kept)])[bounds]
+        codes = self.codes(hashes, groups)[ids]
+        rare = np.flatnonzero(codes > len(self.sorted))
+        text = np.searchsorted(bounds, rare, side="right") - 1
+        pairs, times = np.unique(text * len(hashes) + ids[rare], return_counts=True)
+        return codes, bounds, pairs // max(1, len(hashes)), hashes[pairs % max(1, len(hashes))], times
 
 
 def huffman(counts: list[int]):
@@ -151,13 +187,15 @@ class Forks:
         lengths = self.lengths[codes]
         ends = np.cumsum(lengths)
         token = np.repeat(np.arange(len(codes)), lengths)
-        way = self.ways[np.arange(len(token)) + np.repeat(self.ends[codes] - ends, lengths)]
+        at = np.repeat(self.ends[codes] - ends, lengths)
+        at += np.arange(len(token))
+        way = np.take(self.ways, at)
         fork = way >> 1
-        mixed = np.take(contexts, token, axis=1)
+        mixed = np.repeat(contexts, lengths, axis=1)
         mixed ^= fork.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         mixed *= np.uint64(0xD6E8FEB86659FD93)
         mixed >>= np.uint64(65 - self.slots.bit_length())
-        return token, way & 1, self.start[fork], mixed.view(np.int64)
+        return token, way & 1, np.take(self.start, fork), mixed.view(np.int64)
 
     def log_probability(self, weights, codes, contexts):
         """log P(word | class, features) of each place; 0 for words without a way."""
@@ -166,23 +204,35 @@ class Forks:
         token, side, z, slots = self.places(codes, contexts)
         z = z + np.take(weights, slots).sum(axis=0)
         np.negative(z, out=z, where=side == 1)
-        return np.bincount(token, weights=-np.logaddexp(0, z), minlength=len(codes))
+        # -log(1 + exp(z)) for any z; logaddexp works one number at a time
+        return np.bincount(token, weights=-(np.maximum(z, 0) + np.log(1 + np.exp(-np.abs(z)))), minlength=len(codes))
 
-    def descend(self, weights, squares, sums, codes, contexts, rate: float = 0.2) -> None:
-        """One gradient step on a batch, with Adagrad's step sizes per slot. `sums` is zero before and after."""
+    def descend(self, weights, squares, sums, codes, contexts, rate: float = 0.2, batch: int = 4096) -> None:
+        """A gradient step on each batch of tokens, with Adagrad's step sizes per slot. `sums` is zero before and after."""
         import numpy as np
 
-        _, side, z, slots = self.places(codes, contexts)
-        z = z + np.take(weights, slots).sum(axis=0)
-        g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - side.astype(np.float32)
-        flat = slots.ravel()
-        np.add.at(sums, flat, np.tile(g, len(slots)))
-        change = sums[flat]
-        sums[flat] = 0
-        square = squares[flat] + change * change
-        # places with the same slot write the same values
-        squares[flat] = square
-        weights[flat] -= rate * change / np.sqrt(square)
+        # a slot's weight and square lie side by side, so that they are read and written at once
+        both = np.stack([weights, squares], axis=1).view(np.complex64).ravel()
+        for b in range(0, len(codes), batch):
+            _, side, z, slots = self.places(codes[b : b + batch], contexts[:, b : b + batch])
+            flat = slots.ravel()
+            found = np.take(both, flat)
+            weight, square = found.real, found.imag
+            z = z + weight.reshape(slots.shape).sum(axis=0)
+            g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - side.astype(np.float32)
+            np.add.at(sums, flat, np.tile(g, len(slots)))
+            change = np.take(sums, flat)
+            if 8 * len(flat) < len(sums):
+                sums[flat] = 0
+            else:
+                sums.fill(0)
+            square += change * change
+            change *= rate
+            change /= np.sqrt(square)
+            weight -= change
+            # places with the same slot write the same values
+            both[flat] = found
+        weights[:], squares[:] = both.real, both.imag
 
 
 def contexts(codes, starts):
@@ -200,20 +250,6 @@ def contexts(codes, starts):
     return both ^ (both >> np.uint64(29))
 
 
-class Codes(dict):
-    """Codes of words; those met first are kept."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.ranks = dict(zip(vocabulary.sorted.tolist(), vocabulary.rank.tolist(), strict=True))
-
-    def __missing__(self, word: bytes) -> int:
-        rank = self.ranks.get(word_hash(word))
-        code = 1 + rank if rank is not None else len(self.ranks) + 1 + letter_group(word)
-        if len(self) < 120_000:
-            self[word] = code
-        return code
-
-
 def features(vocabulary: Vocabulary, codes: list):
     """Rows of weights for every token of the texts (each with its end), and the tokens' codes."""
     import numpy as np
@@ -252,6 +288,25 @@ def log_probability(weights, rows, classes):
     return np.log(e[np.arange(len(classes)), classes] / e.sum(axis=1))
 
 
+def run_sums(values, first, sizes):
+    """Sums of the runs of rows that start at `first`. Most runs are short: these are added up row by row, all runs at once."""
+    import numpy as np
+
+    found = np.take(values, first, axis=0)
+    at = np.flatnonzero((sizes > 1) & (sizes <= SHORT))
+    rest = np.take(values, first[at] + 1, axis=0)
+    for k in range(2, SHORT):
+        more = np.flatnonzero(sizes[at] > k)
+        rest[more] += np.take(values, first[at[more]] + k, axis=0)
+    found[at] += rest
+    at = np.flatnonzero(sizes > SHORT)
+    if len(at):
+        held = np.take(values, np.flatnonzero(np.repeat(sizes > SHORT, sizes)), axis=0)
+        ends = np.cumsum(sizes[at])
+        found[at] = np.add.reduceat(np.ascontiguousarray(held.T), ends - sizes[at], axis=1).T
+    return found
+
+
 def descend(weights, squares, seen, rows, classes, rate: float = 0.6) -> None:
     """One gradient step on a batch, with Adagrad's step sizes per row; `seen` counts the tokens of each row."""
     import numpy as np
@@ -264,17 +319,16 @@ def descend(weights, squares, seen, rows, classes, rate: float = 0.6) -> None:
     squares[0] += change @ change
     weights[0] -= rate / np.sqrt(squares[0]) * change
     seen[0] += n
-    by_class = np.ascontiguousarray(g.T)
     for r in rows:
         order = np.argsort(r.astype(np.uint16), kind="stable")
         sorted_rows = r[order]
         first = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        known = sorted_rows[first]
-        change = np.add.reduceat(np.take(by_class, order, axis=1), first, axis=1)
-        squares[known] += np.einsum("ij,ij->j", change, change)
-        change *= rate / np.sqrt(squares[known])
-        weights[known] -= change.T
-        seen[known] += np.diff(np.append(first, n))
+        known, sizes = sorted_rows[first], np.diff(np.append(first, n))
+        change = run_sums(np.take(g, order, axis=0), first, sizes)
+        squares[known] += np.einsum("ij,ij->i", change, change)
+        change *= (rate / np.sqrt(squares[known]))[:, None]
+        weights[known] -= change
+        seen[known] += sizes
 
 
 def train(coded: DataFrame, vocabulary, start, slots: int, rounds: int, batch: int, tasks: int):
@@ -301,9 +355,9 @@ def train(coded: DataFrame, vocabulary, start, slots: int, rounds: int, batch: i
 
             def learn():
                 all_codes, starts, rows = features(voc, held)
-                classes, before = voc.classes[all_codes], contexts(all_codes, starts)
+                classes = voc.classes[all_codes]
+                voc.forks.descend(inner, inner_squares, sums, all_codes, contexts(all_codes, starts), batch=batch)
                 for b in range(0, len(classes), batch):
-                    voc.forks.descend(inner, inner_squares, sums, all_codes[b : b + batch], before[:, b : b + batch])
                     descend(own, squares, seen, [r[b : b + batch] for r in rows], classes[b : b + batch])
 
             # batches of Arrow depend on settings; those of the steps don't
@@ -353,26 +407,16 @@ def train(coded: DataFrame, vocabulary, start, slots: int, rounds: int, batch: i
 
 def count_words(texts: DataFrame) -> DataFrame:
     """(h, g, c): hash, letter group and number of each word of the texts."""
-    import numpy as np
     import pyarrow as pa
+    import pyarrow.compute as pc
 
     def run(batches):
-        import itertools
-        from collections import Counter
-
         for batch in batches:
             for at in range(0, batch.num_rows, 3000):
-                part = batch.column(0).slice(at, 3000).to_pylist()
-                counts = Counter(itertools.chain.from_iterable(map(ascii_words, part)))
-                del part
-                n = len(counts)
-                columns = [
-                    np.fromiter(map(word_hash, counts), np.int64, n),
-                    np.fromiter(map(letter_group, counts), np.int32, n),
-                    np.fromiter(counts.values(), np.int64, n),
-                ]
-                del counts
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["h", "g", "c"])
+                words, counts = word_lists(batch.column(0).slice(at, 3000)).flatten().value_counts().flatten()
+                kept = pc.not_equal(words, "")
+                hashes, groups = hashes_and_groups(words.filter(kept))
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(groups), counts.filter(kept)], names=["h", "g", "c"])
 
     counted = texts.select("text").mapInArrow(run, "h long, g int, c long")
     return counted.groupBy("h").agg(F.max("g").alias("g"), F.sum("c").alias("c"))
@@ -417,25 +461,20 @@ def maxent_scores(
     def encode(batches):
         voc = shared.value
         for texts in batches:
-            for at in range(0, texts.num_rows, 200):
-                part = texts.slice(at, 200)
-                split = [ascii_words(t) for t in part.column(1).to_pylist()]
-                codes = [voc.encode(x) for x in split]
-                rare_words: list[dict[int, int]] = []
-                for x, c in zip(split, codes, strict=True):
-                    found: dict[int, int] = {}
-                    for i in np.flatnonzero(c > size).tolist():
-                        h = word_hash(x[i])
-                        found[h] = found.get(h, 0) + 1
-                    rare_words.append(found)
+            for at in range(0, texts.num_rows, 1000):
+                part = texts.slice(at, 1000)
+                codes, bounds, text, words, times = voc.encode(part.column(1))
+                # codes of a text as bytes, and lists of its rare words, over arrays that hold those of all texts
+                coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), part.num_rows, [None, *map(pa.py_buffer, (4 * bounds.astype(np.int64), codes))])
+                lists = np.searchsorted(text, np.arange(part.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(2),
                         part.column(3),
-                        pa.array([c.astype(np.int32).tobytes() for c in codes], pa.binary()),
-                        pa.array([list(x) for x in rare_words], pa.list_(pa.int64())),
-                        pa.array([list(x.values()) for x in rare_words], pa.list_(pa.int64())),
+                        coded.cast(pa.binary()),
+                        pa.ListArray.from_arrays(lists, words),
+                        pa.ListArray.from_arrays(lists, times),
                     ],
                     names=["id", "part", "deal", "codes", "words", "times"],
                 )

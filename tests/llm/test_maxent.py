@@ -3,10 +3,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 import pytest
 
 from histora.llm import maxent as me
+from histora.llm.common import ascii_words
 
 
 def tokens(text):
@@ -164,3 +166,69 @@ def test_copies_of_one_row_are_dealt_to_several_tasks(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     scores = {r.doc_id: r.score for r in me.maxent_scores(docs).collect()}
     assert len(scores) == 39 and all(s < 0 for s in scores.values())
+
+
+def words_of_the_model(n):
+    """The words v0 to v(n - 1), the first ones most frequent, with the model of them."""
+    names = [f"v{i}" for i in range(n)]
+    hashes, groups = me.hashes_and_groups(pa.array(names, pa.string()))
+    return names, me.Vocabulary(hashes, groups, np.arange(n + 2, 2, -1), 9, 9 + n * n, 40, 20)
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("size", [0, 1, 50])
+def test_codes_of_a_batch_are_those_of_its_words(kind, size):
+    texts = [None, "", " V3 v0\tx \x0b", "\n", "v0 v0 rare rare other \x1c \x85 v49", "caf\u00e9 \u00c9 \u2003v1 rare", None, "y"]
+    names, voc = words_of_the_model(size)
+    codes, bounds, text, hashes, times = voc.encode(pa.array(["before", *texts, "behind"], kind).slice(1, len(texts)))
+    assert len(bounds) == len(texts) + 1
+    for i, t in enumerate(texts):
+        words = ascii_words(t)
+        rank = [names.index(w.decode()) if w.decode() in names else None for w in words]
+        group = [zlib.crc32(w[-2:]) % me.GROUPS for w in words]
+        assert codes[bounds[i] : bounds[i + 1]].tolist() == [size + 1 + g if r is None else 1 + r for r, g in zip(rank, group, strict=True)]
+        rare = Counter(me.xxhash.xxh3_64_intdigest(w) - (1 << 63) for w, r in zip(words, rank, strict=True) if r is None)
+        assert dict(zip(hashes[text == i].tolist(), times[text == i].tolist(), strict=True)) == rare
+
+
+def test_a_word_is_hashed_once_in_a_batch(monkeypatch):
+    _, voc = words_of_the_model(3)
+    asked, plain = [], me.xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(me.xxhash, "xxh3_64_intdigest", lambda w: asked.append(w) or plain(w))
+    voc.encode(pa.array(["rare v1 rare v1", "rare", "v1 rare"] * 50))
+    assert sorted(asked) == [b"rare", b"v1"]
+
+
+def test_words_are_counted(spark):
+    texts = [None, "", " ", "a b A", "B\x0bb\x1c", "a\n", "\u00c9t\u00e9 "]
+    counted = me.count_words(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    want = Counter(w for t in texts for w in ascii_words(t))
+    assert {(r.h, r.g, r.c) for r in counted} == {(me.xxhash.xxh3_64_intdigest(w) - (1 << 63), zlib.crc32(w[-2:]) % me.GROUPS, n) for w, n in want.items()}
+
+
+def test_sums_of_runs_of_all_lengths():
+    rng = np.random.default_rng(3)
+    for sizes in (np.ones(40, int), np.arange(1, 12), rng.integers(1, 4 * me.SHORT, 200), np.array([900]), np.array([2])):
+        values = rng.normal(size=(sizes.sum(), me.CLASSES)).astype(np.float32)
+        first = np.cumsum(sizes) - sizes
+        assert np.allclose(me.run_sums(values, first, sizes), np.add.reduceat(values, first, axis=0), atol=1e-4)
+
+
+def test_steps_at_the_forks_are_those_of_separate_batches():
+    """One call over many batches learns what one call for each batch does, and what the formulas say."""
+    rng, _, _, forks = forks_of()
+    codes = rng.integers(0, 900, 1000)
+    before = me.contexts(codes, np.array([0, 300]))
+    state = lambda: (np.zeros(forks.slots, np.float32), np.ones(forks.slots, np.float32), np.zeros(forks.slots, np.float32))
+    whole, parts, plain = state(), state(), [x.astype(float) for x in state()]
+    forks.descend(*whole, codes, before, batch=70)
+    for b in range(0, 1000, 70):
+        forks.descend(*parts, codes[b : b + 70], before[:, b : b + 70])
+        _, side, z, slots = forks.places(codes[b : b + 70], before[:, b : b + 70])
+        g = 1 / (1 + np.exp(-(z + plain[0][slots].sum(axis=0)))) - side
+        change = np.bincount(slots.ravel(), weights=np.tile(g, 3), minlength=forks.slots)
+        plain[1] += change**2
+        plain[0] -= 0.2 * change / np.sqrt(plain[1])
+    for x, y, z in zip(whole, parts, plain, strict=True):
+        assert np.array_equal(x, y) and np.allclose(x, z, atol=1e-3)
+    assert not whole[2].any() and whole[0].any()
